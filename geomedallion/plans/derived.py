@@ -77,3 +77,74 @@ def supplier_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         derived_lat(k, LOC_LAT_MULT).alias("geo_lat"),
         derived_lon(k, LOC_LON_MULT).alias("geo_lon"),
     )
+
+
+def census_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census-style area names "<area>, <state>" from customer x nation.
+
+    The area suffix cycles County / Parish / none by nation key; some names have no comma,
+    some have two, so the area/state split and county extraction see every shape.
+    """
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    nk = F.col("c_nationkey")
+    area = (
+        F.when(nk % 3 == 0, F.concat(F.col("c_name"), F.lit(" County")))
+        .when(nk % 3 == 1, F.concat(F.col("c_name"), F.lit(" Parish")))
+        .otherwise(F.col("c_name"))
+    )
+    name = (
+        F.when(nk % 5 == 4, area)
+        .when(nk % 7 == 6, F.concat(area, F.lit(", "), F.col("n_name"), F.lit(", US")))
+        .otherwise(F.concat(area, F.lit(", "), F.col("n_name")))
+    )
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").alias("census_id"), name.alias("name"))
+
+
+def order_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge target: orders up to 1999, last updated at their order date."""
+    o = table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).withColumn("update_tm", F.col("o_orderdate"))
+
+
+def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge source: orders from 1999 on, re-stated (price + 1, status F); overlaps the target in 1999."""
+    o = table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", F.lit("F").alias("o_orderstatus"),
+        (F.col("o_totalprice") + F.lit(1.0)).alias("o_totalprice"), "o_orderdate", "o_orderpriority",
+    )
+
+
+RUN_LOG_SUCCEEDED_UNTIL = "2024-01-20"
+RUN_LOG_FAILED_UNTIL = "2024-01-25"
+
+
+def event_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run log with one job per event day: Succeeded up to 01-20, Failed to 01-25, then Running."""
+    e = table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    status = (
+        F.when(F.col("day") <= F.lit(RUN_LOG_SUCCEEDED_UNTIL).cast("date"), F.lit("Succeeded"))
+        .when(F.col("day") <= F.lit(RUN_LOG_FAILED_UNTIL).cast("date"), F.lit("Failed"))
+        .otherwise(F.lit("Running"))
+    )
+    return (
+        e.groupBy(day.alias("day"))
+        .agg(F.max("ts").alias("last_updated"))
+        .select(F.date_format("day", "yyyyMMdd").alias("job_id"), "last_updated", status.alias("status"))
+    )
+
+
+def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather-style Kelvin readings from events: min = value - 10, max null for error events."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    return e.select(
+        k.alias("reading_id"),
+        derived_lat(k, OBS_LAT_MULT).alias("lat"),
+        derived_lon(k, OBS_LON_MULT).alias("lon"),
+        F.col("ts").alias("date"),
+        (F.col("value") - F.lit(10.0)).alias("temperature_min"),
+        F.when(F.col("event_type") != "error", F.col("value") + F.lit(10.0)).alias("temperature_max"),
+    )

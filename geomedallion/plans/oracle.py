@@ -86,3 +86,70 @@ SELECT {oc}, o.lat_bin, o.lon_bin, l.loc_id, l.loc_name, l.geo_lat, l.geo_lon,
        {miles_expr('o.' + lat, 'o.' + lon, 'l.geo_lat', 'l.geo_lon')} AS dist_miles
 FROM o LEFT JOIN l ON o.lat_bin = l.lat_bin AND o.lon_bin = l.lon_bin
 """
+
+
+CENSUS_NAMES = """
+  SELECT c_custkey AS census_id,
+         CASE WHEN c_nationkey % 5 = 4 THEN area
+              WHEN c_nationkey % 7 = 6 THEN area || ', ' || n_name || ', US'
+              ELSE area || ', ' || n_name END AS name
+  FROM (SELECT c.*, n.n_name,
+               CASE WHEN c_nationkey % 3 = 0 THEN c_name || ' County'
+                    WHEN c_nationkey % 3 = 1 THEN c_name || ' Parish'
+                    ELSE c_name END AS area
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) z"""
+
+
+def area_sql(c: str) -> str:
+    return f"trim(CASE WHEN strpos({c}, ',') > 0 THEN substr({c}, 1, strpos({c}, ',') - 1) ELSE {c} END)"
+
+
+def state_sql(c: str) -> str:
+    return f"trim(CASE WHEN strpos({c}, ',') > 0 THEN substr({c}, strpos({c}, ',') + 1) END)"
+
+
+def county_sql(c: str) -> str:
+    return f"coalesce(nullif(regexp_extract({c}, '^(.+) County', 1), ''), {c})"
+
+
+ORDER_TARGET = """
+  SELECT *, o_orderdate AS update_tm FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"""
+
+ORDER_SOURCE = f"""
+  SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice + {dbl(1.0)} AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'"""
+
+EVENT_RUN_LOG = """
+  SELECT strftime(day, '%Y%m%d') AS job_id, last_updated,
+         CASE WHEN day <= DATE '2024-01-20' THEN 'Succeeded'
+              WHEN day <= DATE '2024-01-25' THEN 'Failed' ELSE 'Running' END AS status
+  FROM (SELECT CAST(ts AS DATE) AS day, max(ts) AS last_updated FROM events GROUP BY 1) d"""
+
+WEATHER_READINGS = f"""
+  SELECT event_id AS reading_id,
+         {lat_expr('event_id', D.OBS_LAT_MULT)} AS lat, {lon_expr('event_id', D.OBS_LON_MULT)} AS lon,
+         ts AS date, value - {dbl(10.0)} AS temperature_min,
+         CASE WHEN event_type <> 'error' THEN value + {dbl(10.0)} END AS temperature_max
+  FROM events"""
+
+
+def calendar_sql(dates_sql: str) -> str:
+    return f"""
+SELECT d AS date, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(year(d) AS INTEGER) AS year,
+       CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+       strftime(d, '%B') AS month_name, strftime(d, '%b') AS month_short, CAST(day(d) AS INTEGER) AS day,
+       CAST(isodow(d) AS INTEGER) AS day_of_week, strftime(d, '%A') AS day_name,
+       CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(year(date_trunc('week', d)) AS INTEGER) AS iso_year,
+       strftime(d, '%Y-%m') AS year_month, isodow(d) IN (6, 7) AS is_weekend, day(d) = 1 AS is_month_start,
+       last_day(d) = d AS is_month_end, month(d) = 1 AND day(d) = 1 AS is_year_start,
+       month(d) = 12 AND day(d) = 31 AS is_year_end
+FROM ({dates_sql}) s"""
+
+
+def date_series_sql(col_sql: str, table: str) -> str:
+    return f"""
+SELECT CAST(g AS DATE) AS d FROM (
+  SELECT min(CAST({col_sql} AS DATE)) AS lo, max(CAST({col_sql} AS DATE)) AS hi FROM {table}
+  WHERE CAST({col_sql} AS DATE) <> DATE '1970-01-01') b,
+  generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g)"""

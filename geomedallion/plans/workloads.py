@@ -86,3 +86,264 @@ def bin_join_candidates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return out.select("obs_id", "obs_name", "lat", "lon", "lat_bin", "lon_bin",
                       "loc_id", "loc_name", "geo_lat", "geo_lon", "dist_miles")
+
+
+# --- calendar: A1, F15-F21 ---------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from geomedallion.functions import columns as C  # noqa: E402
+from geomedallion.operators import calendar as CAL  # noqa: E402
+
+
+@register("date_bounds", """
+SELECT min(CAST(o_orderdate AS DATE)) AS min_date, max(CAST(o_orderdate AS DATE)) AS max_date FROM orders
+WHERE CAST(o_orderdate AS DATE) <> DATE '1970-01-01'""")
+def date_bounds_q(spark, sf_dir):
+    """A1: global min/max order date (one lazy row)."""
+    return CAL.date_bounds(D.table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+@register("date_series", f"SELECT d AS date FROM ({O.date_series_sql('o_orderdate', 'orders')}) x")
+def date_series_q(spark, sf_dir):
+    """every day between the order-date bounds."""
+    return CAL.date_series(CAL.date_bounds(D.table(spark, sf_dir, "orders"), "o_orderdate"))
+
+
+@register("date_dimension", O.calendar_sql(O.date_series_sql("o_orderdate", "orders")))
+def date_dimension_q(spark, sf_dir):
+    """X3 dim_date (18 columns) over the order-date span."""
+    return CAL.date_dimension(D.table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+# --- scalar column functions: F1-F14, P4, P7, P8, F22, P3, P10 -----------------------------
+
+@register("name_key", "SELECT p_partkey, p_name, replace(lower(p_name), ' ', '') AS name_key FROM part")
+def name_key_q(spark, sf_dir):
+    """F1 over part names (lowercase, spaces removed)."""
+    p = D.table(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_name", C.name_key("p_name").alias("name_key"))
+
+
+@register("split_area_state", f"""
+SELECT census_id, name, {O.area_sql('name')} AS area, {O.state_sql('name')} AS state_name FROM ({O.CENSUS_NAMES}) n""")
+def split_area_state_q(spark, sf_dir):
+    """split census names at the first comma."""
+    n = D.census_names(spark, sf_dir)
+    area, state = C.split_area_state("name")
+    return n.select("census_id", "name", area.alias("area"), state.alias("state_name"))
+
+
+@register("county_name", f"""
+SELECT census_id, name, {O.county_sql(O.area_sql('name'))} AS county,
+       replace(lower({O.county_sql(O.area_sql('name'))}), ' ', '') AS name_key
+FROM ({O.CENSUS_NAMES}) n""")
+def county_name_q(spark, sf_dir):
+    """F2 + F1: county name of the area part, and its normalised key (ruling D24)."""
+    n = D.census_names(spark, sf_dir)
+    area, _ = C.split_area_state("name")
+    return n.select("census_id", "name", C.county_name(area).alias("county"),
+                    C.name_key(C.county_name(area)).alias("name_key"))
+
+
+@register("row_hash_id", """
+SELECT o_orderkey, sha256(concat_ws('||', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), CAST(o_custkey AS VARCHAR),
+       CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR))) AS row_id
+FROM orders""")
+def row_hash_id_q(spark, sf_dir):
+    """sha2-256 of concat_ws('||', ...) over canonical text of typed columns."""
+    o = D.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", C.row_hash_id(o, ["o_orderdate", "o_custkey", "o_totalprice"]).alias("row_id"))
+
+
+@register("kelvin_to_celsius", f"""
+SELECT reading_id, temperature_min - {O.dbl(273.15)} AS temperature_min,
+       temperature_max - {O.dbl(273.15)} AS temperature_max
+FROM ({O.WEATHER_READINGS}) w""")
+def kelvin_to_celsius_q(spark, sf_dir):
+    """F10 on weather-style readings."""
+    w = D.weather_readings(spark, sf_dir)
+    return w.select("reading_id", C.kelvin_to_celsius("temperature_min").alias("temperature_min"),
+                    C.kelvin_to_celsius("temperature_max").alias("temperature_max"))
+
+
+@register("valid_range_filter", f"""
+SELECT * FROM ({O.WEATHER_READINGS}) w
+WHERE temperature_min IS NOT NULL AND temperature_min >= 0 AND temperature_max IS NOT NULL AND temperature_max >= 0""")
+def valid_range_filter_q(spark, sf_dir):
+    """Keep readings with both temperatures present and >= 0 K (ruling D22)."""
+    w = D.weather_readings(spark, sf_dir)
+    return w.where(C.valid_range("temperature_min") & C.valid_range("temperature_max"))
+
+
+@register("round_coords", f"""
+SELECT event_id,
+  CAST(round(CAST(CAST(({O.dbl(25.0)} + CAST(event_id * 7919 % 250000 AS DOUBLE) / {O.dbl(10000.0)}) AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE) AS lat,
+  CAST(round(CAST(CAST(({O.dbl(-125.0)} + CAST(event_id * 104729 % 600000 AS DOUBLE) / {O.dbl(10000.0)}) AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE) AS lon
+FROM events""")
+def round_coords_q(spark, sf_dir):
+    """coordinates with 4 decimals rounded half-up to 2."""
+    e = D.table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    lat = F.lit(25.0) + (k * 7919 % 250000) / F.lit(10000.0)
+    lon = F.lit(-125.0) + (k * 104729 % 600000) / F.lit(10000.0)
+    return e.select("event_id", C.round_coord(lat).alias("lat"), C.round_coord(lon).alias("lon"))
+
+
+@register("fill_epoch", """
+SELECT event_id, coalesce(CASE WHEN event_type <> 'error' THEN ts END, TIMESTAMP '1970-01-01 00:00:00') AS ts FROM events""")
+def fill_epoch_q(spark, sf_dir):
+    """Null timestamps (error events) filled with the epoch."""
+    e = D.table(spark, sf_dir, "events")
+    ts = F.when(F.col("event_type") != "error", F.col("ts"))
+    return e.select("event_id", C.fill_epoch(ts, e.schema["ts"].dataType).alias("ts"))
+
+
+@register("null_short_strings", """
+SELECT conv_id, turn, CASE WHEN length(text) >= 2 THEN replace(text, ',', '|') END AS text,
+       CASE WHEN length(role) >= 2 THEN replace(role, ',', '|') END AS role
+FROM conversations""")
+def null_short_strings_q(spark, sf_dir):
+    """P8 + F4 over whole conversation texts."""
+    c = D.table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", C.null_short_strings("text").alias("text"), C.null_short_strings("role").alias("role"))
+
+
+@register("parse_date", """
+SELECT event_id, CAST(try_strptime(CASE WHEN event_type = 'error' THEN 'n/a' ELSE strftime(ts, '%Y-%m-%d') END, '%Y-%m-%d')
+       AS TIMESTAMP) AS date FROM events""")
+def parse_date_q(spark, sf_dir):
+    """yyyy-MM-dd text to timestamp; malformed text gives null."""
+    e = D.table(spark, sf_dir, "events")
+    txt = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    return e.select("event_id", C.parse_date(txt).cast("timestamp_ntz").alias("date"))
+
+
+@register("project_cast", """
+SELECT event_id AS id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       TRY_CAST(event_type AS INTEGER) AS type_code, CAST(user_id AS INTEGER) AS user_id FROM events""")
+def project_cast_q(spark, sf_dir):
+    """Select, alias and null-safe casts (malformed text -> null)."""
+    e = D.table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id").alias("id"),
+        C.try_cast_to(F.get_json_object("props", "$.k"), "bigint").alias("k"),
+        C.try_cast_to(F.col("event_type"), "int").alias("type_code"),
+        C.try_cast_to(F.col("user_id"), "int").alias("user_id"),
+    )
+
+
+@register("drop_columns", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+def drop_columns_q(spark, sf_dir):
+    """Drop columns (census hisp/state/county analogue)."""
+    return D.table(spark, sf_dir, "customer").drop("c_acctbal", "c_mktsegment")
+
+
+FEED_RUN_TS = "2024-01-15 13:45:00"
+
+
+@register("feed_window_filter", """
+SELECT * FROM events
+WHERE ts >= TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00' AND value >= 2""")
+def feed_window_filter_q(spark, sf_dir):
+    """P10 + F14: the day before the run, magnitude >= 2."""
+    e = D.table(spark, sf_dir, "events")
+    start, end = C.day_window(F.lit(FEED_RUN_TS).cast("timestamp_ntz"))
+    return e.where(C.in_window("ts", start, end) & (F.col("value") >= F.lit(2.0)))
+
+
+# --- de-duplication, merge, watermark: A3, M1-M3, S6, J5, X4 -----------------------------
+
+from geomedallion.operators.dedup import dedup_by_key  # noqa: E402
+from geomedallion.operators.extract import extract_since, watermark  # noqa: E402
+from geomedallion.operators.merge import merge_upsert  # noqa: E402
+
+
+@register("dedup_by_key", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id, value, props) AS rn
+  FROM events) x WHERE rn = 1""")
+def dedup_by_key_q(spark, sf_dir):
+    """A3: newest event per (user, type); ties by the remaining columns (ruling D17)."""
+    return dedup_by_key(D.table(spark, sf_dir, "events"), ["user_id", "event_type"], newest_first=["ts"])
+
+
+MERGE_RUN_TS = "2002-01-01 00:00:00"
+
+
+@register("merge_upsert", f"""
+WITH t AS ({O.ORDER_TARGET}), s AS ({O.ORDER_SOURCE})
+SELECT s.*, TIMESTAMP '{MERGE_RUN_TS}' AS update_tm FROM s
+UNION ALL
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)""")
+def merge_upsert_q(spark, sf_dir):
+    """M1: upsert re-stated orders into the older order table by key."""
+    return merge_upsert(D.order_target(spark, sf_dir), D.order_source(spark, sf_dir), ["o_orderkey"],
+                        F.lit(MERGE_RUN_TS).cast("timestamp_ntz"))
+
+
+MERGE_WATERMARK = "1999-06-01 00:00:00"
+
+
+@register("merge_upsert_watermarked", f"""
+WITH t AS ({O.ORDER_TARGET}), s AS ({O.ORDER_SOURCE})
+SELECT s.*, TIMESTAMP '{MERGE_RUN_TS}' AS update_tm FROM s
+UNION ALL
+SELECT * FROM t WHERE NOT (update_tm > TIMESTAMP '{MERGE_WATERMARK}'
+                           AND EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey))""")
+def merge_upsert_watermarked_q(spark, sf_dir):
+    """M2: only target rows newer than the watermark can match; older ones stay beside the insert."""
+    return merge_upsert(D.order_target(spark, sf_dir), D.order_source(spark, sf_dir), ["o_orderkey"],
+                        F.lit(MERGE_RUN_TS).cast("timestamp_ntz"),
+                        target_predicate=F.col("update_tm") > F.lit(MERGE_WATERMARK).cast("timestamp_ntz"))
+
+
+@register("run_log_watermark", f"""
+SELECT coalesce(max(last_updated), TIMESTAMP '1970-01-01 00:00:00') AS watermark
+FROM ({O.EVENT_RUN_LOG}) r WHERE status = 'Succeeded'""")
+def run_log_watermark_q(spark, sf_dir):
+    """Newest successful run of the run log (epoch when none)."""
+    return watermark(D.event_run_log(spark, sf_dir), D.table(spark, sf_dir, "events").schema["ts"].dataType)
+
+
+@register("incremental_extract", f"""
+SELECT * FROM events WHERE ts > (
+  SELECT coalesce(max(last_updated), TIMESTAMP '1970-01-01 00:00:00') FROM ({O.EVENT_RUN_LOG}) r WHERE status = 'Succeeded')""")
+def incremental_extract_q(spark, sf_dir):
+    """Events newer than the run-log watermark (scalar subquery pushed to the scan)."""
+    return extract_since(D.table(spark, sf_dir, "events"), D.event_run_log(spark, sf_dir), "ts")
+
+
+# --- data-quality checks: A5-A8 ----------------------------------------------------------
+
+from geomedallion.operators import quality as QC  # noqa: E402
+
+
+@register("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
+def duplicate_keys_q(spark, sf_dir):
+    """A5: (l_orderkey, l_linenumber) values held by more than one row."""
+    return QC.duplicate_keys(D.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("null_key_rows", """
+SELECT event_id, place, ts AS time FROM (
+  SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS place, ts FROM events) x
+WHERE place IS NULL OR ts IS NULL""")
+def null_key_rows_q(spark, sf_dir):
+    """Quake-style rows missing a key part (place, time)."""
+    e = D.table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("place"), F.col("ts").alias("time"))
+    return QC.null_key_rows(e, ["place", "time"])
+
+
+@register("value_in_set", "SELECT * FROM conversations WHERE role NOT IN ('user', 'assistant')")
+def value_in_set_q(spark, sf_dir):
+    """Rows whose role is outside the allowed set."""
+    return QC.value_in_set(D.table(spark, sf_dir, "conversations"), "role", ["user", "assistant"])
+
+
+@register("too_long_strings", "SELECT page_id, url FROM pages WHERE length(url) > 40")
+def too_long_strings_q(spark, sf_dir):
+    """Rows exceeding a VARCHAR(40) limit."""
+    return QC.too_long_strings(D.table(spark, sf_dir, "pages").select("page_id", "url"), {"url": 40})
