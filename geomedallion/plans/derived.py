@@ -148,3 +148,108 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") - F.lit(10.0)).alias("temperature_min"),
         F.when(F.col("event_type") != "error", F.col("value") + F.lit(10.0)).alias("temperature_max"),
     )
+
+
+# --- landed payloads derived from the supplied tables ---------------------------------------
+
+FEED_CHUNK = 100  # features per derived GeoJSON payload (event_id div FEED_CHUNK)
+
+
+def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One GeoJSON feature per event, with every shape the flattener must handle:
+    1-char place (error), missing place (signup), commas in place (click), missing
+    ``updated`` (view), a single coordinate (purchase)."""
+    e = table(spark, sf_dir, "events")
+    k, et = F.col("event_id"), F.col("event_type")
+    lat, lon = derived_lat(k, OBS_LAT_MULT), derived_lon(k, OBS_LON_MULT)
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    place = (
+        F.when(et == "error", F.lit("x"))
+        .when(et == "signup", F.lit(None).cast("string"))
+        .when(et == "click", F.concat(F.lit("near user "), F.col("user_id").cast("string"), F.lit(", CA")))
+        .otherwise(F.concat(et, F.lit(" zone")))
+    )
+    props = F.struct(
+        F.col("value").alias("mag"), place.alias("place"), ms.alias("time"),
+        F.when(et != "view", ms + F.lit(60000)).alias("updated"),
+        F.concat(F.lit("https://example.invalid/q/"), k.cast("string")).alias("url"),
+        F.concat(F.lit("https://example.invalid/d/"), k.cast("string")).alias("detail"),
+        F.lit("reviewed").alias("status"), F.lit(0).alias("tsunami"), F.col("user_id").cast("int").alias("sig"),
+        F.lit("ev").alias("net"), k.cast("string").alias("code"), F.lit(",ev,").alias("ids"),
+        F.lit(",ev,").alias("sources"), F.lit(",origin,").alias("types"),
+        (F.col("value") / F.lit(10.0)).alias("rms"), F.lit("md").alias("magType"), F.lit("earthquake").alias("type"),
+        F.concat(F.lit("Event "), k.cast("string")).alias("title"),
+    )
+    coords = F.when(et == "purchase", F.array(lon)).otherwise(F.array(lon, lat, F.col("value")))
+    return e.select(k.alias("event_id"), F.struct(props.alias("properties"), F.struct(coords.alias("coordinates")).alias("geometry")).alias("feature"))
+
+
+def event_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed GeoJSON text: payloads of at most FEED_CHUNK features (bounded groups)."""
+    f = event_features(spark, sf_dir)
+    grouped = f.groupBy((F.col("event_id") / FEED_CHUNK).cast("long").alias("payload_id")).agg(
+        F.collect_list("feature").alias("features"))
+    return grouped.select("payload_id", F.to_json(F.struct("features")).alias("value"))
+
+
+def weather_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed weather JSON per reading; ``wind`` absent for signup, ``wind.max`` a scalar
+    for view, ``temperature`` absent for error events."""
+    e = table(spark, sf_dir, "events")
+    k, et, v = F.col("event_id"), F.col("event_type"), F.col("value")
+    base = F.to_json(F.struct(
+        derived_lat(k, OBS_LAT_MULT).alias("lat"), derived_lon(k, OBS_LON_MULT).alias("lon"), F.lit("UTC").alias("tz"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit("standard").alias("units"),
+        F.struct(F.col("user_id").cast("double").alias("afternoon")).alias("cloud_cover"),
+        F.struct(v.alias("afternoon")).alias("humidity"),
+        F.struct((v / F.lit(4.0)).alias("total")).alias("precipitation"),
+        F.when(et != "error", F.struct((v + F.lit(250.0)).alias("min"), (v + F.lit(260.0)).alias("max"))).alias("temperature"),
+        F.struct((F.lit(1000.0) + F.col("user_id")).alias("afternoon")).alias("pressure"),
+    ))
+    speed = v / F.lit(3.0)
+    wind = (
+        F.when(et == "signup", F.lit(""))
+        .when(et == "view", F.concat(F.lit(',"wind":{"max":'), speed.cast("string"), F.lit("}}")))
+        .otherwise(F.concat(F.lit(',"wind":'), F.to_json(F.struct(F.struct(speed.alias("speed"), F.lit(10).alias("deg")).alias("max")))))
+    )
+    text = F.concat(F.expr("substring(__b, 1, length(__b) - 1)"), wind, F.lit("}"))
+    return e.select(k.alias("reading_id"), base.alias("__b"), et, v).select("reading_id", text.alias("value"))
+
+
+CENSUS_CHUNK = 100
+CENSUS_HEADER = ("NAME", "POP", "HISP", "state", "county")
+
+
+def census_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census array tables: header row then up to CENSUS_CHUNK rows of strings."""
+    n = census_names(spark, sf_dir)
+    cid = F.col("census_id")
+    pop = F.when(cid % 50 == 0, F.lit("n/a")).otherwise((cid * 37 % 100000).cast("string"))
+    row = F.array(F.col("name"), pop, F.lit("0"), (cid % 56).cast("string"), (cid % 1000).cast("string"))
+    grouped = n.groupBy((cid / CENSUS_CHUNK).cast("long").alias("payload_id")).agg(F.collect_list(row).alias("rows"))
+    header = F.array(*[F.lit(h) for h in CENSUS_HEADER])
+    return grouped.select("payload_id", F.to_json(F.concat(F.array(header), F.col("rows"))).alias("value"))
+
+
+GEOCODE_RESULTS_PER_QUERY = 6
+
+
+def geocode_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One geocode response per supplier, 6 results: result 1 repeats result 0, result 2 is another
+    name at result 0's point, result 3 is outside the US, result 5 is past the 5-result limit."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    lat0, lon0 = derived_lat(k, LOC_LAT_MULT), derived_lon(k, LOC_LON_MULT)
+
+    def result(i):
+        shift = F.when(i <= 2, F.lit(0)).otherwise(i) * F.lit(0.01)
+        return F.struct(
+            F.when(i == 2, F.concat(F.col("s_name"), F.lit(" Heights"))).otherwise(F.col("s_name")).alias("name"),
+            F.create_map(F.lit("en"), F.col("s_name")).alias("local_names"),
+            (lat0 + shift).alias("lat"), (lon0 + shift).alias("lon"),
+            F.when(i == 3, F.lit("CA")).otherwise(F.lit("US")).alias("country"),
+            F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("state"),
+        )
+
+    results = F.transform(F.sequence(F.lit(0), F.lit(GEOCODE_RESULTS_PER_QUERY - 1)), result)
+    return s.select(k.alias("query_id"), F.to_json(results).alias("value"))

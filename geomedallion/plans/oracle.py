@@ -153,3 +153,33 @@ SELECT CAST(g AS DATE) AS d FROM (
   SELECT min(CAST({col_sql} AS DATE)) AS lo, max(CAST({col_sql} AS DATE)) AS hi FROM {table}
   WHERE CAST({col_sql} AS DATE) <> DATE '1970-01-01') b,
   generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g)"""
+
+
+def typed_null(t: str) -> str:
+    return f"CAST(NULL AS {t})"
+
+
+EVENT_FLAT = f"""
+  SELECT value AS mag,
+         CASE WHEN event_type IN ('error', 'signup') THEN NULL
+              WHEN event_type = 'click' THEN 'near user ' || CAST(user_id AS VARCHAR) || '| CA'
+              ELSE event_type || ' zone' END AS place,
+         date_trunc('millisecond', ts) AS time,
+         CASE WHEN event_type <> 'view' THEN date_trunc('millisecond', ts) + INTERVAL 60 SECOND END AS updated,
+         {typed_null('VARCHAR')} AS tz, {typed_null('VARCHAR')} AS felt, {typed_null('VARCHAR')} AS cdi,
+         {typed_null('VARCHAR')} AS mmi, {typed_null('VARCHAR')} AS alert, 'reviewed' AS status,
+         CAST(0 AS INTEGER) AS tsunami, CAST(user_id AS INTEGER) AS sig, 'ev' AS net, CAST(event_id AS VARCHAR) AS code,
+         {typed_null('INTEGER')} AS nst, {typed_null('DOUBLE')} AS dmin, value / {dbl(10.0)} AS rms,
+         {typed_null('INTEGER')} AS gap, 'md' AS "magType", 'earthquake' AS type, 'Event ' || CAST(event_id AS VARCHAR) AS title,
+         CASE WHEN event_type <> 'purchase' THEN {lat_expr('event_id', D.OBS_LAT_MULT)} END AS latitude,
+         CASE WHEN event_type <> 'purchase' THEN {lon_expr('event_id', D.OBS_LON_MULT)} END AS longitude,
+         event_type
+  FROM events"""
+
+GEOCODE_RESULTS = f"""
+  SELECT query_id, CAST(i AS INTEGER) AS result_pos,
+         CASE WHEN i = 2 THEN s_name || ' Heights' ELSE s_name END AS name,
+         {lat_expr('query_id', D.LOC_LAT_MULT)} + (CASE WHEN i <= 2 THEN 0 ELSE i END) * {dbl(0.01)} AS lat,
+         {lon_expr('query_id', D.LOC_LON_MULT)} + (CASE WHEN i <= 2 THEN 0 ELSE i END) * {dbl(0.01)} AS lon,
+         CASE WHEN i = 3 THEN 'CA' ELSE 'US' END AS country, 'S' || CAST(s_nationkey AS VARCHAR) AS state
+  FROM (SELECT s_suppkey AS query_id, s_name, s_nationkey, unnest(range(0, 6)) AS i FROM supplier) s"""

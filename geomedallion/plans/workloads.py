@@ -347,3 +347,129 @@ def value_in_set_q(spark, sf_dir):
 def too_long_strings_q(spark, sf_dir):
     """Rows exceeding a VARCHAR(40) limit."""
     return QC.too_long_strings(D.table(spark, sf_dir, "pages").select("page_id", "url"), {"url": 40})
+
+
+# --- landed payload readers: S1-S4, T2, A4, A9 ----------------------------------------------
+
+from geomedallion import schemas as SC  # noqa: E402
+from geomedallion.sources import landed as LD  # noqa: E402
+
+_EVENT_COLS = [c for c, _ in SC.USGS_COLUMNS]
+
+
+def _parsed_feed(spark, sf_dir):
+    return D.event_feed_text(spark, sf_dir).select(F.from_json("value", SC.EVENT_FEED).alias("feed"))
+
+
+@register("flatten_events", f"SELECT {', '.join(chr(34) + c + chr(34) for c in _EVENT_COLS)} FROM ({O.EVENT_FLAT}) e")
+def flatten_events_q(spark, sf_dir):
+    """GeoJSON payloads (100 features each) parsed and flattened to quake rows."""
+    out = LD.flatten_event_feed(_parsed_feed(spark, sf_dir))
+    return out.withColumns({"time": F.col("time").cast("timestamp_ntz"), "updated": F.col("updated").cast("timestamp_ntz")})
+
+
+@register("feed_shape_report", f"""
+SELECT 'no_features' AS rule, CAST(0 AS BIGINT) AS n_rejected
+UNION ALL SELECT 'no_properties', CAST(0 AS BIGINT)
+UNION ALL SELECT 'no_geometry', CAST(0 AS BIGINT)
+UNION ALL SELECT 'short_coordinates', count_if(event_type = 'purchase') FROM events
+UNION ALL SELECT 'bad_place', count_if(event_type IN ('error', 'signup')) FROM events
+UNION ALL SELECT 'bad_title', CAST(0 AS BIGINT)
+UNION ALL SELECT 'no_time', CAST(0 AS BIGINT)
+UNION ALL SELECT 'no_updated', count_if(event_type = 'view') FROM events""")
+def feed_shape_report_q(spark, sf_dir):
+    """Reject counts per feed-shape rule over all landed event payloads."""
+    return LD.event_feed_report(_parsed_feed(spark, sf_dir))
+
+
+@register("flatten_weather", f"""
+SELECT {O.lat_expr('event_id', D.OBS_LAT_MULT)} AS lat, {O.lon_expr('event_id', D.OBS_LON_MULT)} AS lon, 'UTC' AS tz,
+       strftime(ts, '%Y-%m-%d') AS date, 'standard' AS units, CAST(user_id AS DOUBLE) AS cloud_cover, value AS humidity,
+       value / {O.dbl(4.0)} AS precipitation,
+       CASE WHEN event_type <> 'error' THEN value + {O.dbl(250.0)} END AS temperature_min,
+       CASE WHEN event_type <> 'error' THEN value + {O.dbl(260.0)} END AS temperature_max,
+       {O.dbl(1000.0)} + user_id AS pressure,
+       CASE WHEN event_type NOT IN ('signup', 'view') THEN value / {O.dbl(3.0)} END AS wind
+FROM events""")
+def flatten_weather_q(spark, sf_dir):
+    """Nested weather payloads (absent / scalar sub-objects) flattened by name."""
+    w = D.weather_payload_text(spark, sf_dir)
+    return LD.flatten_weather(w.select(F.from_json("value", SC.WEATHER_PAYLOAD).alias("payload")))
+
+
+@register("array_table_rows", f"""
+SELECT name, TRY_CAST(CASE WHEN census_id % 50 = 0 THEN 'n/a' ELSE CAST(census_id * 37 % 100000 AS VARCHAR) END AS INTEGER) AS pop,
+       CAST(0 AS INTEGER) AS hisp, CAST(census_id % 56 AS INTEGER) AS state, CAST(census_id % 1000 AS INTEGER) AS county
+FROM ({O.CENSUS_NAMES}) n""")
+def array_table_rows_q(spark, sf_dir):
+    """S3: census array tables (header row skipped) bound to typed columns by position."""
+    p = D.census_payload_text(spark, sf_dir).select(F.from_json("value", SC.CENSUS_PAYLOAD).alias("payload"))
+    rows = LD.array_table_rows(p)
+    return rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in SC.CENSUS_COLUMNS])
+
+
+def _geocode_payloads(spark, sf_dir):
+    g = D.geocode_payload_text(spark, sf_dir)
+    return g.select("query_id", F.from_json("value", SC.GEOCODE_PAYLOAD).alias("payload"))
+
+
+@register("geocode_filter_distinct", f"""
+SELECT DISTINCT name, lat, lon, country, state FROM ({O.GEOCODE_RESULTS}) r WHERE result_pos < 5 AND country = 'US'""")
+def geocode_filter_distinct_q(spark, sf_dir):
+    """S4 + A4: first 5 results, US only, local_names dropped, whole-record distinct."""
+    return LD.geocode_results(_geocode_payloads(spark, sf_dir), limit=SC.GEOCODE_RESULT_LIMIT).drop("result_pos").distinct()
+
+
+@register("topk_per_key", f"SELECT * FROM ({O.GEOCODE_RESULTS}) r WHERE result_pos < 5")
+def topk_per_key_q(spark, sf_dir):
+    """At most 5 results per looked-up area, by payload position (no shuffle)."""
+    return LD.geocode_results(_geocode_payloads(spark, sf_dir), country=None, limit=SC.GEOCODE_RESULT_LIMIT, keep=("query_id",))
+
+
+# --- nested helpers: N1-N4 -----------------------------------------------------------------
+
+from geomedallion.functions import nested as N  # noqa: E402
+
+
+@register("nested_get_default", """
+SELECT event_id, coalesce(json_extract_string(props, '$.k'), 'none') AS k,
+       coalesce(json_extract_string(props, '$.x.y'), 'none') AS xy FROM events""")
+def nested_get_default_q(spark, sf_dir):
+    """Value at a path of a JSON object, default when a step is missing."""
+    e = D.table(spark, sf_dir, "events")
+    return e.select("event_id", N.json_get("props", ["k"], "none").alias("k"), N.json_get("props", ["x", "y"], "none").alias("xy"))
+
+
+@register("nested_lift", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k_value, CAST(NULL AS VARCHAR) AS xy FROM events""")
+def nested_lift_q(spark, sf_dir):
+    """Lift props.k to a top-level column (old object removed); a missing path lifts null."""
+    e = D.table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint, x struct<z: string>").alias("p"))
+    out = N.struct_lift(e, ["k_value"], ["p", "k"])
+    out = N.struct_lift(out.withColumn("q", F.struct(F.lit(1).alias("a"))), ["xy"], ["q", "x", "y"])
+    return out.select("event_id", "k_value", F.col("xy").cast("string").alias("xy"))
+
+
+@register("nested_set", """
+SELECT event_id, event_type AS meta_kind_type, user_id AS meta_kind_user, value * 2 AS meta_value, props AS meta_raw
+FROM events""")
+def nested_set_q(spark, sf_dir):
+    """N2 + N4: build meta.kind.{type,user}, set meta.value twice (overwrite), flatten with '_'."""
+    e = D.table(spark, sf_dir, "events")
+    out = N.struct_set(e.select("event_id", "event_type", "user_id", "value", "props"), ["meta", "kind", "type"], F.col("event_type"))
+    out = N.struct_set(out, ["meta", "kind", "user"], F.col("user_id"))
+    out = N.struct_set(out, ["meta", "value"], F.col("value"))
+    out = N.struct_set(out, ["meta", "value"], F.col("value") * 2)
+    out = N.struct_set(out, ["meta", "raw"], F.col("props"))
+    return N.flatten_struct(out.select("event_id", "meta"), sep="_")
+
+
+@register("flatten_struct", """
+SELECT s_suppkey, s_name AS "info.s_name", s_nationkey AS "info.account.s_nationkey",
+       s_acctbal AS "info.account.s_acctbal" FROM supplier""")
+def flatten_struct_q(spark, sf_dir):
+    """A JSON document per supplier parsed and flattened to dotted column names."""
+    s = D.table(spark, sf_dir, "supplier")
+    doc = F.to_json(F.struct("s_suppkey", F.struct("s_name", F.struct("s_nationkey", "s_acctbal").alias("account")).alias("info")))
+    schema = "s_suppkey bigint, info struct<s_name: string, account: struct<s_nationkey: int, s_acctbal: double>>"
+    return N.flatten_struct(s.select(F.from_json(doc, schema).alias("d")).select("d.*"))
