@@ -253,3 +253,48 @@ def geocode_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     results = F.transform(F.sequence(F.lit(0), F.lit(GEOCODE_RESULTS_PER_QUERY - 1)), result)
     return s.select(k.alias("query_id"), F.to_json(results).alias("value"))
+
+
+# --- silver-style inputs for the gold layer ---------------------------------------------------
+
+SILVER_TS = "2024-02-01 00:00:00"
+CENSUS_MIN_SIZE = 10  # parts below this size have no census row (left-join misses)
+
+
+def _place_name(p: DataFrame) -> Column:
+    return F.concat(F.upper(F.col("p_name")), F.lit(" "), F.col("p_partkey").cast("string"))
+
+
+def geocode_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """geocode_raw-shaped rows: one US place per part."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    return p.select(
+        _place_name(p).alias("name"), derived_lat(k, LOC_LAT_MULT).alias("lat"), derived_lon(k, LOC_LON_MULT).alias("lon"),
+        F.lit("US").alias("country"), F.col("p_brand").alias("state"),
+        F.lit(SILVER_TS).cast("timestamp").alias("update_tm"),
+    )
+
+
+def census_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """census_raw-shaped rows: "<place> County, <brand>" for parts of size >= CENSUS_MIN_SIZE."""
+    p = table(spark, sf_dir, "part").where(F.col("p_size") >= CENSUS_MIN_SIZE)
+    return p.select(
+        F.concat(_place_name(p), F.lit(" County, "), F.col("p_brand")).alias("name"),
+        (F.col("p_size") * 1000).alias("pop"), F.lit(0).alias("hisp"), F.lit(1).alias("state"), F.lit(1).alias("county"),
+        F.lit(SILVER_TS).cast("timestamp").alias("update_tm"),
+    )
+
+
+def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """weather_raw-shaped rows from events (Kelvin; minimum below 0 K when value < 5)."""
+    e = table(spark, sf_dir, "events")
+    k, v = F.col("event_id"), F.col("value")
+    return e.select(
+        derived_lat(k, OBS_LAT_MULT).alias("lat"), derived_lon(k, OBS_LON_MULT).alias("lon"), F.lit("UTC").alias("tz"),
+        F.date_trunc("day", F.col("ts").cast("timestamp")).alias("date"), F.lit("standard").alias("units"),
+        F.col("user_id").cast("double").alias("cloud_cover"), v.alias("humidity"), (v / F.lit(4.0)).alias("precipitation"),
+        (v - F.lit(5.0)).alias("temperature_min"), (v + F.lit(260.0)).alias("temperature_max"),
+        (F.lit(1000.0) + F.col("user_id")).alias("pressure"), (v / F.lit(3.0)).alias("wind"),
+        F.lit(SILVER_TS).cast("timestamp").alias("update_tm"),
+    )

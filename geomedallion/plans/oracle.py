@@ -183,3 +183,128 @@ GEOCODE_RESULTS = f"""
          {lon_expr('query_id', D.LOC_LON_MULT)} + (CASE WHEN i <= 2 THEN 0 ELSE i END) * {dbl(0.01)} AS lon,
          CASE WHEN i = 3 THEN 'CA' ELSE 'US' END AS country, 'S' || CAST(s_nationkey AS VARCHAR) AS state
   FROM (SELECT s_suppkey AS query_id, s_name, s_nationkey, unnest(range(0, 6)) AS i FROM supplier) s"""
+
+
+# --- gold layer --------------------------------------------------------------------------------
+
+def round2(x: str) -> str:
+    """Spark's round(double, 2): half-up on the shortest decimal text of the double."""
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE)"
+
+
+def dedup_sql(src: str, keys: list[str], order: list[str]) -> str:
+    return f"""SELECT * FROM ({src}) d
+  QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}) = 1"""
+
+
+def asc_last(cols) -> list[str]:
+    return [f'"{c}" ASC NULLS LAST' for c in cols]
+
+
+SILVER_TS_SQL = f"TIMESTAMP '{D.SILVER_TS}'"
+PLACE_NAME = "upper(p_name) || ' ' || CAST(p_partkey AS VARCHAR)"
+
+GEOCODE_SILVER = dedup_sql(f"""
+  SELECT {PLACE_NAME} AS name, replace(lower({PLACE_NAME}), ' ', '') AS name_key,
+         {round2(lat_expr('p_partkey', D.LOC_LAT_MULT))} AS lat, {round2(lon_expr('p_partkey', D.LOC_LON_MULT))} AS lon,
+         'US' AS country, p_brand AS state, {SILVER_TS_SQL} AS update_tm
+  FROM part""", ["name_key", "lat", "lon"], ["update_tm DESC NULLS LAST"] + asc_last(["name", "country", "state"]))
+
+_CENSUS_NAME = f"{PLACE_NAME} || ' County, ' || p_brand"
+CENSUS_SILVER = dedup_sql(f"""
+  SELECT {_CENSUS_NAME} AS name,
+         replace(lower({county_sql(area_sql(_CENSUS_NAME))}), ' ', '') AS name_key,
+         {state_sql(_CENSUS_NAME)} AS state_name, CAST(p_size * 1000 AS INTEGER) AS pop, {SILVER_TS_SQL} AS update_tm
+  FROM part WHERE p_size >= {D.CENSUS_MIN_SIZE}""", ["name"], ["update_tm DESC NULLS LAST"] + asc_last(["pop", "state_name", "name_key"]))
+
+LOCATION_DIM = f"""
+  SELECT g.name_key, g.lat AS geo_lat, g.lon AS geo_lon, g.country, g.state, CAST(c.pop AS BIGINT) AS pop,
+         coalesce(g.name, c.name) AS area_name
+  FROM ({GEOCODE_SILVER}) g LEFT JOIN ({CENSUS_SILVER}) c ON g.name_key = c.name_key AND g.state = c.state_name"""
+
+_WEATHER_COLS = ["tz", "units", "cloud_cover", "humidity", "precipitation", "temperature_min", "temperature_max",
+                 "pressure", "wind"]
+WEATHER_SILVER = dedup_sql(f"""
+  SELECT lat, lon, tz, date, units, cloud_cover, humidity, precipitation,
+         temperature_min - {dbl(273.15)} AS temperature_min, temperature_max - {dbl(273.15)} AS temperature_max,
+         pressure, wind, update_tm
+  FROM (
+    SELECT {round2(lat_expr('event_id', D.OBS_LAT_MULT))} AS lat, {round2(lon_expr('event_id', D.OBS_LON_MULT))} AS lon,
+           'UTC' AS tz, coalesce(date_trunc('day', ts), TIMESTAMP '1970-01-01 00:00:00') AS date, 'standard' AS units,
+           CAST(user_id AS DOUBLE) AS cloud_cover, value AS humidity, value / {dbl(4.0)} AS precipitation,
+           value - {dbl(5.0)} AS temperature_min, value + {dbl(260.0)} AS temperature_max,
+           {dbl(1000.0)} + user_id AS pressure, value / {dbl(3.0)} AS wind, {SILVER_TS_SQL} AS update_tm
+    FROM events) r
+  WHERE temperature_min IS NOT NULL AND temperature_min >= 0 AND temperature_max IS NOT NULL AND temperature_max >= 0""",
+    ["lat", "lon", "date"], ["update_tm DESC NULLS LAST"] + asc_last(_WEATHER_COLS))
+
+_USGS = ["mag", "place", "time", "updated", "tz", "felt", "cdi", "mmi", "alert", "status", "tsunami", "sig", "net", "code",
+         "nst", "dmin", "rms", "gap", "magType", "type", "title", "latitude", "longitude"]
+_USGS_REST = [c for c in _USGS if c not in ("place", "time", "updated")]
+_USGS_STAGED = dedup_sql(
+    f"SELECT {', '.join(chr(34) + c + chr(34) for c in _USGS)} FROM ({EVENT_FLAT}) e WHERE place IS NOT NULL AND time IS NOT NULL",
+    ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
+USGS_SILVER = dedup_sql(f"""
+  SELECT mag, place, coalesce(time, TIMESTAMP '1970-01-01 00:00:00') AS time,
+         coalesce(updated, TIMESTAMP '1970-01-01 00:00:00') AS updated, tz, felt, cdi, mmi, alert, status, tsunami, sig,
+         net, code, nst, dmin, rms, gap, "magType", type, title, {round2('latitude')} AS latitude,
+         {round2('longitude')} AS longitude, {SILVER_TS_SQL} AS update_tm
+  FROM ({_USGS_STAGED}) s""", ["place", "time"], ["update_tm DESC NULLS LAST"] + asc_last([c for c in _USGS if c not in ("place", "time")]))
+
+
+def _id_sql(ts: str, lat: str, lon: str) -> str:
+    return (f"sha256(concat_ws('||', strftime({ts}, '%Y-%m-%d %H:%M:%S'), CAST(CAST({lat} AS DECIMAL(18, 2)) AS VARCHAR), "
+            f"CAST(CAST({lon} AS DECIMAL(18, 2)) AS VARCHAR)))")
+
+
+_LOC_COLS = ["name_key", "geo_lat", "geo_lon", "country", "state", "pop", "area_name"]
+
+
+def _nearest_gold(obs_sql: str, obs_cols: list[str], id_col: str, lat: str, lon: str, unique: bool) -> str:
+    oc = ", ".join(f'o."{c}"' for c in obs_cols)
+    lc = ", ".join(f"l.{c}" for c in _LOC_COLS)
+    rest = [c for c in obs_cols + ["lat_bin", "lon_bin"] if c != id_col]
+    order = ["dist_miles ASC NULLS LAST", "geo_lat ASC NULLS FIRST", "geo_lon ASC NULLS FIRST", "name_key ASC NULLS FIRST"]
+    if not unique:
+        order += [f'"{c}" ASC NULLS FIRST' for c in rest]
+    return f"""
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT c.*, row_number() OVER (PARTITION BY {id_col} ORDER BY {', '.join(order)}) AS rn FROM (
+      SELECT {oc}, o.lat_bin, o.lon_bin, {lc},
+             {miles_expr('o.' + lat, 'o.' + lon, 'l.geo_lat', 'l.geo_lon')} AS dist_miles
+      FROM (SELECT *, {bin_expr(lat)} AS lat_bin, {bin_expr(lon)} AS lon_bin FROM ({obs_sql}) x) o
+      LEFT JOIN (SELECT *, {bin_expr('geo_lat')} AS lat_bin, {bin_expr('geo_lon')} AS lon_bin FROM ({LOCATION_DIM}) y
+                 WHERE geo_lat IS NOT NULL AND geo_lon IS NOT NULL) l
+        ON o.lat_bin = l.lat_bin AND o.lon_bin = l.lon_bin) c) r
+  WHERE rn = 1"""
+
+
+_W_OBS = ["lat", "lon", "tz", "date", "units", "cloud_cover", "humidity", "precipitation", "temperature_min",
+          "temperature_max", "pressure", "wind", "update_tm", "weather_id"]
+_Q_OBS = _USGS + ["update_tm", "usgs_id"]
+WEATHER_LOC = _nearest_gold(f"SELECT *, {_id_sql('date', 'lat', 'lon')} AS weather_id FROM ({WEATHER_SILVER}) w",
+                            _W_OBS, "weather_id", "lat", "lon", True)
+USGS_LOC = _nearest_gold(f"SELECT *, {_id_sql('time', 'latitude', 'longitude')} AS usgs_id FROM ({USGS_SILVER}) u",
+                         _Q_OBS, "usgs_id", "latitude", "longitude", False)
+
+_FACT_W = [c for c in _W_OBS if c != "update_tm"] + ["lat_bin", "lon_bin"] + _LOC_COLS + ["dist_miles"]
+_FACT_Q = [c for c in _USGS] + ["dist_miles", "usgs_id"]
+GOLD_FACT = f"""
+SELECT {', '.join(f'w."{c}"' for c in _FACT_W)},
+       {', '.join(f'q."{c}" AS "{c if c.startswith("usgs_") else "usgs_" + c}"' for c in _FACT_Q)}
+FROM ({WEATHER_LOC}) w LEFT JOIN ({USGS_LOC}) q ON w.geo_lat = q.geo_lat AND w.geo_lon = q.geo_lon"""
+
+GOLD_DIM_DATE = calendar_sql(f"""
+SELECT CAST(g AS DATE) AS d FROM (
+  SELECT min(CAST(date AS DATE)) AS lo, max(CAST(date AS DATE)) AS hi FROM ({GOLD_FACT}) f
+  WHERE CAST(date AS DATE) <> DATE '1970-01-01') b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g)""")
+
+
+def location_fact_sql() -> str:
+    w = nearest_sql(CUSTOMER_OBS, ["obs_id", "obs_name", "lat", "lon"], "obs_id", "lat", "lon", PART_LOCS)
+    q = nearest_sql(EVENT_OBS, ["event_id", "ts", "event_type", "mag", "latitude", "longitude"],
+                    "event_id", "latitude", "longitude", PART_LOCS)
+    qcols = ["event_id", "ts", "event_type", "mag", "latitude", "longitude", "loc_id", "loc_name", "dist_miles"]
+    return f"""
+SELECT w.*, {', '.join(f'q.{c} AS usgs_{c}' for c in qcols)}
+FROM ({w}) w LEFT JOIN ({q}) q ON w.geo_lat = q.geo_lat AND w.geo_lon = q.geo_lon"""

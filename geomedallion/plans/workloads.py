@@ -473,3 +473,55 @@ def flatten_struct_q(spark, sf_dir):
     doc = F.to_json(F.struct("s_suppkey", F.struct("s_name", F.struct("s_nationkey", "s_acctbal").alias("account")).alias("info")))
     schema = "s_suppkey bigint, info struct<s_name: string, account: struct<s_nationkey: int, s_acctbal: double>>"
     return N.flatten_struct(s.select(F.from_json(doc, schema).alias("d")).select("d.*"))
+
+
+# --- gold layer: J1, J4, X3 -------------------------------------------------------------------
+
+from geomedallion.operators.location import location_dimension, location_fact  # noqa: E402
+from geomedallion.plans import layers as LY  # noqa: E402
+
+
+def _ntz(df):
+    """Wall-clock timestamps for comparison with the oracle (session time zone is UTC)."""
+    return df.withColumns({f.name: F.col(f"`{f.name}`").cast("timestamp_ntz") for f in df.schema.fields
+                           if f.dataType.typeName() == "timestamp"})
+
+
+def _gold_inputs(spark, sf_dir):
+    """Silver frames for the gold layer, produced by the silver transforms themselves."""
+    weather = LY.silver_weather(D.weather_raw(spark, sf_dir))
+    staged, _ = LY.stage_usgs(LD.flatten_event_feed(_parsed_feed(spark, sf_dir)))
+    usgs = LY.silver_usgs(staged.withColumn("update_tm", F.lit(D.SILVER_TS).cast("timestamp")))
+    geocode = LY.silver_geocode(D.geocode_raw(spark, sf_dir))
+    census = LY.silver_census(D.census_raw(spark, sf_dir))
+    return weather, usgs, geocode, census
+
+
+@register("location_dimension", O.LOCATION_DIM)
+def location_dimension_q(spark, sf_dir):
+    """Geocode places LEFT JOIN census areas on (name_key, state); area_name coalesced."""
+    _, _, geocode, census = _gold_inputs(spark, sf_dir)
+    return location_dimension(geocode, census, keys=["name_key", "state"])
+
+
+@register("location_fact", O.location_fact_sql())
+def location_fact_q(spark, sf_dir):
+    """Customers and events matched to their nearest part place, joined on that place."""
+    locs = D.part_locations(spark, sf_dir)
+    w = nearest_location(D.customer_observations(spark, sf_dir), locs, id_col="obs_id", obs_lat="lat", obs_lon="lon",
+                         tie_breakers=["loc_id"], ids_unique=True)
+    q = nearest_location(D.event_observations(spark, sf_dir), locs, id_col="event_id", obs_lat="latitude",
+                         obs_lon="longitude", tie_breakers=["loc_id"])
+    return location_fact(w, q)
+
+
+@register("gold_fact", O.GOLD_FACT)
+def gold_fact_q(spark, sf_dir):
+    """X3 flagship: silver weather/quakes/places -> nearest places -> attribute_table."""
+    return _ntz(LY.gold_tables(*_gold_inputs(spark, sf_dir))["attribute_table"])
+
+
+@register("gold_dim_date", O.GOLD_DIM_DATE)
+def gold_dim_date_q(spark, sf_dir):
+    """dim_date spanning the fact's weather dates."""
+    return LY.gold_tables(*_gold_inputs(spark, sf_dir))["dim_date"]
