@@ -308,3 +308,34 @@ def location_fact_sql() -> str:
     return f"""
 SELECT w.*, {', '.join(f'q.{c} AS usgs_{c}' for c in qcols)}
 FROM ({w}) w LEFT JOIN ({q}) q ON w.geo_lat = q.geo_lat AND w.geo_lon = q.geo_lon"""
+
+
+# --- layers over landed files ------------------------------------------------------------------
+
+BRONZE_RUN_TS = "2024-01-15 06:00:00"
+BRONZE_WINDOW = ("2024-01-14 00:00:00", "2024-01-15 00:00:00")
+
+USGS_RAW_AFTER_BRONZE = dedup_sql(
+    f"""SELECT {', '.join(chr(34) + c + chr(34) for c in _USGS)} FROM ({EVENT_FLAT}) e
+        WHERE place IS NOT NULL AND time IS NOT NULL AND time >= TIMESTAMP '{BRONZE_WINDOW[0]}'
+          AND time < TIMESTAMP '{BRONZE_WINDOW[1]}' AND mag >= 2""",
+    ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
+BRONZE_USGS = f"SELECT *, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm FROM ({USGS_RAW_AFTER_BRONZE}) b"
+
+_WEATHER_STAGED = dedup_sql(f"""
+  SELECT {lat_expr('event_id', D.OBS_LAT_MULT)} AS lat, {lon_expr('event_id', D.OBS_LON_MULT)} AS lon, 'UTC' AS tz,
+         CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, 'standard' AS units, CAST(user_id AS DOUBLE) AS cloud_cover,
+         value AS humidity, value / {dbl(4.0)} AS precipitation,
+         CASE WHEN event_type <> 'error' THEN value + {dbl(250.0)} END AS temperature_min,
+         CASE WHEN event_type <> 'error' THEN value + {dbl(260.0)} END AS temperature_max,
+         {dbl(1000.0)} + user_id AS pressure,
+         CASE WHEN event_type NOT IN ('signup', 'view') THEN value / {dbl(3.0)} END AS wind
+  FROM events""", ["lat", "lon", "date"], asc_last(_WEATHER_COLS))
+
+SILVER_WEATHER_AFTER_RUN = dedup_sql(f"""
+  SELECT {round2('lat')} AS lat, {round2('lon')} AS lon, tz, coalesce(date, TIMESTAMP '1970-01-01 00:00:00') AS date,
+         units, cloud_cover, humidity, precipitation, temperature_min - {dbl(273.15)} AS temperature_min,
+         temperature_max - {dbl(273.15)} AS temperature_max, pressure, wind, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm
+  FROM ({_WEATHER_STAGED}) s
+  WHERE temperature_min IS NOT NULL AND temperature_min >= 0 AND temperature_max IS NOT NULL AND temperature_max >= 0""",
+    ["lat", "lon", "date"], ["update_tm DESC NULLS LAST"] + asc_last(_WEATHER_COLS))

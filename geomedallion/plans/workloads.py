@@ -525,3 +525,111 @@ def gold_fact_q(spark, sf_dir):
 def gold_dim_date_q(spark, sf_dir):
     """dim_date spanning the fact's weather dates."""
     return LY.gold_tables(*_gold_inputs(spark, sf_dir))["dim_date"]
+
+
+# --- sinks, round trips and the layers over landed files: S5, S7, S8, K1-K7, X1-X4 -----------
+
+import datetime as _dt  # noqa: E402
+
+from geomedallion.plans.landing import land_payloads, work_dir  # noqa: E402
+from geomedallion.sinks import tables as K  # noqa: E402
+from geomedallion.sources.csv import read_csv  # noqa: E402
+
+CSV_RUN_TS = _dt.datetime(2024, 1, 15, 6, 0, 0)
+
+
+@register("csv_roundtrip", "SELECT * FROM orders")
+def csv_roundtrip_q(spark, sf_dir):
+    """K1 + S5: orders landed as dated header CSV, read back bound by name to the typed schema."""
+    o = D.table(spark, sf_dir, "orders")
+    path = K.write_landed_csv(o, work_dir(spark, "csv"), "orders", CSV_RUN_TS)
+    return read_csv(spark, path, o.schema)
+
+
+@register("csv_roundtrip_text", "SELECT * FROM conversations")
+def csv_roundtrip_text_q(spark, sf_dir):
+    """K2 + S5 on whole texts (commas, quotes, line breaks survive the CSV hand-off)."""
+    c = D.table(spark, sf_dir, "conversations")
+    path = work_dir(spark, "csvtext")
+    K.write_export(c, path, "overwrite")
+    return read_csv(spark, path, c.schema)
+
+
+def _database(spark, label):
+    root = work_dir(spark, label)
+    db = f"gm_{root.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    return db, root
+
+
+@register("full_extract", "SELECT * FROM lineitem")
+def full_extract_q(spark, sf_dir):
+    """S7 + K7: a typed catalog table created empty, loaded, then extracted whole."""
+    li = D.table(spark, sf_dir, "lineitem")
+    db, root = _database(spark, "extract")
+    K.create_table(spark, f"{db}.lineitem", li.schema, root)
+    K.replace_table(li, f"{db}.lineitem", root, "1")
+    return spark.table(f"{db}.lineitem")
+
+
+@register("bulk_load_by_name", "SELECT o_orderpriority, o_totalprice, o_orderkey, o_orderdate FROM orders")
+def bulk_load_by_name_q(spark, sf_dir):
+    """K4 + K5: staging truncated, then loaded from a frame whose column order differs (bound by name)."""
+    from pyspark.sql import types as T
+
+    db, root = _database(spark, "staging")
+    schema = T.StructType([T.StructField("o_orderpriority", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+                           T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderdate", T.TimestampNTZType())])
+    t = f"{db}.orders_insert"
+    K.create_table(spark, t, schema, root)
+    o = D.table(spark, sf_dir, "orders")
+    K.append_staging(o.select("o_orderkey", "o_orderdate", "o_totalprice"), t)  # a stale partial load
+    K.truncate_staging(spark, [t])
+    K.append_staging(o, t)
+    return spark.table(t)
+
+
+@register("gold_publish", O.LOCATION_DIM)
+def gold_publish_q(spark, sf_dir):
+    """K6: the location dimension published to the catalog, read back from the table."""
+    _, _, geocode, census = _gold_inputs(spark, sf_dir)
+    db, root = _database(spark, "gold")
+    K.publish(location_dimension(geocode, census, keys=["name_key", "state"]), f"{db}.location_dimension", root, "1")
+    return spark.table(f"{db}.location_dimension")
+
+
+@register("replay_equals_fresh", O.dedup_sql(
+    f"SELECT {', '.join(chr(34) + c + chr(34) for c in _EVENT_COLS)} FROM ({O.EVENT_FLAT}) e "
+    "WHERE place IS NOT NULL AND time IS NOT NULL", ["place", "time"],
+    ["updated DESC NULLS LAST"] + O.asc_last([c for c in _EVENT_COLS if c not in ("place", "time", "updated")])))
+def replay_equals_fresh_q(spark, sf_dir):
+    """Quake staging rows rebuilt from the landed CSV instead of the payloads."""
+    staged, _ = LY.stage_usgs(LD.flatten_event_feed(_parsed_feed(spark, sf_dir)))
+    path = K.write_landed_csv(staged, work_dir(spark, "replay"), "usgs", CSV_RUN_TS)
+    return _ntz(read_csv(spark, path, SC.STAGING["usgs"]))
+
+
+def _run_layers(spark, sf_dir, silver: bool):
+    db, root = _database(spark, "layers")
+    landed = land_payloads(spark, sf_dir, f"{root}/landed")
+    m = LY.Medallion(spark, db, f"{root}/warehouse")
+    m.create()
+    run_ts = _dt.datetime.fromisoformat(O.BRONZE_RUN_TS)
+    m.bronze(landed, run_ts)
+    if silver:
+        m.silver(run_ts)
+    return m
+
+
+@register("bronze_layer", O.BRONZE_USGS)
+def bronze_layer_q(spark, sf_dir):
+    """Landed payload folders -> window, checks, staging, merge -> usgs_raw."""
+    m = _run_layers(spark, sf_dir, silver=False)
+    return _ntz(spark.table(m.t("usgs_raw")))
+
+
+@register("silver_layer", O.SILVER_WEATHER_AFTER_RUN)
+def silver_layer_q(spark, sf_dir):
+    """Bronze then silver (watermark from an empty run log = epoch) -> weather_silver."""
+    m = _run_layers(spark, sf_dir, silver=True)
+    return _ntz(spark.table(m.t("weather_silver")))

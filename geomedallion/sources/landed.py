@@ -73,14 +73,18 @@ def event_feed_report(feed: DataFrame, col: str = "feed") -> DataFrame:
     return payloads.unionByName(rule_report(f, rules))
 
 
-def read_event_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed GeoJSON files (one object per file) as a frame with one ``feed`` struct column."""
-    raw = spark.read.schema(SC.EVENT_FEED).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+def read_event_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed GeoJSON payloads as a frame with one ``feed`` struct column.
+
+    Default layout is one payload per line (JSON Lines: files split across tasks);
+    ``multi_line=True`` reads one pretty-printed payload per file.
+    """
+    raw = spark.read.schema(SC.EVENT_FEED).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
     return raw.select(F.struct("features").alias("feed"))
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_event_feed(read_event_feed(spark, path))
+def read_events(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return flatten_event_feed(read_event_feed(spark, path, multi_line))
 
 
 # --- S2: weather day summaries ---------------------------------------------------------------
@@ -105,9 +109,9 @@ def flatten_weather(payload: DataFrame, col: str = "payload") -> DataFrame:
     )
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    """All landed weather payloads of a directory in one read (one JSON object per file)."""
-    raw = spark.read.schema(SC.WEATHER_PAYLOAD).option("multiLine", True).json(path)
+def read_weather(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All landed weather payloads of a directory in one read (one per line, or per file)."""
+    raw = spark.read.schema(SC.WEATHER_PAYLOAD).option("multiLine", multi_line).json(path)
     return flatten_weather(raw.select(F.struct(*[F.col(c) for c in SC.WEATHER_PAYLOAD.fieldNames()]).alias("payload")))
 
 
@@ -119,8 +123,12 @@ def array_table_rows(payload: DataFrame, names=SC.CENSUS_FIELDS, col: str = "pay
     return rows.select(*[F.try_element_at(F.col("__row"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
 
 
-def read_array_table(spark: SparkSession, path: str, names=SC.CENSUS_FIELDS) -> DataFrame:
-    text = spark.read.text(path, wholetext=True)
+def _payload_text(spark: SparkSession, path: str, whole_text: bool) -> DataFrame:
+    return spark.read.text(path, wholetext=whole_text)
+
+
+def read_array_table(spark: SparkSession, path: str, names=SC.CENSUS_FIELDS, whole_text: bool = False) -> DataFrame:
+    text = _payload_text(spark, path, whole_text)
     return array_table_rows(text.select(F.from_json("value", SC.CENSUS_PAYLOAD).alias("payload")), names)
 
 
@@ -138,8 +146,8 @@ def geocode_results(payload: DataFrame, col: str = "payload", country: str | Non
     return r.select(*keep, "result_pos", *[F.col("__g").getField(c).alias(c) for c, _ in SC.GEOCODE_COLUMNS])
 
 
-def read_geocode(spark: SparkSession, path: str) -> DataFrame:
-    """Landed geocode payloads -> US results, whole-record distinct (A4)."""
-    text = spark.read.text(path, wholetext=True)
+def read_geocode(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
+    """Landed geocode payloads -> first 5 results, US only, whole-record distinct (A4)."""
+    text = _payload_text(spark, path, whole_text)
     parsed = text.select(F.from_json("value", SC.GEOCODE_PAYLOAD).alias("payload"))
     return geocode_results(parsed, limit=SC.GEOCODE_RESULT_LIMIT).drop("result_pos").distinct()
