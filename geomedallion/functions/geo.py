@@ -29,18 +29,28 @@ def grid_bin(c, size: float = GRID_BIN_DEGREES) -> Column:
     return F.floor(as_col(c) / F.lit(float(size))).cast("long")
 
 
-def great_circle_miles(lat1, lon1, lat2, lon2) -> Column:
-    """haversine distance in miles; the asin argument is clamped to 1."""
+def _haversine_root(lat1, lon1, lat2, lon2) -> Column:
     p1, p2 = F.radians(as_col(lat1)), F.radians(as_col(lat2))
     dphi = p2 - p1
     dlmb = F.radians(as_col(lon2)) - F.radians(as_col(lon1))
-    h = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    s = F.sqrt(h)
-    # clamp rounding overshoot; a null input must stay null (least() would skip it)
-    s = F.when(s > F.lit(1.0), F.lit(1.0)).otherwise(s)
+    return F.sqrt(F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2))
+
+
+def great_circle_miles(lat1, lon1, lat2, lon2, inputs_present: bool = False) -> Column:
+    """haversine distance in miles; the asin argument is clamped to 1.
+
+    A null coordinate gives null. ``inputs_present=True`` (all four known non-null, e.g. inside
+    a candidate array) clamps with ``least``, which evaluates the root once.
+    """
+    s = _haversine_root(lat1, lon1, lat2, lon2)
+    if inputs_present:
+        s = F.least(s, F.lit(1.0))
+    else:
+        # clamp rounding overshoot; a null input must stay null (least() would skip it)
+        s = F.when(s > F.lit(1.0), F.lit(1.0)).otherwise(s)
     return F.lit(2 * EARTH_RADIUS_KM / KM_PER_MILE) * F.asin(s)
 
 
-def rounded_miles(lat1, lon1, lat2, lon2, digits: int = DISTANCE_DIGITS) -> Column:
+def rounded_miles(lat1, lon1, lat2, lon2, digits: int = DISTANCE_DIGITS, inputs_present: bool = False) -> Column:
     """Great-circle miles rounded half-up; engines differ in the last bits of sin/cos."""
-    return round_half_up(great_circle_miles(lat1, lon1, lat2, lon2), digits)
+    return round_half_up(great_circle_miles(lat1, lon1, lat2, lon2, inputs_present), digits)

@@ -5,11 +5,16 @@
 outer join, so a hot right-side key would land in one task. Instead:
 
   1. count right rows per key (partial aggregation, one row per key);
-  2. hot keys get ``n = ceil(count / rows_per_salt)`` salts; right rows take salt
-     ``pmod(xxhash64(row), n)``; left rows are replicated once per salt of their key;
-  3. inner join on (keys, salt) - every pair is produced exactly once, spread over n tasks;
-  4. left rows whose key has no right row are added back with nulls (anti join against the
-     per-key counts, which are small and broadcast when proven so).
+  2. a key gets ``n = ceil(count / rows_per_salt)`` salts; right rows take salt
+     ``pmod(xxhash64(row), n)``; each left row is replicated once per salt of its key
+     (``explode_outer``: a key without right rows keeps one replica with a null salt);
+  3. left join on (keys, salt): every pair is produced exactly once, a hot key's pairs are
+     spread over n tasks;
+  4. a replica whose salt bucket happens to be empty yields a null-padded row; it is dropped
+     unless the key has no right rows at all. A key with right rows has at least one non-empty
+     bucket, so every left row still appears.
+
+The left side is read once; the right side twice (counts, rows).
 """
 
 from __future__ import annotations
@@ -33,7 +38,11 @@ def salted_left_join(
     *,
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    key_rows_bound: int | None = None,
 ) -> DataFrame:
+    """``key_rows_bound``: a proven upper bound on the number of distinct right keys (e.g. the
+    row count of the dimension the keys come from); when it is within ``broadcast_max_rows``
+    the per-key counts are broadcast without probing them."""
     keys = list(keys)
     right_cols = [c for c in right.columns if c not in keys]
     clash = set(right_cols) & set(left.columns)
@@ -45,16 +54,19 @@ def salted_left_join(
 
     counts = right.where(present).groupBy(*keys).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_salt))).cast("int").alias("__n"))
-    counts_b, _ = broadcast_if_small(counts, broadcast_max_rows)
-
-    salted_right = right.where(present).join(counts_b, keys).withColumn(
-        "__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("__n")).cast("int")).drop("__n")
-    salted_left = left.join(counts_b, keys).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
-    matched = salted_left.join(salted_right, keys + ["__salt"]).drop("__salt")
+    if key_rows_bound is not None and key_rows_bound <= broadcast_max_rows:
+        counts_b = F.broadcast(counts)
+    else:
+        counts_b, _ = broadcast_if_small(counts, broadcast_max_rows)
 
-    unmatched = left.join(counts_b.select(*keys), keys, "left_anti")
-    for c in right_cols:
-        unmatched = unmatched.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
+    salted_right = (
+        right.where(present).join(counts_b, keys)
+        .withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("__n")).cast("int"))
+        .drop("__n").withColumn("__hit", F.lit(True))
+    )
+    salted_left = left.join(counts_b, keys, "left").withColumn(
+        "__salt", F.explode_outer(F.sequence(F.lit(0), F.col("__n") - 1)))
+    joined = salted_left.join(salted_right, keys + ["__salt"], "left")
+    kept = joined.where(F.col("__hit").isNotNull() | F.col("__n").isNull())
     cols = list(left.columns) + right_cols
-    return matched.select(*cols).unionByName(unmatched.select(*cols))
+    return kept.select(*cols)

@@ -43,16 +43,18 @@ def location_fact(
     *,
     drop: Sequence[str] = ("update_tm",),
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
+    location_rows_bound: int | None = None,
 ) -> DataFrame:
     """Weather-with-location LEFT JOIN quake-with-location on exact (geo_lat, geo_lon).
 
     Every weather day pairs with every quake of its location (no time predicate); null
     locations never match. Quake side: bins and location attributes dropped, the rest
     prefixed ``usgs_`` (ruling D28). The join is salted against hot locations.
+    ``location_rows_bound``: proven row bound of the location dimension (bounds the keys).
     """
     keys = ["geo_lat", "geo_lon"]
     w = weather_loc.drop(*[c for c in drop if c in weather_loc.columns])
     q = usgs_loc.drop(*[c for c in (*drop, *BIN_COLS, *LOCATION_ATTRS) if c in usgs_loc.columns])
     q = q.select(*keys, *[F.col(f"`{c}`").alias(c if c.startswith(USGS_PREFIX) else USGS_PREFIX + c)
                           for c in q.columns if c not in keys])
-    return salted_left_join(w, q, keys, rows_per_salt=rows_per_salt)
+    return salted_left_join(w, q, keys, rows_per_salt=rows_per_salt, key_rows_bound=location_rows_bound)

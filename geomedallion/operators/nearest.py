@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geomedallion.functions.geo import GRID_BIN_DEGREES, grid_bin, rounded_miles
-from geomedallion.operators.dedup import first_per_key
+from geomedallion.operators.dedup import Order, first_by_key, orderable
 from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 __all__ = ["BIN_COLS", "add_bins", "bin_join", "nearest_location"]
@@ -37,16 +37,6 @@ BIN_COLS = ("lat_bin", "lon_bin")
 DEFAULT_CHUNK_SIZE = 256
 
 
-def _orderable(dt: T.DataType) -> bool:
-    if isinstance(dt, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
-    return True
-
-
 def add_bins(df: DataFrame, lat: str, lon: str, size: float = GRID_BIN_DEGREES) -> DataFrame:
     """F8 on both coordinates."""
     return df.withColumns({BIN_COLS[0]: grid_bin(lat, size), BIN_COLS[1]: grid_bin(lon, size)})
@@ -94,12 +84,15 @@ def nearest_location(
     distance_col: str = "dist_miles",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     chunk_size: int = DEFAULT_CHUNK_SIZE,
+    locs_rows_bound: int | None = None,
 ) -> DataFrame:
     """Each observation id with its nearest same-bin location.
 
     Output columns: obs columns, lat_bin, lon_bin, location columns, ``distance_col``.
     ``ids_unique=True`` declares ``id_col`` unique (e.g. the weather id after silver
     de-duplication) and skips the per-id reduction when the location side is broadcast.
+    ``locs_rows_bound`` is a row bound the caller has already proven for ``locs``; it replaces
+    the size probe.
     """
     loc_cols = list(locs.columns)
     clash = set(obs.columns) & (set(loc_cols) | set(BIN_COLS) | {distance_col})
@@ -114,10 +107,13 @@ def nearest_location(
     loc_struct = F.struct(*[F.col(f"`{c}`") for c in loc_cols])
 
     def best_of(cands: Column) -> Column:
+        # Candidates exist only when both observation bins matched, so the observation's
+        # coordinates are present; location coordinates were filtered. The distance is thus
+        # never null here and is evaluated once per candidate.
         def key(x: Column) -> Column:
-            d = rounded_miles(F.col(obs_lat), F.col(obs_lon), x[loc_lat], x[loc_lon])
+            d = rounded_miles(F.col(obs_lat), F.col(obs_lon), x[loc_lat], x[loc_lon], inputs_present=True)
             ties = [x[t].alias(f"t{i}") for i, t in enumerate(tie_breakers)]
-            return F.struct(d.isNull().alias("n"), d.alias("d"), *ties, x.alias("loc"))
+            return F.struct(d.alias("d"), *ties, x.alias("loc"))
 
         return F.array_min(F.transform(cands, key))
 
@@ -126,18 +122,21 @@ def nearest_location(
     tie_out = [F.col("__best").getField(f"t{i}") for i in range(len(tie_breakers))]
 
     counts = lb.groupBy(*BIN_COLS).agg(F.count(F.lit(1)).alias("__n"))
-    small_locs, is_small = broadcast_if_small(lb, broadcast_max_rows)
+    if locs_rows_bound is not None:
+        is_small = locs_rows_bound <= broadcast_max_rows
+    else:
+        _, is_small = broadcast_if_small(lb, broadcast_max_rows)
 
     if is_small:
-        packed = small_locs.groupBy(*BIN_COLS).agg(F.collect_list(loc_struct).alias("__cands"))
+        packed = lb.groupBy(*BIN_COLS).agg(F.collect_list(loc_struct).alias("__cands"))
         matched = ob.join(F.broadcast(packed), list(BIN_COLS), "left").withColumn("__best", best_of(F.col("__cands")))
         out = matched.select(*[F.col(f"`{c}`") for c in obs_cols], *loc_out,
                              F.col("__best.d").alias(distance_col), *[t.alias(f"__t{i}") for i, t in enumerate(tie_out)])
         if not ids_unique:
-            rest = [c for c in obs_cols if c != id_col and _orderable(out.schema[c].dataType)]
-            order = [F.col(distance_col).asc_nulls_last()] + [F.col(f"__t{i}").asc() for i in range(len(tie_out))]
-            order += [F.col(f"`{c}`").asc() for c in rest]
-            out = first_per_key(out, [id_col], order)
+            rest = [c for c in obs_cols if c != id_col and orderable(out.schema[c].dataType)]
+            order = [Order(distance_col)] + [Order(f"__t{i}", nulls_first=True) for i in range(len(tie_out))]
+            order += [Order(c, nulls_first=True) for c in rest]
+            out = first_by_key(out, [id_col], order)
         return out.drop(*[f"__t{i}" for i in range(len(tie_out))])
 
     # Unbounded location side: chunk every bin so no task holds more than chunk_size candidates.
@@ -157,8 +156,8 @@ def nearest_location(
     )
     per_chunk = exploded.join(packed, list(BIN_COLS) + ["__chunk"], "left").withColumn("__best", best_of(F.col("__cands")))
     obs_struct = F.struct(*[F.col(f"`{c}`") for c in obs_cols])
-    order_rest = [F.col(f"`{c}`") for c in obs_cols if c != id_col and _orderable(ob.schema[c].dataType)]
-    order = F.struct(F.coalesce(F.col("__best.n"), F.lit(True)), F.col("__best.d"), *tie_out, *order_rest)
+    order_rest = [F.col(f"`{c}`") for c in obs_cols if c != id_col and orderable(ob.schema[c].dataType)]
+    order = F.struct(F.col("__best.d").isNull(), F.col("__best.d"), *tie_out, *order_rest)
     payload = F.struct(obs_struct.alias("o"), F.col("__best.loc").alias("loc"), F.col("__best.d").alias("d"))
     reduced = per_chunk.groupBy(id_col).agg(F.min_by(payload, order).alias("__w"))
     return reduced.select(

@@ -18,6 +18,12 @@ def rows_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def bounded_count(df: DataFrame, limit: int) -> int | None:
+    """Exact row count when it is at most ``limit`` (reads at most limit + 1 rows), else None."""
+    n = df.limit(limit + 1).count()
+    return n if n <= limit else None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint, True) when it has at most ``max_rows`` rows, else (df, False)."""
     if max_rows > 0 and rows_at_most(df, max_rows):

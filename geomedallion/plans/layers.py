@@ -26,6 +26,8 @@ from geomedallion.operators.extract import RUN_LOG_SCHEMA, extract_since
 from geomedallion.operators.location import location_dimension, location_fact
 from geomedallion.operators.merge import merge_upsert
 from geomedallion.operators.nearest import nearest_location
+from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, bounded_count
+from geomedallion.session import ensure_checkpoint_dir
 from geomedallion.sinks import tables as K
 from geomedallion.sources import landed as LD
 from geomedallion.sources.csv import bind_by_name, read_csv
@@ -130,21 +132,31 @@ def gold_tables(
 ) -> dict[str, DataFrame]:
     """location_dimension, attribute_table (fact) and dim_date from silver frames.
 
-    ``locations`` may be a materialised location dimension (read back from its table) so the
-    three uses below do not recompute the join. ``weather_ids_unique`` holds for silver input:
-    the weather id hashes exactly the silver key (date, lat, lon).
+    ``locations`` may be a materialised location dimension (read back from its table); else the
+    dimension is computed and checkpointed (shared checkpoint folder) so its three uses and its
+    size check read it once. ``weather_ids_unique`` holds for silver input: the weather id
+    hashes exactly the silver key (date, lat, lon).
     """
-    loc = locations if locations is not None else location_dimension(geocode, census, keys=["name_key", "state"])
+    if locations is None:
+        loc = location_dimension(geocode, census, keys=["name_key", "state"])
+        ensure_checkpoint_dir(loc.sparkSession)
+        loc = loc.checkpoint(eager=True)
+    else:
+        loc = locations
+    # one probe proves the dimension's size; it bounds both matches and the fact's join keys
+    bound = bounded_count(loc, DEFAULT_BROADCAST_MAX_ROWS)
     w = weather.withColumn("weather_id", C.row_hash_id(weather, ["date", "lat", "lon"]))
     q = usgs.withColumn("usgs_id", C.row_hash_id(usgs, ["time", "latitude", "longitude"]))
+    big = DEFAULT_BROADCAST_MAX_ROWS + 1  # no bound proven: take the shuffle plans
     weather_loc = nearest_location(
         w, loc, id_col="weather_id", obs_lat="lat", obs_lon="lon",
-        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique,
+        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique, locs_rows_bound=bound or big,
     )
     usgs_loc = nearest_location(
         q, loc, id_col="usgs_id", obs_lat="latitude", obs_lon="longitude", tie_breakers=LOCATION_TIES,
+        locs_rows_bound=bound or big,
     )
-    fact = location_fact(weather_loc, usgs_loc)
+    fact = location_fact(weather_loc, usgs_loc, location_rows_bound=bound)
     return {"location_dimension": loc, "attribute_table": fact, "dim_date": date_dimension(fact, "date")}
 
 
