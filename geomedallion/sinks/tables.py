@@ -10,6 +10,7 @@ overwritten while it is being read, and readers never see a half-written table.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +80,13 @@ def truncate_staging(spark: SparkSession, tables) -> None:
 
 
 def replace_table(df: DataFrame, table: str, root: str, snapshot: str) -> None:
-    """Write ``df`` as a new snapshot of ``table`` and point the table at it."""
+    """Write ``df`` as a new snapshot of ``table`` and point the table at it.
+
+    The folder name gets a unique suffix: a rerun with the same label must not write into
+    the folder the table (and so ``df`` itself) is still reading.
+    """
     spark = df.sparkSession
-    loc = table_location(root, table, snapshot)
+    loc = table_location(root, table, f"{snapshot}-{uuid.uuid4().hex[:8]}")
     df.write.mode("overwrite").parquet(loc)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{loc}'")
     spark.catalog.refreshTable(table)
@@ -91,7 +96,7 @@ def publish(df: DataFrame, table: str, root: str, snapshot: str) -> None:
     """K6: publish a gold table to the catalog (created on first use, then snapshot-replaced)."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        loc = table_location(root, table, snapshot)
+        loc = table_location(root, table, f"{snapshot}-{uuid.uuid4().hex[:8]}")
         df.write.mode("overwrite").parquet(loc)
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{loc}'")
     else:
