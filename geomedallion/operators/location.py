@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.operators.joins import DEFAULT_ROWS_PER_SALT, salted_left_join
 from geomedallion.operators.nearest import BIN_COLS
+from geomedallion.session import ensure_checkpoint_dir
 
 __all__ = ["location_dimension", "location_fact", "LOCATION_ATTRS", "USGS_PREFIX"]
 
@@ -44,6 +45,7 @@ def location_fact(
     drop: Sequence[str] = ("update_tm",),
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
     location_rows_bound: int | None = None,
+    checkpoint_quakes: bool = True,
 ) -> DataFrame:
     """Weather-with-location LEFT JOIN quake-with-location on exact (geo_lat, geo_lon).
 
@@ -51,10 +53,16 @@ def location_fact(
     locations never match. Quake side: bins and location attributes dropped, the rest
     prefixed ``usgs_`` (ruling D28). The join is salted against hot locations.
     ``location_rows_bound``: proven row bound of the location dimension (bounds the keys).
+    ``checkpoint_quakes``: the salted join reads the quake side twice (per-key counts, rows);
+    a reliable checkpoint (shared ``spark.checkpoint.dir``) computes the nearest match once
+    and cuts its lineage.
     """
     keys = ["geo_lat", "geo_lon"]
     w = weather_loc.drop(*[c for c in drop if c in weather_loc.columns])
     q = usgs_loc.drop(*[c for c in (*drop, *BIN_COLS, *LOCATION_ATTRS) if c in usgs_loc.columns])
     q = q.select(*keys, *[F.col(f"`{c}`").alias(c if c.startswith(USGS_PREFIX) else USGS_PREFIX + c)
                           for c in q.columns if c not in keys])
+    if checkpoint_quakes:
+        ensure_checkpoint_dir(q.sparkSession)
+        q = q.checkpoint(eager=True)
     return salted_left_join(w, q, keys, rows_per_salt=rows_per_salt, key_rows_bound=location_rows_bound)

@@ -24,7 +24,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
 
 __all__ = ["DuplicateSourceKeyError", "assert_unique_keys", "merge_upsert"]
 
@@ -67,11 +67,16 @@ def merge_upsert(
     if has_update:
         ts = run_ts if isinstance(run_ts, Column) else (F.current_timestamp() if run_ts is None else F.lit(run_ts))
         src = src.withColumn(update_col, ts.cast(types[update_col]))
-    if check_cardinality:
-        assert_unique_keys(src, keys)
-
     src_keys = src.select(*keys).where(_all_present(keys))
-    src_keys, _ = broadcast_if_small(src_keys, broadcast_max_rows)
+    # one aggregation answers both questions: duplicate keys (M3) and the key count that
+    # decides whether the keys are broadcast (proven size) or shuffled
+    per_key = src_keys.groupBy(*keys).count()
+    stats = per_key.agg(F.max("count").alias("dup"), F.count(F.lit(1)).alias("n")).first()
+    if check_cardinality and (stats["dup"] or 0) > 1:
+        dup = per_key.where(F.col("count") > 1).limit(1).first()
+        raise DuplicateSourceKeyError(f"source has more than one row for key {dict(zip(keys, dup[:len(keys)]))}")
+    if broadcast_max_rows > 0 and stats["n"] <= broadcast_max_rows:
+        src_keys = F.broadcast(src_keys)
     if target_predicate is None:
         kept = target.join(src_keys, keys, "left_anti")
     else:

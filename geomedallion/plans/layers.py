@@ -205,10 +205,9 @@ class Medallion:
             "weather": stage_weather(frames["weather"]),
         }
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
-        K.truncate_staging(self.spark, [self.t(f"{e}_insert") for e in ENTITIES])
         for e, (valid, rejected) in staged.items():
             self.rejected[f"bronze_{e}"] = rejected
-            K.append_staging(valid, self.t(f"{e}_insert"))
+            K.load_staging(valid, self.t(f"{e}_insert"))  # truncate + load (K5, K4)
             if land_csv and source == "landed":
                 K.write_landed_csv(self.spark.table(self.t(f"{e}_insert")), f"{landed_dir.rstrip('/')}/csv", e, run_ts)
             merged = merge_upsert(self.spark.table(self.t(f"{e}_raw")), self.spark.table(self.t(f"{e}_insert")),
@@ -219,11 +218,10 @@ class Medallion:
     def silver(self, run_ts: _dt.datetime) -> None:
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
         run_log = self.spark.table(self.t("run_log"))
-        K.truncate_staging(self.spark, [self.t(f"{e}_silver_insert") for e in ENTITIES])
         for e in ENTITIES:
             fresh = extract_since(self.spark.table(self.t(f"{e}_raw")), run_log, "update_tm")
             cleaned = SILVER_TRANSFORMS[e](fresh)
-            K.append_staging(cleaned, self.t(f"{e}_silver_insert"))
+            K.load_staging(cleaned, self.t(f"{e}_silver_insert"))
             merged = merge_upsert(self.spark.table(self.t(f"{e}_silver")), self.spark.table(self.t(f"{e}_silver_insert")),
                                   SC.SILVER_KEYS[e], F.lit(run_ts))
             K.replace_table(merged, self.t(f"{e}_silver"), self.root, f"silver-{snap}")

@@ -20,7 +20,7 @@ from geomedallion.sources.csv import bind_by_name
 
 __all__ = [
     "landed_csv_path", "write_landed_csv", "write_export", "create_table", "create_tables",
-    "append_staging", "truncate_staging", "replace_table", "publish", "table_location",
+    "append_staging", "load_staging", "truncate_staging", "replace_table", "publish", "table_location",
 ]
 
 
@@ -56,7 +56,6 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, root: st
     if spark.catalog.tableExists(table):
         return
     loc = table_location(root, table, snapshot)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(loc)
     spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet LOCATION '{loc}'")
 
 
@@ -73,6 +72,12 @@ def append_staging(df: DataFrame, table: str) -> None:
     bind_by_name(df, spark.table(table).schema).write.insertInto(table, overwrite=False)
 
 
+def load_staging(df: DataFrame, table: str) -> None:
+    """K5 + K4 in one atomic step: replace the staging rows with ``df`` (bound by name)."""
+    spark = df.sparkSession
+    bind_by_name(df, spark.table(table).schema).write.insertInto(table, overwrite=True)
+
+
 def truncate_staging(spark: SparkSession, tables) -> None:
     """K5: empty staging tables (overwrite with no rows; works for tables with a LOCATION)."""
     for t in tables:

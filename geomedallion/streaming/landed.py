@@ -62,8 +62,7 @@ def _merge_batch(medallion: "LY.Medallion", entity: str):
         # cloned session whose table cache the caller would not see refreshed.
         spark = medallion.spark
         staging = medallion.t(f"{entity}_insert")
-        K.truncate_staging(spark, [staging])
-        K.append_staging(valid, staging)
+        K.load_staging(valid, staging)
         spark.catalog.refreshTable(staging)
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         merged = merge_upsert(spark.table(medallion.t(f"{entity}_raw")), spark.table(staging), SC.RAW_KEYS[entity], F.lit(run_ts))
