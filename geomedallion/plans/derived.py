@@ -258,7 +258,7 @@ def geocode_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- silver-style inputs for the gold layer ---------------------------------------------------
 
 SILVER_TS = "2024-02-01 00:00:00"
-CENSUS_MIN_SIZE = 10  # parts below this size have no census row (left-join misses)
+CENSUS_MIN_SIZE = 10  # census rows of smaller parts name another state: left-join misses
 
 
 def _place_name(p: DataFrame) -> Column:
@@ -277,10 +277,12 @@ def geocode_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def census_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """census_raw-shaped rows: "<place> County, <brand>" for parts of size >= CENSUS_MIN_SIZE."""
-    p = table(spark, sf_dir, "part").where(F.col("p_size") >= CENSUS_MIN_SIZE)
+    """census_raw-shaped rows, one per part: "<place> County, <brand>", or "..., Elsewhere" for
+    parts smaller than CENSUS_MIN_SIZE (those find no geocode place in the same state)."""
+    p = table(spark, sf_dir, "part")
+    state = F.when(F.col("p_size") >= CENSUS_MIN_SIZE, F.col("p_brand")).otherwise(F.lit("Elsewhere"))
     return p.select(
-        F.concat(_place_name(p), F.lit(" County, "), F.col("p_brand")).alias("name"),
+        F.concat(_place_name(p), F.lit(" County, "), state).alias("name"),
         (F.col("p_size") * 1000).alias("pop"), F.lit(0).alias("hisp"), F.lit(1).alias("state"), F.lit(1).alias("county"),
         F.lit(SILVER_TS).cast("timestamp").alias("update_tm"),
     )
@@ -298,3 +300,13 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1000.0) + F.col("user_id")).alias("pressure"), (v / F.lit(3.0)).alias("wind"),
         F.lit(SILVER_TS).cast("timestamp").alias("update_tm"),
     )
+
+
+def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: the customer's derived location and a depot location derived from the order key."""
+    o = table(spark, sf_dir, "orders")
+    c, k = F.col("o_custkey"), F.col("o_orderkey")
+    return o.select(
+        "o_orderkey", derived_lat(c, OBS_LAT_MULT).alias("cust_lat"), derived_lon(c, OBS_LON_MULT).alias("cust_lon"),
+        derived_lat(k, LOC_LAT_MULT).alias("depot_lat"), derived_lon(k, LOC_LON_MULT).alias("depot_lon"),
+    )

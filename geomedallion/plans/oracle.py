@@ -210,12 +210,13 @@ GEOCODE_SILVER = dedup_sql(f"""
          'US' AS country, p_brand AS state, {SILVER_TS_SQL} AS update_tm
   FROM part""", ["name_key", "lat", "lon"], ["update_tm DESC NULLS LAST"] + asc_last(["name", "country", "state"]))
 
-_CENSUS_NAME = f"{PLACE_NAME} || ' County, ' || p_brand"
+_CENSUS_STATE = f"CASE WHEN p_size >= {D.CENSUS_MIN_SIZE} THEN p_brand ELSE 'Elsewhere' END"
+_CENSUS_NAME = f"{PLACE_NAME} || ' County, ' || {_CENSUS_STATE}"
 CENSUS_SILVER = dedup_sql(f"""
   SELECT {_CENSUS_NAME} AS name,
          replace(lower({county_sql(area_sql(_CENSUS_NAME))}), ' ', '') AS name_key,
          {state_sql(_CENSUS_NAME)} AS state_name, CAST(p_size * 1000 AS INTEGER) AS pop, {SILVER_TS_SQL} AS update_tm
-  FROM part WHERE p_size >= {D.CENSUS_MIN_SIZE}""", ["name"], ["update_tm DESC NULLS LAST"] + asc_last(["pop", "state_name", "name_key"]))
+  FROM part""", ["name"], ["update_tm DESC NULLS LAST"] + asc_last(["pop", "state_name", "name_key"]))
 
 LOCATION_DIM = f"""
   SELECT g.name_key, g.lat AS geo_lat, g.lon AS geo_lon, g.country, g.state, CAST(c.pop AS BIGINT) AS pop,

@@ -88,6 +88,18 @@ def bin_join_candidates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "loc_id", "loc_name", "geo_lat", "geo_lon", "dist_miles")
 
 
+@register("great_circle_miles", f"""
+SELECT o_orderkey, {O.miles_expr(O.lat_expr('o_custkey', D.OBS_LAT_MULT), O.lon_expr('o_custkey', D.OBS_LON_MULT),
+                                 O.lat_expr('o_orderkey', D.LOC_LAT_MULT), O.lon_expr('o_orderkey', D.LOC_LON_MULT))} AS dist_miles
+FROM orders""")
+def great_circle_miles_q(spark, sf_dir):
+    """great-circle miles from each order's customer to its depot (row-wise, no join)."""
+    from geomedallion.functions.geo import rounded_miles
+
+    r = D.order_routes(spark, sf_dir)
+    return r.select("o_orderkey", rounded_miles("cust_lat", "cust_lon", "depot_lat", "depot_lon").alias("dist_miles"))
+
+
 # --- calendar: A1, F15-F21 ---------------------------------------------------------------
 
 from pyspark.sql import functions as F  # noqa: E402
