@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from geomedallion.functions.geo import GRID_BIN_DEGREES, grid_bin, rounded_miles
 from geomedallion.operators.dedup import Order, first_by_key, orderable
+from geomedallion.operators.joins import salted_left_join
 from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 __all__ = ["BIN_COLS", "add_bins", "bin_join", "nearest_location"]
@@ -57,13 +58,17 @@ def bin_join(
 ) -> DataFrame:
     """J2/J3 candidate pairs: equi-join on (lat_bin, lon_bin), plus the great-circle distance.
 
-    The right side is broadcast only when proven small; otherwise Spark shuffles both sides on
-    the bins and AQE splits skewed (dense) bins.
+    The right side is broadcast only when proven small. Otherwise a left join goes through
+    ``salted_left_join``: a bin holding a large share of the right rows is split over several
+    tasks (AQE could split only the left side of a left outer join).
     """
     l = add_bins(left, left_lat, left_lon, size)
     r = add_bins(right, right_lat, right_lon, size)
-    r, _ = broadcast_if_small(r, broadcast_max_rows)
-    out = l.join(r, list(BIN_COLS), how)
+    r, small = broadcast_if_small(r, broadcast_max_rows)
+    if small or how != "left":
+        out = l.join(r, list(BIN_COLS), how)
+    else:
+        out = salted_left_join(l, r, list(BIN_COLS), broadcast_max_rows=broadcast_max_rows)
     if distance_col:
         out = out.withColumn(distance_col, rounded_miles(left_lat, left_lon, right_lat, right_lon))
     return out

@@ -21,6 +21,18 @@ REQUIRED_CONF = {
 }
 
 
+# Starting points for a large cluster (not forced): partitions near 256 MB keep shuffle blocks
+# and spills in executor memory; AQE coalesces small partitions and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.shuffle.partitions": "4000",  # upper bound; AQE coalesces down at run time
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "geomedallion") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -92,3 +92,11 @@ def test_broadcast_plan_has_no_shuffle_on_observations(spark):
     assert "BroadcastHashJoin" in plan
     # the only exchange packs the location side; the observation side is one narrow stage
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_bin_join_salted_fallback_equals_broadcast(spark):
+    o, l = _frames(spark)
+    kw = dict(left_lat="lat", left_lon="lon", right_lat="geo_lat", right_lon="geo_lon")
+    a = bin_join(o, l, **kw)
+    b = bin_join(o, l, broadcast_max_rows=0, **kw)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.select(*a.columns).collect()), key=str)
