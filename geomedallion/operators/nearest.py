@@ -25,7 +25,6 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from geomedallion.functions.geo import GRID_BIN_DEGREES, grid_bin, rounded_miles
 from geomedallion.operators.dedup import Order, first_by_key, orderable

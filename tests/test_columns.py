@@ -1,7 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
 
 from geomedallion.functions import columns as C
 from geomedallion.functions import geo as G

@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from geomedallion.functions.geo import rounded_miles
 from geomedallion.operators.nearest import bin_join, nearest_location
