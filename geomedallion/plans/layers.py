@@ -12,6 +12,7 @@ their own); ``Medallion`` runs them against catalog tables:
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -162,6 +163,15 @@ def gold_tables(
 
 # --- orchestration over catalog tables -------------------------------------------------------
 
+def _each_entity(fn) -> None:
+    """Run the four independent entity flows concurrently (Spark runs jobs from several driver
+    threads side by side); the first failure is raised after all flows finish."""
+    with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
+        futures = [pool.submit(fn, e) for e in ENTITIES]
+    for f in futures:
+        f.result()
+
+
 @dataclass
 class Medallion:
     spark: SparkSession
@@ -205,7 +215,9 @@ class Medallion:
             "weather": stage_weather(frames["weather"]),
         }
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
-        for e, (valid, rejected) in staged.items():
+
+        def load(e: str) -> None:
+            valid, rejected = staged[e]
             self.rejected[f"bronze_{e}"] = rejected
             K.load_staging(valid, self.t(f"{e}_insert"))  # truncate + load (K5, K4)
             if land_csv and source == "landed":
@@ -214,18 +226,22 @@ class Medallion:
                                   SC.RAW_KEYS[e], F.lit(run_ts))
             K.replace_table(merged, self.t(f"{e}_raw"), self.root, f"bronze-{snap}")
 
+        _each_entity(load)
+
     # X2
     def silver(self, run_ts: _dt.datetime) -> None:
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
         run_log = self.spark.table(self.t("run_log"))
-        for e in ENTITIES:
+
+        def clean(e: str) -> None:
             fresh = extract_since(self.spark.table(self.t(f"{e}_raw")), run_log, "update_tm")
-            cleaned = SILVER_TRANSFORMS[e](fresh)
-            K.load_staging(cleaned, self.t(f"{e}_silver_insert"))
+            K.load_staging(SILVER_TRANSFORMS[e](fresh), self.t(f"{e}_silver_insert"))
             merged = merge_upsert(self.spark.table(self.t(f"{e}_silver")), self.spark.table(self.t(f"{e}_silver_insert")),
                                   SC.SILVER_KEYS[e], F.lit(run_ts))
             K.replace_table(merged, self.t(f"{e}_silver"), self.root, f"silver-{snap}")
 
+        _each_entity(clean)
+
     # X3
     def gold(self, snapshot: str) -> None:
         tb = self.spark.table
