@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geomedallion import schemas as SC
 from geomedallion.functions import columns as C
@@ -183,13 +184,47 @@ class Medallion:
         return f"{self.database}.{name}"
 
     def create(self) -> None:
-        tables = {"run_log": RUN_LOG_SCHEMA}
+        """K7: staging, raw, silver and run-log tables; time-series raw/silver tables are
+        partitioned by ``day`` (catalog-managed partitions)."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        K.create_table(self.spark, self.t("run_log"), RUN_LOG_SCHEMA, self.root)
         for e in ENTITIES:
-            tables[f"{e}_insert"] = SC.STAGING[e]
-            tables[f"{e}_raw"] = SC.RAW[e]
-            tables[f"{e}_silver_insert"] = SC.SILVER[e]
-            tables[f"{e}_silver"] = SC.SILVER[e]
-        K.create_tables(self.spark, self.database, self.root, tables)
+            K.create_table(self.spark, self.t(f"{e}_insert"), SC.STAGING[e], self.root)
+            K.create_table(self.spark, self.t(f"{e}_silver_insert"), SC.SILVER[e], self.root)
+            for layer, schema in (("raw", SC.RAW[e]), ("silver", SC.SILVER[e])):
+                if e in SC.PARTITION_SOURCE:
+                    schema = T.StructType(schema.fields + [T.StructField(SC.PARTITION_COL, T.DateType())])
+                    K.create_table(self.spark, self.t(f"{e}_{layer}"), schema, self.root, partition_by=SC.PARTITION_COL)
+                else:
+                    K.create_table(self.spark, self.t(f"{e}_{layer}"), schema, self.root)
+
+    def merge_into(self, entity: str, table: str, staging: str, keys, run_ts: _dt.datetime, snapshot: str) -> None:
+        """Keyed upsert of a staging table into a layer table.
+
+        Partitioned entities: only the days present in the staging rows are read (partition
+        pruning), merged and written as a new snapshot of those partitions; the list of days is
+        the distinct partition values of one delta. Other tables: whole-table snapshot swap.
+        """
+        src = self.spark.table(staging)
+        if entity in SC.PARTITION_SOURCE:
+            day = SC.PARTITION_COL
+            src = src.withColumn(day, F.to_date(F.col(SC.PARTITION_SOURCE[entity])))
+            touched = [r[0] for r in src.select(day).distinct().collect()]
+            if not touched:
+                return
+            if any(v is None for v in touched):
+                raise ValueError(f"{entity}: staging rows without a {SC.PARTITION_SOURCE[entity]} value")
+            target = self.spark.table(table).where(F.col(day).isin(touched))
+            merged = merge_upsert(target, src, keys, F.lit(run_ts))
+            K.replace_partitions(merged, table, self.root, snapshot, day, [v.isoformat() for v in touched])
+        else:
+            merged = merge_upsert(self.spark.table(table), src, keys, F.lit(run_ts))
+            K.replace_table(merged, table, self.root, snapshot)
+
+    def read(self, name: str) -> DataFrame:
+        """A layer table without its storage-only partition column."""
+        df = self.spark.table(self.t(name))
+        return df.drop(SC.PARTITION_COL) if SC.PARTITION_COL in df.columns else df
 
     # X1
     def landed_frames(self, landed_dir: str, source: str = "landed", run_ts: _dt.datetime | None = None) -> dict:
@@ -222,9 +257,7 @@ class Medallion:
             K.load_staging(valid, self.t(f"{e}_insert"))  # truncate + load (K5, K4)
             if land_csv and source == "landed":
                 K.write_landed_csv(self.spark.table(self.t(f"{e}_insert")), f"{landed_dir.rstrip('/')}/csv", e, run_ts)
-            merged = merge_upsert(self.spark.table(self.t(f"{e}_raw")), self.spark.table(self.t(f"{e}_insert")),
-                                  SC.RAW_KEYS[e], F.lit(run_ts))
-            K.replace_table(merged, self.t(f"{e}_raw"), self.root, f"bronze-{snap}")
+            self.merge_into(e, self.t(f"{e}_raw"), self.t(f"{e}_insert"), SC.RAW_KEYS[e], run_ts, f"bronze-{snap}")
 
         _each_entity(load)
 
@@ -234,23 +267,22 @@ class Medallion:
         run_log = self.spark.table(self.t("run_log"))
 
         def clean(e: str) -> None:
-            fresh = extract_since(self.spark.table(self.t(f"{e}_raw")), run_log, "update_tm")
+            fresh = extract_since(self.read(f"{e}_raw"), run_log, "update_tm")
             K.load_staging(SILVER_TRANSFORMS[e](fresh), self.t(f"{e}_silver_insert"))
-            merged = merge_upsert(self.spark.table(self.t(f"{e}_silver")), self.spark.table(self.t(f"{e}_silver_insert")),
-                                  SC.SILVER_KEYS[e], F.lit(run_ts))
-            K.replace_table(merged, self.t(f"{e}_silver"), self.root, f"silver-{snap}")
+            self.merge_into(e, self.t(f"{e}_silver"), self.t(f"{e}_silver_insert"), SC.SILVER_KEYS[e], run_ts,
+                            f"silver-{snap}")
 
         _each_entity(clean)
 
     # X3
     def gold(self, snapshot: str) -> None:
         tb = self.spark.table
-        loc = location_dimension(tb(self.t("geocode_silver")), tb(self.t("census_silver")), keys=["name_key", "state"])
+        loc = location_dimension(self.read("geocode_silver"), self.read("census_silver"), keys=["name_key", "state"])
         # materialise the small dimension once; it feeds two nearest matches and the fact
         K.publish(loc, self.t("location_dimension"), self.root, snapshot)
         out = gold_tables(
-            tb(self.t("weather_silver")), tb(self.t("usgs_silver")), tb(self.t("geocode_silver")),
-            tb(self.t("census_silver")), locations=tb(self.t("location_dimension")),
+            self.read("weather_silver"), self.read("usgs_silver"), self.read("geocode_silver"),
+            self.read("census_silver"), locations=tb(self.t("location_dimension")),
         )
         K.publish(out["attribute_table"], self.t("attribute_table"), self.root, snapshot)
         # the calendar reads the written fact instead of recomputing it

@@ -321,7 +321,7 @@ USGS_RAW_AFTER_BRONZE = dedup_sql(
         WHERE place IS NOT NULL AND time IS NOT NULL AND time >= TIMESTAMP '{BRONZE_WINDOW[0]}'
           AND time < TIMESTAMP '{BRONZE_WINDOW[1]}' AND mag >= 2""",
     ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
-BRONZE_USGS = f"SELECT *, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm FROM ({USGS_RAW_AFTER_BRONZE}) b"
+BRONZE_USGS = f"SELECT *, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm, CAST(time AS DATE) AS day FROM ({USGS_RAW_AFTER_BRONZE}) b"
 
 _WEATHER_STAGED = dedup_sql(f"""
   SELECT {lat_expr('event_id', D.OBS_LAT_MULT)} AS lat, {lon_expr('event_id', D.OBS_LON_MULT)} AS lon, 'UTC' AS tz,
@@ -336,7 +336,8 @@ _WEATHER_STAGED = dedup_sql(f"""
 SILVER_WEATHER_AFTER_RUN = dedup_sql(f"""
   SELECT {round2('lat')} AS lat, {round2('lon')} AS lon, tz, coalesce(date, TIMESTAMP '1970-01-01 00:00:00') AS date,
          units, cloud_cover, humidity, precipitation, temperature_min - {dbl(273.15)} AS temperature_min,
-         temperature_max - {dbl(273.15)} AS temperature_max, pressure, wind, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm
+         temperature_max - {dbl(273.15)} AS temperature_max, pressure, wind, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm,
+         CAST(coalesce(date, TIMESTAMP '1970-01-01 00:00:00') AS DATE) AS day
   FROM ({_WEATHER_STAGED}) s
   WHERE temperature_min IS NOT NULL AND temperature_min >= 0 AND temperature_max IS NOT NULL AND temperature_max >= 0""",
     ["lat", "lon", "date"], ["update_tm DESC NULLS LAST"] + asc_last(_WEATHER_COLS))

@@ -84,6 +84,11 @@ VARCHAR_LIMITS = {
     "run_log": {"status": 20},
 }
 
+# Time-series tables are partitioned by the day of a key column, so a daily merge rewrites
+# only the partitions its source touches (the key fixes the partition: rows never move).
+PARTITION_COL = "day"
+PARTITION_SOURCE = {"usgs": "time", "weather": "date"}
+
 # --- silver tables ------------------------------------------------------------------------
 
 SILVER = {

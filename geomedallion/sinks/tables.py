@@ -20,7 +20,7 @@ from geomedallion.sources.csv import bind_by_name
 
 __all__ = [
     "landed_csv_path", "write_landed_csv", "write_export", "create_table", "create_tables",
-    "append_staging", "load_staging", "truncate_staging", "replace_table", "publish", "table_location",
+    "append_staging", "load_staging", "truncate_staging", "replace_table", "replace_partitions", "publish", "table_location",
 ]
 
 
@@ -51,12 +51,15 @@ def table_location(root: str, table: str, snapshot: str) -> str:
     return f"{root.rstrip('/')}/{table.split('.')[-1]}/snapshot={snapshot}"
 
 
-def create_table(spark: SparkSession, table: str, schema: T.StructType, root: str, snapshot: str = "0") -> None:
-    """K7 for one table: an empty typed Parquet table at its first snapshot folder."""
+def create_table(spark: SparkSession, table: str, schema: T.StructType, root: str, snapshot: str = "0",
+                 partition_by: str | None = None) -> None:
+    """K7 for one table: an empty typed Parquet table at its first snapshot folder, optionally
+    partitioned by a (last) column whose partitions are tracked in the catalog."""
     if spark.catalog.tableExists(table):
         return
     loc = table_location(root, table, snapshot)
-    spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet LOCATION '{loc}'")
+    part = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet{part} LOCATION '{loc}'")
 
 
 def create_tables(spark: SparkSession, database: str, root: str, tables: Mapping[str, T.StructType]) -> None:
@@ -97,6 +100,23 @@ def replace_table(df: DataFrame, table: str, root: str, snapshot: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def replace_partitions(df: DataFrame, table: str, root: str, snapshot: str, partition_col: str, values) -> None:
+    """Write ``df`` (rows of exactly the partitions ``values``) to a new snapshot folder and point
+    each of those partitions at it; other partitions are neither read nor rewritten."""
+    spark = df.sparkSession
+    folder = table_location(root, table, f"{snapshot}-{uuid.uuid4().hex[:8]}")
+    df.write.mode("overwrite").partitionBy(partition_col).parquet(folder)
+    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for v in values:
+        spec = f"{partition_col}={v}"
+        loc = f"{folder}/{spec}"
+        if spec in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION (`{partition_col}`='{v}') SET LOCATION '{loc}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (`{partition_col}`='{v}') LOCATION '{loc}'")
+    spark.catalog.refreshTable(table)
+
+
 def publish(df: DataFrame, table: str, root: str, snapshot: str) -> None:
     """K6: publish a gold table to the catalog (created on first use, then snapshot-replaced)."""
     spark = df.sparkSession

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geomedallion import schemas as SC
-from geomedallion.operators.merge import merge_upsert
 from geomedallion.plans import layers as LY
 from geomedallion.session import ensure_checkpoint_dir
 from geomedallion.sinks import tables as K
@@ -65,8 +64,7 @@ def _merge_batch(medallion: "LY.Medallion", entity: str):
         K.load_staging(valid, staging)
         spark.catalog.refreshTable(staging)
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        merged = merge_upsert(spark.table(medallion.t(f"{entity}_raw")), spark.table(staging), SC.RAW_KEYS[entity], F.lit(run_ts))
-        K.replace_table(merged, medallion.t(f"{entity}_raw"), medallion.root, f"stream-{epoch_id}")
+        medallion.merge_into(entity, medallion.t(f"{entity}_raw"), staging, SC.RAW_KEYS[entity], run_ts, f"stream-{epoch_id}")
 
     return run
 

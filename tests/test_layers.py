@@ -81,3 +81,30 @@ def test_replay_from_landed_csv_equals_fresh(spark, medallion):
     before = _snapshot(spark, m, names)
     m.bronze(landed, RUN, source="csv")
     assert _snapshot(spark, m, names) == before
+
+
+def _partition_location(spark, table, day):
+    db, name = table.split(".")
+    info = spark.sql(f"SHOW TABLE EXTENDED IN {db} LIKE '{name}' PARTITION (day='{day}')").first().information
+    return [line for line in info.splitlines() if line.startswith("Location")][0]
+
+
+def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    m = Medallion(spark, "gm_test_parts", str(tmp_path / "warehouse"))
+    m.create()
+    staging, raw = m.t("weather_insert"), m.t("weather_raw")
+    base = spark.createDataFrame(
+        [(1.0, 2.0, dt.datetime(2024, 3, 1), 280.0), (1.0, 2.0, dt.datetime(2024, 3, 2), 281.0)],
+        "lat double, lon double, date timestamp, temperature_min double")
+    from geomedallion.sinks import tables as K
+
+    K.load_staging(base, staging)
+    m.merge_into("weather", raw, staging, ["lat", "lon", "date"], RUN, "d1")
+    day1 = _partition_location(spark, raw, "2024-03-01")
+    K.load_staging(base.where(F.col("date") > dt.datetime(2024, 3, 1, 12)).withColumn("temperature_min", F.lit(290.0)), staging)
+    m.merge_into("weather", raw, staging, ["lat", "lon", "date"], RUN, "d2")
+    assert _partition_location(spark, raw, "2024-03-01") == day1  # untouched partition kept its folder
+    got = {r.date.day: r.temperature_min for r in spark.table(raw).collect()}
+    assert got == {1: 280.0, 2: 290.0}
