@@ -241,8 +241,9 @@ class Medallion:
 
     def bronze(self, landed_dir: str, run_ts: _dt.datetime, source: str = "landed", land_csv: bool = True) -> None:
         frames = self.landed_frames(landed_dir, source, run_ts)
-        start, end = run_ts.replace(hour=0, minute=0, second=0, microsecond=0) - _dt.timedelta(days=1), None
-        end = start + _dt.timedelta(days=1)
+        # The feed window is the day before the run (midnight to midnight)
+        end = run_ts.replace(hour=0, minute=0, second=0, microsecond=0)
+        start = end - _dt.timedelta(days=1)
         staged = {
             "usgs": stage_usgs(frames["usgs"], start, end),
             "census": stage_census(frames["census"]),
