@@ -59,7 +59,8 @@ def apply_required_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, local runs) is a private folder chosen.
+    Only in local mode, when the setting is absent (tests), is a private folder chosen; on a
+    cluster an unset setting is an error, as a machine-local folder would not be shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="geomedallion-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
