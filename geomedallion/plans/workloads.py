@@ -384,11 +384,11 @@ def flatten_events_q(spark, sf_dir):
 SELECT 'no_features' AS rule, CAST(0 AS BIGINT) AS n_rejected
 UNION ALL SELECT 'no_properties', CAST(0 AS BIGINT)
 UNION ALL SELECT 'no_geometry', CAST(0 AS BIGINT)
-UNION ALL SELECT 'short_coordinates', count_if(event_type = 'purchase') FROM events
-UNION ALL SELECT 'bad_place', count_if(event_type IN ('error', 'signup')) FROM events
+UNION ALL SELECT 'short_coordinates', CAST(count_if(event_type = 'purchase') AS BIGINT) FROM events
+UNION ALL SELECT 'bad_place', CAST(count_if(event_type IN ('error', 'signup')) AS BIGINT) FROM events
 UNION ALL SELECT 'bad_title', CAST(0 AS BIGINT)
 UNION ALL SELECT 'no_time', CAST(0 AS BIGINT)
-UNION ALL SELECT 'no_updated', count_if(event_type = 'view') FROM events""")
+UNION ALL SELECT 'no_updated', CAST(count_if(event_type = 'view') AS BIGINT) FROM events""")
 def feed_shape_report_q(spark, sf_dir):
     """Reject counts per feed-shape rule over all landed event payloads."""
     return LD.event_feed_report(_parsed_feed(spark, sf_dir))
