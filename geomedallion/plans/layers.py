@@ -186,7 +186,7 @@ class Medallion:
     def create(self) -> None:
         """K7: staging, raw, silver and run-log tables; time-series raw/silver tables are
         partitioned by ``day`` (catalog-managed partitions)."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root.rstrip('/')}/_database'")
         K.create_table(self.spark, self.t("run_log"), RUN_LOG_SCHEMA, self.root)
         for e in ENTITIES:
             K.create_table(self.spark, self.t(f"{e}_insert"), SC.STAGING[e], self.root)

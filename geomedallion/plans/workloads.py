@@ -570,7 +570,7 @@ def csv_roundtrip_text_q(spark, sf_dir):
 def _database(spark, label):
     root = work_dir(spark, label)
     db = f"gm_{root.rsplit('-', 1)[-1]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_database'")
     return db, root
 
 

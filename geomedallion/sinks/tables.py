@@ -64,7 +64,7 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, root: st
 
 def create_tables(spark: SparkSession, database: str, root: str, tables: Mapping[str, T.StructType]) -> None:
     """K7: the typed tables of a layer set (bronze staging/raw, silver, run log)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_database'")
     for name, schema in tables.items():
         create_table(spark, f"{database}.{name}", schema, root)
 
