@@ -6,13 +6,29 @@ in SQL, has a DuckDB oracle in ``ORACLE``. Workloads read whole tables; nothing
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from geomedallion import schemas as SC
+from geomedallion.functions import columns as C
+from geomedallion.functions import nested as N
+from geomedallion.operators import calendar as CAL
+from geomedallion.operators import quality as QC
+from geomedallion.operators.dedup import dedup_by_key
+from geomedallion.operators.extract import extract_since, watermark
+from geomedallion.operators.location import location_dimension, location_fact
+from geomedallion.operators.merge import merge_upsert
 from geomedallion.operators.nearest import bin_join, nearest_location
 from geomedallion.plans import derived as D
+from geomedallion.plans import layers as LY
 from geomedallion.plans import oracle as O
+from geomedallion.plans.landing import land_payloads, work_dir
+from geomedallion.sinks import tables as K
+from geomedallion.sources import landed as LD
+from geomedallion.sources.csv import read_csv
 
 Workload = Callable[[SparkSession, str], DataFrame]
 WORKLOADS: dict[str, Workload] = {}
@@ -102,11 +118,6 @@ def great_circle_miles_q(spark, sf_dir):
 
 # --- calendar: A1, F15-F21 ---------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from geomedallion.functions import columns as C  # noqa: E402
-from geomedallion.operators import calendar as CAL  # noqa: E402
-
 
 @register("date_bounds", """
 SELECT min(CAST(o_orderdate AS DATE)) AS min_date, max(CAST(o_orderdate AS DATE)) AS max_date FROM orders
@@ -266,10 +277,6 @@ def feed_window_filter_q(spark, sf_dir):
 
 # --- de-duplication, merge, watermark: A3, M1-M3, S6, J5, X4 -----------------------------
 
-from geomedallion.operators.dedup import dedup_by_key  # noqa: E402
-from geomedallion.operators.extract import extract_since, watermark  # noqa: E402
-from geomedallion.operators.merge import merge_upsert  # noqa: E402
-
 
 @register("dedup_by_key", """
 SELECT * EXCLUDE (rn) FROM (
@@ -328,8 +335,6 @@ def incremental_extract_q(spark, sf_dir):
 
 # --- data-quality checks: A5-A8 ----------------------------------------------------------
 
-from geomedallion.operators import quality as QC  # noqa: E402
-
 
 @register("duplicate_keys", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
@@ -363,8 +368,6 @@ def too_long_strings_q(spark, sf_dir):
 
 # --- landed payload readers: S1-S4, T2, A4, A9 ----------------------------------------------
 
-from geomedallion import schemas as SC  # noqa: E402
-from geomedallion.sources import landed as LD  # noqa: E402
 
 _EVENT_COLS = [c for c, _ in SC.USGS_COLUMNS]
 
@@ -440,8 +443,6 @@ def topk_per_key_q(spark, sf_dir):
 
 # --- nested helpers: N1-N4 -----------------------------------------------------------------
 
-from geomedallion.functions import nested as N  # noqa: E402
-
 
 @register("nested_get_default", """
 SELECT event_id, coalesce(json_extract_string(props, '$.k'), 'none') AS k,
@@ -489,9 +490,6 @@ def flatten_struct_q(spark, sf_dir):
 
 # --- gold layer: J1, J4, X3 -------------------------------------------------------------------
 
-from geomedallion.operators.location import location_dimension, location_fact  # noqa: E402
-from geomedallion.plans import layers as LY  # noqa: E402
-
 
 def _ntz(df):
     """Wall-clock timestamps for comparison with the oracle (session time zone is UTC)."""
@@ -541,11 +539,6 @@ def gold_dim_date_q(spark, sf_dir):
 
 # --- sinks, round trips and the layers over landed files: S5, S7, S8, K1-K7, X1-X4 -----------
 
-import datetime as _dt  # noqa: E402
-
-from geomedallion.plans.landing import land_payloads, work_dir  # noqa: E402
-from geomedallion.sinks import tables as K  # noqa: E402
-from geomedallion.sources.csv import read_csv  # noqa: E402
 
 CSV_RUN_TS = _dt.datetime(2024, 1, 15, 6, 0, 0)
 
