@@ -51,7 +51,9 @@ def landed_stream(spark: SparkSession, landed_dir: str, entity: str, max_files_p
     if entity == "census":
         return LD.array_table_rows(text.select(F.from_json("value", SC.CENSUS_PAYLOAD).alias("payload")))
     parsed = text.select(F.from_json("value", SC.GEOCODE_PAYLOAD).alias("payload"))
-    return LD.geocode_results(parsed, limit=SC.GEOCODE_RESULT_LIMIT).drop("result_pos").distinct()
+    # no streaming distinct here: it would keep every record in state forever; each micro-batch
+    # is de-duplicated by key in staging, and the merge is keyed
+    return LD.geocode_results(parsed, limit=SC.GEOCODE_RESULT_LIMIT).drop("result_pos")
 
 
 def _merge_batch(medallion: "LY.Medallion", entity: str):
