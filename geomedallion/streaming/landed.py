@@ -81,8 +81,9 @@ def bronze_streams(
 ) -> list[StreamingQuery]:
     """Start one file-stream query per entity; each micro-batch is staged and merged.
 
-    ``checkpoint_root`` defaults to the shared folder of ``spark.checkpoint.dir``. The
-    per-entity queries share the staging tables' names, so they run one after another.
+    ``checkpoint_root`` defaults to the shared folder of ``spark.checkpoint.dir``. Each entity
+    has its own staging and raw tables, so the queries run side by side; with
+    ``available_now`` the call returns when all of them have drained their folders.
     """
     spark = medallion.spark
     root = (checkpoint_root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/geomedallion-streams").rstrip("/")
@@ -91,9 +92,9 @@ def bronze_streams(
         w = landed_stream(spark, landed_dir, e).writeStream.foreachBatch(_merge_batch(medallion, e))
         w = w.option("checkpointLocation", f"{root}/{medallion.database}/{e}")
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-        q = w.queryName(f"bronze_{medallion.database}_{e}").start()
-        if available_now:
+        queries.append(w.queryName(f"bronze_{medallion.database}_{e}").start())
+    if available_now:
+        for e, q in zip(entities, queries):
             q.awaitTermination()
             spark.catalog.refreshTable(medallion.t(f"{e}_raw"))
-        queries.append(q)
     return queries

@@ -108,3 +108,12 @@ def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
     assert _partition_location(spark, raw, "2024-03-01") == day1  # untouched partition kept its folder
     got = {r.date.day: r.temperature_min for r in spark.table(raw).collect()}
     assert got == {1: 280.0, 2: 290.0}
+
+
+def test_missing_feed_folder_is_empty(spark, tmp_path):
+    landed = P.write(str(tmp_path / "landed"), skip=("census",))
+    m = Medallion(spark, "gm_test_missing", str(tmp_path / "warehouse"))
+    m.create()
+    m.bronze(landed, RUN, land_csv=False)
+    assert spark.table(m.t("census_raw")).count() == 0
+    assert spark.table(m.t("weather_raw")).count() == 6
