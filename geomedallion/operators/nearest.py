@@ -26,7 +26,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geomedallion.functions.geo import GRID_BIN_DEGREES, grid_bin, rounded_miles
+from geomedallion.functions.geo import (
+    DISTANCE_DIGITS, EARTH_RADIUS_KM, GRID_BIN_DEGREES, KM_PER_MILE, grid_bin, rounded_miles,
+)
 from geomedallion.operators.dedup import Order, first_by_key, orderable
 from geomedallion.operators.joins import salted_left_join
 from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
@@ -35,6 +37,12 @@ __all__ = ["BIN_COLS", "add_bins", "bin_join", "nearest_location"]
 
 BIN_COLS = ("lat_bin", "lon_bin")
 DEFAULT_CHUNK_SIZE = 256
+# Dense bins (more candidates than this) are also packed per sub-cell of a SUBGRID x SUBGRID grid;
+# an observation there first searches its own and the 8 neighbouring sub-cells.
+DENSE_BIN_CANDIDATES = 64
+SUBGRID = 8
+_R_MILES = EARTH_RADIUS_KM / KM_PER_MILE
+_BOUND_MARGIN_MILES = 1e-6  # floating-point slack on the lower bound
 
 
 def add_bins(df: DataFrame, lat: str, lon: str, size: float = GRID_BIN_DEGREES) -> DataFrame:
@@ -73,6 +81,40 @@ def bin_join(
     return out
 
 
+def _sub_index(coord: Column, bin_col: Column, size: float, g: int) -> Column:
+    """Row / column of the sub-cell holding ``coord`` inside its bin (clamped against rounding)."""
+    v = F.floor((coord - bin_col.cast("double") * F.lit(float(size))) / F.lit(size / g)).cast("int")
+    return F.least(F.greatest(v, F.lit(0)), F.lit(g - 1))
+
+
+def _block_lower_bound(lat: Column, lon: Column, r: Column, c: Column, size: float, g: int) -> Column:
+    """Miles below which no candidate outside the 3x3 sub-cell block around (r, c) can lie.
+
+    Latitude edges: a great circle is at least as long as the meridian arc, R * dphi.
+    Longitude edges: haversine h >= cos^2(max |lat| of the bin) * sin^2(dlambda / 2).
+    A side of the block lying on the bin edge has nothing beyond it (same-bin candidates only).
+    Null when no side has anything beyond it (the block is the whole bin).
+    """
+    cell = size / g
+    lat0 = F.col("lat_bin").cast("double") * F.lit(float(size))
+    lon0 = F.col("lon_bin").cast("double") * F.lit(float(size))
+    cos_min = F.cos(F.radians(F.greatest(F.abs(lat0), F.abs(lat0 + F.lit(float(size))))))
+
+    def meridian(d_deg: Column) -> Column:
+        return F.lit(_R_MILES) * F.radians(d_deg)
+
+    def parallel(d_deg: Column) -> Column:
+        return F.lit(2 * _R_MILES) * F.asin(F.least(F.lit(1.0), cos_min * F.sin(F.radians(d_deg) / 2)))
+
+    sides = [
+        F.when(r - 1 > 0, meridian(lat - (lat0 + (r - 1) * F.lit(cell)))),
+        F.when(r + 1 < g - 1, meridian(lat0 + (r + 2) * F.lit(cell) - lat)),
+        F.when(c - 1 > 0, parallel(lon - (lon0 + (c - 1) * F.lit(cell)))),
+        F.when(c + 1 < g - 1, parallel(lon0 + (c + 2) * F.lit(cell) - lon)),
+    ]
+    return F.least(*sides)  # least() skips nulls: the sides that exist
+
+
 def nearest_location(
     obs: DataFrame,
     locs: DataFrame,
@@ -89,6 +131,7 @@ def nearest_location(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     locs_rows_bound: int | None = None,
+    dense_bin_candidates: int = DENSE_BIN_CANDIDATES,
 ) -> DataFrame:
     """Each observation id with its nearest same-bin location.
 
@@ -96,7 +139,10 @@ def nearest_location(
     ``ids_unique=True`` declares ``id_col`` unique (e.g. the weather id after silver
     de-duplication) and skips the per-id reduction when the location side is broadcast.
     ``locs_rows_bound`` is a row bound the caller has already proven for ``locs``; it replaces
-    the size probe.
+    the size probe. In bins with more than ``dense_bin_candidates`` locations (broadcast plan) an
+    observation first searches the 3x3 sub-cells around it and keeps that answer only when a
+    lower bound proves every other candidate of the bin strictly farther; otherwise it scans
+    the whole bin. The answer is the same either way.
     """
     loc_cols = list(locs.columns)
     clash = set(obs.columns) & (set(loc_cols) | set(BIN_COLS) | {distance_col})
@@ -132,8 +178,36 @@ def nearest_location(
         _, is_small = broadcast_if_small(lb, broadcast_max_rows)
 
     if is_small:
-        packed = lb.groupBy(*BIN_COLS).agg(F.collect_list(loc_struct).alias("__cands"))
-        matched = ob.join(F.broadcast(packed), list(BIN_COLS), "left").withColumn("__best", best_of(F.col("__cands")))
+        g = SUBGRID
+        cells = lb.withColumns({
+            "__r": _sub_index(F.col(loc_lat), F.col("lat_bin"), size, g),
+            "__c": _sub_index(F.col(loc_lon), F.col("lon_bin"), size, g),
+        }).groupBy(*BIN_COLS, "__r", "__c").agg(F.collect_list(loc_struct).alias("__v"))
+        packed = cells.groupBy(*BIN_COLS).agg(
+            F.flatten(F.collect_list("__v")).alias("__cands"),
+            F.map_from_entries(F.collect_list(F.struct((F.col("__r") * g + F.col("__c")).alias("k"), F.col("__v").alias("v"))))
+            .alias("__cells"),
+        )
+        # only dense bins carry the per-cell map (keeps the broadcast small)
+        packed = packed.withColumn("__cells", F.when(F.size("__cands") > dense_bin_candidates, F.col("__cells")))
+        matched = ob.join(F.broadcast(packed), list(BIN_COLS), "left")
+
+        r = _sub_index(F.col(obs_lat), F.col("lat_bin"), size, g)
+        c = _sub_index(F.col(obs_lon), F.col("lon_bin"), size, g)
+        offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
+        block = F.filter(
+            F.flatten(F.transform(offsets, lambda di: F.transform(offsets, lambda dj: F.struct((r + di).alias("r"), (c + dj).alias("c"))))),
+            lambda b: (b.r >= 0) & (b.r < g) & (b.c >= 0) & (b.c < g),
+        )
+        near = F.flatten(F.filter(F.transform(block, lambda b: F.try_element_at(F.col("__cells"), b.r * g + b.c)),
+                                  lambda v: v.isNotNull()))
+        matched = matched.withColumn("__near", F.when(F.col("__cells").isNotNull(), best_of(near)))
+        bound = _block_lower_bound(F.col(obs_lat), F.col(obs_lon), r, c, size, g)
+        scale = float(10 ** DISTANCE_DIGITS)
+        bound_floor = F.floor((bound - F.lit(_BOUND_MARGIN_MILES)) * F.lit(scale)) / F.lit(scale)
+        # the block's winner is final when every candidate outside the block is strictly farther
+        final = F.when(F.col("__near.d") < bound_floor, F.col("__near")).when(bound.isNull(), F.col("__near"))
+        matched = matched.withColumn("__best", F.coalesce(final, best_of(F.col("__cands"))))
         out = matched.select(*[F.col(f"`{c}`") for c in obs_cols], *loc_out,
                              F.col("__best.d").alias(distance_col), *[t.alias(f"__t{i}") for i, t in enumerate(tie_out)])
         if not ids_unique:

@@ -89,6 +89,22 @@ def nearest_location_chunked_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "nearest_location_subcells",
+    O.nearest_sql(O.EVENT_OBS, ["event_id", "ts", "event_type", "mag", "latitude", "longitude"],
+                  "event_id", "latitude", "longitude", O.PART_LOCS),
+)
+def nearest_location_subcells_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 with the dense-bin search forced on every bin (3x3 sub-cells first, proven or
+    rescanned), same answer as the brute-force oracle."""
+    return nearest_location(
+        D.event_observations(spark, sf_dir),
+        D.part_locations(spark, sf_dir),
+        id_col="event_id", obs_lat="latitude", obs_lon="longitude", tie_breakers=["loc_id"],
+        dense_bin_candidates=0,
+    )
+
+
 @register(
     "bin_join_candidates",
     O.bin_candidates_sql(O.CUSTOMER_OBS, ["obs_id", "obs_name", "lat", "lon"], "lat", "lon", O.SUPPLIER_LOCS),

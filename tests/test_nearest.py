@@ -89,8 +89,10 @@ def test_broadcast_plan_has_no_shuffle_on_observations(spark):
     got = nearest_location(o, l, id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    # the only exchange packs the location side; the observation side is one narrow stage
-    assert plan.count("Exchange hashpartitioning") == 1
+    # every shuffle sits below the broadcast (packing the location side per sub-cell, then per
+    # bin); the observation side is one narrow stage
+    below_broadcast = plan[plan.index("BroadcastExchange"):]
+    assert plan.count("Exchange hashpartitioning") == below_broadcast.count("Exchange hashpartitioning") == 2
 
 
 def test_bin_join_salted_fallback_equals_broadcast(spark):
@@ -99,3 +101,25 @@ def test_bin_join_salted_fallback_equals_broadcast(spark):
     a = bin_join(o, l, **kw)
     b = bin_join(o, l, broadcast_max_rows=0, **kw)
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.select(*a.columns).collect()), key=str)
+
+
+def test_dense_bin_subcell_search_is_exact(spark):
+    """Dense bins: the 3x3 sub-cell search (threshold 0 forces it everywhere) gives exactly the
+    full-bin scan's answer, including observations whose block is empty or near bin edges."""
+    rnd = random.Random(11)
+    locs = []
+    for j in range(3000):
+        if j % 3 == 0:  # a tight cluster
+            lat, lon = rnd.gauss(31.2, 0.05), rnd.gauss(-98.3, 0.05)
+        else:  # spread over a few bins, with some points right at bin edges
+            lat, lon = rnd.uniform(30.8, 32.3), rnd.uniform(-99.4, -97.6)
+        locs.append((j, f"p{j}", round(lat, 4), round(lon, 4)))
+    obs = [(i, round(rnd.uniform(30.8, 32.3), 4), round(rnd.uniform(-99.4, -97.6), 4)) for i in range(1500)]
+    obs += [(2000 + i, 0.7 * k + 0.0001 * i, -98.0) for i, k in enumerate(range(44, 47))]  # on bin edges
+    o = spark.createDataFrame(obs, "obs_id long, lat double, lon double")
+    l = spark.createDataFrame(locs, "loc_id long, loc_name string, geo_lat double, geo_lon double")
+    kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
+    fast = nearest_location(o, l, dense_bin_candidates=0, **kw)
+    full = nearest_location(o, l, dense_bin_candidates=10**9, **kw)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect()))
+    assert fast.where("loc_id IS NOT NULL").count() > 1400
