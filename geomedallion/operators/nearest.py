@@ -179,17 +179,19 @@ def nearest_location(
 
     if is_small:
         g = SUBGRID
-        cells = lb.withColumns({
-            "__r": _sub_index(F.col(loc_lat), F.col("lat_bin"), size, g),
-            "__c": _sub_index(F.col(loc_lon), F.col("lon_bin"), size, g),
-        }).groupBy(*BIN_COLS, "__r", "__c").agg(F.collect_list(loc_struct).alias("__v"))
-        packed = cells.groupBy(*BIN_COLS).agg(
-            F.flatten(F.collect_list("__v")).alias("__cands"),
-            F.map_from_entries(F.collect_list(F.struct((F.col("__r") * g + F.col("__c")).alias("k"), F.col("__v").alias("v"))))
-            .alias("__cells"),
+        keyed = lb.withColumn("__k", _sub_index(F.col(loc_lat), F.col("lat_bin"), size, g) * g
+                              + _sub_index(F.col(loc_lon), F.col("lon_bin"), size, g))
+        packed = keyed.groupBy(*BIN_COLS).agg(F.collect_list(F.struct(F.col("__k").alias("k"), loc_struct.alias("x"))).alias("__kv"))
+        # per-sub-cell map only for dense bins, built on the small side from the bin's own list
+        by_cell = F.map_from_entries(F.transform(
+            F.array_distinct(F.transform("__kv", lambda e: e.k)),
+            lambda k: F.struct(k.alias("k"), F.transform(F.filter("__kv", lambda e: e.k == k), lambda e: e.x).alias("v")),
+        ))
+        packed = packed.select(
+            *BIN_COLS,
+            F.transform("__kv", lambda e: e.x).alias("__cands"),
+            F.when(F.size("__kv") > dense_bin_candidates, by_cell).alias("__cells"),
         )
-        # only dense bins carry the per-cell map (keeps the broadcast small)
-        packed = packed.withColumn("__cells", F.when(F.size("__cands") > dense_bin_candidates, F.col("__cells")))
         matched = ob.join(F.broadcast(packed), list(BIN_COLS), "left")
 
         r = _sub_index(F.col(obs_lat), F.col("lat_bin"), size, g)
@@ -206,7 +208,10 @@ def nearest_location(
         scale = float(10 ** DISTANCE_DIGITS)
         bound_floor = F.floor((bound - F.lit(_BOUND_MARGIN_MILES)) * F.lit(scale)) / F.lit(scale)
         # the block's winner is final when every candidate outside the block is strictly farther
-        final = F.when(F.col("__near.d") < bound_floor, F.col("__near")).when(bound.isNull(), F.col("__near"))
+        final = F.when(
+            F.col("__near").isNotNull(),
+            F.when(F.col("__near.d") < bound_floor, F.col("__near")).when(bound.isNull(), F.col("__near")),
+        )
         matched = matched.withColumn("__best", F.coalesce(final, best_of(F.col("__cands"))))
         out = matched.select(*[F.col(f"`{c}`") for c in obs_cols], *loc_out,
                              F.col("__best.d").alias(distance_col), *[t.alias(f"__t{i}") for i, t in enumerate(tie_out)])

@@ -89,10 +89,10 @@ def test_broadcast_plan_has_no_shuffle_on_observations(spark):
     got = nearest_location(o, l, id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    # every shuffle sits below the broadcast (packing the location side per sub-cell, then per
-    # bin); the observation side is one narrow stage
+    # every shuffle sits below the broadcast (packing the location side per bin); the
+    # observation side is one narrow stage
     below_broadcast = plan[plan.index("BroadcastExchange"):]
-    assert plan.count("Exchange hashpartitioning") == below_broadcast.count("Exchange hashpartitioning") == 2
+    assert plan.count("Exchange hashpartitioning") == below_broadcast.count("Exchange hashpartitioning") >= 1
 
 
 def test_bin_join_salted_fallback_equals_broadcast(spark):
