@@ -75,6 +75,8 @@ def merge_upsert(
     if check_cardinality and (stats["dup"] or 0) > 1:
         dup = per_key.where(F.col("count") > 1).limit(1).first()
         raise DuplicateSourceKeyError(f"source has more than one row for key {dict(zip(keys, dup[:len(keys)]))}")
+    if not check_cardinality and (stats["dup"] or 0) > 1:
+        src_keys = src_keys.distinct()  # unchecked duplicates must not fan out the marking join
     if broadcast_max_rows > 0 and stats["n"] <= broadcast_max_rows:
         src_keys = F.broadcast(src_keys)
     if target_predicate is None:
