@@ -341,3 +341,6 @@ SILVER_WEATHER_AFTER_RUN = dedup_sql(f"""
   FROM ({_WEATHER_STAGED}) s
   WHERE temperature_min IS NOT NULL AND temperature_min >= 0 AND temperature_max IS NOT NULL AND temperature_max >= 0""",
     ["lat", "lon", "date"], ["update_tm DESC NULLS LAST"] + asc_last(_WEATHER_COLS))
+
+
+STREAM_USGS = f"SELECT *, CAST(time AS DATE) AS day FROM ({_USGS_STAGED}) s"

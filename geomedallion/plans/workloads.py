@@ -642,6 +642,20 @@ def _run_layers(spark, sf_dir, silver: bool):
     return m
 
 
+@register("bronze_stream", O.STREAM_USGS)
+def bronze_stream_q(spark, sf_dir):
+    """Bronze through Structured Streaming: landed folders read as file streams (availableNow),
+    each micro-batch staged and merged; usgs_raw without its wall-clock update_tm."""
+    from geomedallion.streaming import bronze_streams
+
+    db, root = _database(spark, "stream")
+    landed = land_payloads(spark, sf_dir, f"{root}/landed")
+    m = LY.Medallion(spark, db, f"{root}/warehouse")
+    m.create()
+    bronze_streams(m, landed, f"{root}/streams", entities=("usgs",))
+    return _ntz(spark.table(m.t("usgs_raw")).drop("update_tm"))
+
+
 @register("bronze_layer", O.BRONZE_USGS)
 def bronze_layer_q(spark, sf_dir):
     """Landed payload folders -> window, checks, staging, merge -> usgs_raw."""
