@@ -123,3 +123,20 @@ def test_dense_bin_subcell_search_is_exact(spark):
     full = nearest_location(o, l, dense_bin_candidates=10**9, **kw)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect()))
     assert fast.where("loc_id IS NOT NULL").count() > 1400
+
+
+def test_dense_bin_search_south_west_and_near_pole(spark):
+    rnd = random.Random(5)
+    centers = [(-45.3, 170.2), (-33.9, -70.6), (85.2, 10.3)]  # negative bins; a near-pole bin
+    locs, obs = [], []
+    for ci, (la, lo) in enumerate(centers):
+        for j in range(400):
+            locs.append((ci * 1000 + j, f"p{ci}-{j}", round(la + rnd.uniform(-0.3, 0.3), 4), round(lo + rnd.uniform(-0.3, 0.3), 4)))
+        for i in range(300):
+            obs.append((ci * 1000 + i, round(la + rnd.uniform(-0.3, 0.3), 4), round(lo + rnd.uniform(-0.3, 0.3), 4)))
+    o = spark.createDataFrame(obs, "obs_id long, lat double, lon double")
+    l = spark.createDataFrame(locs, "loc_id long, loc_name string, geo_lat double, geo_lon double")
+    kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
+    fast = nearest_location(o, l, dense_bin_candidates=0, **kw)
+    full = nearest_location(o, l, dense_bin_candidates=10**9, **kw)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect()))
