@@ -25,7 +25,7 @@ from geomedallion.functions import columns as C
 from geomedallion.operators import quality as QC
 from geomedallion.operators.calendar import date_dimension
 from geomedallion.operators.dedup import dedup_by_key
-from geomedallion.operators.extract import RUN_LOG_SCHEMA, extract_since
+from geomedallion.operators.extract import RUN_LOG_SCHEMA, extract_since, watermark
 from geomedallion.operators.location import location_dimension, location_fact
 from geomedallion.operators.merge import merge_upsert
 from geomedallion.operators.nearest import nearest_location
@@ -199,6 +199,7 @@ class Medallion:
         partitioned by ``day`` (catalog-managed partitions)."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root.rstrip('/')}/_database'")
         K.create_table(self.spark, self.t("run_log"), RUN_LOG_SCHEMA, self.root)
+        K.create_table(self.spark, self.t("touched_days"), SC.TOUCHED_DAYS, self.root)
         for e in ENTITIES:
             K.create_table(self.spark, self.t(f"{e}_insert"), SC.STAGING[e], self.root)
             K.create_table(self.spark, self.t(f"{e}_silver_insert"), SC.SILVER[e], self.root)
@@ -228,10 +229,24 @@ class Medallion:
             target = self.spark.table(table).where(F.col(day).isin(touched))
             merged = merge_upsert(target, src, keys, F.lit(run_ts))
             K.replace_partitions(merged, table, self.root, snapshot, day, [v.isoformat() for v in touched])
+            record = self.spark.createDataFrame([(table, v, run_ts) for v in touched], SC.TOUCHED_DAYS)
+            record.write.insertInto(self.t("touched_days"))
         else:
             merged = merge_upsert(self.spark.table(table), src, keys, F.lit(run_ts))
             K.replace_table(merged, table, self.root, snapshot)
 
+    def changed_rows(self, name: str, run_log: DataFrame) -> DataFrame:
+        """Rows of a layer table that can be newer than the watermark: for a day-partitioned table
+        only the days merged since the watermark (a semi join on the partition column, which Spark
+        turns into dynamic partition pruning); other tables whole."""
+        df = self.spark.table(self.t(name))
+        if SC.PARTITION_COL not in df.columns:
+            return df
+        wm = watermark(run_log, SC.TOUCHED_DAYS["run_ts"].dataType).select("watermark").scalar()
+        touched = self.spark.table(self.t("touched_days"))
+        days = touched.where((F.col("table_name") == self.t(name)) & (F.col("run_ts") > wm)).select(SC.PARTITION_COL)
+        return df.join(days.distinct(), SC.PARTITION_COL, "left_semi").drop(SC.PARTITION_COL)
+
     def read(self, name: str) -> DataFrame:
         """A layer table without its storage-only partition column."""
         df = self.spark.table(self.t(name))
@@ -282,7 +297,7 @@ class Medallion:
         run_log = self.spark.table(self.t("run_log"))
 
         def clean(e: str) -> None:
-            fresh = extract_since(self.read(f"{e}_raw"), run_log, "update_tm")
+            fresh = extract_since(self.changed_rows(f"{e}_raw", run_log), run_log, "update_tm")
             K.load_staging(SILVER_TRANSFORMS[e](fresh), self.t(f"{e}_silver_insert"))
             self.merge_into(e, self.t(f"{e}_silver"), self.t(f"{e}_silver_insert"), SC.SILVER_KEYS[e], run_ts,
                             f"silver-{snap}")

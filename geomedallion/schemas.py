@@ -89,6 +89,10 @@ VARCHAR_LIMITS = {
 PARTITION_COL = "day"
 PARTITION_SOURCE = {"usgs": "time", "weather": "date"}
 
+# Which day partitions each merge touched (table, day, run time): lets the silver pull read only
+# the raw partitions changed since the watermark (dynamic partition pruning).
+TOUCHED_DAYS = struct(("table_name", S), ("day", DT), ("run_ts", TS))
+
 # --- silver tables ------------------------------------------------------------------------
 
 SILVER = {

@@ -117,3 +117,14 @@ def test_missing_feed_folder_is_empty(spark, tmp_path):
     m.bronze(landed, RUN, land_csv=False)
     assert spark.table(m.t("census_raw")).count() == 0
     assert spark.table(m.t("weather_raw")).count() == 6
+
+
+def test_silver_pull_prunes_to_touched_days(spark, medallion):
+    from geomedallion.operators.extract import extract_since
+
+    m, _ = medallion
+    run_log = spark.table(m.t("run_log"))
+    pulled = extract_since(m.changed_rows("weather_raw", run_log), run_log, "update_tm")
+    assert pulled.count() == 0  # nothing merged since the recorded run
+    plan = pulled._jdf.queryExecution().executedPlan().toString().lower()
+    assert "dynamicpruningexpression" in plan
