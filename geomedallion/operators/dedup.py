@@ -1,8 +1,8 @@
 """Key-based de-duplication (A3), first-row-per-key (T1) and whole-record distinct (A4).
 
 ``first_by_key`` keeps, for every key, the row that sorts first under a total order. The
-order is encoded as one struct and the row is chosen with ``min_by`` in a hash aggregation:
-map-side partial aggregation collapses a hot key before the shuffle, and no sort is needed.
+order is encoded as one struct and the row is chosen with ``min_by`` in an aggregation:
+map-side partial aggregation collapses a hot key before the shuffle (no window over the key).
 Descending numeric / temporal columns are negated inside the struct; a descending column of
 another type falls back to ``row_number() = 1`` (Spark then plans a partial WindowGroupLimit).
 """
