@@ -182,10 +182,12 @@ def nearest_location(
         keyed = lb.withColumn("__k", _sub_index(F.col(loc_lat), F.col("lat_bin"), size, g) * g
                               + _sub_index(F.col(loc_lon), F.col("lon_bin"), size, g))
         packed = keyed.groupBy(*BIN_COLS).agg(F.collect_list(F.struct(F.col("__k").alias("k"), loc_struct.alias("x"))).alias("__kv"))
-        # per-sub-cell map only for dense bins, built on the small side from the bin's own list
+        # per-sub-cell map only for dense bins, built on the small side from the bin's own list; it
+        # holds 1-based positions into __cands, so no place is broadcast twice
+        positions = F.transform("__kv", lambda e, i: F.struct(e.k.alias("k"), (i + 1).alias("p")))
         by_cell = F.map_from_entries(F.transform(
             F.array_distinct(F.transform("__kv", lambda e: e.k)),
-            lambda k: F.struct(k.alias("k"), F.transform(F.filter("__kv", lambda e: e.k == k), lambda e: e.x).alias("v")),
+            lambda k: F.struct(k.alias("k"), F.transform(F.filter(positions, lambda e: e.k == k), lambda e: e.p).alias("v")),
         ))
         packed = packed.select(
             *BIN_COLS,
@@ -201,8 +203,9 @@ def nearest_location(
             F.flatten(F.transform(offsets, lambda di: F.transform(offsets, lambda dj: F.struct((r + di).alias("r"), (c + dj).alias("c"))))),
             lambda b: (b.r >= 0) & (b.r < g) & (b.c >= 0) & (b.c < g),
         )
-        near = F.flatten(F.filter(F.transform(block, lambda b: F.try_element_at(F.col("__cells"), b.r * g + b.c)),
-                                  lambda v: v.isNotNull()))
+        near_pos = F.flatten(F.filter(F.transform(block, lambda b: F.try_element_at(F.col("__cells"), b.r * g + b.c)),
+                                      lambda v: v.isNotNull()))
+        near = F.transform(near_pos, lambda i: F.element_at(F.col("__cands"), i))
         matched = matched.withColumn("__near", F.when(F.col("__cells").isNotNull(), best_of(near)))
         bound = _block_lower_bound(F.col(obs_lat), F.col(obs_lon), r, c, size, g)
         scale = float(10 ** DISTANCE_DIGITS)
