@@ -12,6 +12,7 @@ their own); ``Medallion`` runs them against catalog tables:
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -190,6 +191,9 @@ class Medallion:
     database: str
     root: str
     rejected: dict = field(default_factory=dict)
+    # appends to the shared touched_days table are serialised: concurrent file commits into one
+    # table folder would share (and clean up) the same temporary directory
+    _record_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def t(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -230,7 +234,8 @@ class Medallion:
             merged = merge_upsert(target, src, keys, F.lit(run_ts))
             K.replace_partitions(merged, table, self.root, snapshot, day, [v.isoformat() for v in touched])
             record = self.spark.createDataFrame([(table, v, run_ts) for v in touched], SC.TOUCHED_DAYS)
-            record.write.insertInto(self.t("touched_days"))
+            with self._record_lock:
+                record.write.insertInto(self.t("touched_days"))
         else:
             merged = merge_upsert(self.spark.table(table), src, keys, F.lit(run_ts))
             K.replace_table(merged, table, self.root, snapshot)
