@@ -12,3 +12,13 @@ def test_salted_left_join_equals_left_join_under_skew(spark):
     got = salted_left_join(left, right, ["k"], rows_per_salt=50)
     assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert got.where("k = 9 AND r IS NULL").count() == 20
+
+
+def test_bounded_probes(spark):
+    from geomedallion.operators.sizing import bounded_count, broadcast_if_small, rows_at_most
+
+    df = spark.range(100)
+    assert rows_at_most(df, 100) and not rows_at_most(df, 99)
+    assert bounded_count(df, 1000) == 100 and bounded_count(df, 10) is None
+    assert broadcast_if_small(df, 100)[1] and not broadcast_if_small(df, 99)[1]
+    assert not broadcast_if_small(df, 0)[1]

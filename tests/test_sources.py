@@ -67,3 +67,15 @@ def test_csv_roundtrip_and_modes(spark, tmp_path):
     assert raised
     K.write_export(df.where(F.lit(False)), path, "overwrite")  # K2
     assert read_csv(spark, path).count() == 0
+
+
+def test_csv_bind_by_name_malformed_and_missing(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    path = str(tmp_path / "in.csv")
+    with open(path, "w") as fh:
+        fh.write("pop,name,extra\n12,A,x\nn/a,B,y\n")
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("pop", T.IntegerType()),
+                           T.StructField("county", T.IntegerType())])
+    got = [tuple(r) for r in read_csv(spark, path, schema).orderBy("name").collect()]
+    assert got == [("A", 12, None), ("B", None, None)]  # by name; malformed -> null; absent -> null
