@@ -5,7 +5,7 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
-    assert not [n for n in q if "pipeline" in n or n.startswith("op")]
+    assert "gold_fact" in q and "gold_fact" in o
 
 
 def test_entry_runs(spark):
