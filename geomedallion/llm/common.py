@@ -39,3 +39,11 @@ def fresh_name(taken: list[str], base: str) -> str:
     while name.lower() in low:
         name = f"_{name}"
     return name
+
+
+def tokenizer(name: str, path: str | None = None) -> tuple[bytes, str]:
+    """A public ranks file (read on the driver and sent with the tasks) and its splitting pattern."""
+    import public_tokenizers
+
+    with open(path or public_tokenizers.path(name), "rb") as f:
+        return f.read(), public_tokenizers.PATTERN

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomedallion.llm.common import table
+from geomedallion.llm.best_fit_packing import pack_documents
+from geomedallion.llm.common import table, tokenizer
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
 
@@ -15,7 +16,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate_lines(docs, host="source", dropped="n_dropped").select("doc_id", "text", "n_dropped")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset."""
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
 }
 
