@@ -7,10 +7,26 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm.common import table, tokenizer
+from geomedallion.llm import toxicity
+from geomedallion.llm.common import crc_bucket, table, tokenizer
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+    """Learned from the labels whose crc32(doc_id) mod 5 is not 0."""
+    labels = table(spark, sf_dir, "labels").filter(crc_bucket(F.col("doc_id"), 5) != 0)
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("hits").cast("long").alias("n_hits"),
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from the formatted windows.
 
@@ -41,6 +57,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
