@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm import toxicity
+from geomedallion.llm import decontamination, language_id, toxicity
 from geomedallion.llm.common import crc_bucket, table, tokenizer
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
@@ -56,10 +56,26 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a benchmark item that a document holds."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from those whose crc32(doc_id) mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(crc_bucket(F.col("doc_id"), 4) != 2))
+    return language_id.predict(docs, model).select(
+        "doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_language_id": op10_language_id,
     "op3_line_dedup": op3_line_dedup,
 }
 
