@@ -178,6 +178,7 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
     texts = known.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     part = F.substring("text", 1, FIT_SYMBOLS)  # of the sample only: no more can be used of one document
     sample = texts.join(F.broadcast(ids.select("id", "lang")), "id").select("lang", part.alias("text")).distinct()  # few rows per language
+    size = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}  # a row per language
     by_lang: dict[str, list[str]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["text"])):
         by_lang.setdefault(r["lang"], []).append(r["text"])
@@ -186,7 +187,7 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
     table = letter_table(letters)
     share = min(FIT_SYMBOLS, MAX_SYMBOLS // max(len(by_lang), 1))
     langs, samples = [], []
-    for name, ts in sorted(by_lang.items()):
+    for name, ts in sorted(by_lang.items(), key=lambda x: (-size[x[0]], x[0])):
         codes = [c for c in (encode(t, table) for t in ts) if (c != BLANK).any()]
         if codes:
             each = max(share // len(codes), 64)
@@ -202,7 +203,7 @@ def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id",
     """``doc_id, lang_pred, score`` of every row.
 
     ``und`` with score 0 for null texts, texts without a letter, and when no language was learned.
-    ``score`` is the runner-up's share of the two least costs: 0.5 for a tie (the first name wins),
+    ``score`` is the runner-up's share of the two least costs: 0.5 for a tie (the more frequent language wins),
     towards 1 the clearer the text; 1 if only one language is known. Repeated rows are scored one by one;
     an empty table gives no rows; other columns are not read.
     """

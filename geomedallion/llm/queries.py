@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm import decontamination, language_id, toxicity
+from geomedallion.llm import decontamination, html_extraction, language_id, toxicity
 from geomedallion.llm.common import crc_bucket, table, tokenizer
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
@@ -56,6 +56,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of a benchmark item that a document holds."""
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_html_extraction": op8_html_extraction,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
     "op3_line_dedup": op3_line_dedup,
