@@ -9,6 +9,7 @@ from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
 from geomedallion.llm import decontamination, html_extraction, language_id, toxicity
 from geomedallion.llm.common import crc_bucket, table, tokenizer
+from geomedallion.llm.nearest_vectors import nearest_neighbours
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
 
@@ -56,6 +57,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
@@ -79,6 +85,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op8_html_extraction": op8_html_extraction,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
