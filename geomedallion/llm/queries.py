@@ -9,6 +9,7 @@ from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
 from geomedallion.llm import decontamination, html_extraction, language_id, toxicity
 from geomedallion.llm.common import crc_bucket, table, tokenizer
+from geomedallion.llm.minhash_dedup import near_duplicates
 from geomedallion.llm.nearest_vectors import nearest_neighbours
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
@@ -62,6 +63,11 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document, on two-word shingles at 80 percent."""
+    return near_duplicates(table(spark, sf_dir, "documents"), n_words=2, percent=80)
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
@@ -86,6 +92,7 @@ QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
