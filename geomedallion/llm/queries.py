@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm import decontamination, html_extraction, language_id, toxicity
+from geomedallion.llm import decontamination, html_extraction, language_id, quality_classifier, toxicity
 from geomedallion.llm.common import crc_bucket, table, tokenizer
 from geomedallion.llm.minhash_dedup import near_duplicates
 from geomedallion.llm.nearest_vectors import nearest_neighbours
@@ -52,6 +52,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate_lines(docs, host="source", dropped="n_dropped").select("doc_id", "text", "n_dropped")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded quality of every document, learned from labels whose crc32(doc_id) mod 5 is not 0.
+
+    The labels give three grades: 0 low quality, 1 good but toxic, 2 good and clean.
+    """
+    docs = table(spark, sf_dir, "documents")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    ratings = table(spark, sf_dir, "labels").filter(crc_bucket(F.col("doc_id"), 5) != 0).select("doc_id", grade.alias("grade"))
+    model = quality_classifier.fit(docs, ratings)
+    return quality_classifier.score_documents(docs, model).select(
+        "doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "expected_grade", "predicted_grade",
+        F.element_at("tails", -1).alias("tail_probability"), (F.element_at("tails", -1) >= 0.5).alias("selected"),
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
     docs = table(spark, sf_dir, "documents")
@@ -90,6 +105,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
