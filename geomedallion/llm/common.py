@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def crc_bucket(col: Column, n: int) -> Column:
     """``crc32(id as text) mod n``, the split of rows into folds that the queries use."""
     return F.crc32(col.cast("string")) % n

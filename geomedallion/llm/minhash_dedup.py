@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,10 +106,14 @@ def estimate(a: Column, b: Column) -> Column:
     return ((1 - differ / (BANDS * ROWS)) - chance) / (1 - chance)
 
 
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def signatures(docs: DataFrame, n_words: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bands, packed`` of rows with columns ``doc_id, text``."""
+    """``doc_id, text_key, n_shingles, set_key, bands, packed`` of rows with columns ``doc_id, text``."""
     schema = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
+        T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("packed", T.ArrayType(T.LongType())),
     ])
 
@@ -122,7 +126,7 @@ def signatures(docs: DataFrame, n_words: int) -> DataFrame:
         signer = Signer()
         for batch in batches:
             n, key, bands, packed = [], [], [], []
-            for body in batch.column(1):
+            for body in batch.column(2):
                 shingles = shingle_set(body.as_py() or "", n_words)
                 minima = signer.minima(shingles) if len(shingles) else None
                 n.append(len(shingles))
@@ -130,10 +134,10 @@ def signatures(docs: DataFrame, n_words: int) -> DataFrame:
                 bands.append(None if minima is None else signer.bands(minima))
                 packed.append(None if minima is None else signer.packed(minima))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists(bands, BANDS), lists(packed, LONGS)], names=schema.names
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists(bands, BANDS), lists(packed, LONGS)], names=schema.names
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), "text").mapInArrow(run, schema)
 
 
 def shingle_arrays(docs: DataFrame, n_words: int) -> DataFrame:
@@ -167,7 +171,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int) ->
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row.
+    """``doc_id, text_key, n_shingles, component_id, kept`` of every row (``text_key`` is a hash of the text).
 
     Documents are linked when ``100 * common >= percent * union`` of their shingle sets; a component is
     named by its least doc_id, whose row is kept. Null texts and texts without words have no shingles and
@@ -209,6 +213,21 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         more = materialise(_confirmed(across, docs, n_words, percent))
         labels = connected_components(links.union(more))
 
-    named = signed.select("doc_id", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left").join(labels, "node", "left")
+    named = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left").join(labels, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
-    return named.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return named.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+
+
+def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``documents`` with one row of each component: that of the least doc_id; rows keep all their columns.
+
+    Of rows that share id and component one stays. Rows without an id cannot be named and all stay.
+    """
+    found = near_duplicates(documents, doc_id, text, n_words, percent)
+    stay = found.filter("kept").groupBy(F.col("doc_id").alias("id"), "component_id").agg(F.min("text_key").alias("key")).select("id", "key")
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")  # no column name can clash
+    rows = documents.select(F.col(f"`{doc_id}`").cast("long").alias("id"), _text_key(F.col(f"`{text}`")).alias("key"), row)
+    # the window needs the partitions and the order that the join leaves
+    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy("key"))
+    chosen = rows.filter(F.col("id").isNotNull()).join(stay, ["id", "key"], "left_semi").withColumn("nth", nth).filter(F.col("nth") == 1)
+    return chosen.select("row").union(rows.filter(F.col("id").isNull()).select("row")).select("row.*")

@@ -14,15 +14,16 @@ from geomedallion.llm.nearest_vectors import nearest_neighbours
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
     """Learned from the labels whose crc32(doc_id) mod 5 is not 0."""
     labels = table(spark, sf_dir, "labels").filter(crc_bucket(F.col("doc_id"), 5) != 0)
-    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+    return toxicity.fit(docs, labels)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
-    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir, docs))
     return scored.select(
         "doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("hits").cast("long").alias("n_hits"),
@@ -80,7 +81,8 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicates of every document, on two-word shingles at 80 percent."""
-    return near_duplicates(table(spark, sf_dir, "documents"), n_words=2, percent=80)
+    found = near_duplicates(table(spark, sf_dir, "documents"), n_words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import materialise
+from geomedallion.llm.common import fresh_name, materialise
 
 FIT_DOCS = 12_000
 MAX_TERMS = 400
@@ -345,3 +345,20 @@ def score_documents(documents: DataFrame, model: ToxicityModel, doc_id: str = "d
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(spans, kind)], names=schema.names)
 
     return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+
+
+def drop_toxic(documents: DataFrame, model: ToxicityModel, text: str = "text", reject_from: float = 0.5) -> DataFrame:
+    """``documents`` without those that score ``reject_from`` or more; rows keep all their columns."""
+    body = fresh_name(documents.columns, "text_to_score")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(model.terms)
+        for batch in batches:
+            x = []
+            for text in batch.column(batch.num_columns - 1):
+                n_words, hits = scanner.hits(text.as_py() or "")
+                x.append(model.features(n_words, _summary(hits)))
+            clean = model.score(np.array(x).reshape(-1, 6)) < reject_from
+            yield batch.filter(pa.array(clean, pa.bool_())).select(range(batch.num_columns - 1))
+
+    return documents.withColumn(body, F.col(f"`{text}`")).mapInArrow(run, documents.schema)
