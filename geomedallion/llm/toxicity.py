@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,8 +237,11 @@ def fit_rows(documents: DataFrame, labels: DataFrame, n: int = FIT_DOCS, label:
 
 def _candidates(rows: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, int, int]]:
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    stems = [F.transform(F.filter(words, lambda w, k=k: F.length(w) >= k), lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
-    terms = F.array_distinct(F.concat(F.filter(words, lambda w: F.length(w) >= 3), *stems))
+
+    def stems_of(k: int) -> Column:
+        return F.transform(F.filter(words, lambda w: F.length(w) >= k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
+
+    terms = F.array_distinct(F.concat(F.filter(words, lambda w: F.length(w) >= 3), *(stems_of(k) for k in STEMS)))
     least = max(MIN_DOCS, int(np.ceil(MIN_SHARE * n_toxic)))
     weight = F.log((F.col("p") + 0.5) / (n_toxic + 1)) - F.log((F.col("n") + 0.5) / (n_clean + 1))
     found = (
@@ -251,14 +254,25 @@ def _candidates(rows: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str,
 
 
 def choose_terms(candidates: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> tuple[list[str], list[float]]:
-    """Best terms first; a term that a chosen stem covers as surely is left out."""
+    """Best terms first.
+
+    A stem gives way to a word or longer stem that is in nearly as many toxic documents (words tolerate
+    misspelling, longer stems meet fewer clean words); a term that a chosen stem covers as surely is left out.
+    """
     def log_odds(p: int, n: int) -> float:
         return float(np.log((p + 0.5) / (n_toxic + 1)) - np.log((n + 0.5) / (n_clean + 1)))
 
     chosen: dict[str, float] = {}
     purity = {t: p / (p + n) for t, p, n in candidates}
+    best_below: dict[str, int] = defaultdict(int)  # most toxic documents of any longer term, by beginning
+    for term, p, _ in candidates:
+        bare = term.rstrip("*")
+        for k in range(min(STEMS), len(bare) + (not term.endswith("*"))):
+            best_below[bare[:k]] = max(best_below[bare[:k]], p)
     for term, p, n in candidates:
         bare = term.rstrip("*")
+        if term.endswith("*") and best_below[bare] >= 0.95 * p:
+            continue
         covers = [bare[:k] + "*" for k in range(min(STEMS), len(bare) + 1)]
         if any(c in chosen and c != term and purity[c] >= purity[term] - 0.02 for c in covers):
             continue
