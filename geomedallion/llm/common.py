@@ -24,6 +24,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of ``df`` (a materialised table of narrow rows) if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

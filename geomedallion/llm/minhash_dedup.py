@@ -7,10 +7,11 @@ chance collisions, estimates the similarity and drops most candidates; the rest
 sets. Links make components.
 
 Nothing is lost between band and link: documents with equal sets are one node from the start; each
-bucket first links its members to its least and greatest member only, and what lies in one component
-then needs no further test. Buckets that still hold several components are joined with themselves
-across components, so every candidate pair is either inside a component or tested. A bucket with a third
-of all documents (near copies of one text) thus costs a pair per member, not per pair of members.
+bucket first tests its members against its least and one random member only; what lies in one component
+needs no further test. In the next turn, buckets that still hold several components draw a new pivot.
+Members of what is left are compared exactly across components by their differences from a pivot, so
+every candidate pair is either inside a component or tested. A bucket with a third of all documents
+(near copies of one text) thus makes a pair per member and turn, not per pair of members.
 
 Probability of missing a link of similarity 0.8: ``(1 - 0.8**5)**30 = 7e-6`` in the bands, less than 1e-6
 by the estimate (five standard deviations); both fall fast above 0.8.
@@ -31,15 +32,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import materialise
+from geomedallion.llm.common import broadcast_if_small, materialise
 from geomedallion.llm.components import connected_components
 
 BANDS, ROWS = 30, 5
 BITS = 2
 FIELDS = 64 // BITS
 LONGS = -(-BANDS * ROWS // FIELDS)
+MAX_TURNS = 2
+SPREAD = 16
 MARGIN = 0.2  # candidates estimated below the threshold by more than this are dropped
-CHUNK = 4_096  # shingles hashed at once, which bounds memory
+CHUNK = 1_024  # shingles hashed at once, which bounds memory
 SEED = 77
 WORDS, PERCENT = 5, 80
 
@@ -161,13 +164,93 @@ def _likely(percent: int) -> Column:
     return sizes & (estimate(F.col("packed_a"), F.col("packed_b")) >= percent / 100 - MARGIN)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = materialise(shingle_arrays(docs.join(wanted, "doc_id", "left_semi"), n_words))
     both = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.filter(common * 100 >= (F.size("set_a") + F.size("set_b") - common) * percent).select("a", "b")
+    return materialise(both.filter(common * 100 >= (F.size("set_a") + F.size("set_b") - common) * percent).select("a", "b"))
+
+
+def _mixed(held: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Buckets' members with their components; the buckets with several, each with a random member as pivot."""
+    members = held.withColumn("component", F.col("node"))
+    if labels is not None:
+        members = held.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    draw = F.xxhash64("node", "key", F.lit(turn))
+    buckets = members.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("node", draw).alias("pivot"), F.min_by("component", draw).alias("of_pivot")
+    )
+    return members, buckets.filter(F.col("low") != F.col("high"))
+
+
+def _linked(nodes: DataFrame, held: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """``node, component`` of the nodes that have links (None without any)."""
+    sizes = nodes.select("node", "n", "packed")
+    left, right = sizes.toDF("a", "n_a", "packed_a"), sizes.toDF("b", "n_b", "packed_b")
+    tested = links = labels = None
+    for turn in range(MAX_TURNS):  # each member against one pivot, as long as that links anything
+        members, buckets = _mixed(held, labels, turn)
+        across = members.join(buckets, "key").filter(F.col("component") != F.col("of_pivot"))
+        pairs = across.select(*_ordered(F.col("node"), F.col("pivot")))
+        if turn == 0:
+            pairs = pairs.union(across.filter(F.col("node") != F.col("low")).select(*_ordered(F.col("node"), F.col("low"))))
+        pairs = pairs.distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(pairs.join(right, "b").join(left, "a").filter(_likely(percent)).select("a", "b"))
+        tested = pairs if tested is None else tested.union(pairs)
+        more = _confirmed(pairs, sets, percent)
+        if more.isEmpty():
+            break
+        links = more if links is None else links.union(more)
+        labels = connected_components(links)
+
+    more = _links_by_difference(_mixed(held, labels, MAX_TURNS), links, sets, percent)
+    if not more.isEmpty():
+        labels = connected_components(more if links is None else links.union(more))
+    return labels
+
+
+def _links_by_difference(mixed: tuple[DataFrame, DataFrame], links: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """All links across components within the buckets that still hold several.
+
+    Each bucket has a pivot ``p``, its member with most links, and each member ``x`` is described by its
+    difference from it: ``a = |p - x|``, ``b = |x - p|`` and the differing shingles. Two members whose
+    differences share ``s`` shingles have ``|p| - a - a' + s`` shingles in common and ``|p| + b + b' - s`` in
+    their union, so short arrays decide exactly; no candidate pairs are written. The join compares members
+    outside a pivot's largest component with its members, spread over ``SPREAD`` parts.
+    """
+    members, buckets = mixed
+    if links is None:
+        degree = members.select("node").distinct().withColumn("degree", F.lit(0))
+    else:
+        degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("degree"))
+    held = members.join(buckets.select("key"), "key").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    # of two members one was the pivot already
+    pivots = held.groupBy("key").agg(F.max_by("node", "degree").alias("pivot"), F.count("*").alias("n")).filter(F.col("n") > 2)
+    around = held.join(pivots.select("key", "pivot"), "key").select("pivot", "node", "component").distinct()
+    both = around.join(sets.toDF("node", "own"), "node").join(sets.toDF("pivot", "other"), "pivot")
+    gone, new = F.array_except("other", "own"), F.array_except("own", "other")
+    described = materialise(
+        both.select("pivot", "node", "component", F.size(gone).alias("a"), F.size(new).alias("b"), F.size("other").alias("p"), F.concat(gone, new).alias("diff"))
+    )
+    counted = described.groupBy("pivot", "component").agg(F.count("*").alias("n"))
+    main = counted.groupBy("pivot").agg(F.max_by("component", "n").alias("main"))
+    part = F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int")
+    y = described.join(main, "pivot").withColumn("in_main", F.col("component") == F.col("main")).drop("main").withColumn("part", part)
+    x = described.join(main, "pivot").filter(F.col("component") != F.col("main")).drop("main", "p")
+    x = x.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).toDF("pivot", "x", "c_x", "a_x", "b_x", "d_x", "part")
+    once = F.col("in_main") | (F.col("x") < F.col("node"))
+    most = F.least(F.size("d_x"), F.size("diff"))  # bounds what the differences can share, before they are compared
+    shared = F.size(F.array_intersect("d_x", "diff"))
+
+    def similar(s: Column) -> Column:
+        return (F.col("p") - F.col("a_x") - F.col("a") + s) * 100 >= (F.col("p") + F.col("b_x") + F.col("b") - s) * percent
+
+    # when() keeps the order of the tests: the cheap ones first
+    linked = F.when(~once | (F.col("c_x") == F.col("component")) | ~similar(most), False).otherwise(similar(shared))
+    found = x.join(y, ["pivot", "part"]).filter(linked)
+    return materialise(found.select(*_ordered(F.col("x"), F.col("node"))).distinct())
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -186,34 +269,14 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("packed").alias("packed"))
     )
     keys = nodes.select("node", F.explode("bands").alias("key"))
-    full = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(F.col("least") != F.col("most"))
-    held = materialise(keys.join(full, "key"))  # buckets of two nodes or more
-
-    sizes = nodes.select("node", "n", "packed")
-    left, right = sizes.toDF("a", "n_a", "packed_a"), sizes.toDF("b", "n_b", "packed_b")
-    stars = (
-        held.select(*_ordered(F.col("node"), F.col("least"))).union(held.select(*_ordered(F.col("node"), F.col("most"))))
-        .filter(F.col("a") != F.col("b")).distinct()
-    )
-    tested = materialise(stars.join(right, "b").join(left, "a").filter(_likely(percent)).select("a", "b"))
-    links = materialise(_confirmed(tested, docs, n_words, percent))
-    labels = connected_components(links)
-
-    labelled = held.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high"))
-    rest = labelled.join(mixed.select("key"), "key").join(sizes, "node")
-    x = rest.toDF("a", "key", "c_a", "n_a", "packed_a")
-    y = rest.toDF("b", "key", "c_b", "n_b", "packed_b")
-    across = (
-        x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _likely(percent))
-        .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    )
-    across = materialise(across)
-    if not across.isEmpty():
-        more = materialise(_confirmed(across, docs, n_words, percent))
-        labels = connected_components(links.union(more))
+    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(F.col("least") != F.col("most"))
+    held = materialise(keys.join(shared.select("key"), "key"))  # buckets of two nodes or more
+    wanted = broadcast_if_small(materialise(held.select(F.col("node").alias("doc_id")).distinct()))
+    sets = materialise(shingle_arrays(docs.join(wanted, "doc_id", "left_semi"), n_words))
+    labels = _linked(nodes, held, sets, percent)
 
-    named = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left").join(labels, "node", "left")
+    named = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left")
+    named = named.withColumn("component", F.col("node")) if labels is None else named.join(labels, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return named.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
@@ -224,10 +287,18 @@ def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     Of rows that share id and component one stays. Rows without an id cannot be named and all stay.
     """
     found = near_duplicates(documents, doc_id, text, n_words, percent)
-    stay = found.filter("kept").groupBy(F.col("doc_id").alias("id"), "component_id").agg(F.min("text_key").alias("key")).select("id", "key")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "component_id").orderBy("text_key"))
+    same = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.first("component_id").alias("component_id"), F.first("kept").alias("kept"))
+    same = same.withColumn("stays", F.col("kept") & (nth == 1)).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "n", "stays")
+    same = materialise(same.filter(~F.col("stays") | (F.col("n") > 1)))
+    gone = broadcast_if_small(same.filter(~F.col("stays")).select("id", "key"))
     row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")  # no column name can clash
     rows = documents.select(F.col(f"`{doc_id}`").cast("long").alias("id"), _text_key(F.col(f"`{text}`")).alias("key"), row)
-    # the window needs the partitions and the order that the join leaves
-    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy("key"))
-    chosen = rows.filter(F.col("id").isNotNull()).join(stay, ["id", "key"], "left_semi").withColumn("nth", nth).filter(F.col("nth") == 1)
-    return chosen.select("row").union(rows.filter(F.col("id").isNull()).select("row")).select("row.*")
+    rows = rows.join(gone, ["id", "key"], "left_anti")
+    repeated = same.filter("stays").select("id", "key")
+    if not repeated.isEmpty():  # rows that agree in id and text: one of them
+        several = broadcast_if_small(repeated)
+        number = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.to_json("row")))
+        one = rows.join(several, ["id", "key"], "left_semi").withColumn("nth", number).filter(F.col("nth") == 1).drop("nth")
+        rows = rows.join(several, ["id", "key"], "left_anti").union(one)
+    return rows.select("row.*")
