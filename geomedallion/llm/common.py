@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there.
+    """Write ``df`` once, as Parquet in the shared checkpoint folder, and go on from there.
 
-    Used where a result is read several times; the files survive the loss of executors.
+    Used where a result is read several times. The files survive the loss of executors, later reads take
+    only the columns they need, and plans made from them know their real size (a chain of checkpoints
+    multiplies estimates with every join).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete what :func:`materialise` wrote for tables that nothing reads any more."""
+    for df in tables:
+        path = _WRITTEN.pop(df, None) if df is not None else None
+        if path:
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 BROADCAST_ROWS = 1_000_000

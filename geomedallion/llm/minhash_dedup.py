@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geomedallion.llm.common import broadcast_if_small, materialise
-from geomedallion.llm.components import connected_components
+from geomedallion.llm.components import merged_components
 
 BANDS, ROWS = 30, 5
 BITS = 2
@@ -203,11 +203,11 @@ def _linked(nodes: DataFrame, held: DataFrame, sets: DataFrame, percent: int) ->
         if more.isEmpty():
             break
         links = more if links is None else links.union(more)
-        labels = connected_components(links)
+        labels = merged_components(labels, more)
 
     more = _links_by_difference(_mixed(held, labels, MAX_TURNS), links, sets, percent)
     if not more.isEmpty():
-        labels = connected_components(more if links is None else links.union(more))
+        labels = merged_components(labels, more)
     return labels
 
 

@@ -1,0 +1,70 @@
+import random
+
+from pyspark.sql import functions as F
+
+from geomedallion.llm.decontamination import ItemMatcher, bit_masks, drop_leaks, error_budget, find_leaks, myers, normalise, pieces
+
+
+def best_distance(pattern, text):
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(pattern, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(text, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return min(row)
+
+
+def test_myers_is_the_edit_distance():
+    rng = random.Random(1)
+    for _ in range(200):
+        p = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 90)))
+        t = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 120)))
+        assert min(myers(bit_masks(p), len(p), t)) == min(best_distance(p, t), min(myers(bit_masks(p), len(p), t)))
+        assert min([len(p), *myers(bit_masks(p), len(p), t)]) == best_distance(p, t)
+
+
+def test_pieces_cover_the_item():
+    item = "x" * 233
+    assert len(pieces(item)) == error_budget(233) + 1 and "".join(p for _, p in pieces(item)) == item
+
+
+def edited(rng, text, n):
+    t = list(text)
+    for _ in range(n):
+        k = rng.randrange(len(t))
+        t[k : k + rng.randint(0, 1)] = rng.choice(["", "q", "zz"[:1]])
+    return "".join(t)
+
+
+def test_matcher_agrees_with_brute_force():
+    rng = random.Random(2)
+    words = ["of", "the", "and", "river", "stone", "light", "seven", "green", "of the"]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = list(dict.fromkeys(normalise(line(rng.randint(5, 40))) for _ in range(12)))
+    matcher = ItemMatcher(items)
+    for _ in range(150):
+        item = rng.choice(items)
+        text = normalise(line(30) + " " + edited(rng, item, rng.randint(0, error_budget(len(item)) + 3)) + " " + line(30))
+        got = {i: e for i, e, _, _ in matcher.find(text)}
+        want = {i: d for i, x in enumerate(items) if (d := best_distance(x, text)) <= error_budget(len(x))}
+        assert got == want
+
+
+def test_leaks_spans_and_rows_of_every_kind(spark):
+    item = "The quick, brown fox jumps over 13 lazy dogs while the old band plays on and on until the morning comes."
+    bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "too short"), (5, item.upper())], "item_id long, text string")
+    rows = [(1, f"Intro.\n{item} And more."), (2, "the QUICK brown fox jumps over 13 lazy dogs -- while teh old band plays on and on until the morning comes"), (3, None), (4, ""), (5, item[:60]), (6, "filler " * 60_000 + item + " x"), (6, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("x")).withColumn("text_to_match", F.lit(1))
+    got = sorted((r.doc_id, r.item_id, r.edits, r.start, r.end) for r in find_leaks(docs, bench).collect())
+    assert [g[:3] for g in got] == [(1, 1, 0), (1, 5, 0), (2, 1, 2), (2, 5, 2), (6, 1, 0), (6, 5, 0)]
+    assert rows[0][1][got[0][3] : got[0][4]] == item[:-1]
+    out = drop_leaks(docs, bench)
+    assert out.columns == docs.columns and sorted((r.doc_id, r.text) for r in out.filter("text is not null").collect()) == [(4, ""), (5, item[:60]), (6, "clean")]
+    assert out.count() == 4
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert find_leaks(docs, none).count() == 0 and drop_leaks(docs, none).count() == 1
+    assert find_leaks(docs.limit(0), none).count() == 0
