@@ -40,6 +40,21 @@ MIN_TEXT_LENGTH = 2             # shorter place/title strings become null
 EPOCH = _dt.datetime(1970, 1, 1)
 
 
+def ts_literal(value: _dt.datetime) -> Column:
+    """A timestamp literal. A naive value means UTC (ruling D6); ``F.lit`` would read it in the time
+    zone of the Python process."""
+    return F.timestamp_micros(F.lit(epoch_micros(value)))
+
+
+def epoch_micros(value: _dt.datetime) -> int:
+    return (as_utc(value) - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)) // _dt.timedelta(microseconds=1)
+
+
+def as_utc(value: _dt.datetime) -> _dt.datetime:
+    """The same moment with its time zone; a naive value means UTC."""
+    return value.replace(tzinfo=_dt.timezone.utc) if value.tzinfo is None else value
+
+
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -79,7 +94,7 @@ def _text_of(field: T.StructField, scale: int) -> Column:
         # Doubles print differently across engines; a fixed-scale decimal prints the same.
         return c.cast(T.DecimalType(18, scale)).cast("string")
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if isinstance(dt, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     return c.cast("string")
@@ -124,7 +139,7 @@ def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
 
 def fill_epoch(c, data_type: T.DataType | None = None) -> Column:
     """Null timestamps become 1970-01-01 00:00:00 (na.fill rejects timestamps)."""
-    epoch = F.lit(EPOCH)
+    epoch = ts_literal(EPOCH)
     if data_type is not None:
         epoch = epoch.cast(data_type)
     return F.coalesce(as_col(c), epoch)

@@ -27,36 +27,40 @@ def json_path(path: Sequence[str]) -> str:
 
 
 def json_get(c, path: Sequence[str], default: Any = None) -> Column:
-    """N1 over JSON text: ``get_json_object`` returns null for a missing step or a non-object parent."""
+    """N1 over JSON text: the value at the path; the default only where the path is missing.
+
+    A step is missing when its parent is not an object or has no such key; a present null is returned
+    as null. Without a default both give null.
+    """
     c = F.col(c) if isinstance(c, str) else c
     got = F.get_json_object(c, json_path(path))
-    return got if default is None else F.coalesce(got, _lit(default).cast("string"))
-
-
-def _field_type(dt: T.DataType, path: Sequence[str]) -> T.DataType | None:
-    for p in path:
-        if not isinstance(dt, T.StructType) or p not in dt.fieldNames():
-            return None
-        dt = dt[p].dataType
-    return dt
+    if default is None:
+        return got
+    parent = F.get_json_object(c, json_path(path[:-1])) if len(path) > 1 else c
+    present = F.coalesce(F.array_contains(F.json_object_keys(parent), path[-1]), F.lit(False))
+    return F.when(got.isNotNull() | present, got).otherwise(_lit(default).cast("string"))
 
 
 def struct_get(df: DataFrame, path: Sequence[str], default: Any = None) -> Column:
     """N1 over struct columns: path[0] is a top-level column; a missing step gives ``default``.
 
-    Missing steps are resolved from the schema (no per-row work); a null parent yields the default too.
+    Missing steps are resolved from the schema (no per-row work). A null parent holds nothing, so it
+    gives the default; a field that is null inside a present parent is returned as null.
     """
     top = path[0]
     if top not in df.columns:
         return _lit(default)
     dt = df.schema[top].dataType
     c = F.col(f"`{top}`")
+    parent = None
     for p in path[1:]:
         if not isinstance(dt, T.StructType) or p not in dt.fieldNames():
             return _lit(default)
-        c = c.getField(p)
+        parent, c = c, c.getField(p)
         dt = dt[p].dataType
-    return c if default is None else F.coalesce(c, _lit(default))
+    if default is None or parent is None:
+        return c
+    return F.when(parent.isNotNull(), c).otherwise(_lit(default))
 
 
 def _null_struct(dt: T.StructType) -> Column:

@@ -1,8 +1,7 @@
-"""Key-based de-duplication (A3), first-row-per-key (T1) and whole-record distinct (A4).
+"""Key-based de-duplication (A3) and first-row-per-key.
 
 ``first_by_key`` keeps, for every key, the row that sorts first under a total order. The
-order is encoded as one struct and the row is chosen with ``min_by`` in an aggregation:
-map-side partial aggregation collapses a hot key before the shuffle (no window over the key).
+order is encoded as one struct and the least row is chosen in an aggregation: map-side partial aggregation collapses a hot key before the shuffle (no window over the key).
 Descending numeric / temporal columns are negated inside the struct; a descending column of
 another type falls back to ``row_number() = 1`` (Spark then plans a partial WindowGroupLimit).
 """
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["Order", "first_per_key", "first_by_key", "dedup_by_key", "distinct_rows", "orderable"]
+__all__ = ["Order", "first_per_key", "first_by_key", "dedup_by_key", "orderable"]
 
 
 @dataclass(frozen=True)
@@ -77,11 +76,28 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n).drop(rn)
 
 
+def _least_row(df: DataFrame, keys: Sequence[str], order: Sequence[Order], sort: Column) -> DataFrame:
+    """The least (sort columns, other columns) struct of each key; every column travels once.
+
+    Keys come back from the grouping, ascending sort columns from the sort part.
+    """
+    held = {o.col: f"v{i}" for i, o in enumerate(order) if not o.desc}
+    rest = [c for c in df.columns if c not in keys and c not in held]
+    least = F.min(F.struct(sort.alias("s"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("r")))
+    picked = df.groupBy(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(least.alias("__r"))
+    place = {k: F.col(f"__k{i}") for i, k in enumerate(keys)}
+    place |= {c: F.col("__r.s").getField(v) for c, v in held.items() if c not in place}
+    place |= {c: F.col("__r.r").getField(c) for c in rest}
+    return picked.select(*[place[c].alias(c) for c in df.columns])
+
+
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Order]) -> DataFrame:
     """The first row of each key under ``order`` (one row per key, nulls grouped together)."""
     key = _sort_struct(df, order)
     if key is None:
         return first_per_key(df, keys, [o.column() for o in order])
+    if all(orderable(f.dataType) for f in df.schema.fields):
+        return _least_row(df, keys, order, key)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     picked = df.groupBy(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.min_by(row, key).alias("__r"))
     return picked.select(*[F.col("__r").getField(c).alias(c) for c in df.columns])
@@ -100,8 +116,3 @@ def dedup_by_key(
         then_by = [c for c in df.columns if c not in keys and c not in newest_first and orderable(types[c])]
     order = [Order(c, desc=True) for c in newest_first] + [Order(c) for c in then_by]
     return first_by_key(df, keys, order)
-
-
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """A4: whole-record distinct (partial aggregation before the shuffle)."""
-    return df.distinct()

@@ -1,4 +1,4 @@
-"""Incremental extraction by high watermark (S6, P9, J5, A2) and the run log.
+"""Incremental extraction by high watermark.
 
 The watermark is ``max(last_updated)`` over the *Succeeded* runs, with the epoch when there
 are none (ruling D16). It is an uncorrelated scalar subquery: evaluated once and pushed to
@@ -7,15 +7,13 @@ the Parquet scan of the extracted table as ``GreaterThan(ts, ScalarSubquery)``.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.functions.columns import EPOCH
+from geomedallion.functions.columns import EPOCH, ts_literal
 
-__all__ = ["RUN_LOG_SCHEMA", "watermark", "extract_since", "run_log_entry", "append_run"]
+__all__ = ["RUN_LOG_SCHEMA", "watermark", "extract_since"]
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("job_id", T.StringType(), False),
@@ -29,7 +27,7 @@ def watermark(run_log: DataFrame, data_type: T.DataType | None = None) -> DataFr
     lu = F.col("last_updated")
     if data_type is not None:
         lu = lu.cast(data_type)
-    epoch = F.lit(EPOCH)
+    epoch = ts_literal(EPOCH)
     if data_type is not None:
         epoch = epoch.cast(data_type)
     return run_log.where(F.col("status") == "Succeeded").agg(F.coalesce(F.max(lu), epoch).alias("watermark"))
@@ -39,12 +37,3 @@ def extract_since(df: DataFrame, run_log: DataFrame, ts_col: str = "update_tm")
     """Rows of ``df`` with ``ts_col`` strictly newer than the watermark."""
     wm = watermark(run_log, df.schema[ts_col].dataType)
     return df.where(F.col(ts_col) > wm.select("watermark").scalar())
-
-
-def run_log_entry(spark: SparkSession, job_id: str, last_updated: _dt.datetime, status: str = "Succeeded") -> DataFrame:
-    return spark.createDataFrame([(job_id, last_updated, status)], RUN_LOG_SCHEMA)
-
-
-def append_run(spark: SparkSession, table: str, job_id: str, last_updated: _dt.datetime, status: str = "Succeeded") -> None:
-    """Append one run (after the gold layer, ruling D16)."""
-    run_log_entry(spark, job_id, last_updated, status).write.mode("append").saveAsTable(table)

@@ -10,7 +10,9 @@ outer join, so a hot right-side key would land in one task. Instead:
      (``explode_outer``: a key without right rows keeps one replica with a null salt);
   3. left join on (keys, salt): every pair is produced exactly once, a hot key's pairs are
      spread over n tasks;
-  4. a replica whose salt bucket happens to be empty yields a null-padded row; it is dropped
+  4. a left row without right rows (unknown or null key) takes a random-looking bucket of its own, so
+     that all rows with a null key do not meet in one task;
+  5. a replica whose salt bucket happens to be empty yields a null-padded row; it is dropped
      unless the key has no right rows at all. A key with right rows has at least one non-empty
      bucket, so every left row still appears.
 
@@ -29,6 +31,7 @@ from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_
 __all__ = ["salted_left_join", "DEFAULT_ROWS_PER_SALT"]
 
 DEFAULT_ROWS_PER_SALT = 100_000
+UNMATCHED_BUCKETS = 1 << 16
 
 
 def salted_left_join(
@@ -62,11 +65,15 @@ def salted_left_join(
     salted_right = (
         right.where(present).join(counts_b, keys)
         .withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("__n")).cast("int"))
-        .drop("__n").withColumn("__hit", F.lit(True))
+        .drop("__n").withColumn("__hit", F.lit(True)).withColumn("__alone", F.lit(-1))
     )
-    salted_left = left.join(counts_b, keys, "left").withColumn(
-        "__salt", F.explode_outer(F.sequence(F.lit(0), F.col("__n") - 1)))
-    joined = salted_left.join(salted_right, keys + ["__salt"], "left")
+    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(UNMATCHED_BUCKETS)).cast("int")
+    salted_left = (
+        left.join(counts_b, keys, "left")
+        .withColumn("__salt", F.explode_outer(F.sequence(F.lit(0), F.col("__n") - 1)))
+        .withColumn("__alone", F.when(F.col("__n").isNull(), row_hash).otherwise(F.lit(-1)))
+    )
+    joined = salted_left.join(salted_right, keys + ["__salt", "__alone"], "left")
     kept = joined.where(F.col("__hit").isNotNull() | F.col("__n").isNull())
     cols = list(left.columns) + right_cols
     return kept.select(*cols)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
 
-__all__ = ["DuplicateSourceKeyError", "assert_unique_keys", "merge_upsert"]
+__all__ = ["DuplicateSourceKeyError", "merge_upsert"]
 
 
 class DuplicateSourceKeyError(ValueError):
@@ -38,13 +38,6 @@ def _all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """M3: raise when a key occurs twice (partial aggregation; reads back at most one row)."""
-    dup = df.where(_all_present(keys)).groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise DuplicateSourceKeyError(f"source has more than one row for key {dict(zip(keys, dup[0][:len(keys)]))}")
-
-
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,

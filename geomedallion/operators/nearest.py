@@ -137,7 +137,9 @@ def nearest_location(
 
     Output columns: obs columns, lat_bin, lon_bin, location columns, ``distance_col``.
     ``ids_unique=True`` declares ``id_col`` unique (e.g. the weather id after silver
-    de-duplication) and skips the per-id reduction when the location side is broadcast.
+    de-duplication) and skips the per-id reduction when the location side is broadcast; it is the
+    caller's promise, and both plans agree only where it holds (without it, rows that share an id,
+    or have none, are one).
     ``locs_rows_bound`` is a row bound the caller has already proven for ``locs``; it replaces
     the size probe. In bins with more than ``dense_bin_candidates`` locations (broadcast plan) an
     observation first searches the 3x3 sub-cells around it and keeps that answer only when a
@@ -243,7 +245,9 @@ def nearest_location(
     per_chunk = exploded.join(packed, list(BIN_COLS) + ["__chunk"], "left").withColumn("__best", best_of(F.col("__cands")))
     obs_struct = F.struct(*[F.col(f"`{c}`") for c in obs_cols])
     order_rest = [F.col(f"`{c}`") for c in obs_cols if c != id_col and orderable(ob.schema[c].dataType)]
-    order = F.struct(F.col("__best.d").isNull(), F.col("__best.d"), *tie_out, *order_rest)
+    # the broadcast plan's order: distance, ties, the rest of the observation; among the chunks of one
+    # observation the location itself decides
+    order = F.struct(F.col("__best.d").isNull(), F.col("__best.d"), *tie_out, *order_rest, F.col("__best.loc"))
     payload = F.struct(obs_struct.alias("o"), F.col("__best.loc").alias("loc"), F.col("__best.d").alias("d"))
     reduced = per_chunk.groupBy(id_col).agg(F.min_by(payload, order).alias("__w"))
     return reduced.select(

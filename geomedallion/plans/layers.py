@@ -37,23 +37,28 @@ from geomedallion.sources import landed as LD
 from geomedallion.sources.csv import bind_by_name, read_csv
 
 ENTITIES = ("usgs", "census", "geocode", "weather")
+MIN_MAGNITUDE = 2.0
 LOCATION_TIES = ("geo_lat", "geo_lon", "name_key")
 
 
 # --- bronze: staging rows of each entity ---------------------------------------------------
 
-def _quarantine(df: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
-    """A6 + A8: rows with a null key part or an over-long string are rejected."""
-    bad = QC.any_null(SC.RAW_KEYS[entity]) | QC.too_long(SC.VARCHAR_LIMITS[entity])
+def _quarantine(df: DataFrame, entity: str, also: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """A6 + A8: rows with a null key part (or column of ``also``) or an over-long string are rejected."""
+    bad = QC.any_null((*SC.RAW_KEYS[entity], *also)) | QC.too_long(SC.VARCHAR_LIMITS[entity])
     return QC.split(df, bad)
 
 
-def stage_usgs(events: DataFrame, window_start=None, window_end=None, min_mag: float = 2.0):
-    """Flattened events -> (valid staging rows, rejected). P10 keeps the feed window."""
+def stage_usgs(events: DataFrame, window_start=None, window_end=None, min_mag: float | None = None):
+    """Flattened events -> (valid staging rows, rejected). P10 keeps the feed's window and magnitude,
+    each where it is given."""
     df = bind_by_name(events, SC.STAGING["usgs"])
+    # the quarantine goes first: a null time or magnitude has no answer to the window (ruling D35)
+    valid, rejected = _quarantine(df, "usgs", also=("mag",) if min_mag is not None else ())
     if window_start is not None:
-        df = df.where(C.in_window("time", F.lit(window_start), F.lit(window_end)) & (F.col("mag") >= F.lit(min_mag)))
-    valid, rejected = _quarantine(df, "usgs")
+        valid = valid.where(C.in_window("time", C.ts_literal(window_start), C.ts_literal(window_end)))
+    if min_mag is not None:
+        valid = valid.where(F.col("mag") >= F.lit(min_mag))
     return dedup_by_key(valid, SC.RAW_KEYS["usgs"], newest_first=["updated"]), rejected
 
 
@@ -67,10 +72,16 @@ def stage_geocode(rows: DataFrame):
     return dedup_by_key(valid, SC.RAW_KEYS["geocode"]), rejected
 
 
+def feed_rows(rows: DataFrame, entity: str) -> DataFrame:
+    """The feed as it landed, in staging columns: nothing is filtered, checked or de-duplicated."""
+    if entity == "weather" and dict(rows.dtypes).get("date") == "string":
+        rows = rows.withColumn("date", C.parse_date("date"))  # F13, before binding
+    return bind_by_name(rows, SC.STAGING[entity])
+
+
 def stage_weather(rows: DataFrame):
     """Weather payload rows: the text ``date`` is parsed (F13) before binding."""
-    if dict(rows.dtypes).get("date") == "string":
-        rows = rows.withColumn("date", C.parse_date("date"))
+    rows = feed_rows(rows, "weather")
     valid, rejected = _quarantine(bind_by_name(rows, SC.STAGING["weather"]), "weather")
     return dedup_by_key(valid, SC.RAW_KEYS["weather"]), rejected
 
@@ -154,11 +165,11 @@ def gold_tables(
     big = DEFAULT_BROADCAST_MAX_ROWS + 1  # no bound proven: take the shuffle plans
     weather_loc = nearest_location(
         w, loc, id_col="weather_id", obs_lat="lat", obs_lon="lon",
-        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique, locs_rows_bound=bound or big,
+        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique, locs_rows_bound=big if bound is None else bound,
     )
     usgs_loc = nearest_location(
         q, loc, id_col="usgs_id", obs_lat="latitude", obs_lon="longitude", tie_breakers=LOCATION_TIES,
-        locs_rows_bound=bound or big,
+        locs_rows_bound=big if bound is None else bound,
     )
     fact = location_fact(weather_loc, usgs_loc, location_rows_bound=bound)
     return {"location_dimension": loc, "attribute_table": fact, "dim_date": date_dimension(fact, "date")}
@@ -191,6 +202,7 @@ class Medallion:
     database: str
     root: str
     rejected: dict = field(default_factory=dict)
+    _merge_of: dict = field(default_factory=dict, repr=False)  # run time -> merge time of its rows
     # appends to the shared touched_days table are serialised: concurrent file commits into one
     # table folder would share (and clean up) the same temporary directory
     _record_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
@@ -205,6 +217,8 @@ class Medallion:
         K.create_table(self.spark, self.t("run_log"), RUN_LOG_SCHEMA, self.root)
         K.create_table(self.spark, self.t("touched_days"), SC.TOUCHED_DAYS, self.root)
         for e in ENTITIES:
+            rejected = T.StructType(SC.STAGING[e].fields + [T.StructField("rejected_tm", T.TimestampType())])
+            K.create_table(self.spark, self.t(f"{e}_rejected"), rejected, self.root)
             K.create_table(self.spark, self.t(f"{e}_insert"), SC.STAGING[e], self.root)
             K.create_table(self.spark, self.t(f"{e}_silver_insert"), SC.SILVER[e], self.root)
             for layer, schema in (("raw", SC.RAW[e]), ("silver", SC.SILVER[e])):
@@ -214,8 +228,22 @@ class Medallion:
                 else:
                     K.create_table(self.spark, self.t(f"{e}_{layer}"), schema, self.root)
 
+    def merge_time(self, run_ts: _dt.datetime) -> _dt.datetime:
+        """The time that stamps the rows of a run (``update_tm``) and its log entry.
+
+        It is ``run_ts`` (ruling D26), unless a merge with that time or a later one is already on record:
+        a rerun, a replay or a backfill is stamped just after the newest, so that the incremental pull
+        sees its rows. Merge times thus only grow, whatever the order of the runs' own times.
+        """
+        log = self.spark.table(self.t("run_log")).where(F.col("status") == "Succeeded").agg(F.max(F.unix_micros("last_updated")))
+        days = self.spark.table(self.t("touched_days")).agg(F.max(F.unix_micros("run_ts")))
+        newest = max((r[0] for r in (log.first(), days.first()) if r[0] is not None), default=None)
+        if newest is None or C.epoch_micros(run_ts) > newest:
+            return C.as_utc(run_ts)
+        return _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(microseconds=newest + 1)
+
     def merge_into(self, entity: str, table: str, staging: str, keys, run_ts: _dt.datetime, snapshot: str) -> None:
-        """Keyed upsert of a staging table into a layer table.
+        """Keyed upsert of a staging table into a layer table; ``run_ts`` stamps its rows.
 
         Partitioned entities: only the days present in the staging rows are read (partition
         pruning), merged and written as a new snapshot of those partitions; the list of days is
@@ -231,13 +259,15 @@ class Medallion:
             if any(v is None for v in touched):
                 raise ValueError(f"{entity}: staging rows without a {SC.PARTITION_SOURCE[entity]} value")
             target = self.spark.table(table).where(F.col(day).isin(touched))
-            merged = merge_upsert(target, src, keys, F.lit(run_ts))
-            K.replace_partitions(merged, table, self.root, snapshot, day, [v.isoformat() for v in touched])
-            record = self.spark.createDataFrame([(table, v, run_ts) for v in touched], SC.TOUCHED_DAYS)
+            merged = merge_upsert(target, src, keys, C.ts_literal(run_ts))
+            # the days are on record before they change: a crash in between costs a look at unchanged
+            # days, never the loss of changed ones
+            record = self.spark.createDataFrame([(table, v, C.as_utc(run_ts)) for v in touched], SC.TOUCHED_DAYS)
             with self._record_lock:
-                record.write.insertInto(self.t("touched_days"))
+                record.coalesce(1).write.insertInto(self.t("touched_days"))
+            K.replace_partitions(merged, table, self.root, snapshot, day, [v.isoformat() for v in touched])
         else:
-            merged = merge_upsert(self.spark.table(table), src, keys, F.lit(run_ts))
+            merged = merge_upsert(self.spark.table(table), src, keys, C.ts_literal(run_ts))
             K.replace_table(merged, table, self.root, snapshot)
 
     def changed_rows(self, name: str, run_log: DataFrame) -> DataFrame:
@@ -262,8 +292,8 @@ class Medallion:
         """Parsed landed payloads per entity; ``source='csv'`` replays landed CSV (S8, ruling D5)."""
         s, d = self.spark, landed_dir.rstrip("/")
         if source == "csv":
-            readers = {e: (lambda e=e: read_csv(s, K.landed_csv_path(d + "/csv", e, run_ts), SC.STAGING[e]))
-                       for e in ENTITIES}
+            # a replay names the run it repeats: a folder that is not there is an error
+            return {e: read_csv(s, K.landed_csv_path(d + "/csv", e, run_ts), SC.STAGING[e], multi_line=True) for e in ENTITIES}
         else:
             readers = {
                 "usgs": lambda: LD.read_events(s, f"{d}/events"),
@@ -275,11 +305,12 @@ class Medallion:
 
     def bronze(self, landed_dir: str, run_ts: _dt.datetime, source: str = "landed", land_csv: bool = True) -> None:
         frames = self.landed_frames(landed_dir, source, run_ts)
+        merge_ts = self._merge_of[run_ts] = self.merge_time(run_ts)
         # The feed window is the day before the run (midnight to midnight)
-        end = run_ts.replace(hour=0, minute=0, second=0, microsecond=0)
+        end = C.as_utc(run_ts).astimezone(_dt.timezone.utc).replace(hour=0, minute=0, second=0, microsecond=0)
         start = end - _dt.timedelta(days=1)
         staged = {
-            "usgs": stage_usgs(frames["usgs"], start, end),
+            "usgs": stage_usgs(frames["usgs"], start, end, min_mag=MIN_MAGNITUDE),
             "census": stage_census(frames["census"]),
             "geocode": stage_geocode(frames["geocode"]),
             "weather": stage_weather(frames["weather"]),
@@ -288,11 +319,12 @@ class Medallion:
 
         def load(e: str) -> None:
             valid, rejected = staged[e]
+            if land_csv and source == "landed":  # the whole feed, before anything is dropped from it
+                K.write_landed_csv(feed_rows(frames[e], e), f"{landed_dir.rstrip('/')}/csv", e, run_ts)
             self.rejected[f"bronze_{e}"] = rejected
+            K.append_staging(rejected.withColumn("rejected_tm", C.ts_literal(merge_ts)), self.t(f"{e}_rejected"))
             K.load_staging(valid, self.t(f"{e}_insert"))  # truncate + load (K5, K4)
-            if land_csv and source == "landed":
-                K.write_landed_csv(self.spark.table(self.t(f"{e}_insert")), f"{landed_dir.rstrip('/')}/csv", e, run_ts)
-            self.merge_into(e, self.t(f"{e}_raw"), self.t(f"{e}_insert"), SC.RAW_KEYS[e], run_ts, f"bronze-{snap}")
+            self.merge_into(e, self.t(f"{e}_raw"), self.t(f"{e}_insert"), SC.RAW_KEYS[e], merge_ts, f"bronze-{snap}")
 
         _each_entity(load)
 
@@ -300,11 +332,12 @@ class Medallion:
     def silver(self, run_ts: _dt.datetime) -> None:
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
         run_log = self.spark.table(self.t("run_log"))
+        merge_ts = self._merge_of.get(run_ts, run_ts)
 
         def clean(e: str) -> None:
             fresh = extract_since(self.changed_rows(f"{e}_raw", run_log), run_log, "update_tm")
             K.load_staging(SILVER_TRANSFORMS[e](fresh), self.t(f"{e}_silver_insert"))
-            self.merge_into(e, self.t(f"{e}_silver"), self.t(f"{e}_silver_insert"), SC.SILVER_KEYS[e], run_ts,
+            self.merge_into(e, self.t(f"{e}_silver"), self.t(f"{e}_silver_insert"), SC.SILVER_KEYS[e], merge_ts,
                             f"silver-{snap}")
 
         _each_entity(clean)
@@ -327,7 +360,7 @@ class Medallion:
     def record_run(self, job_id: str, run_ts: _dt.datetime, status: str = "Succeeded") -> None:
         if status not in QC.RUN_STATUSES:
             raise ValueError(f"status must be one of {QC.RUN_STATUSES}")
-        row = self.spark.createDataFrame([(job_id, run_ts, status)], RUN_LOG_SCHEMA)
+        row = self.spark.createDataFrame([(job_id, C.as_utc(self._merge_of.pop(run_ts, run_ts)), status)], RUN_LOG_SCHEMA)
         row.write.insertInto(self.t("run_log"))
 
     def run(self, landed_dir: str, run_ts: _dt.datetime, job_id: str | None = None, source: str = "landed") -> None:

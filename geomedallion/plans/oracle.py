@@ -242,9 +242,15 @@ WEATHER_SILVER = dedup_sql(f"""
 _USGS = ["mag", "place", "time", "updated", "tz", "felt", "cdi", "mmi", "alert", "status", "tsunami", "sig", "net", "code",
          "nst", "dmin", "rms", "gap", "magType", "type", "title", "latitude", "longitude"]
 _USGS_REST = [c for c in _USGS if c not in ("place", "time", "updated")]
-_USGS_STAGED = dedup_sql(
-    f"SELECT {', '.join(chr(34) + c + chr(34) for c in _USGS)} FROM ({EVENT_FLAT}) e WHERE place IS NOT NULL AND time IS NOT NULL",
-    ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
+
+
+def _usgs_staged(condition: str = "") -> str:
+    return dedup_sql(
+        f"SELECT {', '.join(chr(34) + c + chr(34) for c in _USGS)} FROM ({EVENT_FLAT}) e WHERE place IS NOT NULL AND time IS NOT NULL{condition}",
+        ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
+
+
+_USGS_STAGED = _usgs_staged()
 USGS_SILVER = dedup_sql(f"""
   SELECT mag, place, coalesce(time, TIMESTAMP '1970-01-01 00:00:00') AS time,
          coalesce(updated, TIMESTAMP '1970-01-01 00:00:00') AS updated, tz, felt, cdi, mmi, alert, status, tsunami, sig,
@@ -254,7 +260,7 @@ USGS_SILVER = dedup_sql(f"""
 
 
 def _id_sql(ts: str, lat: str, lon: str) -> str:
-    return (f"sha256(concat_ws('||', strftime({ts}, '%Y-%m-%d %H:%M:%S'), CAST(CAST({lat} AS DECIMAL(18, 2)) AS VARCHAR), "
+    return (f"sha256(concat_ws('||', strftime({ts}, '%Y-%m-%d %H:%M:%S.%f'), CAST(CAST({lat} AS DECIMAL(18, 2)) AS VARCHAR), "
             f"CAST(CAST({lon} AS DECIMAL(18, 2)) AS VARCHAR)))")
 
 
@@ -333,14 +339,24 @@ _WEATHER_STAGED = dedup_sql(f"""
          CASE WHEN event_type NOT IN ('signup', 'view') THEN value / {dbl(3.0)} END AS wind
   FROM events""", ["lat", "lon", "date"], asc_last(_WEATHER_COLS))
 
-SILVER_WEATHER_AFTER_RUN = dedup_sql(f"""
+def _silver_weather(correction: str = "") -> str:
+    return dedup_sql(f"""
   SELECT {round2('lat')} AS lat, {round2('lon')} AS lon, tz, coalesce(date, TIMESTAMP '1970-01-01 00:00:00') AS date,
          units, cloud_cover, humidity, precipitation, temperature_min - {dbl(273.15)} AS temperature_min,
-         temperature_max - {dbl(273.15)} AS temperature_max, pressure, wind, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm,
+         temperature_max{correction} - {dbl(273.15)} AS temperature_max, pressure, wind, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm,
          CAST(coalesce(date, TIMESTAMP '1970-01-01 00:00:00') AS DATE) AS day
   FROM ({_WEATHER_STAGED}) s
   WHERE temperature_min IS NOT NULL AND temperature_min >= 0 AND temperature_max IS NOT NULL AND temperature_max >= 0""",
     ["lat", "lon", "date"], ["update_tm DESC NULLS LAST"] + asc_last(_WEATHER_COLS))
 
 
-STREAM_USGS = f"SELECT *, CAST(time AS DATE) AS day FROM ({_USGS_STAGED}) s"
+SILVER_WEATHER_AFTER_RUN = _silver_weather()
+SILVER_WEATHER_AFTER_REPLAY = f"SELECT * EXCLUDE (update_tm, day) FROM ({_silver_weather(f' + {dbl(1.0)}')}) s"
+
+BRONZE_REJECTS = f"""
+  SELECT count(*) AS n_rejected, count(*) FILTER (place IS NULL) AS no_place, count(*) FILTER (time IS NULL) AS no_time,
+         count(*) FILTER (mag IS NULL) AS no_mag
+  FROM ({EVENT_FLAT}) e WHERE place IS NULL OR time IS NULL OR mag IS NULL"""
+
+
+STREAM_USGS = f"SELECT *, CAST(time AS DATE) AS day FROM ({_usgs_staged(' AND mag >= 2')}) s"

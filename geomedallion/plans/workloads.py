@@ -186,7 +186,7 @@ def county_name_q(spark, sf_dir):
 
 
 @register("row_hash_id", """
-SELECT o_orderkey, sha256(concat_ws('||', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), CAST(o_custkey AS VARCHAR),
+SELECT o_orderkey, sha256(concat_ws('||', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), CAST(o_custkey AS VARCHAR),
        CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR))) AS row_id
 FROM orders""")
 def row_hash_id_q(spark, sf_dir):
@@ -573,7 +573,7 @@ def csv_roundtrip_text_q(spark, sf_dir):
     c = D.table(spark, sf_dir, "conversations")
     path = work_dir(spark, "csvtext")
     K.write_export(c, path, "overwrite")
-    return read_csv(spark, path, c.schema)
+    return read_csv(spark, path, c.schema, multi_line=True)
 
 
 def _database(spark, label):
@@ -604,7 +604,7 @@ def bulk_load_by_name_q(spark, sf_dir):
     t = f"{db}.orders_insert"
     K.create_table(spark, t, schema, root)
     o = D.table(spark, sf_dir, "orders")
-    K.append_staging(o.select("o_orderkey", "o_orderdate", "o_totalprice"), t)  # a stale partial load
+    K.append_staging(o.withColumn("o_totalprice", F.lit(0.0)), t)  # a stale load
     K.truncate_staging(spark, [t])
     K.append_staging(o, t)
     return spark.table(t)
@@ -642,6 +642,36 @@ def _run_layers(spark, sf_dir, silver: bool):
     return m
 
 
+@register("replay_reaches_silver", O.SILVER_WEATHER_AFTER_REPLAY)
+def replay_reaches_silver_q(spark, sf_dir):
+    """S8 + X2 + X4: a recorded run, then its landed weather CSV corrected (one degree more) and replayed
+    at the same run time; silver holds the corrected rows, though its watermark had passed the run."""
+    m = _run_layers(spark, sf_dir, silver=True)
+    run_ts = _dt.datetime.fromisoformat(O.BRONZE_RUN_TS)
+    m.record_run("first", run_ts)
+    base = f"{m.root.rsplit('/', 1)[0]}/landed/csv"
+    landed = read_csv(spark, K.landed_csv_path(base, "weather", run_ts), SC.STAGING["weather"], multi_line=True)
+    fixed = landed.withColumn("temperature_max", F.col("temperature_max") + 1.0)
+    K.write_landed_csv(fixed, f"{base}-fixed/csv", "weather", run_ts)
+    for e in ("usgs", "census", "geocode"):
+        same = read_csv(spark, K.landed_csv_path(base, e, run_ts), SC.STAGING[e], multi_line=True)
+        K.write_landed_csv(same, f"{base}-fixed/csv", e, run_ts)
+    m.bronze(f"{base}-fixed", run_ts, source="csv")
+    m.silver(run_ts)
+    return _ntz(m.read("weather_silver").drop("update_tm"))
+
+
+@register("bronze_rejects", O.BRONZE_REJECTS)
+def bronze_rejects_q(spark, sf_dir):
+    """A6 + A8: every landed quake is valid, rejected (kept in a table) or outside the feed window."""
+    m = _run_layers(spark, sf_dir, silver=False)
+    rejected = spark.table(m.t("usgs_rejected"))
+    return rejected.agg(
+        F.count("*").alias("n_rejected"), F.count_if(F.col("place").isNull()).alias("no_place"), F.count_if(F.col("time").isNull()).alias("no_time"),
+        F.count_if(F.col("mag").isNull()).alias("no_mag"),
+    )
+
+
 @register("bronze_stream", O.STREAM_USGS)
 def bronze_stream_q(spark, sf_dir):
     """Bronze through Structured Streaming: landed folders read as file streams (availableNow),

@@ -11,15 +11,13 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from typing import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from geomedallion.sources.csv import bind_by_name
+from geomedallion.sources.csv import bind_strictly
 
 __all__ = [
-    "landed_csv_path", "write_landed_csv", "write_export", "create_table", "create_tables",
+    "landed_csv_path", "write_landed_csv", "write_export", "create_table",
     "append_staging", "load_staging", "truncate_staging", "replace_table", "replace_partitions", "publish", "table_location",
 ]
 
@@ -62,23 +60,18 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, root: st
     spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet{part} LOCATION '{loc}'")
 
 
-def create_tables(spark: SparkSession, database: str, root: str, tables: Mapping[str, T.StructType]) -> None:
-    """K7: the typed tables of a layer set (bronze staging/raw, silver, run log)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_database'")
-    for name, schema in tables.items():
-        create_table(spark, f"{database}.{name}", schema, root)
-
-
 def append_staging(df: DataFrame, table: str) -> None:
-    """K4: bind by column *name* (never by position, ruling D2) and append."""
+    """K4: bind by column *name* (never by position, ruling D2) and append; a missing column or a
+    malformed value fails the load."""
     spark = df.sparkSession
-    bind_by_name(df, spark.table(table).schema).write.insertInto(table, overwrite=False)
+    bind_strictly(df, spark.table(table).schema).write.insertInto(table, overwrite=False)
 
 
 def load_staging(df: DataFrame, table: str) -> None:
-    """K5 + K4 in one atomic step: replace the staging rows with ``df`` (bound by name)."""
+    """K5 + K4: replace the staging rows with ``df`` (bound by name, as in K4). Spark deletes the old
+    files before it writes the new ones; a failed load is run again."""
     spark = df.sparkSession
-    bind_by_name(df, spark.table(table).schema).write.insertInto(table, overwrite=True)
+    bind_strictly(df, spark.table(table).schema).write.insertInto(table, overwrite=True)
 
 
 def truncate_staging(spark: SparkSession, tables) -> None:
@@ -107,13 +100,14 @@ def replace_partitions(df: DataFrame, table: str, root: str, snapshot: str, part
     folder = table_location(root, table, f"{snapshot}-{uuid.uuid4().hex[:8]}")
     df.write.mode("overwrite").partitionBy(partition_col).parquet(folder)
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for v in values:
-        spec = f"{partition_col}={v}"
-        loc = f"{folder}/{spec}"
-        if spec in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION (`{partition_col}`='{v}') SET LOCATION '{loc}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION (`{partition_col}`='{v}') LOCATION '{loc}'")
+    spec = lambda v: f"PARTITION (`{partition_col}`='{v}')"
+    where = lambda v: f"LOCATION '{folder}/{partition_col}={v}'"
+    old = [v for v in values if f"{partition_col}={v}" in existing]
+    new = [v for v in values if f"{partition_col}={v}" not in existing]
+    for i in range(0, len(new), 500):  # new days in one statement each 500
+        spark.sql(f"ALTER TABLE {table} ADD " + " ".join(f"{spec(v)} {where(v)}" for v in new[i : i + 500]))
+    for v in old:
+        spark.sql(f"ALTER TABLE {table} {spec(v)} SET {where(v)}")
     spark.catalog.refreshTable(table)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geomedallion import schemas as SC
+from geomedallion.functions.columns import ts_literal
 from geomedallion.plans import layers as LY
 from geomedallion.session import ensure_checkpoint_dir
 from geomedallion.sinks import tables as K
@@ -27,7 +28,7 @@ from geomedallion.sources import landed as LD
 __all__ = ["landed_stream", "bronze_streams"]
 
 STAGERS = {
-    "usgs": lambda df: LY.stage_usgs(df),
+    "usgs": lambda df: LY.stage_usgs(df, min_mag=LY.MIN_MAGNITUDE),
     "census": LY.stage_census,
     "geocode": LY.stage_geocode,
     "weather": LY.stage_weather,
@@ -58,14 +59,15 @@ def landed_stream(spark: SparkSession, landed_dir: str, entity: str, max_files_p
 
 def _merge_batch(medallion: "LY.Medallion", entity: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        valid, _rejected = STAGERS[entity](batch)
+        valid, rejected = STAGERS[entity](batch)
         # Catalog changes go through the medallion's own session: the micro-batch runs in a
         # cloned session whose table cache the caller would not see refreshed.
         spark = medallion.spark
         staging = medallion.t(f"{entity}_insert")
         K.load_staging(valid, staging)
         spark.catalog.refreshTable(staging)
-        run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        run_ts = medallion.merge_time(_dt.datetime.now(_dt.timezone.utc))
+        K.append_staging(rejected.withColumn("rejected_tm", ts_literal(run_ts)), medallion.t(f"{entity}_rejected"))
         medallion.merge_into(entity, medallion.t(f"{entity}_raw"), staging, SC.RAW_KEYS[entity], run_ts, f"stream-{epoch_id}")
 
     return run

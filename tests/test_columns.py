@@ -43,7 +43,7 @@ def test_row_hash_id_skips_nulls_and_formats_types(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5), 1.5, None), (dt.datetime(2024, 1, 2, 3, 4, 5), 1.5, 2.0)],
                                "t timestamp, a double, b double")
     text = [r[0] for r in df.select(C.row_id_text(df, ["t", "a", "b"])).collect()]
-    assert text == ["2024-01-02 03:04:05||1.50", "2024-01-02 03:04:05||1.50||2.00"]
+    assert text == ["2024-01-02 03:04:05.000000||1.50", "2024-01-02 03:04:05.000000||1.50||2.00"]
     ids = [r[0] for r in df.select(C.row_hash_id(df, ["t", "a", "b"])).collect()]
     assert len(ids[0]) == 64 and ids[0] != ids[1]
 
@@ -75,3 +75,28 @@ def test_great_circle_null_input_is_null(spark):
 def test_grid_bin(spark):
     df = spark.createDataFrame([(0.69,), (0.7,), (-0.1,), (None,)], "x double")
     assert [r[0] for r in df.select(G.grid_bin("x")).collect()] == [0, 1, -1, None]
+
+
+def test_literals_do_not_depend_on_the_time_zone_of_the_process(spark):
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import datetime as dt, sys
+sys.path.insert(0, %r)
+from geomedallion.session import local_session
+from geomedallion.functions import columns as C
+from pyspark.sql import functions as F
+s = local_session(cores=1, shuffle_partitions=1)
+d = s.range(1).select(C.fill_epoch(F.lit(None).cast("timestamp")).cast("string"), C.ts_literal(dt.datetime(2024, 1, 2, 3)).cast("string"))
+print("GOT", *d.first())
+""" % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": "America/New_York"}, capture_output=True, text=True, timeout=120)
+    assert "GOT 1970-01-01 00:00:00 2024-01-02 03:00:00" in out.stdout
+
+
+def test_ids_tell_times_within_a_second_apart(spark):
+    rows = [(dt.datetime(2024, 1, 2, 3, 4, 5, 100_000), 1.0), (dt.datetime(2024, 1, 2, 3, 4, 5, 900_000), 1.0)]
+    df = spark.createDataFrame(rows, "t timestamp, a double")
+    assert df.select(C.row_hash_id(df, ["t", "a"]).alias("i")).distinct().count() == 2

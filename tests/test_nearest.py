@@ -140,3 +140,11 @@ def test_dense_bin_search_south_west_and_near_pole(spark):
     fast = nearest_location(o, l, dense_bin_candidates=0, **kw)
     full = nearest_location(o, l, dense_bin_candidates=10**9, **kw)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_both_plans_agree_on_full_ties(spark):
+    locs = spark.createDataFrame([(34.0, -118.0, "a", i % 7, f"place {i % 5}") for i in range(40)], "geo_lat double, geo_lon double, name_key string, pop int, area string")
+    obs = spark.createDataFrame([(1, 34.1, -118.1, "x"), (1, 34.1, -118.1, "w"), (2, 34.2, -118.2, None), (None, 34.1, -118.1, "y"), (None, None, None, "z")], "id int, lat double, lon double, note string")
+    run = lambda **kw: sorted(map(str, nearest_location(obs, locs, id_col="id", obs_lat="lat", obs_lon="lon", tie_breakers=("geo_lat", "geo_lon", "name_key"), **kw).collect()))
+    whole = run()
+    assert len(whole) == 3 and run(broadcast_max_rows=0, chunk_size=3) == whole == run(broadcast_max_rows=0, chunk_size=7)

@@ -63,3 +63,16 @@ def test_flatten_struct(spark):
     flat = N.flatten_struct(df)
     assert flat.columns == ["one.two.three.one", "one.two.three.two", "one.two.three.three", "one.two.four"]
     assert N.flatten_struct(df, sep="_").columns[0] == "one_two_three_one"
+
+
+def test_present_null_is_not_missing(spark):
+    from pyspark.sql import functions as F
+
+    from geomedallion.functions import nested as N
+
+    rows = [('{"a": null, "x": {"y": null}}',), ('{"a": 1, "x": 5}',), ('{"x": null}',), ("[1]",), (None,)]
+    df = spark.createDataFrame(rows, "j string")
+    got = [tuple(r) for r in df.select(N.json_get("j", ["a"], "none"), N.json_get("j", ["x", "y"], "none")).collect()]
+    assert got == [(None, None), ("1", "none"), ("none", "none"), ("none", "none"), ("none", "none")]
+    st = spark.createDataFrame([((None,),), (None,)], "p struct<k: string>")
+    assert [r[0] for r in st.select(N.struct_get(st, ["p", "k"], "none")).collect()] == [None, "none"]

@@ -57,7 +57,7 @@ def test_csv_roundtrip_and_modes(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi", ok\nnext', dt.datetime(2024, 1, 1, 5))], "id int, txt string, ts timestamp")
     path = K.write_landed_csv(df, str(tmp_path), "usgs", dt.datetime(2024, 1, 2, 3, 4, 5))
     assert path.endswith("run_date=2024-01-02/2024-01-02_03-04-05_usgs_raw")
-    back = read_csv(spark, path, df.schema).collect()
+    back = read_csv(spark, path, df.schema, multi_line=True).collect()  # the text holds a line break
     assert [tuple(r) for r in back] == [tuple(r) for r in df.collect()]
     try:
         K.write_export(df, path)  # default mode refuses an existing path (K3)
@@ -79,3 +79,19 @@ def test_csv_bind_by_name_malformed_and_missing(spark, tmp_path):
                            T.StructField("county", T.IntegerType())])
     got = [tuple(r) for r in read_csv(spark, path, schema).orderBy("name").collect()]
     assert got == [("A", 12, None), ("B", None, None)]  # by name; malformed -> null; absent -> null
+
+
+def test_staging_load_fails_on_missing_columns_and_malformed_values(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    spark.sql("CREATE DATABASE IF NOT EXISTS gm_test_strict")
+    K.create_table(spark, "gm_test_strict.staged", schema, str(tmp_path))
+    good = spark.createDataFrame([("1.5", 1), (None, 2)], "v string, id int")
+    K.load_staging(good, "gm_test_strict.staged")
+    assert sorted(tuple(r) for r in spark.table("gm_test_strict.staged").collect()) == [(1, 1.5), (2, None)]
+    with pytest.raises(ValueError, match="missing"):
+        K.append_staging(good.drop("v"), "gm_test_strict.staged")
+    with pytest.raises(Exception, match="malformed value in v"):
+        K.append_staging(spark.createDataFrame([("x", 3)], "v string, id int"), "gm_test_strict.staged")
