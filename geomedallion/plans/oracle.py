@@ -267,7 +267,7 @@ def _id_sql(ts: str, lat: str, lon: str) -> str:
 _LOC_COLS = ["name_key", "geo_lat", "geo_lon", "country", "state", "pop", "area_name"]
 
 
-def _nearest_gold(obs_sql: str, obs_cols: list[str], id_col: str, lat: str, lon: str, unique: bool) -> str:
+def _nearest_gold(obs_sql: str, obs_cols: list[str], id_col: str, lat: str, lon: str, unique: bool, places: str) -> str:
     oc = ", ".join(f'o."{c}"' for c in obs_cols)
     lc = ", ".join(f"l.{c}" for c in _LOC_COLS)
     rest = [c for c in obs_cols + ["lat_bin", "lon_bin"] if c != id_col]
@@ -280,7 +280,7 @@ def _nearest_gold(obs_sql: str, obs_cols: list[str], id_col: str, lat: str, lon:
       SELECT {oc}, o.lat_bin, o.lon_bin, {lc},
              {miles_expr('o.' + lat, 'o.' + lon, 'l.geo_lat', 'l.geo_lon')} AS dist_miles
       FROM (SELECT *, {bin_expr(lat)} AS lat_bin, {bin_expr(lon)} AS lon_bin FROM ({obs_sql}) x) o
-      LEFT JOIN (SELECT *, {bin_expr('geo_lat')} AS lat_bin, {bin_expr('geo_lon')} AS lon_bin FROM ({LOCATION_DIM}) y
+      LEFT JOIN (SELECT *, {bin_expr('geo_lat')} AS lat_bin, {bin_expr('geo_lon')} AS lon_bin FROM ({places}) y
                  WHERE geo_lat IS NOT NULL AND geo_lon IS NOT NULL) l
         ON o.lat_bin = l.lat_bin AND o.lon_bin = l.lon_bin) c) r
   WHERE rn = 1"""
@@ -289,17 +289,20 @@ def _nearest_gold(obs_sql: str, obs_cols: list[str], id_col: str, lat: str, lon:
 _W_OBS = ["lat", "lon", "tz", "date", "units", "cloud_cover", "humidity", "precipitation", "temperature_min",
           "temperature_max", "pressure", "wind", "update_tm", "weather_id"]
 _Q_OBS = _USGS + ["update_tm", "usgs_id"]
-WEATHER_LOC = _nearest_gold(f"SELECT *, {_id_sql('date', 'lat', 'lon')} AS weather_id FROM ({WEATHER_SILVER}) w",
-                            _W_OBS, "weather_id", "lat", "lon", True)
-USGS_LOC = _nearest_gold(f"SELECT *, {_id_sql('time', 'latitude', 'longitude')} AS usgs_id FROM ({USGS_SILVER}) u",
-                         _Q_OBS, "usgs_id", "latitude", "longitude", False)
-
 _FACT_W = [c for c in _W_OBS if c != "update_tm"] + ["lat_bin", "lon_bin"] + _LOC_COLS + ["dist_miles"]
 _FACT_Q = [c for c in _USGS] + ["dist_miles", "usgs_id"]
-GOLD_FACT = f"""
+
+
+def gold_fact_sql(weather: str, usgs: str, places: str) -> str:
+    w = _nearest_gold(f"SELECT *, {_id_sql('date', 'lat', 'lon')} AS weather_id FROM ({weather}) w", _W_OBS, "weather_id", "lat", "lon", True, places)
+    q = _nearest_gold(f"SELECT *, {_id_sql('time', 'latitude', 'longitude')} AS usgs_id FROM ({usgs}) u", _Q_OBS, "usgs_id", "latitude", "longitude", False, places)
+    return f"""
 SELECT {', '.join(f'w."{c}"' for c in _FACT_W)},
        {', '.join(f'q."{c}" AS "{c if c.startswith("usgs_") else "usgs_" + c}"' for c in _FACT_Q)}
-FROM ({WEATHER_LOC}) w LEFT JOIN ({USGS_LOC}) q ON w.geo_lat = q.geo_lat AND w.geo_lon = q.geo_lon"""
+FROM ({w}) w LEFT JOIN ({q}) q ON w.geo_lat = q.geo_lat AND w.geo_lon = q.geo_lon"""
+
+
+GOLD_FACT = gold_fact_sql(WEATHER_SILVER, USGS_SILVER, LOCATION_DIM)
 
 GOLD_DIM_DATE = calendar_sql(f"""
 SELECT CAST(g AS DATE) AS d FROM (
@@ -350,6 +353,33 @@ def _silver_weather(correction: str = "") -> str:
     ["lat", "lon", "date"], ["update_tm DESC NULLS LAST"] + asc_last(_WEATHER_COLS))
 
 
+_RUN_TM = f"TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm"
+BRONZE_WEATHER = f"SELECT *, {_RUN_TM}, CAST(date AS DATE) AS day FROM ({_WEATHER_STAGED}) s"
+
+CENSUS_ROWS = f"""
+  SELECT name, TRY_CAST(CASE WHEN census_id % 50 = 0 THEN 'n/a' ELSE CAST(census_id * 37 % 100000 AS VARCHAR) END AS INTEGER) AS pop,
+         CAST(0 AS INTEGER) AS hisp, CAST(census_id % 56 AS INTEGER) AS state, CAST(census_id % 1000 AS INTEGER) AS county
+  FROM ({CENSUS_NAMES}) n"""
+BRONZE_CENSUS = f"""SELECT *, {_RUN_TM} FROM ({dedup_sql(
+    f"SELECT * FROM ({CENSUS_ROWS}) c WHERE name IS NOT NULL AND length(name) <= 50", ["name"], asc_last(["pop", "hisp", "state", "county"]))}) s"""
+BRONZE_GEOCODE = f"""SELECT *, {_RUN_TM} FROM ({dedup_sql(
+    f"""SELECT DISTINCT name, lat, lon, country, state FROM ({GEOCODE_RESULTS}) g
+        WHERE result_pos < 5 AND country = 'US' AND name IS NOT NULL AND length(name) <= 50 AND length(state) <= 50""",
+    ["name", "lat", "lon"], asc_last(["country", "state"]))}) s"""
+
+SILVER_USGS_AFTER_RUN = dedup_sql(f"""
+  SELECT mag, place, coalesce(time, TIMESTAMP '1970-01-01 00:00:00') AS time,
+         coalesce(updated, TIMESTAMP '1970-01-01 00:00:00') AS updated, tz, felt, cdi, mmi, alert, status, tsunami, sig,
+         net, code, nst, dmin, rms, gap, "magType", type, title, {round2('latitude')} AS latitude,
+         {round2('longitude')} AS longitude, update_tm
+  FROM ({BRONZE_USGS}) s""", ["place", "time"], ["update_tm DESC NULLS LAST"] + asc_last([c for c in _USGS if c not in ("place", "time")]))
+SILVER_CENSUS_AFTER_RUN = dedup_sql(f"""
+  SELECT name, replace(lower({county_sql(area_sql('name'))}), ' ', '') AS name_key, {state_sql('name')} AS state_name, pop, update_tm
+  FROM ({BRONZE_CENSUS}) s""", ["name"], ["update_tm DESC NULLS LAST"] + asc_last(["pop", "state_name", "name_key"]))
+SILVER_GEOCODE_AFTER_RUN = dedup_sql(f"""
+  SELECT name, replace(lower(name), ' ', '') AS name_key, {round2('lat')} AS lat, {round2('lon')} AS lon, country, state, update_tm
+  FROM ({BRONZE_GEOCODE}) s""", ["name_key", "lat", "lon"], ["update_tm DESC NULLS LAST"] + asc_last(["name", "country", "state"]))
+
 SILVER_WEATHER_AFTER_RUN = _silver_weather()
 SILVER_WEATHER_AFTER_REPLAY = f"SELECT * EXCLUDE (update_tm, day) FROM ({_silver_weather(f' + {dbl(1.0)}')}) s"
 
@@ -360,3 +390,8 @@ BRONZE_REJECTS = f"""
 
 
 STREAM_USGS = f"SELECT *, CAST(time AS DATE) AS day FROM ({_usgs_staged(' AND mag >= 2')}) s"
+
+GOLD_FACT_AFTER_RUN = gold_fact_sql(SILVER_WEATHER_AFTER_RUN, SILVER_USGS_AFTER_RUN, f"""
+  SELECT g.name_key, g.lat AS geo_lat, g.lon AS geo_lon, g.country, g.state, CAST(c.pop AS BIGINT) AS pop,
+         coalesce(g.name, c.name) AS area_name
+  FROM ({SILVER_GEOCODE_AFTER_RUN}) g LEFT JOIN ({SILVER_CENSUS_AFTER_RUN}) c ON g.name_key = c.name_key AND g.state = c.state_name""")

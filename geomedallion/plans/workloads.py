@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from geomedallion.operators import quality as QC
 from geomedallion.operators.dedup import dedup_by_key
 from geomedallion.operators.extract import extract_since, watermark
 from geomedallion.operators.location import location_dimension, location_fact
-from geomedallion.operators.merge import merge_upsert
+from geomedallion.operators.merge import DuplicateSourceKeyError, merge_upsert
 from geomedallion.operators.nearest import bin_join, nearest_location
 from geomedallion.plans import derived as D
 from geomedallion.plans import layers as LY
@@ -642,6 +643,71 @@ def _run_layers(spark, sf_dir, silver: bool):
     return m
 
 
+def _layer_query(name: str, sql: str, layer: str, doc: str) -> None:
+    def query(spark, sf_dir):
+        m = _run_layers(spark, sf_dir, silver=layer == "silver")
+        return _ntz(m.read(name) if layer == "silver" else spark.table(m.t(name)))
+
+    query.__doc__ = doc
+    register(f"{layer}_{name.split('_')[0]}", sql)(query)
+
+
+_layer_query("weather_raw", O.BRONZE_WEATHER, "bronze", "X1: weather_raw after one run.")
+_layer_query("census_raw", O.BRONZE_CENSUS, "bronze", "X1: census_raw after one run.")
+_layer_query("geocode_raw", O.BRONZE_GEOCODE, "bronze", "X1: geocode_raw after one run.")
+_layer_query("usgs_silver", O.SILVER_USGS_AFTER_RUN, "silver", "X2: usgs_silver after one run.")
+_layer_query("census_silver", O.SILVER_CENSUS_AFTER_RUN, "silver", "X2: census_silver after one run.")
+_layer_query("geocode_silver", O.SILVER_GEOCODE_AFTER_RUN, "silver", "X2: geocode_silver after one run.")
+
+
+@register("gold_layer", O.GOLD_FACT_AFTER_RUN)
+def gold_layer_q(spark, sf_dir):
+    """One full run over landed folders; the published attribute_table."""
+    m = _run_layers(spark, sf_dir, silver=True)
+    run_ts = _dt.datetime.fromisoformat(O.BRONZE_RUN_TS)
+    m.gold("first")
+    m.record_run("first", run_ts)
+    return _ntz(spark.table(m.t("attribute_table")))
+
+
+@register("run_log_append", "SELECT 'orders' AS job_id, max(o_orderdate) AS last_updated, 'Succeeded' AS status FROM orders")
+def run_log_append_q(spark, sf_dir):
+    """A run recorded with the newest order time; the log as it reads back."""
+    db, root = _database(spark, "log")
+    m = LY.Medallion(spark, db, f"{root}/warehouse")
+    m.create()
+    newest = D.table(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("timestamp_ntz")).first()[0]
+    m.record_run("orders", newest)
+    return _ntz(spark.table(m.t("run_log")))
+
+
+@register("export_refuses_existing", "SELECT *, true AS refused FROM nation")
+def export_refuses_existing_q(spark, sf_dir):
+    """K3: an export to a path that exists fails and leaves what is there."""
+    n = D.table(spark, sf_dir, "nation")
+    path = work_dir(spark, "export")
+    K.write_export(n, path)
+    try:
+        K.write_export(n.limit(0), path)
+        refused = False
+    except AnalysisException as ex:
+        refused = "PATH_ALREADY_EXISTS" in str(ex)
+    return read_csv(spark, path, n.schema).withColumn("refused", F.lit(refused))
+
+
+@register("merge_rejects_duplicates", """
+SELECT true AS rejected, count(*) AS n_keys FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1) d""")
+def merge_rejects_duplicates_q(spark, sf_dir):
+    """M3: a source with several rows for a key fails the merge; the keys that do."""
+    li = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    try:
+        merge_upsert(li.limit(0), li, ["l_orderkey"], update_col=None)
+        rejected = False
+    except DuplicateSourceKeyError:
+        rejected = True
+    return QC.duplicate_keys(li, ["l_orderkey"]).agg(F.count("*").alias("n_keys")).withColumn("rejected", F.lit(rejected))
+
+
 @register("replay_reaches_silver", O.SILVER_WEATHER_AFTER_REPLAY)
 def replay_reaches_silver_q(spark, sf_dir):
     """S8 + X2 + X4: a recorded run, then its landed weather CSV corrected (one degree more) and replayed
