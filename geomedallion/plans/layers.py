@@ -38,6 +38,8 @@ from geomedallion.sources.csv import bind_by_name, read_csv
 
 ENTITIES = ("usgs", "census", "geocode", "weather")
 MIN_MAGNITUDE = 2.0
+FEED_FOLDERS = {"usgs": "events", "census": "census", "geocode": "geocode", "weather": "weather"}
+FEED_SCHEMAS = {"usgs": SC.EVENT_FEED, "census": SC.CENSUS_PAYLOAD, "geocode": SC.GEOCODE_PAYLOAD, "weather": SC.WEATHER_PAYLOAD}
 LOCATION_TIES = ("geo_lat", "geo_lon", "name_key")
 
 
@@ -216,6 +218,8 @@ class Medallion:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root.rstrip('/')}/_database'")
         K.create_table(self.spark, self.t("run_log"), RUN_LOG_SCHEMA, self.root)
         K.create_table(self.spark, self.t("touched_days"), SC.TOUCHED_DAYS, self.root)
+        K.create_table(self.spark, self.t("rejected_payloads"), SC.REJECTED_PAYLOADS, self.root)
+        K.create_table(self.spark, self.t("feed_report"), SC.FEED_REPORT, self.root)
         for e in ENTITIES:
             rejected = T.StructType(SC.STAGING[e].fields + [T.StructField("rejected_tm", T.TimestampType())])
             K.create_table(self.spark, self.t(f"{e}_rejected"), rejected, self.root)
@@ -319,6 +323,8 @@ class Medallion:
 
         def load(e: str) -> None:
             valid, rejected = staged[e]
+            if source == "landed":
+                self.keep_reports(e, landed_dir, merge_ts)
             if land_csv and source == "landed":  # the whole feed, before anything is dropped from it
                 K.write_landed_csv(feed_rows(frames[e], e), f"{landed_dir.rstrip('/')}/csv", e, run_ts)
             self.rejected[f"bronze_{e}"] = rejected
@@ -328,6 +334,23 @@ class Medallion:
 
         _each_entity(load)
 
+    def keep_reports(self, entity: str, landed_dir: str, merge_ts: _dt.datetime) -> None:
+        """Payloads that do not parse go to ``rejected_payloads``; the event feed's shape report (A9) to ``feed_report``."""
+        path = f"{landed_dir.rstrip('/')}/{FEED_FOLDERS[entity]}"
+        stamp = C.ts_literal(merge_ts)
+        try:
+            bad = LD.unparsable_payloads(self.spark, path, FEED_SCHEMAS[entity])
+            report = LD.event_feed_report(LD.read_event_feed(self.spark, path)) if entity == "usgs" else None
+        except AnalysisException as ex:
+            if "PATH_NOT_FOUND" not in str(ex):
+                raise
+            return  # a feed that landed nothing has nothing to report
+        with self._record_lock:
+            bad = bad.select(F.lit(entity).alias("entity"), "payload", stamp.alias("rejected_tm"))
+            K.append_staging(bad, self.t("rejected_payloads"))
+            if report is not None:
+                K.append_staging(report.withColumn("reported_tm", stamp), self.t("feed_report"))
+
     # X2
     def silver(self, run_ts: _dt.datetime) -> None:
         snap = run_ts.strftime("%Y%m%dT%H%M%S")

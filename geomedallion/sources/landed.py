@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geomedallion import schemas as SC
 from geomedallion.functions.columns import epoch_millis_to_ts, null_short_strings
@@ -17,11 +18,23 @@ from geomedallion.operators.quality import rule_report
 __all__ = [
     "flatten_event_feed", "event_feed_report", "read_event_feed", "read_events",
     "flatten_weather", "read_weather",
-    "array_table_rows", "read_array_table",
+    "array_table_rows", "read_array_table", "unparsable_payloads",
     "geocode_results", "read_geocode",
 ]
 
 
+def unparsable_payloads(spark: SparkSession, path: str, schema: T.DataType, whole_text: bool = False) -> DataFrame:
+    """Landed payloads that are no JSON, or no object (array) as ``schema`` has it: they give no rows.
+
+    One column ``payload`` with the whole text; blank lines are no payloads. Members of another type
+    than the schema's are not counted: they read as null (N1).
+    """
+    text = spark.read.text(path, wholetext=whole_text).where(F.trim("value") != "")
+    opening = "{" if isinstance(schema, T.StructType) else "["
+    bad = F.try_parse_json("value").isNull() | ~F.startswith(F.trim("value"), F.lit(opening))
+    return text.where(bad).select(F.col("value").alias("payload"))
+
+
 # --- S1: GeoJSON event feed ----------------------------------------------------------------
 
 def _features(feed: DataFrame, col: str) -> DataFrame:
@@ -145,8 +158,8 @@ def geocode_results(payload: DataFrame, col: str = "payload", country: str | Non
     return r.select(*keep, "result_pos", *[F.col("__g").getField(c).alias(c) for c, _ in SC.GEOCODE_COLUMNS])
 
 
-def read_geocode(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
-    """Landed geocode payloads -> first 5 results, US only, whole-record distinct (A4)."""
+def read_geocode(spark: SparkSession, path: str, whole_text: bool = False, limit: int | None = SC.GEOCODE_RESULT_LIMIT) -> DataFrame:
+    """Landed geocode payloads -> first ``limit`` results (T2), US only, whole-record distinct (A4)."""
     text = _payload_text(spark, path, whole_text)
     parsed = text.select(F.from_json("value", SC.GEOCODE_PAYLOAD).alias("payload"))
-    return geocode_results(parsed, limit=SC.GEOCODE_RESULT_LIMIT).drop("result_pos").distinct()
+    return geocode_results(parsed, limit=limit).drop("result_pos").distinct()

@@ -33,7 +33,7 @@ STAGERS = {
     "geocode": LY.stage_geocode,
     "weather": LY.stage_weather,
 }
-FOLDERS = {"usgs": "events", "census": "census", "geocode": "geocode", "weather": "weather"}
+FOLDERS = LY.FEED_FOLDERS
 
 
 def landed_stream(spark: SparkSession, landed_dir: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -190,3 +190,20 @@ def test_silver_pull_prunes_to_touched_days(spark, medallion):
     assert pulled.count() == 0  # nothing merged since the recorded run
     plan = pulled._jdf.queryExecution().executedPlan().toString().lower()
     assert "dynamicpruningexpression" in plan
+
+
+def test_unparsable_payloads_and_the_feed_report_are_kept(spark, tmp_path):
+    import os
+
+    landed = P.write(str(tmp_path / "landed"))
+    with open(os.path.join(landed, "events", "cut.json"), "w") as fh:
+        fh.write('{"type": "FeatureCollection", "features": [{"proper\n\n{"features": []}\n')
+    with open(os.path.join(landed, "census", "cut.json"), "w") as fh:
+        fh.write('[["NAME", "POP"], ["x"\n')
+    m = Medallion(spark, "gm_test_reports", str(tmp_path / "warehouse"))
+    m.create()
+    m.bronze(landed, RUN, land_csv=False)
+    kept = sorted((r.entity, r.payload[:9]) for r in spark.table(m.t("rejected_payloads")).collect())
+    assert kept == [("census", '[["NAME",'), ("usgs", '{"type": ')]
+    report = {r.rule: r.n_rejected for r in spark.table(m.t("feed_report")).collect()}
+    assert report["no_features"] >= 1 and set(report) >= {"no_geometry", "bad_place", "no_time"}
