@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import materialise
+from geomedallion.llm.common import in_arrow, materialise
 
 CAPACITY = 1024
 END_ID = 2
@@ -90,7 +90,7 @@ def token_pieces(
                 cols.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).transform(in_arrow, run, schema)
 
 
 def _best_value(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

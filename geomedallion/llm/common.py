@@ -51,6 +51,21 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+ARROW_ROWS = 512
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches of at most ``ARROW_ROWS`` rows.
+
+    Whole texts are long rows; the default of 10,000 of them at once would set the size of Python workers.
+    The setting holds for the session, and a smaller one stays.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

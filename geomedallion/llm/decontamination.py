@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import fresh_name
+from geomedallion.llm.common import fresh_name, in_arrow
 
 ERROR_RATE = 0.06
 MIN_ITEM_CHARS = 20  # shorter items (normalised) identify nothing and match nothing
@@ -187,7 +187,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "edits", "start", "end"])
 
         item_type = pa.int64() if isinstance(schema["item_id"].dataType, T.LongType) else pa.int32() if isinstance(schema["item_id"].dataType, T.IntegerType) else pa.string()
-        out = out.union(docs.mapInArrow(run, schema))
+        out = out.union(docs.transform(in_arrow, run, schema))
     return out
 
 
@@ -203,5 +203,5 @@ def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", i
                 kept = batch.filter(pa.array(clean, pa.bool_()))
                 yield kept.select(range(batch.num_columns - 1))
 
-        documents = documents.withColumn(flag, F.col(f"`{text}`")).mapInArrow(run, documents.schema)
+        documents = documents.withColumn(flag, F.col(f"`{text}`")).transform(in_arrow, run, documents.schema)
     return documents

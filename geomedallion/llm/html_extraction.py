@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import materialise
+from geomedallion.llm.common import in_arrow, materialise
 
 TOP_PATHS = 5
 VOTES = 3
@@ -222,7 +222,7 @@ def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
                     host.append(h.as_py()), path.append(p), vote.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(vote, pa.float64())], names=["host", "path", "vote"])
 
-    votes = pages.select(host_of(url).alias("host"), F.col(f"`{html}`").alias("html")).mapInArrow(run, "host string, path string, vote double")
+    votes = pages.select(host_of(url).alias("host"), F.col(f"`{html}`").alias("html")).transform(in_arrow, run, "host string, path string, vote double")
     counted = votes.groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
     ranked = counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TOP_PATHS)
@@ -250,4 +250,4 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"), host_of(url).alias("host"))
-    return rows.join(winners, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(run, schema)
+    return rows.join(winners, "host", "left").select("page_id", "url", "html", "paths").transform(in_arrow, run, schema)

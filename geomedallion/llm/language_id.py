@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geomedallion.llm.common import in_arrow
+
 DOCS_PER_LANG = 400
 FIT_SYMBOLS = 40_000
 MAX_SYMBOLS = 400_000
@@ -222,4 +224,4 @@ def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id",
                     score[i] = 1.0 if np.isinf(second) else float(second / (best + second))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=schema.names)
 
-    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).transform(in_arrow, run, schema)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import broadcast_if_small, materialise
+from geomedallion.llm.common import broadcast_if_small, in_arrow, materialise
 from geomedallion.llm.components import merged_components
 
 BANDS, ROWS = 30, 5
@@ -140,7 +140,7 @@ def signatures(docs: DataFrame, n_words: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists(bands, BANDS), lists(packed, LONGS)], names=schema.names
             )
 
-    return docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), "text").transform(in_arrow, run, schema)
 
 
 def shingle_arrays(docs: DataFrame, n_words: int) -> DataFrame:
@@ -151,7 +151,7 @@ def shingle_arrays(docs: DataFrame, n_words: int) -> DataFrame:
             sets = [shingle_set(body.as_py() or "", n_words).view(np.int64) for body in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    return docs.mapInArrow(run, "node long, shingles array<long>")
+    return docs.transform(in_arrow, run, "node long, shingles array<long>")
 
 
 def _ordered(x: Column, y: Column) -> list[Column]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import materialise
+from geomedallion.llm.common import in_arrow, materialise
 
 FIT_DOCS = 8_000
 DIMS = 1 << 15
@@ -147,7 +147,7 @@ def fit(documents: DataFrame, ratings: DataFrame, n: int = FIT_DOCS) -> OrdinalM
             index = pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("grade"), index, pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))], names=["grade", "i", "v"])
 
-    table = rows.mapInArrow(run, "grade int, i array<int>, v array<float>").toArrow()  # <= n rows, sparse
+    table = rows.transform(in_arrow, run, "grade int, i array<int>, v array<float>").toArrow()  # <= n rows, sparse
     grade = np.array(table["grade"].to_pylist(), int)
     grades = sorted(set(grade.tolist()))
     if len(grades) < 2:
@@ -181,4 +181,4 @@ def score_documents(documents: DataFrame, model: OrdinalModel, doc_id: str = "do
                 [batch.column(0), pa.array(p @ grades, pa.float64()), pa.array(grades[p.argmax(1)], pa.int32()), pa.array(list(tails), pa.list_(pa.float64()))], names=schema.names
             )
 
-    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).transform(in_arrow, run, schema)

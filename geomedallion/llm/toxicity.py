@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import fresh_name, materialise
+from geomedallion.llm.common import fresh_name, in_arrow, materialise
 
 FIT_DOCS = 12_000
 MAX_TERMS = 400
@@ -318,7 +318,7 @@ def fit(documents: DataFrame, labels: DataFrame, n: int = FIT_DOCS) -> ToxicityM
             kind = pa.list_(pa.struct([("term", pa.int32()), ("misspelled", pa.bool_()), ("mention", pa.bool_()), ("n", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(n_words, pa.int64()), pa.array(summaries, kind)], names=["y", "n_words", "hits"])
 
-    sample = rows.mapInArrow(scan, "y int, n_words long, hits array<struct<term:int,misspelled:boolean,mention:boolean,n:bigint>>").collect()  # <= n rows
+    sample = rows.transform(in_arrow, scan, "y int, n_words long, hits array<struct<term:int,misspelled:boolean,mention:boolean,n:bigint>>").collect()  # <= n rows
     near: dict[int, list[int]] = defaultdict(lambda: [0, 0])
     for r in sample:
         for term in {h["term"] for h in r["hits"] if h["misspelled"]}:
@@ -358,7 +358,7 @@ def score_documents(documents: DataFrame, model: ToxicityModel, doc_id: str = "d
             score = model.score(np.array(x).reshape(-1, 6))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array(spans, kind)], names=schema.names)
 
-    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).transform(in_arrow, run, schema)
 
 
 def drop_toxic(documents: DataFrame, model: ToxicityModel, text: str = "text", reject_from: float = 0.5) -> DataFrame:
@@ -375,4 +375,4 @@ def drop_toxic(documents: DataFrame, model: ToxicityModel, text: str = "text", r
             clean = model.score(np.array(x).reshape(-1, 6)) < reject_from
             yield batch.filter(pa.array(clean, pa.bool_())).select(range(batch.num_columns - 1))
 
-    return documents.withColumn(body, F.col(f"`{text}`")).mapInArrow(run, documents.schema)
+    return documents.withColumn(body, F.col(f"`{text}`")).transform(in_arrow, run, documents.schema)
