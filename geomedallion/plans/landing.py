@@ -1,7 +1,8 @@
 """Scratch locations and landed-payload folders for workloads that write.
 
 Scratch space is always under the shared checkpoint folder the session names in
-``spark.checkpoint.dir`` (never a machine-local temp folder).
+``spark.checkpoint.dir``; where that is unset, local sessions (tests) use a private folder and a cluster
+gets an error.
 """
 
 from __future__ import annotations

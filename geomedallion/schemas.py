@@ -109,9 +109,3 @@ SILVER_KEYS = {
     "geocode": ("name_key", "lat", "lon"),
     "weather": ("lat", "lon", "date"),
 }
-
-# --- gold tables --------------------------------------------------------------------------
-
-LOCATION_DIMENSION = struct(
-    ("name_key", S), ("geo_lat", D), ("geo_lon", D), ("country", S), ("state", S), ("pop", L), ("area_name", S),
-)
