@@ -7,8 +7,9 @@ Scale: the pages are exploded to line hashes (16 bytes a line, no text is shuffl
 (host, line) with partial aggregation, so a host with a third of all pages spreads by its lines. Each
 boilerplate line covers at least ``ratio`` of its host's pages, so a host has at most
 ``average lines per page / ratio`` of them: the per-host list joined back to the pages is small
-whatever the number of pages. That join is on the host; Catalyst broadcasts the lists when they are
-small and otherwise splits the hot host's pages (they are the outer side of a left join).
+whatever the number of pages. The lines found are written and counted; up to ``BROADCAST_ROWS`` of them
+(16 bytes each) are broadcast and no text is shuffled, beyond that the join on the host is a shuffle whose
+hot host Spark can split (the pages are the outer side of a left join).
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geomedallion.llm.common import BROADCAST_ROWS, materialise
+
 RATIO = 0.05
 MIN_PAGES = 5
 MAX_LOSS = 0.5
@@ -35,7 +38,7 @@ def _is_blank(line: Column) -> Column:
 def boilerplate_lines(
     pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
-    """One row per host that has boilerplate: ``host``, ``lines`` (array of line keys)."""
+    """One row per boilerplate line: ``host``, ``line`` (its key)."""
     lines = pages.select(
         F.col(host).alias("host"),
         F.explode(F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: ~_is_blank(x)), _line_key))).alias("line"),
@@ -45,8 +48,7 @@ def boilerplate_lines(
     return (
         counts.join(totals, F.col("host").eqNullSafe(F.col("host_")))
         .filter(F.col("n") > F.lit(ratio) * F.col("pages"))
-        .groupBy("host")
-        .agg(F.collect_list("line").alias("lines"))
+        .select("host", "line")
     )
 
 
@@ -68,7 +70,10 @@ def drop_boilerplate_lines(
     stays whole for near-duplicate detection. ``dropped`` names an added column with the number of
     lines dropped (an existing column of that name is replaced).
     """
-    found = boilerplate_lines(pages, host, text, ratio, min_pages)
+    lines = materialise(boilerplate_lines(pages, host, text, ratio, min_pages))
+    found = lines.groupBy("host").agg(F.collect_list("line").alias("lines"))
+    if lines.count() <= BROADCAST_ROWS:  # 16 bytes a line: the pages need not be shuffled
+        found = F.broadcast(found)
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("row"))  # no column name can clash
     body = F.col("row").getField(text)
     all_lines = F.split(body, "\n")
