@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 import weakref
-import zlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_OPEN: list[list[DataFrame]] = []
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -30,9 +32,29 @@ def materialise(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _WRITTEN[out] = path
+    if _OPEN:
+        _OPEN[-1].append(out)
     return out
 
 
+@contextlib.contextmanager
+def steps() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end what was materialised inside, but for what goes through the function it yields."""
+    made: list[DataFrame] = []
+    _OPEN.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = materialise(df)
+        made.pop()
+        return out
+
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        release(*made)
+
+
 def release(*tables: DataFrame | None) -> None:
     """Delete what :func:`materialise` wrote for tables that nothing reads any more."""
     for df in tables:
@@ -76,10 +98,6 @@ def crc_bucket(col: Column, n: int) -> Column:
     return F.crc32(col.cast("string")) % n
 
 
-def crc_bucket_py(value: object, n: int) -> int:
-    return zlib.crc32(str(value).encode()) % n
-
-
 def fresh_name(taken: list[str], base: str) -> str:
     """A column name that is not in ``taken`` (names are compared without case)."""
     low = {t.lower() for t in taken}

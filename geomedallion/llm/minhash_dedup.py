@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import broadcast_if_small, in_arrow, materialise
+from geomedallion.llm.common import broadcast_if_small, in_arrow, materialise, steps
 from geomedallion.llm.components import merged_components
 
 BANDS, ROWS = 30, 5
@@ -262,23 +262,24 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     are whole numbers; rows without one are left out. Other columns are not read. An empty table gives
     no rows.
     """
-    docs = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(F.col("doc_id").isNotNull())
-    signed = materialise(signatures(docs, n_words))
-    nodes = materialise(
-        signed.filter(F.col("n_shingles") > 0).groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("packed").alias("packed"))
-    )
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(F.col("least") != F.col("most"))
-    held = materialise(keys.join(shared.select("key"), "key"))  # buckets of two nodes or more
-    wanted = broadcast_if_small(materialise(held.select(F.col("node").alias("doc_id")).distinct()))
-    sets = materialise(shingle_arrays(docs.join(wanted, "doc_id", "left_semi"), n_words))
-    labels = _linked(nodes, held, sets, percent)
-
-    named = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left")
-    named = named.withColumn("component", F.col("node")) if labels is None else named.join(labels, "node", "left")
-    component = F.coalesce("component", "node", "doc_id")
-    return named.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    with steps() as keep:
+        docs = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(F.col("doc_id").isNotNull())
+        signed = materialise(signatures(docs, n_words))
+        nodes = materialise(
+            signed.filter(F.col("n_shingles") > 0).groupBy("set_key")
+            .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("packed").alias("packed"))
+        )
+        keys = nodes.select("node", F.explode("bands").alias("key"))
+        shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(F.col("least") != F.col("most"))
+        held = materialise(keys.join(shared.select("key"), "key"))  # buckets of two nodes or more
+        wanted = broadcast_if_small(materialise(held.select(F.col("node").alias("doc_id")).distinct()))
+        sets = materialise(shingle_arrays(docs.join(wanted, "doc_id", "left_semi"), n_words))
+        labels = _linked(nodes, held, sets, percent)
+
+        named = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(nodes.select("set_key", "node"), "set_key", "left")
+        named = named.withColumn("component", F.col("node")) if labels is None else named.join(labels, "node", "left")
+        component = F.coalesce("component", "node", "doc_id")
+        return keep(named.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")))
 
 
 def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import in_arrow, materialise
+from geomedallion.llm.common import in_arrow
 
 FIT_DOCS = 8_000
 DIMS = 1 << 15
@@ -138,7 +138,7 @@ def fit(documents: DataFrame, ratings: DataFrame, n: int = FIT_DOCS) -> OrdinalM
         .agg(F.percentile_approx(F.col("grade").cast("int"), 0.5).alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     )
     texts = documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = materialise(texts.join(F.broadcast(chosen), F.col("id") == F.col("doc_id")).select("grade", "text"))  # <= n ratings
+    rows = texts.join(F.broadcast(chosen), F.col("id") == F.col("doc_id")).select("grade", "text")  # <= n ratings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import fresh_name, in_arrow, materialise
+from geomedallion.llm.common import fresh_name, in_arrow, materialise, steps
 
 FIT_DOCS = 12_000
 MAX_TERMS = 400
@@ -300,7 +300,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 
 def fit(documents: DataFrame, labels: DataFrame, n: int = FIT_DOCS) -> ToxicityModel:
     """Learn terms, weights and regression. Without toxic or without clean rows: a constant model."""
-    rows = materialise(fit_rows(documents, labels, n))
+    with steps():
+        return _fit(materialise(fit_rows(documents, labels, n)))
+
+
+def _fit(rows: DataFrame) -> ToxicityModel:
     count = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = count.get(1, 0), count.get(0, 0)
     if not n_toxic or not n_clean:
