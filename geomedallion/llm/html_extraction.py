@@ -48,7 +48,7 @@ BOILERPLATE_WORDS = frozenset(
 CLOSES = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert".split())
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 DIGITS = re.compile(r"\d+")
 
@@ -92,7 +92,7 @@ class Page:
         self.texts.append((node, text))
 
     def _open(self, stack: list[int], name: str, attributes: str) -> None:
-        while len(stack) > 1:  # a start tag ends what cannot hold it
+        while len(stack) > 1 and name in BLOCK:  # a start tag ends what cannot hold it
             i = next((k for k in range(len(stack) - 1, 0, -1) if self.tag[stack[k]] in CLOSES or self.tag[stack[k]] in SCOPE), 0)
             if i and name in CLOSES.get(self.tag[stack[i]], ()):
                 del stack[i:]
@@ -197,8 +197,9 @@ def extract(source: str, paths: list[str]) -> str:
     if not found:
         return page.text_of({i for i, t in enumerate(page.tag) if t == "body"} or {0})
     by_path: dict[str, set[int]] = {}
+    ends = {p.rsplit(">", 1)[-1] for p in paths}
     for i in range(1, len(page.tag)):
-        if page.tag[i] in CONTAINER and not page.dropped[i]:
+        if page.label[i] in ends and page.tag[i] in CONTAINER and not page.dropped[i]:
             by_path.setdefault(page.path(i), set()).add(i)
     for path in paths:
         if path in by_path and (text := page.text_of(by_path[path])):
