@@ -1,10 +1,12 @@
 """Operator 3: line de-duplication by site-relative frequency.
 
 A line is boilerplate of a host when it stands on more than ``ratio`` of the host's pages (and on
-``min_pages`` at least). Such lines are dropped from every page of that host.
+``min_pages`` at least). Such lines are dropped from every page of that host. Pages of one host with the
+same text count as one page, so that copies of a page do not make its own lines boilerplate.
 
-Scale: the pages are exploded to line hashes (16 bytes a line, no text is shuffled) and counted per
-(host, line) with partial aggregation, so a host with a third of all pages spreads by its lines. Each
+Scale: the pages become lists of line hashes (16 bytes a line, no text is shuffled). Copies collapse by
+the hash of their text, in each task first; the lists are exploded and counted per (host, line) with
+partial aggregation, so a host with a third of all pages spreads by its lines. Each
 boilerplate line covers at least ``ratio`` of its host's pages, so a host has at most
 ``average lines per page / ratio`` of them: the per-host list joined back to the pages is small
 whatever the number of pages. The lines found are written and counted; up to ``BROADCAST_ROWS`` of them
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.common import BROADCAST_ROWS, materialise
 
-RATIO = 0.05
+RATIO = 0.01
 MIN_PAGES = 5
 MAX_LOSS = 0.5
 BLANKS = " \t\r"
@@ -35,16 +37,23 @@ def _is_blank(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS)) == ""
 
 
+def _page_key(text: str) -> Column:
+    """Two 64-bit hashes of the whole text."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("page"), text).alias("b"))
+
+
 def boilerplate_lines(
-    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, by_text: bool = True
 ) -> DataFrame:
     """One row per boilerplate line: ``host``, ``line`` (its key)."""
-    lines = pages.select(
-        F.col(host).alias("host"),
-        F.explode(F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: ~_is_blank(x)), _line_key))).alias("line"),
-    )
+    keys = F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: ~_is_blank(x)), _line_key))
+    lists = pages.select(F.col(host).alias("host"), keys.alias("keys"), *([_page_key(text).alias("page")] if by_text else []))
+    counted = pages.select(F.col(host).alias("host_"), *([_page_key(text).alias("page")] if by_text else []))
+    if by_text:
+        lists, counted = lists.dropDuplicates(["host", "page"]), counted.distinct()
+    lines = lists.select("host", F.explode("keys").alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    totals = pages.groupBy(F.col(host).alias("host_")).agg(F.count("*").alias("pages"))
+    totals = counted.groupBy("host_").agg(F.count("*").alias("pages"))
     return (
         counts.join(totals, F.col("host").eqNullSafe(F.col("host_")))
         .filter(F.col("n") > F.lit(ratio) * F.col("pages"))
@@ -60,17 +69,18 @@ def drop_boilerplate_lines(
     min_pages: int = MIN_PAGES,
     max_loss: float = MAX_LOSS,
     dropped: str | None = None,
+    by_text: bool = True,
 ) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text``; all rows and columns stay.
 
-    Lines are compared without blanks at their ends. Repeated rows are separate pages; a line counts
-    once per page. Rows without a host form a host of their own. Null and empty texts have no lines
+    Lines are compared without blanks at their ends. A line counts once per host and
+    distinct text; without ``by_text``, once per row. Rows without a host form a host of their own. Null and empty texts have no lines
     and stay as they are, blank lines are never dropped. A page that would lose more than
     ``max_loss`` of its characters is a copy of other pages rather than a page with boilerplate, and
     stays whole for near-duplicate detection. ``dropped`` names an added column with the number of
     lines dropped (an existing column of that name is replaced).
     """
-    lines = materialise(boilerplate_lines(pages, host, text, ratio, min_pages))
+    lines = materialise(boilerplate_lines(pages, host, text, ratio, min_pages, by_text))
     found = lines.groupBy("host").agg(F.collect_list("line").alias("lines"))
     if lines.count() <= BROADCAST_ROWS:  # 16 bytes a line: the pages need not be shuffled
         found = F.broadcast(found)

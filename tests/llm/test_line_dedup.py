@@ -52,3 +52,13 @@ def test_clashing_columns_empty_table_and_repeated_rows(spark):
     out = drop_boilerplate_lines(df.union(df))
     assert out.columns == df.columns and out.count() == 44 and {r["lines"] for r in out.collect()} == {2}
     assert drop_boilerplate_lines(df.limit(0)).count() == 0
+
+
+def test_lines_of_few_percent_go_and_copies_count_once(spark):
+    rows = [(i, "a.org", f"page {i} has words of its own\n" + (f"{HEAD}\n" if i % 30 == 0 else "") + f"end of {i}") for i in range(300)]
+    rows += [(1000 + i, "a.org", "a page that was copied\nwith its own second line\nand a third") for i in range(40)]
+    rows += [(2000, "a.org", "a page that was copied\nand something else")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: (r.text, r.n) for r in drop_boilerplate_lines(df, dropped="n").collect()}
+    assert all(got[i] == (f"page {i} has words of its own\nend of {i}", int(i % 30 == 0)) for i in range(300))
+    assert all(got[i] == (t, 0) for i, _, t in rows[300:])
