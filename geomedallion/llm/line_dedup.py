@@ -23,7 +23,6 @@ from geomedallion.llm.common import BROADCAST_ROWS, materialise
 
 RATIO = 0.01
 MIN_PAGES = 5
-MAX_LOSS = 0.5
 BLANKS = " \t\r"
 
 
@@ -67,7 +66,7 @@ def drop_boilerplate_lines(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
-    max_loss: float = MAX_LOSS,
+    max_loss: float | None = None,
     dropped: str | None = None,
     by_text: bool = True,
 ) -> DataFrame:
@@ -75,9 +74,9 @@ def drop_boilerplate_lines(
 
     Lines are compared without blanks at their ends. A line counts once per host and
     distinct text; without ``by_text``, once per row. Rows without a host form a host of their own. Null and empty texts have no lines
-    and stay as they are, blank lines are never dropped. A page that would lose more than
-    ``max_loss`` of its characters is a copy of other pages rather than a page with boilerplate, and
-    stays whole for near-duplicate detection. ``dropped`` names an added column with the number of
+    and stay as they are, blank lines are never dropped. A page on which
+    nothing but blank lines would be left stays whole for near-duplicate detection; with ``max_loss``, so does
+    a page that would lose more than that share of its characters. ``dropped`` names an added column with the number of
     lines dropped (an existing column of that name is replaced).
     """
     lines = materialise(boilerplate_lines(pages, host, text, ratio, min_pages, by_text))
@@ -92,7 +91,11 @@ def drop_boilerplate_lines(
         "row", F.when(F.col("lines").isNotNull() & body.isNotNull(), kept).alias("kept")
     )
     lost = F.length(body) - F.length(F.array_join("kept", "\n"))
-    cut = F.col("kept").isNotNull() & (lost > 0) & (lost <= F.lit(max_loss) * F.length(body))
+    cut = F.col("kept").isNotNull() & (lost > 0)
+    if max_loss is None:
+        cut &= F.exists("kept", lambda x: ~_is_blank(x))
+    else:
+        cut &= lost <= F.lit(max_loss) * F.length(body)
     cols = [F.col("row").getField(c).alias(c) for c in pages.columns if c not in (text, dropped)]
     cols.append(F.when(cut, F.array_join("kept", "\n")).otherwise(body).alias(text))
     if dropped:

@@ -50,7 +50,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the boilerplate lines of its source dropped, by the rule of its SQL."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return drop_boilerplate_lines(docs, host="source", ratio=0.05, dropped="n_dropped", by_text=False).select("doc_id", "text", "n_dropped")
+    return drop_boilerplate_lines(docs, host="source", ratio=0.05, max_loss=0.5, dropped="n_dropped", by_text=False).select("doc_id", "text", "n_dropped")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

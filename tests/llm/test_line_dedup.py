@@ -62,3 +62,13 @@ def test_lines_of_few_percent_go_and_copies_count_once(spark):
     got = {r.doc_id: (r.text, r.n) for r in drop_boilerplate_lines(df, dropped="n").collect()}
     assert all(got[i] == (f"page {i} has words of its own\nend of {i}", int(i % 30 == 0)) for i in range(300))
     assert all(got[i] == (t, 0) for i, _, t in rows[300:])
+
+
+def test_short_pages_of_mostly_boilerplate_lose_it(spark):
+    rows = [(i, "a.org", f"{HEAD}\npage {i} has a text of its own, long enough") for i in range(20)]
+    rows += [(50, "a.org", f"{HEAD}\nown.\n{HEAD}"), (51, "a.org", f"{HEAD}\n \n{HEAD}"), (52, "a.org", HEAD)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: (r.text, r.n) for r in drop_boilerplate_lines(df, dropped="n").collect()}
+    assert got[50] == ("own.", 2) and got[51] == (rows[21][2], 0) and got[52] == (HEAD, 0)
+    assert got[7] == ("page 7 has a text of its own, long enough", 1)
+    assert {r.doc_id: r.n for r in drop_boilerplate_lines(df, max_loss=0.5, dropped="n").collect()}[50] == 0
