@@ -5,6 +5,9 @@ An item of ``n`` characters may differ from a passage by ``k = ERROR_RATE * n``
 automaton finds all pieces of all items in a text; around each hit, Myers' bit-parallel distance
 decides whether the whole item is there within its budget.
 
+Items of under ``MIN_ITEM_CHARS`` characters have no budget: they match unchanged and as whole words. In
+scripts written without blanks any two characters are a word boundary.
+
 Texts and items are compared in lower case with everything but letters, digits and underscores
 collapsed to one space, so line breaks and punctuation cost no edits.
 
@@ -28,9 +31,11 @@ from pyspark.sql import types as T
 from geomedallion.llm.common import fresh_name, in_arrow
 
 ERROR_RATE = 0.06
-MIN_ITEM_CHARS = 20  # shorter items (normalised) identify nothing and match nothing
+MIN_ITEM_CHARS = 20  # shorter items (normalised) match unchanged and as whole words
 BLOCK_CHARS = 8_000_000
 WORD = r"\w+"
+# Thai, Lao, Myanmar, Khmer; kana; Han with its extensions.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def normalise(text: str) -> str:
@@ -38,7 +43,15 @@ def normalise(text: str) -> str:
 
 
 def error_budget(n: int) -> int:
-    return int(ERROR_RATE * n)
+    return int(ERROR_RATE * n) if n >= MIN_ITEM_CHARS else 0
+
+
+def at_boundary(text: str, at: int) -> bool:
+    """Whether no word of a normalised text runs across the place before character ``at``."""
+    if not 0 < at < len(text):
+        return True
+    pair = text[at - 1 : at + 1]
+    return " " in pair or UNSPACED.search(pair) is not None
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -110,6 +123,8 @@ class ItemMatcher:
     def _verify(self, item: int, places: list[int], text: str) -> tuple[int, int, int] | None:
         pattern, masks = self.items[item], self.masks[item]
         m, k = len(pattern), error_budget(len(pattern))
+        if m < MIN_ITEM_CHARS:  # one piece: the item stands at every place
+            return next(((0, a, a + m) for a in places if at_boundary(text, a) and at_boundary(text, a + m)), None)
         best: tuple[int, int, int] | None = None
         i = 0
         while i < len(places) and (best is None or best[0] > 0):
@@ -152,7 +167,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int
         block: dict[str, list] = {}
         for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect():  # about block_chars characters
             key = normalise(r["text"])
-            if len(key) >= MIN_ITEM_CHARS:
+            if key:
                 block.setdefault(key, []).append(r["item"])
         blocks.append(block)
     return [b for b in blocks if b]
@@ -162,7 +177,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
     """``doc_id, item_id, edits, start, end`` for every document and item it holds a passage of.
 
     The passage is the best one (fewest edits, then the first); its span is in code points of the
-    text. Null and empty texts hold nothing. Items with the same normal form are all reported.
+    text. Null and empty texts hold nothing, items without a letter or digit match nothing. Items with the same normal form are all reported.
     Repeated rows are reported each; without items or documents there are no rows.
     """
     schema = T.StructType([

@@ -68,3 +68,14 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert find_leaks(docs, none).count() == 0 and drop_leaks(docs, none).count() == 1
     assert find_leaks(docs.limit(0), none).count() == 0
+
+
+def test_short_items_match_exactly_and_as_whole_words(spark):
+    chinese = "\u6c34\u5728\u6e90\u4e2d\u6d41\u52a8\u3002"
+    bench = spark.createDataFrame([(1, "Who wrote it?"), (2, chinese), (3, "abcdefgh ijklmnopq"), (4, "?!"), (5, "")], "item_id long, text string")
+    rows = [(1, "So: WHO  wrote it, then"), (2, "who wrote item 3"), (3, f"\u524d{chinese}\u540e"), (4, f"\u524d{chinese[:-1]}\u540e"), (5, "abcdefgh ijklmnopz"), (6, "x abcdefgh ijklmnopq y"), (7, "anyone who wrote items; who wrote it"), (8, "?! ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in find_leaks(docs, bench).collect())
+    assert [g[:3] for g in got] == [(1, 1, 0), (3, 2, 0), (4, 2, 0), (6, 3, 0), (7, 1, 0)]
+    assert rows[0][1][got[0][3] : got[0][4]] == "WHO  wrote it" and rows[6][1][got[4][3] :] == "who wrote it"
+    assert sorted(r.doc_id for r in drop_leaks(docs, bench).collect()) == [2, 5, 8]
