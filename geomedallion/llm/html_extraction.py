@@ -32,7 +32,8 @@ BROADCAST_HOSTS = 100_000
 
 # Element names by role, and class words of what is no article text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select option button canvas object".split())
+RAW = frozenset("script style textarea title iframe".split())  # hold no elements: read up to their end tag
+EMBEDDED = frozenset("noscript template svg math select option button canvas object".split())  # blocks inside close nothing outside
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
     "h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -93,11 +94,13 @@ class Page:
 
     def _open(self, stack: list[int], name: str, attributes: str) -> None:
         while len(stack) > 1 and name in BLOCK:  # a start tag ends what cannot hold it
-            i = next((k for k in range(len(stack) - 1, 0, -1) if self.tag[stack[k]] in CLOSES or self.tag[stack[k]] in SCOPE), 0)
+            i = next((k for k in range(len(stack) - 1, 0, -1) if self.tag[stack[k]] in CLOSES or self.tag[stack[k]] in SCOPE or self.tag[stack[k]] in EMBEDDED), 0)
             if i and name in CLOSES.get(self.tag[stack[i]], ()):
                 del stack[i:]
             else:
                 break
+        if name in ("option", "optgroup") and self.tag[stack[-1]] == "option":
+            stack.pop()
         if name in BLOCK:
             self.breaks.add(len(self.texts))
         if name in VOID or attributes.endswith("/"):
@@ -127,7 +130,7 @@ class Page:
             if tag == name:
                 del stack[k:]
                 return
-            if tag in SCOPE and name not in SCOPE:
+            if tag in SCOPE and name not in SCOPE and name not in EMBEDDED:
                 return
 
     def path(self, node: int) -> str:

@@ -43,3 +43,11 @@ def test_rows_of_every_kind(spark):
 def test_end_tags_do_not_leave_their_container():
     page = Page("<div><article><p>one</b></p><div>two</div></p> three</article></div>")
     assert page.text_of({page.tag.index("article")}) == "one two three"
+
+
+def test_open_options_and_buttons_end_with_what_holds_them():
+    article = "<article><p>First words of the text.</p>{}<p>Last words of the text.</p></article>"
+    for inside in ("<datalist><option>one<option>two</datalist>", "<select><optgroup><option>one<option>two</select>", "<div><button>Go</div>", "<div><svg><path d=x></div>", "<svg><svg>a</svg>b</svg>", "<svg><foreignObject><div>a</svg>", "<template><div>a</div></template>", "<noscript><p>a</noscript>"):
+        assert extract(article.format(inside), []) == "First words of the text. Last words of the text.", inside
+    assert extract("<article><p>One <template><div>no</div></template>two.</p></article>", []) == "One two."
+    assert extract("<article><p>One.</p><script>left open <p>no", []) == "One."
