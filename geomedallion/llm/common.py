@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import threading
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-_OPEN: list[list[DataFrame]] = []
+_OPEN = threading.local()  # operators on several driver threads each delete their own tables
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -32,8 +34,8 @@ def materialise(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _WRITTEN[out] = path
-    if _OPEN:
-        _OPEN[-1].append(out)
+    if getattr(_OPEN, "made", None):
+        _OPEN.made[-1].append(out)
     return out
 
 
@@ -41,7 +43,9 @@ def materialise(df: DataFrame) -> DataFrame:
 def steps() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Deletes at its end what was materialised inside, but for what goes through the function it yields."""
     made: list[DataFrame] = []
-    _OPEN.append(made)
+    if not hasattr(_OPEN, "made"):
+        _OPEN.made = []
+    _OPEN.made.append(made)
 
     def keep(df: DataFrame) -> DataFrame:
         out = materialise(df)
@@ -51,7 +55,7 @@ def steps() -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield keep
     finally:
-        _OPEN.pop()
+        _OPEN.made.pop()
         release(*made)
 
 
@@ -76,16 +80,17 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 ARROW_ROWS = 512
 
 
-def in_arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` with batches of at most ``ARROW_ROWS`` rows.
+def in_arrow(df: DataFrame, run, schema, rows: int = ARROW_ROWS) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, where ``run`` gets at most ``rows`` rows at a time.
 
-    Whole texts are long rows; the default of 10,000 of them at once would set the size of Python workers.
-    The setting holds for the session, and a smaller one stays.
+    Whole texts are long rows; what is made from the default of 10,000 of them at once would set the size of
+    Python workers. Batches are views of what Spark sent, so nothing is copied and no setting of the session changes.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= ARROW_ROWS:
-        conf.set(key, str(ARROW_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+    return df.mapInArrow(split, schema)
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm import decontamination, html_extraction, language_id, quality_classifier, toxicity
+from geomedallion.llm import decontamination, html_extraction, language_id, quality_classifier, spelling_variants, toxicity
 from geomedallion.llm.common import crc_bucket, table, tokenizer
 from geomedallion.llm.minhash_dedup import near_duplicates
 from geomedallion.llm.nearest_vectors import nearest_neighbours
@@ -104,6 +104,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the documents, one run in 199 of each document with a letter dropped."""
+    words = spelling_variants.count_words(table(spark, sf_dir, "documents"), drop_one_in=199)
+    return spelling_variants.variants(words.filter(F.col("n") >= spelling_variants.MIN_COUNT))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -115,6 +121,7 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLE = {
@@ -144,4 +151,42 @@ ORACLE = {
                CASE WHEN is_cut THEN n_bad ELSE 0 END::BIGINT AS n_dropped
         FROM documents d LEFT JOIN judged USING (doc_id)
     """,
+    "op11_spelling_variants": """
+        WITH RECURSIVE
+        tab AS (
+            SELECT list(list_reduce(range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+            FROM range(256) AS r(i)),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run FROM documents)),
+        per_doc AS (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY doc_id, run),
+        bytes AS (
+            SELECT run, c, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda x:
+                CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)) AS b
+            FROM per_doc),
+        hashed AS (
+            SELECT run, c, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+            FROM (SELECT run, c, list_transform(b, lambda x: x::BIGINT) AS b FROM bytes), tab),
+        words AS (
+            SELECT w, sum(c)::BIGINT AS n FROM (
+                SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS w, c FROM hashed)
+            WHERE length(w) >= 6 GROUP BY w HAVING sum(c) >= 5),
+        cuts AS (SELECT w, p, w[:p] || w[p + 2:] AS rest FROM (SELECT w, unnest(range(length(w))) AS p FROM words)),
+        near AS (
+            SELECT a.w, b.w AS v FROM cuts a JOIN words b ON a.rest = b.w
+            UNION SELECT b.w, a.w FROM cuts a JOIN words b ON a.rest = b.w
+            UNION SELECT a.w, b.w FROM cuts a JOIN cuts b ON a.p = b.p AND a.rest = b.rest AND a.w <> b.w),
+        best AS (
+            SELECT near.w, count(*) AS n_near, max(x.n) AS top, first(near.v ORDER BY x.n DESC, near.v) AS v
+            FROM near JOIN words x ON near.v = x.w GROUP BY near.w),
+        known AS (
+            SELECT words.w, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * words.n THEN v END AS form,
+                   CASE WHEN top >= 5 * words.n THEN top END AS form_n
+            FROM words LEFT JOIN best USING (w)),
+        chain AS (
+            SELECT w, form AS at FROM known WHERE form IS NOT NULL
+            UNION ALL SELECT chain.w, known.form FROM chain JOIN known ON chain.at = known.w WHERE known.form IS NOT NULL),
+        ends AS (SELECT chain.w, chain.at FROM chain JOIN known ON chain.at = known.w WHERE known.form IS NULL)
+        SELECT known.w AS word, form, coalesce(ends.at, known.w) AS root, n, n_near, form_n FROM known LEFT JOIN ends ON known.w = ends.w
+    """,
 }
