@@ -118,3 +118,11 @@ def tokenizer(name: str, path: str | None = None) -> tuple[bytes, str]:
 
     with open(path or public_tokenizers.path(name), "rb") as f:
         return f.read(), public_tokenizers.PATTERN
+
+
+def piece_model(name: str, path: str | None = None) -> bytes:
+    """A public sentencepiece model, read on the driver and sent with the tasks."""
+    import public_tokenizers
+
+    with open(path or public_tokenizers.path(name), "rb") as f:
+        return f.read()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm import decontamination, html_extraction, language_id, quality_classifier, spelling_variants, toxicity
-from geomedallion.llm.common import crc_bucket, table, tokenizer
+from geomedallion.llm import decontamination, html_extraction, language_id, quality_classifier, spelling_variants, token_alignment, toxicity
+from geomedallion.llm.common import crc_bucket, piece_model, table, tokenizer
 from geomedallion.llm.minhash_dedup import near_duplicates
 from geomedallion.llm.nearest_vectors import nearest_neighbours
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
@@ -110,6 +110,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(words.filter(F.col("n") >= spelling_variants.MIN_COUNT))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of a byte-level BPE and a piece BPE, for every document."""
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.alignment(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"), piece_model("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -122,6 +128,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {
