@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
-from geomedallion.llm import decontamination, html_extraction, language_id, quality_classifier, spelling_variants, token_alignment, toxicity
+from geomedallion.llm import decontamination, html_extraction, language_id, pii, quality_classifier, spelling_variants, token_alignment, toxicity
 from geomedallion.llm.common import crc_bucket, piece_model, table, tokenizer
 from geomedallion.llm.minhash_dedup import near_duplicates
 from geomedallion.llm.nearest_vectors import nearest_neighbours
@@ -110,6 +110,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(words.filter(F.col("n") >= spelling_variants.MIN_COUNT))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of what the texts show, and all spans."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.regexp_count("base_spans", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between the tokens of a byte-level BPE and a piece BPE, for every document."""
     docs = table(spark, sf_dir, "documents")
@@ -128,6 +135,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_personal_data": op12_personal_data,
     "op13_token_alignment": op13_token_alignment,
 }
 
