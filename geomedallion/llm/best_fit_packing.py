@@ -13,8 +13,8 @@ The pieces go into as few sequences as possible:
 3. the plan is a short table "pieces number a to b of length l go to sequences s, s+1, ... at offset
    o", joined back to the pieces, which Spark numbers within their length.
 
-Scale: texts never shuffle, a piece is about 40 bytes. A length that holds a third of all pieces is
-numbered in ``RANK_BUCKETS`` parts whose starts come from a prefix sum of the parts' counts. The
+Scale: texts never shuffle, a piece is about 40 bytes. A length is numbered in as many parts as its count asks
+for (``RANK_ROWS`` each), whose starts come from a prefix sum of the parts' counts. The
 plan has a few entries per length, so its broadcast is bounded by ``capacity`` and not by the data.
 """
 
@@ -33,22 +33,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import in_arrow, materialise
+from geomedallion.llm.common import in_arrow, materialise, steps
 
 CAPACITY = 1024
 END_ID = 2
 SCHEMES = ((160, 100), (341, 100), (512, 64))  # (lengths above are large, groups of large lengths)
-RANK_BUCKETS = 64
+RANK_ROWS = 1000  # pieces of a part, about: parts spread evenly over tasks
 PRICING_STEPS = 1500  # column generation ends there or within the gap; both leave a feasible programme
 PRICING_GAP = 2e-4
 
 Entry = tuple[int, int, int, int, int, int]  # length, first rank, count, first sequence, pieces a sequence, offset
 
 
-def byte_bpe(ranks: bytes, pattern: str) -> tiktoken.Encoding:
-    """Encoder from the text of a ranks file (token in base 64 and its id on each line)."""
+def byte_bpe(ranks: bytes, pattern: str, added: dict[str, int] | None = None) -> tiktoken.Encoding:
+    """Encoder from the text of a ranks file (token in base 64 and its id on each line), and tokens beside it."""
     pairs = (line.split() for line in ranks.splitlines())
-    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks={base64.b64decode(t): int(i) for t, i in pairs}, special_tokens={})
+    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks={base64.b64decode(t): int(i) for t, i in pairs}, special_tokens=added or {})
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -58,12 +58,13 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    docs: DataFrame, doc_id: str, text: str, ranks: bytes, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False
+    docs: DataFrame, doc_id: str, text: str, ranks: bytes, pattern: str, added: dict[str, int] | None = None,
+    capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of every piece of every document.
 
-    A null text counts as empty: one piece that holds the end token only. Control strings in a text
-    are ordinary text. Texts are encoded whole.
+    A null text counts as empty: one piece that holds the end token only. The strings of ``added`` tokens in a
+    text become their ids, all others are ordinary text. Texts are encoded whole.
     """
     id_type = docs.schema[doc_id].dataType
     schema = T.StructType([
@@ -74,11 +75,11 @@ def token_pieces(
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_bpe(ranks, pattern)
+        encoder = byte_bpe(ranks, pattern, added)
         for batch in batches:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, body in enumerate(batch.column(1)):
-                ids = np.append(encoder.encode_to_numpy(body.as_py() or "", disallowed_special=()), end_id).astype("<u4")
+                ids = np.append(encoder.encode_to_numpy(body.as_py() or "", allowed_special="all"), end_id).astype("<u4")
                 for k, (s, n) in enumerate(cut(len(ids), capacity)):
                     row.append(i), piece.append(k), start.append(s), length.append(n)
                     crc.append(zlib.crc32(ids[s : s + n].tobytes()))
@@ -265,17 +266,20 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, schemes: tuple = SCHEMES
     piece and content, so only identical rows can change places between runs.
     """
     spark = pieces.sparkSession
-    ordered = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_BUCKETS)).cast("int"))
-    parts = ordered.groupBy("length", "bucket").agg(F.count("*").alias("n"))
+    counted = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``capacity`` rows
+    histogram = {r["length"]: r["n"] for r in counted}
+    split = spark.createDataFrame([(n, -(-c // RANK_ROWS)) for n, c in histogram.items()], "length long, parts long")
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("parts"))
+    ordered = pieces.join(F.broadcast(split), "length").withColumn("bucket", bucket)
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     starts = materialise(parts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    histogram = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows
     entries, _ = plan_packing(histogram, capacity, schemes)
     plan = spark.createDataFrame(entries, "length long, first long, n_placed long, sequence long, each long, at long")
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = (
         ordered.withColumn("nth", F.row_number().over(within).cast("long") - 1)
-        .join(F.broadcast(starts.select("length", "bucket", "base")), ["length", "bucket"])  # <= capacity * RANK_BUCKETS rows
+        .join(starts.select("length", "bucket", "base"), ["length", "bucket"])  # a row for each part, so Spark broadcasts it while small
         .withColumn("rank", F.col("nth") + F.col("base"))
     )
     number = F.col("rank") - F.col("first")
@@ -287,12 +291,16 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, schemes: tuple = SCHEMES
     )
 
 
-def pack_documents(docs: DataFrame, doc_id: str, text: str, ranks: bytes, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, doc_id: str, text: str, ranks: bytes, pattern: str, added: dict[str, int] | None = None, capacity: int = CAPACITY, with_ids: bool = False
+) -> DataFrame:
     """Tokenise and pack: one row per piece with its place. Other columns of ``docs`` are not read.
 
     Repeated rows are packed once each; an empty table gives no rows.
     """
-    return assign(materialise(token_pieces(docs, doc_id, text, ranks, pattern, capacity, with_ids=with_ids)), capacity)
+    with steps() as keep:
+        pieces = materialise(token_pieces(docs, doc_id, text, ranks, pattern, added, capacity, with_ids=with_ids))
+        return keep(assign(pieces, capacity))
 
 
 def sequences(packed: DataFrame, pad_to: int | None = None, pad_id: int = 0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import json
 import threading
 import uuid
 import weakref
@@ -120,6 +121,14 @@ def tokenizer(name: str, path: str | None = None) -> tuple[bytes, str]:
         return f.read(), public_tokenizers.PATTERN
 
 
+def added_tokens(name: str, path: str | None = None) -> dict[str, int]:
+    """Strings and ids of the tokens that a tokenizer file adds to its vocabulary."""
+    import public_tokenizers
+
+    with open(path or public_tokenizers.path(name), "rb") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 def piece_model(name: str, path: str | None = None) -> bytes:
     """A public sentencepiece model, read on the driver and sent with the tasks."""
     import public_tokenizers

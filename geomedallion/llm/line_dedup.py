@@ -41,15 +41,11 @@ def _page_key(text: str) -> Column:
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("page"), text).alias("b"))
 
 
-def boilerplate_lines(
-    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, by_text: bool = True
-) -> DataFrame:
+def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per boilerplate line: ``host``, ``line`` (its key)."""
     keys = F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: ~_is_blank(x)), _line_key))
-    lists = pages.select(F.col(host).alias("host"), keys.alias("keys"), *([_page_key(text).alias("page")] if by_text else []))
-    counted = pages.select(F.col(host).alias("host_"), *([_page_key(text).alias("page")] if by_text else []))
-    if by_text:
-        lists, counted = lists.dropDuplicates(["host", "page"]), counted.distinct()
+    lists = pages.select(F.col(host).alias("host"), keys.alias("keys"), _page_key(text).alias("page")).dropDuplicates(["host", "page"])
+    counted = pages.select(F.col(host).alias("host_"), _page_key(text).alias("page")).distinct()
     lines = lists.select("host", F.explode("keys").alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     totals = counted.groupBy("host_").agg(F.count("*").alias("pages"))
@@ -61,25 +57,17 @@ def boilerplate_lines(
 
 
 def drop_boilerplate_lines(
-    pages: DataFrame,
-    host: str = "source",
-    text: str = "text",
-    ratio: float = RATIO,
-    min_pages: int = MIN_PAGES,
-    max_loss: float | None = None,
-    dropped: str | None = None,
-    by_text: bool = True,
+    pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, dropped: str | None = None
 ) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text``; all rows and columns stay.
 
-    Lines are compared without blanks at their ends. A line counts once per host and
-    distinct text; without ``by_text``, once per row. Rows without a host form a host of their own. Null and empty texts have no lines
-    and stay as they are, blank lines are never dropped. A page on which
-    nothing but blank lines would be left stays whole for near-duplicate detection; with ``max_loss``, so does
-    a page that would lose more than that share of its characters. ``dropped`` names an added column with the number of
-    lines dropped (an existing column of that name is replaced).
+    Lines are compared without blanks at their ends. A line counts once per host and distinct text, also where rows
+    are repeated. A line on exactly ``ratio`` of the pages stays. Rows without a host form a host of their own. Null
+    and empty texts have no lines and stay as they are, blank lines are never dropped. A page on which nothing but
+    blank lines would be left stays whole for near-duplicate detection. ``dropped`` names an added column with the
+    number of lines dropped (an existing column of that name is replaced). An empty table gives no rows.
     """
-    lines = materialise(boilerplate_lines(pages, host, text, ratio, min_pages, by_text))
+    lines = materialise(boilerplate_lines(pages, host, text, ratio, min_pages))
     found = lines.groupBy("host").agg(F.collect_list("line").alias("lines"))
     if lines.count() <= BROADCAST_ROWS:  # 16 bytes a line: the pages need not be shuffled
         found = F.broadcast(found)
@@ -90,12 +78,7 @@ def drop_boilerplate_lines(
     out = rows.join(found, F.col("row").getField(host).eqNullSafe(F.col("host")), "left").select(
         "row", F.when(F.col("lines").isNotNull() & body.isNotNull(), kept).alias("kept")
     )
-    lost = F.length(body) - F.length(F.array_join("kept", "\n"))
-    cut = F.col("kept").isNotNull() & (lost > 0)
-    if max_loss is None:
-        cut &= F.exists("kept", lambda x: ~_is_blank(x))
-    else:
-        cut &= lost <= F.lit(max_loss) * F.length(body)
+    cut = F.exists("kept", lambda x: ~_is_blank(x)) & (F.size("kept") < F.size(all_lines))
     cols = [F.col("row").getField(c).alias(c) for c in pages.columns if c not in (text, dropped)]
     cols.append(F.when(cut, F.array_join("kept", "\n")).otherwise(body).alias(text))
     if dropped:

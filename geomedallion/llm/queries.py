@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geomedallion.llm.best_fit_packing import pack_documents
 from geomedallion.llm.chat_formatting import format_windows, read_back
 from geomedallion.llm import decontamination, html_extraction, language_id, pii, quality_classifier, spelling_variants, token_alignment, toxicity
-from geomedallion.llm.common import crc_bucket, piece_model, table, tokenizer
+from geomedallion.llm.common import added_tokens, crc_bucket, piece_model, table, tokenizer
 from geomedallion.llm.minhash_dedup import near_duplicates
 from geomedallion.llm.nearest_vectors import nearest_neighbours
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
@@ -48,9 +48,9 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the boilerplate lines of its source dropped, by the rule of its SQL."""
+    """Every document with the boilerplate lines of its source dropped."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return drop_boilerplate_lines(docs, host="source", ratio=0.05, max_loss=0.5, dropped="n_dropped", by_text=False).select("doc_id", "text", "n_dropped")
+    return drop_boilerplate_lines(docs, host="source", dropped="n_dropped").select("doc_id", "text", "n_dropped")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
     docs = table(spark, sf_dir, "documents")
-    return pack_documents(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"))
+    return pack_documents(docs, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"), added_tokens("byte_bpe_50k.json"))
 
 
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,30 +141,30 @@ QUERIES = {
 
 ORACLE = {
     "op3_line_dedup": """
-        WITH lines AS (
+        WITH pages AS (SELECT DISTINCT source, text FROM documents),
+        totals AS (SELECT source, count(*) AS pages FROM pages GROUP BY source),
+        counts AS (
+            SELECT source, k, count(DISTINCT text) AS n
+            FROM (SELECT source, text, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS k FROM pages WHERE text IS NOT NULL)
+            WHERE k <> '' GROUP BY source, k),
+        boiler AS (
+            SELECT c.source, c.k FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+            WHERE n >= 5 AND n > 0.01::DOUBLE * pages),
+        lines AS (
             SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos
             FROM documents WHERE text IS NOT NULL),
         keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
-        totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-        counts AS (SELECT source, k, count(DISTINCT doc_id) AS n FROM keyed WHERE k <> '' GROUP BY source, k),
-        boiler AS (
-            SELECT c.source, c.k FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
-            WHERE n >= 5 AND n > 0.05::DOUBLE * pages),
         marked AS (
             SELECT keyed.*, boiler.k IS NOT NULL AS bad
             FROM keyed LEFT JOIN boiler ON keyed.source IS NOT DISTINCT FROM boiler.source AND keyed.k = boiler.k),
         cut AS (
-            SELECT doc_id, any_value(text) AS text,
-                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT bad), '') AS kept,
-                   count(*) FILTER (bad) AS n_bad
-            FROM marked GROUP BY doc_id),
-        judged AS (
-            SELECT *, n_bad > 0 AND length(text) - length(kept) > 0
-                      AND length(text) - length(kept) <= 0.5 * length(text) AS is_cut FROM cut)
-        SELECT d.doc_id, CASE WHEN is_cut THEN kept ELSE d.text END AS text,
-               CASE WHEN is_cut THEN n_bad ELSE 0 END::BIGINT AS n_dropped
-        FROM documents d LEFT JOIN judged USING (doc_id)
+            SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT bad), '') AS kept,
+                   count(*) FILTER (bad) AS n_bad, count(*) FILTER (NOT bad AND k <> '') AS n_own
+            FROM marked GROUP BY doc_id)
+        SELECT d.doc_id, CASE WHEN n_bad > 0 AND n_own > 0 THEN kept ELSE d.text END AS text,
+               CASE WHEN n_bad > 0 AND n_own > 0 THEN n_bad ELSE 0 END::BIGINT AS n_dropped
+        FROM documents d LEFT JOIN cut USING (doc_id)
     """,
     "op11_spelling_variants": """
         WITH RECURSIVE

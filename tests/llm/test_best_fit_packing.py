@@ -7,8 +7,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from geomedallion.llm import best_fit_packing
 from geomedallion.llm.best_fit_packing import cut, pack_documents, plan_packing, sequences
-from geomedallion.llm.common import tokenizer
+from geomedallion.llm.common import added_tokens, tokenizer
+from geomedallion.llm.queries import op5_best_fit_packing
 
 
 def best_fit_decreasing(histogram):
@@ -53,7 +55,7 @@ def test_pieces_round_trip_and_match_the_other_tokenizer(spark):
     texts[60], texts[61] = None, ""
     rows = list(texts.items()) + [(61, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("clash")).withColumn("piece", F.lit(1))
-    packed = pack_documents(df, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"), with_ids=True)
+    packed = pack_documents(df, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"), added_tokens("byte_bpe_50k.json"), with_ids=True)
     got = defaultdict(list)
     bins = defaultdict(list)
     for r in packed.collect():
@@ -61,7 +63,6 @@ def test_pieces_round_trip_and_match_the_other_tokenizer(spark):
         got[r.doc_id].append((r.piece, r.start, r.ids))
         bins[r.sequence_id].append((r.offset, r.length))
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    other.encode_special_tokens = True
     for i, text in texts.items():
         pieces = sorted(got[i]) if i != 61 else sorted(got[i])[:1]
         ids = [x for _, _, p in pieces for x in p]
@@ -81,3 +82,25 @@ def test_pieces_round_trip_and_match_the_other_tokenizer(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pack_documents(empty, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken")).count() == 0
+
+
+def test_many_pieces_of_one_length_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(best_fit_packing, "RANK_ROWS", 7)
+    df = spark.createDataFrame([(i // 2, "word " * (i % 3)) for i in range(300)], "doc_id long, text string")
+    packed = pack_documents(df, "doc_id", "text", *tokenizer("byte_bpe_50k.tiktoken"), capacity=8).collect()
+    places = {(r.sequence_id, r.offset + k) for r in packed for k in range(r.length)}
+    assert len(packed) == 300 and len(places) == sum(r.length for r in packed) and max(at for _, at in places) < 8
+
+
+def test_the_query_keeps_its_contract(spark, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, None), (3, "word " * 3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op5_best_fit_packing(spark, str(tmp_path))
+    kinds = {"piece": "int"}
+    assert dict(out.dtypes) == {c: kinds.get(c, "bigint") for c in ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")}
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in out.collect()}
+    for i, text in rows:
+        ids = tokens.encode(text or "", add_special_tokens=False).ids + [2]
+        assert [got.pop((i, k)) for k in range(len(cut(len(ids), 1024)))] == [(s, n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes())) for s, n in cut(len(ids), 1024)]
+    assert not got and 50256 in tokens.encode(rows[0][1], add_special_tokens=False).ids

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from geomedallion.llm.line_dedup import drop_boilerplate_lines
+from geomedallion.llm.queries import op3_line_dedup
 
 HEAD = "home about contact"
 
@@ -11,19 +12,19 @@ def pages(spark, n=20):
     return spark.createDataFrame(rows, "doc_id long, source string, text string")
 
 
-def brute(rows, ratio, min_pages, max_loss):
-    keyed = [[x.strip(" \t\r") for x in (t or "").split("\n")] for _, _, t in rows]
+def brute(rows, ratio=0.01, min_pages=5):
+    keys = lambda t: [x.strip(" \t\r") for x in (t or "").split("\n")]
     out = {}
-    for (i, host, text), _ in zip(rows, keyed):
-        own = [k for (j, h, t), k in zip(rows, keyed) if h == host]
-        bad = {x for x in set(sum(own, [])) if x and (n := sum(x in k for k in own)) >= min_pages and n > ratio * len(own)}
+    for i, host, text in rows:
+        own = [set(keys(t)) - {""} for t in {t for _, h, t in rows if h == host}]  # a page for each text
         if text is None:
             out[i] = (None, 0)
             continue
+        bad = {x for x in set(keys(text)) if (n := sum(x in k for k in own)) >= min_pages and n > ratio * len(own)}
         lines = text.split("\n")
-        kept = [x for x in lines if x.strip(" \t\r") not in bad]
-        lost = len(text) - len("\n".join(kept))
-        out[i] = ("\n".join(kept), len(lines) - len(kept)) if 0 < lost <= max_loss * len(text) else (text, 0)
+        kept = [x for x, k in zip(lines, keys(text)) if k not in bad]
+        whole = not any(map(str.strip, kept))
+        out[i] = (text, 0) if whole else ("\n".join(kept), len(lines) - len(kept))
     return out
 
 
@@ -35,10 +36,14 @@ def test_frequent_lines_go_and_rare_ones_stay(spark):
 
 def test_edge_cases_against_brute_force(spark):
     rows = [(i, "a.org" if i % 3 else None, f"  {HEAD}\t\nline {i % 4} with some words in it\nown {i} text that is not shared") for i in range(24)]
+    rows += [(60 + i, "c.org", f"seldom seen\nown text number {i}" if i < 6 else f"own text number {i}") for i in range(200)]  # 3 percent
+    rows += [(300 + i, "d.org", f"rarely seen\nown text number {i}" if i < 5 else f"own text number {i}") for i in range(500)]  # 1 percent
     rows += [(50, "a.org", None), (51, "a.org", ""), (52, None, "\n\n"), (53, "a.org", HEAD), (54, "a.org", "x" * 200_000 + "\n" + HEAD), (55, "a.org", f"{HEAD}\n{HEAD}\n" + "tail of words " * 9)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     got = {r.doc_id: (r.text, r.n) for r in drop_boilerplate_lines(df, ratio=0.2, min_pages=3, dropped="n").collect()}
-    assert got == brute(rows, 0.2, 3, 0.5)
+    assert got == brute(rows, 0.2, 3)
+    got = {r.doc_id: (r.text, r.n) for r in drop_boilerplate_lines(df, dropped="n").collect()}
+    assert got == brute(rows)
 
 
 def test_copies_of_a_whole_page_stay_whole(spark):
@@ -71,4 +76,12 @@ def test_short_pages_of_mostly_boilerplate_lose_it(spark):
     got = {r.doc_id: (r.text, r.n) for r in drop_boilerplate_lines(df, dropped="n").collect()}
     assert got[50] == ("own.", 2) and got[51] == (rows[21][2], 0) and got[52] == (HEAD, 0)
     assert got[7] == ("page 7 has a text of its own, long enough", 1)
-    assert {r.doc_id: r.n for r in drop_boilerplate_lines(df, max_loss=0.5, dropped="n").collect()}[50] == 0
+    assert {k: (v[0], v[1]) for k, v in got.items()} == brute(rows)
+
+
+def test_the_query_keeps_its_contract(spark, tmp_path):
+    rows = [(i, f"s{i % 2}", f"{HEAD}\npage {i} has a text of its own" if i % 9 == 0 else f"page {i} has a text of its own") for i in range(120)] + [(500, None, None)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op3_line_dedup(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "text", "n_dropped"]
+    assert {r.doc_id: (r.text, r.n_dropped) for r in out.collect()} == brute(rows)

@@ -24,6 +24,8 @@ def fixture():
             lines[0] += " you " + rng.choice(["blasted", "rotten"])
         if i % 4 == 1:
             lines.insert(0, HEADER)
+        if i % 20 == 3 and i < 100:  # five of some 140 pages, more than 1 percent and fewer than 5
+            lines.append("this line is seen on few pages of the host")
         if i % 20 == 7:
             lines.insert(1, "so " + bench[i // 20 % 5][1] + " end")
         docs.append([i, "\n".join(lines), "en", f"s{i % 2}", 0])
@@ -37,6 +39,7 @@ def fixture():
             words[rng.randrange(len(words))] = rng.choice(WORDS)
         docs.append([i, " ".join(words), "en", source[3], 0])
     docs += [[400, None, None, None, None], [401, "", "en", "s0", 0], [402, "short", "en", "s1", 5], [402, "short", "en", "s1", 5]]
+    docs += [[403, f"{HEADER}\nfew own words here\n{HEADER}", "en", "s1", 0]]  # loses more than half
     for d in docs:
         d[4] = len(d[1]) if d[1] is not None else None
     return docs, labels, bench
@@ -50,11 +53,10 @@ def brute(docs, bench):
         if text is None:
             cut.append((i, text))
             continue
-        own = [{x.strip() for x in (t or "").split("\n") if x.strip()} for _, t, h in rows if h == host]
+        own = [{x.strip() for x in (t or "").split("\n") if x.strip()} for t in {t for _, t, h in rows if h == host}]
         lines = text.split("\n")
-        kept = [x for x in lines if not x.strip() or (n := sum(x.strip() in o for o in own)) < 5 or n <= 0.05 * len(own)]
-        lost = len(text) - len("\n".join(kept))
-        cut.append((i, "\n".join(kept) if 0 < lost <= 0.5 * len(text) else text))
+        kept = [x for x in lines if not x.strip() or (n := sum(x.strip() in o for o in own)) < 5 or n <= 0.01 * len(own)]
+        cut.append((i, "\n".join(kept) if any(map(str.strip, kept)) else text))
     sets = []
     for _, text in cut:
         w = (text or "").lower().split()
@@ -117,6 +119,6 @@ def test_stages_keep_the_columns(spark, tmp_path):
 
 def test_queries_are_registered_once_each():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
