@@ -34,13 +34,14 @@ from geomedallion.llm.common import in_arrow, materialise, steps
 TALLY = 500_000  # distinct pairs that a task counts before it hands them on
 TALLY_ROW = 20_000  # pairs in one row of a tally
 HOT_PAIRS = 500_000  # 17 bytes each
+PROBE = 8  # ends compared at first
 SHIFT = 32  # a pair is one long: the first id, then the second in so many bits
 
 
 def one_to_one(a: list[int], b: list[int], i: int, j: int) -> int:
     """How many ends agree from ``i`` and ``j`` on: probes of doubling length, then of halving length."""
-    at, step = 0, 1
-    while (x := a[i + at : i + at + step]) == b[j + at : j + at + step] and len(x) == step:
+    at, step = 0, PROBE
+    while a[i + at : i + at + step] == b[j + at : j + at + step] and i + at + step <= len(a) and j + at + step <= len(b):
         at, step = at + step, 2 * step
     while step > 1:
         step //= 2
@@ -59,7 +60,8 @@ def align_ends(a: list[int], b: list[int]) -> tuple[bytearray, bytearray, list[i
     i = shift = 0
     while i < len(a):
         j = i + shift
-        if run := one_to_one(a, b, i, j):
+        if a[i] == b[j]:
+            run = one_to_one(a, b, i, j)
             ends_a[i : i + run] = ends_b[j : j + run] = b"\1" * run
             i += run
             continue
@@ -87,7 +89,8 @@ class _Sides:
         self.raw_a = _objects([self.a.decode_single_token_bytes(i) for i in range(self.a.n_vocab)])
         self.raw_b = _objects(raw)
         self.len_a, self.len_b = (np.array([len(x) for x in raw]) for raw in (self.raw_a, self.raw_b))
-        self.text = {mark: _objects([b"%s%d" % (mark, i) for i in range(max(len(self.raw_a), len(self.raw_b)))]) for mark in (b";", b",", b"|")}
+        # an id as the first of its side of a group, and further on as a later one
+        self.text_a, self.text_b = (_objects([b"%s%d" % (mark, i) for mark in (first, b",") for i in range(n)]) for first, n in ((b";", len(self.raw_a)), (b"|", len(raw))))
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides, or None if there is no text or the tokens do not give it back."""
@@ -106,17 +109,15 @@ class _Sides:
             return 0, 0, 0, b"", np.empty(0, np.int64), np.empty(0, np.int64)
         a, b = ids
         marks_a, marks_b, left, right = align_ends(np.cumsum(self.len_a[a]).tolist(), np.cumsum(self.len_b[b]).tolist())
-        last_a, last_b = (np.frombuffer(m, np.uint8).astype(bool) for m in (marks_a, marks_b))
-        end_a, end_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
-        first_a, first_b = np.r_[True, last_a[:-1]], np.r_[True, last_b[:-1]]
-        group_a, group_b = np.cumsum(first_a) - 1, np.cumsum(first_b) - 1
+        later_a, later_b = (np.frombuffer(b"\1" + m, bool)[:-1] ^ True for m in (marks_a, marks_b))  # not the first of their group
+        end_a, end_b = (np.flatnonzero(np.frombuffer(m, bool)) + 1 for m in (marks_a, marks_b))
+        size_a, size_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
         # links: the irregular ones, and those of the groups of one token each
-        single = np.flatnonzero((np.diff(end_a, prepend=0) == 1) & (np.diff(end_b, prepend=0) == 1))
+        single = (size_a == 1) & (size_b == 1)
         links = np.concatenate([(a[end_a[single] - 1] << SHIFT) | b[end_b[single] - 1], (a[left] << SHIFT) | b[right]])
         words = np.empty(len(a) + len(b), object)
-        start_b = np.r_[0, end_b[:-1]]
-        words[np.arange(len(a)) + start_b[group_a]] = np.where(first_a, self.text[b";"][a], self.text[b","][a])
-        words[np.arange(len(b)) + end_a[group_b]] = np.where(first_b, self.text[b"|"][b], self.text[b","][b])
+        words[np.arange(len(a)) + np.repeat(end_b - size_b, size_a)] = self.text_a[a + len(self.raw_a) * later_a]
+        words[np.arange(len(b)) + np.repeat(end_a, size_b)] = self.text_b[b + len(self.raw_b) * later_b]
         return len(a), len(b), len(end_a), b"".join(words.tolist())[1:], *np.unique(links, return_counts=True)
 
 
