@@ -13,8 +13,11 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,62 +33,45 @@ from geomedallion.operators.extract import RUN_LOG_SCHEMA, extract_since, waterm
 from geomedallion.operators.location import location_dimension, location_fact
 from geomedallion.operators.merge import merge_upsert
 from geomedallion.operators.nearest import nearest_location
+from geomedallion.plans import intake as IN
 from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, bounded_count
 from geomedallion.session import ensure_checkpoint_dir
 from geomedallion.sinks import tables as K
-from geomedallion.sources import landed as LD
 from geomedallion.sources.csv import bind_by_name, read_csv
 
 ENTITIES = ("usgs", "census", "geocode", "weather")
 MIN_MAGNITUDE = 2.0
 FEED_FOLDERS = {"usgs": "events", "census": "census", "geocode": "geocode", "weather": "weather"}
-FEED_SCHEMAS = {"usgs": SC.EVENT_FEED, "census": SC.CENSUS_PAYLOAD, "geocode": SC.GEOCODE_PAYLOAD, "weather": SC.WEATHER_PAYLOAD}
 LOCATION_TIES = ("geo_lat", "geo_lon", "name_key")
 
 
 # --- bronze: staging rows of each entity ---------------------------------------------------
 
-def _quarantine(df: DataFrame, entity: str, also: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """A6 + A8: rows with a null key part (or column of ``also``) or an over-long string are rejected."""
-    bad = QC.any_null((*SC.RAW_KEYS[entity], *also)) | QC.too_long(SC.VARCHAR_LIMITS[entity])
-    return QC.split(df, bad)
+NEWEST_FIRST = {"usgs": ("updated",)}
 
 
-def stage_usgs(events: DataFrame, window_start=None, window_end=None, min_mag: float | None = None):
-    """Flattened events -> (valid staging rows, rejected). P10 keeps the feed's window and magnitude,
-    each where it is given."""
-    df = bind_by_name(events, SC.STAGING["usgs"])
-    # the quarantine goes first: a null time or magnitude has no answer to the window (ruling D35)
-    valid, rejected = _quarantine(df, "usgs", also=("mag",) if min_mag is not None else ())
-    if window_start is not None:
-        valid = valid.where(C.in_window("time", C.ts_literal(window_start), C.ts_literal(window_end)))
-    if min_mag is not None:
-        valid = valid.where(F.col("mag") >= F.lit(min_mag))
-    return dedup_by_key(valid, SC.RAW_KEYS["usgs"], newest_first=["updated"]), rejected
+def valid_rows(rows: DataFrame, entity: str) -> DataFrame:
+    """The valid rows of an intake in staging columns, one per key."""
+    valid = rows.where(F.col("outcome") == IN.VALID).select(*SC.STAGING[entity].fieldNames())
+    return dedup_by_key(valid, SC.RAW_KEYS[entity], newest_first=NEWEST_FIRST.get(entity, ()))
 
 
-def stage_census(rows: DataFrame):
-    valid, rejected = _quarantine(bind_by_name(rows, SC.STAGING["census"]), "census")
-    return dedup_by_key(valid, SC.RAW_KEYS["census"]), rejected
+def landed_rows(rows: DataFrame, entity: str, *outcomes: str) -> DataFrame:
+    """Rows of an intake with these outcomes in staging columns; geocode records are whole-record distinct (A4)."""
+    found = rows.where(F.col("outcome").isin(*outcomes)).select(*SC.STAGING[entity].fieldNames())
+    return found.distinct() if entity == "geocode" else found
 
 
-def stage_geocode(rows: DataFrame):
-    valid, rejected = _quarantine(bind_by_name(rows, SC.STAGING["geocode"]), "geocode")
-    return dedup_by_key(valid, SC.RAW_KEYS["geocode"]), rejected
+def stage_rows(rows: DataFrame, entity: str, **rules) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows of a feed -> (valid staging rows, rejected); ``rules`` as in :func:`intake.row_outcome`."""
+    tagged = IN.tag_rows(rows, entity, **rules)
+    return valid_rows(tagged, entity), landed_rows(tagged, entity, IN.REJECTED)
 
 
-def feed_rows(rows: DataFrame, entity: str) -> DataFrame:
-    """The feed as it landed, in staging columns: nothing is filtered, checked or de-duplicated."""
-    if entity == "weather" and dict(rows.dtypes).get("date") == "string":
-        rows = rows.withColumn("date", C.parse_date("date"))  # F13, before binding
-    return bind_by_name(rows, SC.STAGING[entity])
-
-
-def stage_weather(rows: DataFrame):
-    """Weather payload rows: the text ``date`` is parsed (F13) before binding."""
-    rows = feed_rows(rows, "weather")
-    valid, rejected = _quarantine(bind_by_name(rows, SC.STAGING["weather"]), "weather")
-    return dedup_by_key(valid, SC.RAW_KEYS["weather"]), rejected
+def stage_usgs(events: DataFrame, window_start=None, window_end=None, min_mag: float | None = None):
+    """Flattened events -> (valid staging rows, rejected). P10 keeps the feed's window and magnitude,
+    each where it is given."""
+    return stage_rows(events, "usgs", window=None if window_start is None else (window_start, window_end), min_mag=min_mag)
 
 
 # --- silver: cleaning of each entity ------------------------------------------------------
@@ -189,13 +175,23 @@ def _read_or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def _each_entity(fn) -> None:
-    """Run the four independent entity flows concurrently (Spark runs jobs from several driver
-    threads side by side); the first failure is raised after all flows finish."""
-    with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
-        futures = [pool.submit(fn, e) for e in ENTITIES]
-    for f in futures:
-        f.result()
+def _side_by_side(*flows: Callable[[], object]) -> list:
+    """Run independent flows concurrently (Spark runs jobs from several driver threads side by side);
+    the first failure is raised after all flows finish."""
+    with ThreadPoolExecutor(max_workers=len(flows)) as pool:
+        futures = [pool.submit(f) for f in flows]
+    return [f.result() for f in futures]
+
+
+@dataclass
+class Taken:
+    """The written intake of one feed."""
+
+    entity: str
+    rows: DataFrame
+    counts: dict[str, int]  # rows by outcome
+    shaped: bool  # some of them tell the broken rules of the feed's shape
+    folder: str
 
 
 @dataclass
@@ -205,6 +201,10 @@ class Medallion:
     root: str
     rejected: dict = field(default_factory=dict)
     _merge_of: dict = field(default_factory=dict, repr=False)  # run time -> merge time of its rows
+    # Merge times are handed out under this lock, which a merge holds until its tables are swapped: whoever
+    # takes a later time sees all that was merged under earlier ones. One process merges into a database at a time.
+    _commit: threading.RLock = field(default_factory=threading.RLock, repr=False)
+    _newest: int | None = field(default=None, repr=False)  # the newest merge time handed out, in microseconds
     # appends to the shared touched_days table are serialised: concurrent file commits into one
     # table folder would share (and clean up) the same temporary directory
     _record_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
@@ -220,6 +220,7 @@ class Medallion:
         K.create_table(self.spark, self.t("touched_days"), SC.TOUCHED_DAYS, self.root)
         K.create_table(self.spark, self.t("rejected_payloads"), SC.REJECTED_PAYLOADS, self.root)
         K.create_table(self.spark, self.t("feed_report"), SC.FEED_REPORT, self.root)
+        K.create_table(self.spark, self.t("feed_outcomes"), SC.FEED_OUTCOMES, self.root)
         for e in ENTITIES:
             rejected = T.StructType(SC.STAGING[e].fields + [T.StructField("rejected_tm", T.TimestampType())])
             K.create_table(self.spark, self.t(f"{e}_rejected"), rejected, self.root)
@@ -241,38 +242,40 @@ class Medallion:
         """
         log = self.spark.table(self.t("run_log")).where(F.col("status") == "Succeeded").agg(F.max(F.unix_micros("last_updated")))
         days = self.spark.table(self.t("touched_days")).agg(F.max(F.unix_micros("run_ts")))
-        newest = max((r[0] for r in (log.first(), days.first()) if r[0] is not None), default=None)
-        if newest is None or C.epoch_micros(run_ts) > newest:
-            return C.as_utc(run_ts)
-        return _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(microseconds=newest + 1)
-
-    def merge_into(self, entity: str, table: str, staging: str, keys, run_ts: _dt.datetime, snapshot: str) -> None:
-        """Keyed upsert of a staging table into a layer table; ``run_ts`` stamps its rows.
-
-        Partitioned entities: only the days present in the staging rows are read (partition
-        pruning), merged and written as a new snapshot of those partitions; the list of days is
-        the distinct partition values of one delta. Other tables: whole-table snapshot swap.
+        with self._commit:
+            known = [r[0] for r in (log.first(), days.first())] + [self._newest]
+            newest = max((m for m in known if m is not None), default=None)
+            micros = C.epoch_micros(run_ts)
+            self._newest = micros if newest is None or micros > newest else newest + 1
+        return _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(microseconds=self._newest)
+
+    def merge_into(self, entity: str, table: str, staging: str | DataFrame, keys, run_ts: _dt.datetime, snapshot: str) -> None:
+        """Keyed upsert of a staging table (or written rows) into a layer table; ``run_ts`` stamps its rows.
+
+        Partitioned entities: the days of the staging rows go on record, and a semi join with them prunes the target
+        to their partitions, which are merged and written as a new snapshot. Other tables: whole-table snapshot swap.
         """
-        src = self.spark.table(staging)
-        if entity in SC.PARTITION_SOURCE:
-            day = SC.PARTITION_COL
-            src = src.withColumn(day, F.to_date(F.col(SC.PARTITION_SOURCE[entity])))
-            touched = [r[0] for r in src.select(day).distinct().collect()]
-            if not touched:
-                return
-            if any(v is None for v in touched):
-                raise ValueError(f"{entity}: staging rows without a {SC.PARTITION_SOURCE[entity]} value")
-            target = self.spark.table(table).where(F.col(day).isin(touched))
-            merged = merge_upsert(target, src, keys, C.ts_literal(run_ts))
-            # the days are on record before they change: a crash in between costs a look at unchanged
-            # days, never the loss of changed ones
-            record = self.spark.createDataFrame([(table, v, C.as_utc(run_ts)) for v in touched], SC.TOUCHED_DAYS)
-            with self._record_lock:
-                record.coalesce(1).write.insertInto(self.t("touched_days"))
-            K.replace_partitions(merged, table, self.root, snapshot, day, [v.isoformat() for v in touched])
-        else:
-            merged = merge_upsert(self.spark.table(table), src, keys, C.ts_literal(run_ts))
-            K.replace_table(merged, table, self.root, snapshot)
+        src = self.spark.table(staging) if isinstance(staging, str) else staging
+        stamp = C.ts_literal(run_ts)
+        if entity not in SC.PARTITION_SOURCE:
+            K.replace_table(merge_upsert(self.spark.table(table), src, keys, stamp), table, self.root, snapshot)
+            return
+        if src.isEmpty():
+            return
+        day, of = SC.PARTITION_COL, SC.PARTITION_SOURCE[entity]
+        src = src.withColumn(day, F.to_date(F.col(of)))
+        # the days are on record before they change: a crash in between costs a look at unchanged
+        # days, never the loss of changed ones
+        no_day = F.raise_error(F.lit(f"{entity}: staging rows without a {of} value")).cast("date")
+        merge_id = uuid.uuid4().hex
+        days = src.select(day).distinct().select(F.coalesce(day, no_day).alias(day))
+        record = days.select(F.lit(table).alias("table_name"), day, stamp.alias("run_ts"), F.lit(merge_id).alias("merge_id"))
+        with self._record_lock:
+            record.coalesce(1).write.insertInto(self.t("touched_days"))
+        touched = self.spark.table(self.t("touched_days")).where(F.col("merge_id") == merge_id)
+        target = self.spark.table(table)
+        target = target.join(touched.select(day), day, "left_semi").select(*target.columns)
+        K.replace_partitions(merge_upsert(target, src, keys, stamp), table, self.root, snapshot, day)
 
     def changed_rows(self, name: str, run_log: DataFrame) -> DataFrame:
         """Rows of a layer table that can be newer than the watermark: for a day-partitioned table
@@ -292,70 +295,97 @@ class Medallion:
         return df.drop(SC.PARTITION_COL) if SC.PARTITION_COL in df.columns else df
 
     # X1
-    def landed_frames(self, landed_dir: str, source: str = "landed", run_ts: _dt.datetime | None = None) -> dict:
-        """Parsed landed payloads per entity; ``source='csv'`` replays landed CSV (S8, ruling D5)."""
-        s, d = self.spark, landed_dir.rstrip("/")
+    def intakes(self, landed_dir: str, source: str = "landed", run_ts: _dt.datetime | None = None, rules: dict | None = None) -> dict[str, DataFrame]:
+        """Landed payloads per entity as rows with their outcome; ``source='csv'`` replays landed CSV (S8, ruling D5)."""
+        s, d, rules = self.spark, landed_dir.rstrip("/"), rules or {}
         if source == "csv":
             # a replay names the run it repeats: a folder that is not there is an error
-            return {e: read_csv(s, K.landed_csv_path(d + "/csv", e, run_ts), SC.STAGING[e], multi_line=True) for e in ENTITIES}
-        else:
-            readers = {
-                "usgs": lambda: LD.read_events(s, f"{d}/events"),
-                "census": lambda: LD.read_array_table(s, f"{d}/census"),
-                "geocode": lambda: LD.read_geocode(s, f"{d}/geocode"),
-                "weather": lambda: LD.read_weather(s, f"{d}/weather"),
-            }
-        return {e: _read_or_empty(s, read, SC.STAGING[e]) for e, read in readers.items()}
+            rows = {e: read_csv(s, K.landed_csv_path(d + "/csv", e, run_ts), SC.STAGING[e], multi_line=True) for e in ENTITIES}
+            return {e: IN.tag_rows(r, e, **rules.get(e, {})) for e, r in rows.items()}
+        return {
+            e: _read_or_empty(s, lambda: IN.intake(s.read.text(f"{d}/{FEED_FOLDERS[e]}"), e, **rules.get(e, {})), IN.intake_schema(e))
+            for e in ENTITIES
+        }
+
+    def take_in(self, entity: str, rows: DataFrame) -> Taken:
+        """Write the intake of a feed once; all its sinks read the written rows."""
+        folder = f"{self.root.rstrip('/')}/_intake/{entity}-{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        written = self.spark.read.schema(IN.intake_schema(entity)).parquet(folder)
+        by_outcome = written.groupBy("outcome").agg(F.count("*").alias("n"), F.count("broken").alias("shaped")).collect()  # a few rows
+        return Taken(entity, written, {r["outcome"]: r["n"] for r in by_outcome}, any(r["shaped"] for r in by_outcome), folder)
+
+    def release(self, *taken: Taken) -> None:
+        for t in taken:
+            K.remove_folder(self.spark, t.folder)
+
+    def report(self, merge_ts: _dt.datetime, *taken: Taken) -> None:
+        """Rows by outcome go to ``feed_outcomes``, bad payloads to ``rejected_payloads``, the event feed's shape
+        report (A9) to ``feed_report``; rejected rows to the entity's own table. What has no rows is not written."""
+        spark, stamp = self.spark, C.ts_literal(merge_ts)
+        counts = [(t.entity, o, t.counts.get(o, 0), C.as_utc(merge_ts)) for t in taken for o in IN.OUTCOMES if t.counts]
+        with self._record_lock:
+            if counts:
+                K.append_staging(spark.createDataFrame(counts, SC.FEED_OUTCOMES).coalesce(1), self.t("feed_outcomes"))
+            for t in taken:
+                if t.counts.get(IN.BAD_PAYLOAD):
+                    bad = t.rows.where(F.col("outcome") == IN.BAD_PAYLOAD)
+                    K.append_staging(bad.select(F.lit(t.entity).alias("entity"), "payload", stamp.alias("rejected_tm")), self.t("rejected_payloads"))
+                if t.shaped:
+                    K.append_staging(IN.shape_report(t.rows).withColumn("reported_tm", stamp), self.t("feed_report"))
+        for t in taken:
+            kept = self.t(f"{t.entity}_rejected")
+            if t.counts.get(IN.REJECTED):
+                K.append_staging(landed_rows(t.rows, t.entity, IN.REJECTED).withColumn("rejected_tm", stamp), kept)
+            self.rejected[f"bronze_{t.entity}"] = spark.table(kept).where(F.col("rejected_tm") == stamp)
 
     def bronze(self, landed_dir: str, run_ts: _dt.datetime, source: str = "landed", land_csv: bool = True) -> None:
-        frames = self.landed_frames(landed_dir, source, run_ts)
-        merge_ts = self._merge_of[run_ts] = self.merge_time(run_ts)
         # The feed window is the day before the run (midnight to midnight)
         end = C.as_utc(run_ts).astimezone(_dt.timezone.utc).replace(hour=0, minute=0, second=0, microsecond=0)
-        start = end - _dt.timedelta(days=1)
-        staged = {
-            "usgs": stage_usgs(frames["usgs"], start, end, min_mag=MIN_MAGNITUDE),
-            "census": stage_census(frames["census"]),
-            "geocode": stage_geocode(frames["geocode"]),
-            "weather": stage_weather(frames["weather"]),
-        }
+        rules = {"usgs": {"window": (end - _dt.timedelta(days=1), end), "min_mag": MIN_MAGNITUDE}}
+        frames = self.intakes(landed_dir, source, run_ts, rules)
+        taken = _side_by_side(*(partial(self.take_in, e, frames[e]) for e in ENTITIES))
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
 
-        def load(e: str) -> None:
-            valid, rejected = staged[e]
-            if source == "landed":
-                self.keep_reports(e, landed_dir, merge_ts)
-            if land_csv and source == "landed":  # the whole feed, before anything is dropped from it
-                K.write_landed_csv(feed_rows(frames[e], e), f"{landed_dir.rstrip('/')}/csv", e, run_ts)
-            self.rejected[f"bronze_{e}"] = rejected
-            K.append_staging(rejected.withColumn("rejected_tm", C.ts_literal(merge_ts)), self.t(f"{e}_rejected"))
-            K.load_staging(valid, self.t(f"{e}_insert"))  # truncate + load (K5, K4)
-            self.merge_into(e, self.t(f"{e}_raw"), self.t(f"{e}_insert"), SC.RAW_KEYS[e], merge_ts, f"bronze-{snap}")
-
-        _each_entity(load)
-
-    def keep_reports(self, entity: str, landed_dir: str, merge_ts: _dt.datetime) -> None:
-        """Payloads that do not parse go to ``rejected_payloads``; the event feed's shape report (A9) to ``feed_report``."""
-        path = f"{landed_dir.rstrip('/')}/{FEED_FOLDERS[entity]}"
-        stamp = C.ts_literal(merge_ts)
+        def land(t: Taken) -> None:  # the whole feed, before anything is dropped from it
+            K.write_landed_csv(landed_rows(t.rows, t.entity, *IN.ROW_OUTCOMES), f"{landed_dir.rstrip('/')}/csv", t.entity, run_ts)
+
+        def load(t: Taken, merge_ts: _dt.datetime) -> None:
+            staging = self.t(f"{t.entity}_insert")
+            K.load_staging(valid_rows(t.rows, t.entity), staging)  # truncate + load (K5, K4)
+            self.merge_into(t.entity, self.t(f"{t.entity}_raw"), staging, SC.RAW_KEYS[t.entity], merge_ts, f"bronze-{snap}")
+
+        csv = [partial(land, t) for t in taken] if land_csv and source == "landed" else []
         try:
-            bad = LD.unparsable_payloads(self.spark, path, FEED_SCHEMAS[entity])
-            report = LD.event_feed_report(LD.read_event_feed(self.spark, path)) if entity == "usgs" else None
-        except AnalysisException as ex:
-            if "PATH_NOT_FOUND" not in str(ex):
-                raise
-            return  # a feed that landed nothing has nothing to report
-        with self._record_lock:
-            bad = bad.select(F.lit(entity).alias("entity"), "payload", stamp.alias("rejected_tm"))
-            K.append_staging(bad, self.t("rejected_payloads"))
-            if report is not None:
-                K.append_staging(report.withColumn("reported_tm", stamp), self.t("feed_report"))
+            with self._commit:
+                merge_ts = self._merge_of[run_ts] = self.merge_time(run_ts)
+                _side_by_side(*(partial(load, t, merge_ts) for t in taken), *csv, partial(self.report, merge_ts, *taken))
+        finally:
+            self.release(*taken)
+
+    def merge_batch(self, entity: str, rows: DataFrame, label: str) -> None:
+        """One more lot of a feed (a stream's micro-batch) into its bronze table, beside the runs: its rows are staged
+        in a folder of its own, its merge time is taken when they are known, and held until they are in the table."""
+        taken = self.take_in(entity, rows)
+        staged = f"{taken.folder}-staged"
+        try:
+            valid_rows(taken.rows, entity).write.parquet(staged)
+            with self._commit:
+                merge_ts = self.merge_time(_dt.datetime.now(_dt.timezone.utc))
+                self.report(merge_ts, taken)
+                source = self.spark.read.schema(SC.STAGING[entity]).parquet(staged)
+                self.merge_into(entity, self.t(f"{entity}_raw"), source, SC.RAW_KEYS[entity], merge_ts, label)
+        finally:
+            self.release(taken)
+            K.remove_folder(self.spark, staged)
 
     # X2
     def silver(self, run_ts: _dt.datetime) -> None:
         snap = run_ts.strftime("%Y%m%dT%H%M%S")
         run_log = self.spark.table(self.t("run_log"))
-        merge_ts = self._merge_of.get(run_ts, run_ts)
+        with self._commit:  # whatever was given an earlier merge time is in the tables
+            merge_ts = self._merge_of.setdefault(run_ts, None) or self.merge_time(run_ts)
+            self._merge_of[run_ts] = merge_ts
 
         def clean(e: str) -> None:
             fresh = extract_since(self.changed_rows(f"{e}_raw", run_log), run_log, "update_tm")
@@ -363,7 +393,7 @@ class Medallion:
             self.merge_into(e, self.t(f"{e}_silver"), self.t(f"{e}_silver_insert"), SC.SILVER_KEYS[e], merge_ts,
                             f"silver-{snap}")
 
-        _each_entity(clean)
+        _side_by_side(*(partial(clean, e) for e in ENTITIES))
 
     # X3
     def gold(self, snapshot: str) -> None:

@@ -92,8 +92,9 @@ PARTITION_SOURCE = {"usgs": "time", "weather": "date"}
 # Which day partitions each merge touched (table, day, run time): lets the silver pull read only
 # the raw partitions changed since the watermark (dynamic partition pruning).
 REJECTED_PAYLOADS = struct(("entity", S), ("payload", S), ("rejected_tm", TS))
+FEED_OUTCOMES = struct(("entity", S), ("outcome", S), ("n_rows", L), ("reported_tm", TS))
 FEED_REPORT = struct(("rule", S), ("n_rejected", L), ("reported_tm", TS))
-TOUCHED_DAYS = struct(("table_name", S), ("day", DT), ("run_ts", TS))
+TOUCHED_DAYS = struct(("table_name", S), ("day", DT), ("run_ts", TS), ("merge_id", S))
 
 # --- silver tables ------------------------------------------------------------------------
 

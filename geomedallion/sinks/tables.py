@@ -18,7 +18,7 @@ from geomedallion.sources.csv import bind_strictly
 
 __all__ = [
     "landed_csv_path", "write_landed_csv", "write_export", "create_table",
-    "append_staging", "load_staging", "truncate_staging", "replace_table", "replace_partitions", "publish", "table_location",
+    "append_staging", "load_staging", "truncate_staging", "replace_table", "replace_partitions", "remove_folder", "publish", "table_location",
 ]
 
 
@@ -93,12 +93,28 @@ def replace_table(df: DataFrame, table: str, root: str, snapshot: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def replace_partitions(df: DataFrame, table: str, root: str, snapshot: str, partition_col: str, values) -> None:
-    """Write ``df`` (rows of exactly the partitions ``values``) to a new snapshot folder and point
-    each of those partitions at it; other partitions are neither read nor rewritten."""
+def _folder(spark: SparkSession, path: str):
+    """The folder and its file system, wherever the session keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def replace_partitions(df: DataFrame, table: str, root: str, snapshot: str, partition_col: str) -> None:
+    """Write ``df`` to a new snapshot folder and point the partitions it holds at it; other partitions are
+    neither read nor rewritten. New partitions are registered 500 in a statement. One that exists is re-pointed by
+    a statement of its own: Spark has none for several, and to drop and add them again would hide them in between
+    (and lose them in a crash)."""
     spark = df.sparkSession
     folder = table_location(root, table, f"{snapshot}-{uuid.uuid4().hex[:8]}")
     df.write.mode("overwrite").partitionBy(partition_col).parquet(folder)
+    path, files = _folder(spark, folder)
+    written = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    values = sorted(name.partition("=")[2] for name in written)
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     spec = lambda v: f"PARTITION (`{partition_col}`='{v}')"
     where = lambda v: f"LOCATION '{folder}/{partition_col}={v}'"

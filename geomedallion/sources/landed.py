@@ -7,32 +7,23 @@ reads every landed file of a run (ruling D3) instead of one request at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from geomedallion import schemas as SC
 from geomedallion.functions.columns import epoch_millis_to_ts, null_short_strings
 from geomedallion.operators.quality import rule_report
 
 __all__ = [
-    "flatten_event_feed", "event_feed_report", "read_event_feed", "read_events",
-    "flatten_weather", "read_weather",
-    "array_table_rows", "read_array_table", "unparsable_payloads",
+    "flatten_event_feed", "event_columns", "event_rules", "event_feed_report", "read_event_feed", "read_events",
+    "flatten_weather", "weather_columns", "read_weather",
+    "array_table_rows", "array_columns", "read_array_table",
     "geocode_results", "read_geocode",
 ]
 
 
-def unparsable_payloads(spark: SparkSession, path: str, schema: T.DataType, whole_text: bool = False) -> DataFrame:
-    """Landed payloads that are no JSON, or no object (array) as ``schema`` has it: they give no rows.
-
-    One column ``payload`` with the whole text; blank lines are no payloads. Members of another type
-    than the schema's are not counted: they read as null (N1).
-    """
-    text = spark.read.text(path, wholetext=whole_text).where(F.trim("value") != "")
-    opening = "{" if isinstance(schema, T.StructType) else "["
-    bad = F.try_parse_json("value").isNull() | ~F.startswith(F.trim("value"), F.lit(opening))
-    return text.where(bad).select(F.col("value").alias("payload"))
+# Rules of the event feed's shape; the first is one of payloads, the others of features.
+EVENT_RULES = ("no_features", "no_properties", "no_geometry", "short_coordinates", "bad_place", "bad_title", "no_time", "no_updated")
 
 
 # --- S1: GeoJSON event feed ----------------------------------------------------------------
@@ -48,9 +39,13 @@ def flatten_event_feed(feed: DataFrame, col: str = "feed") -> DataFrame:
     url/detail/sources/types/ids dropped; time/updated epoch-ms -> timestamp (UTC);
     place/title null when missing or shorter than 2 characters, else ',' -> '|'.
     """
-    f = _features(feed, col)
-    p = F.col("f.properties")
-    coords = F.col("f.geometry.coordinates")
+    return _features(feed, col).select(*event_columns(F.col("f")))
+
+
+def event_columns(f: Column) -> list[Column]:
+    """The kept columns of one feature."""
+    p = f.getField("properties")
+    coords = f.getField("geometry").getField("coordinates")
     has_xy = F.coalesce(F.size(coords) >= 2, F.lit(False))
     kept = [c for c in SC.EVENT_PROPERTIES.fieldNames() if c not in SC.EVENT_DROPPED]
     special = {
@@ -60,29 +55,31 @@ def flatten_event_feed(feed: DataFrame, col: str = "feed") -> DataFrame:
         "updated": epoch_millis_to_ts(p.getField("updated")),
     }
     cols = [special.get(c, p.getField(c)).alias(c) for c in kept]
-    cols += [
+    return cols + [
         F.when(has_xy, F.try_element_at(coords, F.lit(2))).alias("latitude"),
         F.when(has_xy, F.try_element_at(coords, F.lit(1))).alias("longitude"),
     ]
-    return f.select(*cols)
+
+
+def event_rules(f: Column) -> dict[str, Column]:
+    """The rules that a feature (not a payload) can break."""
+    p, coords = f.getField("properties"), f.getField("geometry").getField("coordinates")
+    return dict(zip(EVENT_RULES[1:], (
+        p.isNull(),
+        f.getField("geometry").isNull(),
+        F.coalesce(F.size(coords) < 2, F.lit(True)),
+        F.coalesce(F.length(p.getField("place")) < 2, F.lit(True)),
+        F.coalesce(F.length(p.getField("title")) < 2, F.lit(True)),
+        p.getField("time").isNull(),
+        p.getField("updated").isNull(),
+    ), strict=True))
 
 
 def event_feed_report(feed: DataFrame, col: str = "feed") -> DataFrame:
     """Per-rule reject counts of a feed: payloads without features, and features
     lacking properties / geometry / two coordinates / a usable place or title / time / updated."""
-    payloads = rule_report(feed, {"no_features": F.coalesce(F.size(F.col(col).getField("features")) < 1, F.lit(True))})
-    f = _features(feed, col)
-    p = F.col("f.properties")
-    rules = {
-        "no_properties": p.isNull(),
-        "no_geometry": F.col("f.geometry").isNull(),
-        "short_coordinates": F.coalesce(F.size(F.col("f.geometry.coordinates")) < 2, F.lit(True)),
-        "bad_place": F.coalesce(F.length(p.getField("place")) < 2, F.lit(True)),
-        "bad_title": F.coalesce(F.length(p.getField("title")) < 2, F.lit(True)),
-        "no_time": p.getField("time").isNull(),
-        "no_updated": p.getField("updated").isNull(),
-    }
-    return payloads.unionByName(rule_report(f, rules))
+    payloads = rule_report(feed, {EVENT_RULES[0]: F.coalesce(F.size(F.col(col).getField("features")) < 1, F.lit(True))})
+    return payloads.unionByName(rule_report(_features(feed, col), event_rules(F.col("f"))))
 
 
 def read_event_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -104,8 +101,12 @@ def read_events(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
 def flatten_weather(payload: DataFrame, col: str = "payload") -> DataFrame:
     """Nested day summary -> flat row, bound by name (ruling D2). Each nested value is null
     when its path is absent or a step is not an object (N1 semantics via the typed reader)."""
-    w = F.col(col)
-    return payload.select(
+    return payload.select(*weather_columns(F.col(col)))
+
+
+def weather_columns(w: Column) -> list[Column]:
+    """The flat columns of one day summary."""
+    return [
         w.getField("lat").alias("lat"),
         w.getField("lon").alias("lon"),
         w.getField("tz").alias("tz"),
@@ -118,7 +119,7 @@ def flatten_weather(payload: DataFrame, col: str = "payload") -> DataFrame:
         w.getField("temperature").getField("max").alias("temperature_max"),
         w.getField("pressure").getField("afternoon").alias("pressure"),
         w.getField("wind").getField("max").getField("speed").alias("wind"),
-    )
+    ]
 
 
 def read_weather(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -132,7 +133,12 @@ def read_weather(spark: SparkSession, path: str, multi_line: bool = False) -> Da
 def array_table_rows(payload: DataFrame, names=SC.CENSUS_FIELDS, col: str = "payload") -> DataFrame:
     """S3: skip element 0 (the header) of each payload, name the remaining positions."""
     rows = payload.select(F.posexplode(F.col(col)).alias("__pos", "__row")).where(F.col("__pos") > 0)
-    return rows.select(*[F.try_element_at(F.col("__row"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+    return rows.select(*array_columns(F.col("__row"), names))
+
+
+def array_columns(row: Column, names=SC.CENSUS_FIELDS) -> list[Column]:
+    """The named positions of one array row (S3)."""
+    return [F.try_element_at(row, F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
 
 
 def _payload_text(spark: SparkSession, path: str, whole_text: bool) -> DataFrame:

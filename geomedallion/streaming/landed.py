@@ -12,63 +12,37 @@ otherwise the queries keep running with ``processing_time`` triggers.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from geomedallion import schemas as SC
-from geomedallion.functions.columns import ts_literal
+from geomedallion.plans import intake as IN
 from geomedallion.plans import layers as LY
 from geomedallion.session import ensure_checkpoint_dir
-from geomedallion.sinks import tables as K
-from geomedallion.sources import landed as LD
 
 __all__ = ["landed_stream", "bronze_streams"]
 
-STAGERS = {
-    "usgs": lambda df: LY.stage_usgs(df, min_mag=LY.MIN_MAGNITUDE),
-    "census": LY.stage_census,
-    "geocode": LY.stage_geocode,
-    "weather": LY.stage_weather,
-}
-FOLDERS = LY.FEED_FOLDERS
+# no feed window in streaming mode: a file counts when it lands
+RULES = {"usgs": {"min_mag": LY.MIN_MAGNITUDE}}
 
 
 def landed_stream(spark: SparkSession, landed_dir: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of parsed payload rows of one entity folder (JSON Lines files)."""
-    path = f"{landed_dir.rstrip('/')}/{FOLDERS[entity]}"
+    """Streaming intake of one entity folder (JSON Lines files): rows with their outcome.
+
+    Nothing is made distinct here, which would keep every record in state forever: each micro-batch is
+    de-duplicated by key in staging, and the merge is keyed.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if entity == "usgs":
-        raw = reader.schema(SC.EVENT_FEED).json(path)
-        return LD.flatten_event_feed(raw.select(F.struct("features").alias("feed")))
-    if entity == "weather":
-        raw = reader.schema(SC.WEATHER_PAYLOAD).json(path)
-        return LD.flatten_weather(raw.select(F.struct(*[F.col(c) for c in SC.WEATHER_PAYLOAD.fieldNames()]).alias("payload")))
-    text = reader.text(path)
-    if entity == "census":
-        return LD.array_table_rows(text.select(F.from_json("value", SC.CENSUS_PAYLOAD).alias("payload")))
-    parsed = text.select(F.from_json("value", SC.GEOCODE_PAYLOAD).alias("payload"))
-    # no streaming distinct here: it would keep every record in state forever; each micro-batch
-    # is de-duplicated by key in staging, and the merge is keyed
-    return LD.geocode_results(parsed, limit=SC.GEOCODE_RESULT_LIMIT).drop("result_pos")
+    text = reader.text(f"{landed_dir.rstrip('/')}/{LY.FEED_FOLDERS[entity]}")
+    return IN.intake(text, entity, **RULES.get(entity, {}))
 
 
 def _merge_batch(medallion: "LY.Medallion", entity: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        valid, rejected = STAGERS[entity](batch)
-        # Catalog changes go through the medallion's own session: the micro-batch runs in a
-        # cloned session whose table cache the caller would not see refreshed.
-        spark = medallion.spark
-        staging = medallion.t(f"{entity}_insert")
-        K.load_staging(valid, staging)
-        spark.catalog.refreshTable(staging)
-        run_ts = medallion.merge_time(_dt.datetime.now(_dt.timezone.utc))
-        K.append_staging(rejected.withColumn("rejected_tm", ts_literal(run_ts)), medallion.t(f"{entity}_rejected"))
-        medallion.merge_into(entity, medallion.t(f"{entity}_raw"), staging, SC.RAW_KEYS[entity], run_ts, f"stream-{epoch_id}")
+        # the batch is written by its own, cloned session; all else goes through the medallion's, whose
+        # table cache the caller sees refreshed
+        medallion.merge_batch(entity, batch, f"stream-{epoch_id}")
 
     return run
 
