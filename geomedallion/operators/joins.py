@@ -7,16 +7,13 @@ outer join, so a hot right-side key would land in one task. Instead:
   1. count right rows per key (partial aggregation, one row per key);
   2. a key gets ``n = ceil(count / rows_per_salt)`` salts; right rows take salt
      ``pmod(xxhash64(row), n)``; each left row is replicated once per salt of its key
-     (``explode_outer``: a key without right rows keeps one replica with a null salt);
-  3. left join on (keys, salt): every pair is produced exactly once, a hot key's pairs are
-     spread over n tasks;
-  4. a left row without right rows (unknown or null key) takes a random-looking bucket of its own, so
-     that all rows with a null key do not meet in one task;
-  5. a replica whose salt bucket happens to be empty yields a null-padded row; it is dropped
-     unless the key has no right rows at all. A key with right rows has at least one non-empty
-     bucket, so every left row still appears.
+  3. join on (keys, salt): every pair is produced exactly once, a hot key's pairs are spread over n tasks. A key
+     with right rows has at least one non-empty bucket, so every left row with such a key appears;
+  4. left rows without right rows (an unknown key, or a null one) enter no exchange at all: they leave
+     beside the join, padded with nulls, and are unioned back.
 
-The left side is read once; the right side twice (counts, rows).
+The left side is read twice (rows with and without right rows), the right side twice (counts, rows); what lies
+above a shuffle of theirs is computed once, as Spark reuses the exchange.
 """
 
 from __future__ import annotations
@@ -31,7 +28,6 @@ from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_
 __all__ = ["salted_left_join", "DEFAULT_ROWS_PER_SALT"]
 
 DEFAULT_ROWS_PER_SALT = 100_000
-UNMATCHED_BUCKETS = 1 << 16
 
 
 def salted_left_join(
@@ -57,23 +53,25 @@ def salted_left_join(
 
     counts = right.where(present).groupBy(*keys).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_salt))).cast("int").alias("__n"))
+    without_key = None
     if key_rows_bound is not None and key_rows_bound <= broadcast_max_rows:
-        counts_b = F.broadcast(counts)
+        counts_b = F.broadcast(counts)  # keys and a number
     else:
-        counts_b, _ = broadcast_if_small(counts, broadcast_max_rows)
+        counts_b, small = broadcast_if_small(counts, broadcast_max_rows)
+        if not small:  # null keys would meet in one task of this join
+            left, without_key = left.where(present), left.where(~present)
 
     salted_right = (
         right.where(present).join(counts_b, keys)
         .withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("__n")).cast("int"))
-        .drop("__n").withColumn("__hit", F.lit(True)).withColumn("__alone", F.lit(-1))
+        .drop("__n")
     )
-    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(UNMATCHED_BUCKETS)).cast("int")
-    salted_left = (
-        left.join(counts_b, keys, "left")
-        .withColumn("__salt", F.explode_outer(F.sequence(F.lit(0), F.col("__n") - 1)))
-        .withColumn("__alone", F.when(F.col("__n").isNull(), row_hash).otherwise(F.lit(-1)))
-    )
-    joined = salted_left.join(salted_right, keys + ["__salt", "__alone"], "left")
-    kept = joined.where(F.col("__hit").isNotNull() | F.col("__n").isNull())
+    marked = left.join(counts_b, keys, "left")
+    salted_left = marked.where(F.col("__n").isNotNull()).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
     cols = list(left.columns) + right_cols
-    return kept.select(*cols)
+    paired = salted_left.join(salted_right, keys + ["__salt"]).select(*cols)
+    alone = marked.where(F.col("__n").isNull()).select(*left.columns)
+    if without_key is not None:
+        alone = alone.unionByName(without_key)
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols]
+    return paired.unionByName(alone.select(*left.columns, *nothing))

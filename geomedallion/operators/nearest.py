@@ -8,20 +8,23 @@ Semantics (reference intent, SURVEY §2.4/§2.6, §7.3):
   * observations without a candidate (or without coordinates) survive with null location
     columns and a null distance (left-join semantics).
 
-Physical plan: locations are packed per bin into arrays and the nearest one is chosen with
-``array_min(transform(...))`` inside the observation's own row, so the large observation
-side is never shuffled for the match:
-  * bounded location side (row count proven <= ``broadcast_max_rows``): the packed bins are
-    broadcast, observation side is one narrow stage;
-  * otherwise each bin is split into chunks of at most ``chunk_size`` locations, every
-    observation is joined to each chunk of its bin (shuffle join on bin + chunk), and the
-    per-chunk winners are reduced per id with a partially aggregated ``min_by``. A bin holding
-    a third of all locations is spread over many tasks instead of one.
+Physical plan, an adaptive grid:
+  * places at one point are one place (the best by the tie breakers), so a point that many share is no hot cell;
+  * every bin gets a sub-grid sized from its count, about ``CELL_PLACES`` places a sub-cell. Each sub-cell lists the
+    places of the 3x3 block around it (coordinates and tie breakers only), and an observation joins exactly one list,
+    on the plain columns bin, row and column: the work per observation does not grow with the places of the bin;
+  * a lower bound on the distance to everything outside the block proves nearly all answers. The others, whose
+    block is empty or whose nearest place lies near its edge, search their whole bin in a second pass;
+  * the winner's other columns are joined last, on its coordinates.
+When the lists are proven small (a measured byte size) they are broadcast and the observation side is one narrow
+stage. Otherwise the lists are joined by a shuffle, whose hot side is the observations' (AQE can split the left side
+of a left join); observations without coordinates or without places in their bin never enter it, and
+the second pass spreads each bin over chunks of at most ``chunk_size`` places.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,16 +34,17 @@ from geomedallion.functions.geo import (
 )
 from geomedallion.operators.dedup import Order, first_by_key, orderable
 from geomedallion.operators.joins import salted_left_join
-from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, Size, broadcast_if_small, measure
+from geomedallion.session import ensure_checkpoint_dir
 
-__all__ = ["BIN_COLS", "add_bins", "bin_join", "nearest_location"]
+__all__ = ["BIN_COLS", "add_bins", "bin_join", "candidate_lists", "nearest_location"]
 
 BIN_COLS = ("lat_bin", "lon_bin")
+CELL_COLS = ("__r", "__c")
 DEFAULT_CHUNK_SIZE = 256
-# Dense bins (more candidates than this) are also packed per sub-cell of a SUBGRID x SUBGRID grid;
-# an observation there first searches its own and the 8 neighbouring sub-cells.
-DENSE_BIN_CANDIDATES = 64
-SUBGRID = 8
+CELL_PLACES = 4  # places a sub-cell, about; a bin of nine times as many is one list
+MAX_SUBGRID = 4096
+LIST_COPIES = 10  # a place stands in nine lists, and in its whole bin
 _R_MILES = EARTH_RADIUS_KM / KM_PER_MILE
 _BOUND_MARGIN_MILES = 1e-6  # floating-point slack on the lower bound
 
@@ -65,7 +69,7 @@ def bin_join(
 ) -> DataFrame:
     """J2/J3 candidate pairs: equi-join on (lat_bin, lon_bin), plus the great-circle distance.
 
-    The right side is broadcast only when proven small. Otherwise a left join goes through
+    The right side is broadcast only when measured small, in rows and in bytes. Otherwise a left join goes through
     ``salted_left_join``: a bin holding a large share of the right rows is split over several
     tasks (AQE could split only the left side of a left outer join).
     """
@@ -81,21 +85,27 @@ def bin_join(
     return out
 
 
-def _sub_index(coord: Column, bin_col: Column, size: float, g: int) -> Column:
+def _sub_index(coord: Column, bin_col: Column, size: float, g: Column) -> Column:
     """Row / column of the sub-cell holding ``coord`` inside its bin (clamped against rounding)."""
-    v = F.floor((coord - bin_col.cast("double") * F.lit(float(size))) / F.lit(size / g)).cast("int")
-    return F.least(F.greatest(v, F.lit(0)), F.lit(g - 1))
+    v = F.floor((coord - bin_col.cast("double") * F.lit(float(size))) / (F.lit(float(size)) / g)).cast("int")
+    return F.least(F.greatest(v, F.lit(0)), g - 1)
 
 
-def _block_lower_bound(lat: Column, lon: Column, r: Column, c: Column, size: float, g: int) -> Column:
-    """Miles below which no candidate outside the 3x3 sub-cell block around (r, c) can lie.
+def _cell(lat: Column, lon: Column, size: float) -> list[Column]:
+    g = F.col("__g")
+    return [_sub_index(lat, F.col(BIN_COLS[0]), size, g).alias(CELL_COLS[0]), _sub_index(lon, F.col(BIN_COLS[1]), size, g).alias(CELL_COLS[1])]
+
+
+def _block_lower_bound(lat: Column, lon: Column, size: float) -> Column:
+    """Miles below which no candidate outside the 3x3 sub-cell block around the observation's sub-cell can lie.
 
     Latitude edges: a great circle is at least as long as the meridian arc, R * dphi.
     Longitude edges: haversine h >= cos^2(max |lat| of the bin) * sin^2(dlambda / 2).
     A side of the block lying on the bin edge has nothing beyond it (same-bin candidates only).
     Null when no side has anything beyond it (the block is the whole bin).
     """
-    cell = size / g
+    r, c, g = F.col(CELL_COLS[0]), F.col(CELL_COLS[1]), F.col("__g")
+    cell = F.lit(float(size)) / g
     lat0 = F.col("lat_bin").cast("double") * F.lit(float(size))
     lon0 = F.col("lon_bin").cast("double") * F.lit(float(size))
     cos_min = F.cos(F.radians(F.greatest(F.abs(lat0), F.abs(lat0 + F.lit(float(size))))))
@@ -107,14 +117,45 @@ def _block_lower_bound(lat: Column, lon: Column, r: Column, c: Column, size: flo
         return F.lit(2 * _R_MILES) * F.asin(F.least(F.lit(1.0), cos_min * F.sin(F.radians(d_deg) / 2)))
 
     sides = [
-        F.when(r - 1 > 0, meridian(lat - (lat0 + (r - 1) * F.lit(cell)))),
-        F.when(r + 1 < g - 1, meridian(lat0 + (r + 2) * F.lit(cell) - lat)),
-        F.when(c - 1 > 0, parallel(lon - (lon0 + (c - 1) * F.lit(cell)))),
-        F.when(c + 1 < g - 1, parallel(lon0 + (c + 2) * F.lit(cell) - lon)),
+        F.when(r - 1 > 0, meridian(lat - (lat0 + (r - 1) * cell))),
+        F.when(r + 1 < g - 1, meridian(lat0 + (r + 2) * cell - lat)),
+        F.when(c - 1 > 0, parallel(lon - (lon0 + (c - 1) * cell))),
+        F.when(c + 1 < g - 1, parallel(lon0 + (c + 2) * cell - lon)),
     ]
     return F.least(*sides)  # least() skips nulls: the sides that exist
 
 
+class CandidateLists(NamedTuple):
+    points: DataFrame  # __lat, __lon, __row: one place a point, its tie breakers and its columns (loc)
+    grid: DataFrame  # bins, __n places, __g sub-cells a side
+    narrow: DataFrame  # bins, __n, __g, cells, __place: tie breakers and coordinates
+    lists: DataFrame  # bins, cells, __near: the places of the 3x3 block around a sub-cell
+
+
+def candidate_lists(
+    locs: DataFrame, loc_lat: str, loc_lon: str, tie_breakers: Sequence[str] = (), size: float = GRID_BIN_DEGREES, cell_places: float = CELL_PLACES
+) -> CandidateLists:
+    """The adaptive grid over ``locs`` (rows without coordinates are left out)."""
+    bins, cells, ties, loc_cols = list(BIN_COLS), list(CELL_COLS), [f"t{i}" for i in range(len(tie_breakers))], locs.columns
+    present = locs.where(F.col(loc_lat).isNotNull() & F.col(loc_lon).isNotNull())
+    best_row = F.min(F.struct(*[F.col(f"`{t}`").alias(n) for t, n in zip(tie_breakers, ties)], F.struct(*[F.col(f"`{c}`") for c in loc_cols]).alias("loc")))
+    points = present.groupBy(F.col(loc_lat).alias("__lat"), F.col(loc_lon).alias("__lon")).agg(best_row.alias("__row"))
+    places = add_bins(points, "__lat", "__lon", size)
+    per_side = F.ceil(F.sqrt(F.col("__n") / F.lit(float(cell_places)))).cast("int")
+    side = F.when(F.col("__n") <= 9 * cell_places, F.lit(1)).otherwise(F.least(F.lit(MAX_SUBGRID), per_side))
+    grid = places.groupBy(*bins).agg(F.count(F.lit(1)).alias("__n")).withColumn("__g", side)
+
+    place = F.struct(*[F.col("__row").getField(t).alias(t) for t in ties], F.col("__lat").alias("lat"), F.col("__lon").alias("lon")).alias("__place")
+    narrow = places.join(grid, bins).select(*bins, "__g", "__n", *_cell(F.col("__lat"), F.col("__lon"), size), place)
+    offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    block = F.flatten(F.transform(offsets, lambda i: F.transform(offsets, lambda j: F.struct((F.col(cells[0]) + i).alias("r"), (F.col(cells[1]) + j).alias("c")))))
+    inside = F.filter(block, lambda b: (b.r >= 0) & (b.r < F.col("__g")) & (b.c >= 0) & (b.c < F.col("__g")))
+    lists = narrow.select(*bins, "__place", F.explode(inside).alias("__b")).groupBy(*bins, F.col("__b.r").alias(cells[0]), F.col("__b.c").alias(cells[1]))
+    lists = lists.agg(F.collect_list("__place").alias("__near"))
+
+    return CandidateLists(points, grid, narrow, lists)
+
+
 def nearest_location(
     obs: DataFrame,
     locs: DataFrame,
@@ -130,21 +171,16 @@ def nearest_location(
     distance_col: str = "dist_miles",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     chunk_size: int = DEFAULT_CHUNK_SIZE,
-    locs_rows_bound: int | None = None,
-    dense_bin_candidates: int = DENSE_BIN_CANDIDATES,
+    locs_size: Size | None = None,
+    cell_places: float = CELL_PLACES,
 ) -> DataFrame:
     """Each observation id with its nearest same-bin location.
 
     Output columns: obs columns, lat_bin, lon_bin, location columns, ``distance_col``.
     ``ids_unique=True`` declares ``id_col`` unique (e.g. the weather id after silver
-    de-duplication) and skips the per-id reduction when the location side is broadcast; it is the
-    caller's promise, and both plans agree only where it holds (without it, rows that share an id,
-    or have none, are one).
-    ``locs_rows_bound`` is a row bound the caller has already proven for ``locs``; it replaces
-    the size probe. In bins with more than ``dense_bin_candidates`` locations (broadcast plan) an
-    observation first searches the 3x3 sub-cells around it and keeps that answer only when a
-    lower bound proves every other candidate of the bin strictly farther; otherwise it scans
-    the whole bin. The answer is the same either way.
+    de-duplication) and skips the per-id reduction; it is the caller's promise (without it, rows that share an id,
+    or have none, are one). ``locs_size`` is a size the caller has already measured. Ties beyond the tie breakers
+    go to the least coordinates, then to the least location row.
     """
     loc_cols = list(locs.columns)
     clash = set(obs.columns) & (set(loc_cols) | set(BIN_COLS) | {distance_col})
@@ -153,105 +189,74 @@ def nearest_location(
     for t in tie_breakers:
         if t not in loc_cols:
             raise ValueError(f"tie breaker {t!r} is not a location column")
+    bins, cells, lat, lon = list(BIN_COLS), list(CELL_COLS), F.col(obs_lat), F.col(obs_lon)
+    ties = [f"t{i}" for i in range(len(tie_breakers))]
 
-    lb = add_bins(locs.where(F.col(loc_lat).isNotNull() & F.col(loc_lon).isNotNull()), loc_lat, loc_lon, size)
-    ob = add_bins(obs, obs_lat, obs_lon, size)
-    loc_struct = F.struct(*[F.col(f"`{c}`") for c in loc_cols])
+    grids = candidate_lists(locs, loc_lat, loc_lon, tie_breakers, size, cell_places)
+    points, grid, narrow, lists = grids.points, grids.grid, grids.narrow, grids.lists
 
-    def best_of(cands: Column) -> Column:
-        # Candidates exist only when both observation bins matched, so the observation's
-        # coordinates are present; location coordinates were filtered. The distance is thus
-        # never null here and is evaluated once per candidate.
+    def best_of(candidates: Column) -> Column:
+        # a candidate list was joined on bins, so the observation's coordinates are present
         def key(x: Column) -> Column:
-            d = rounded_miles(F.col(obs_lat), F.col(obs_lon), x[loc_lat], x[loc_lon], inputs_present=True)
-            ties = [x[t].alias(f"t{i}") for i, t in enumerate(tie_breakers)]
-            return F.struct(d.alias("d"), *ties, x.alias("loc"))
+            d = rounded_miles(lat, lon, x.lat, x.lon, inputs_present=True)
+            return F.struct(d.alias("d"), *[x[t].alias(t) for t in ties], x.lat.alias("lat"), x.lon.alias("lon"))
 
-        return F.array_min(F.transform(cands, key))
+        return F.array_min(F.transform(candidates, key))
 
-    obs_cols = list(ob.columns)  # includes the bins
-    loc_out = [F.col("__best.loc").getField(c).alias(c) for c in loc_cols]
-    tie_out = [F.col("__best").getField(f"t{i}") for i in range(len(tie_breakers))]
+    # the block's winner is final when every candidate outside the block is strictly farther
+    scale = float(10 ** DISTANCE_DIGITS)
+    bound = _block_lower_bound(lat, lon, size)
+    floor = F.floor((bound - F.lit(_BOUND_MARGIN_MILES)) * F.lit(scale)) / F.lit(scale)
+    is_final = F.col("__g").isNull() | bound.isNull() | F.coalesce(F.col("__best.d") < floor, F.lit(False))
 
-    counts = lb.groupBy(*BIN_COLS).agg(F.count(F.lit(1)).alias("__n"))
-    if locs_rows_bound is not None:
-        is_small = locs_rows_bound <= broadcast_max_rows
+    ob = add_bins(obs, obs_lat, obs_lon, size)
+    obs_cols = list(ob.columns)
+    kept = [F.col(f"`{c}`") for c in obs_cols]
+    found = locs_size or measure(locs)
+    broadcast = found.rows <= broadcast_max_rows and found.fits(copies=LIST_COPIES)
+    if broadcast:
+        first = ob.join(F.broadcast(grid.select(*bins, "__g")), bins, "left").select(*kept, "__g", *_cell(lat, lon, size))
+        first = first.join(F.broadcast(lists), bins + cells, "left").withColumn("__best", best_of(F.col("__near"))).withColumn("__final", is_final)
+        # only what is not proven finds its bin here
+        whole = narrow.where(F.col("__g") > 1).groupBy(*[F.col(b).alias(f"__{b}") for b in bins]).agg(F.collect_list("__place").alias("__all"))
+        open_bin = [F.when(~F.col("__final"), F.col(b)) == F.col(f"__{b}") for b in bins]
+        second = first.join(F.broadcast(whole), open_bin, "left")
+        out = second.select(*kept, F.when(F.col("__final"), F.col("__best")).otherwise(best_of(F.col("__all"))).alias("__best"))
+    else:
+        grid_side, grid_small = broadcast_if_small(grid.select(*bins, "__g"), broadcast_max_rows)
+        placed = ob.where(F.col(bins[0]).isNotNull() & F.col(bins[1]).isNotNull()) if not grid_small else ob
+        placed = placed.join(grid_side, bins, "left").select(*kept, "__g", *_cell(lat, lon, size))
+        alone = placed.where(F.col("__g").isNull()).select(*kept)  # these enter no exchange
+        if not grid_small:
+            alone = alone.unionByName(ob.where(F.col(bins[0]).isNull() | F.col(bins[1]).isNull()))
+        first = placed.where(F.col("__g").isNotNull()).join(lists, bins + cells, "left")
+        first = first.withColumn("__best", best_of(F.col("__near"))).select(*kept, "__best", is_final.alias("__final"))
+        ensure_checkpoint_dir(first.sparkSession)
+        first = first.checkpoint(eager=True)  # both passes go on from here
+        chunk = F.pmod(F.xxhash64("__place"), F.ceil(F.col("__n") / F.lit(float(chunk_size)))).cast("int")
+        chunks = narrow.where(F.col("__g") > 1).select(*bins, chunk.alias("__chunk"), "__place")
+        chunks = chunks.groupBy(*bins, "__chunk").agg(F.collect_list("__place").alias("__all"))
+        wide = first.where(~F.col("__final")).select(*kept).join(chunks, bins, "left")
+        searched = wide.select(*kept, best_of(F.col("__all")).alias("__best"))
+        if ids_unique:  # the best of an observation's chunks
+            rest = [c for c in obs_cols if c != id_col]
+            least = searched.groupBy(id_col).agg(F.min("__best").alias("__best"), *[F.first(c).alias(c) for c in rest])
+            searched = least.select(*kept, "__best")
+        nothing = F.lit(None).cast(first.schema["__best"].dataType).alias("__best")
+        out = first.where("__final").select(*kept, "__best").unionByName(searched).unionByName(alone.select(*kept, nothing))
+    if not ids_unique:
+        rest = [c for c in obs_cols if c != id_col and orderable(ob.schema[c].dataType)]
+        flat = [F.col("__best").getField(n).alias(f"__{n}") for n in ("d", *ties, "lat", "lon")]
+        order = [Order("__d"), *[Order(f"__{t}", nulls_first=True) for t in ties], *[Order(c, nulls_first=True) for c in rest]]
+        out = first_by_key(out.select(*kept, *flat), [id_col], order + [Order("__lat"), Order("__lon")])
+        out = out.select(*kept, F.col("__d").alias(distance_col), F.col("__lat").alias("__at"), F.col("__lon").alias("__on"))
     else:
-        _, is_small = broadcast_if_small(lb, broadcast_max_rows)
-
-    if is_small:
-        g = SUBGRID
-        keyed = lb.withColumn("__k", _sub_index(F.col(loc_lat), F.col("lat_bin"), size, g) * g
-                              + _sub_index(F.col(loc_lon), F.col("lon_bin"), size, g))
-        packed = keyed.groupBy(*BIN_COLS).agg(F.collect_list(F.struct(F.col("__k").alias("k"), loc_struct.alias("x"))).alias("__kv"))
-        # per-sub-cell map only for dense bins, built on the small side from the bin's own list; it
-        # holds 1-based positions into __cands, so no place is broadcast twice
-        positions = F.transform("__kv", lambda e, i: F.struct(e.k.alias("k"), (i + 1).alias("p")))
-        by_cell = F.map_from_entries(F.transform(
-            F.array_distinct(F.transform("__kv", lambda e: e.k)),
-            lambda k: F.struct(k.alias("k"), F.transform(F.filter(positions, lambda e: e.k == k), lambda e: e.p).alias("v")),
-        ))
-        packed = packed.select(
-            *BIN_COLS,
-            F.transform("__kv", lambda e: e.x).alias("__cands"),
-            F.when(F.size("__kv") > dense_bin_candidates, by_cell).alias("__cells"),
-        )
-        matched = ob.join(F.broadcast(packed), list(BIN_COLS), "left")
-
-        r = _sub_index(F.col(obs_lat), F.col("lat_bin"), size, g)
-        c = _sub_index(F.col(obs_lon), F.col("lon_bin"), size, g)
-        offsets = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        block = F.filter(
-            F.flatten(F.transform(offsets, lambda di: F.transform(offsets, lambda dj: F.struct((r + di).alias("r"), (c + dj).alias("c"))))),
-            lambda b: (b.r >= 0) & (b.r < g) & (b.c >= 0) & (b.c < g),
-        )
-        near_pos = F.flatten(F.filter(F.transform(block, lambda b: F.try_element_at(F.col("__cells"), b.r * g + b.c)),
-                                      lambda v: v.isNotNull()))
-        near = F.transform(near_pos, lambda i: F.element_at(F.col("__cands"), i))
-        matched = matched.withColumn("__near", F.when(F.col("__cells").isNotNull(), best_of(near)))
-        bound = _block_lower_bound(F.col(obs_lat), F.col(obs_lon), r, c, size, g)
-        scale = float(10 ** DISTANCE_DIGITS)
-        bound_floor = F.floor((bound - F.lit(_BOUND_MARGIN_MILES)) * F.lit(scale)) / F.lit(scale)
-        # the block's winner is final when every candidate outside the block is strictly farther
-        final = F.when(
-            F.col("__near").isNotNull(),
-            F.when(F.col("__near.d") < bound_floor, F.col("__near")).when(bound.isNull(), F.col("__near")),
-        )
-        matched = matched.withColumn("__best", F.coalesce(final, best_of(F.col("__cands"))))
-        out = matched.select(*[F.col(f"`{c}`") for c in obs_cols], *loc_out,
-                             F.col("__best.d").alias(distance_col), *[t.alias(f"__t{i}") for i, t in enumerate(tie_out)])
-        if not ids_unique:
-            rest = [c for c in obs_cols if c != id_col and orderable(out.schema[c].dataType)]
-            order = [Order(distance_col)] + [Order(f"__t{i}", nulls_first=True) for i in range(len(tie_out))]
-            order += [Order(c, nulls_first=True) for c in rest]
-            out = first_by_key(out, [id_col], order)
-        return out.drop(*[f"__t{i}" for i in range(len(tie_out))])
-
-    # Unbounded location side: chunk every bin so no task holds more than chunk_size candidates.
-    chunks = counts.select(*BIN_COLS, F.ceil(F.col("__n") / F.lit(float(chunk_size))).cast("int").alias("__k"))
-    chunks_b, _ = broadcast_if_small(chunks, broadcast_max_rows)
-    chunk_of = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in loc_cols]), F.col("__k")).cast("int")
-    packed = (
-        lb.join(chunks_b, list(BIN_COLS))
-        .withColumn("__chunk", chunk_of)
-        .groupBy(*BIN_COLS, "__chunk")
-        .agg(F.collect_list(loc_struct).alias("__cands"))
-    )
-    exploded = (
-        ob.join(chunks_b, list(BIN_COLS), "left")
-        .withColumn("__chunk", F.explode_outer(F.sequence(F.lit(0), F.col("__k") - 1)))
-        .drop("__k")
-    )
-    per_chunk = exploded.join(packed, list(BIN_COLS) + ["__chunk"], "left").withColumn("__best", best_of(F.col("__cands")))
-    obs_struct = F.struct(*[F.col(f"`{c}`") for c in obs_cols])
-    order_rest = [F.col(f"`{c}`") for c in obs_cols if c != id_col and orderable(ob.schema[c].dataType)]
-    # the broadcast plan's order: distance, ties, the rest of the observation; among the chunks of one
-    # observation the location itself decides
-    order = F.struct(F.col("__best.d").isNull(), F.col("__best.d"), *tie_out, *order_rest, F.col("__best.loc"))
-    payload = F.struct(obs_struct.alias("o"), F.col("__best.loc").alias("loc"), F.col("__best.d").alias("d"))
-    reduced = per_chunk.groupBy(id_col).agg(F.min_by(payload, order).alias("__w"))
-    return reduced.select(
-        *[F.col("__w.o").getField(c).alias(c) for c in obs_cols],
-        *[F.col("__w.loc").getField(c).alias(c) for c in loc_cols],
-        F.col("__w.d").alias(distance_col),
-    )
+        out = out.select(*kept, F.col("__best.d").alias(distance_col), F.col("__best.lat").alias("__at"), F.col("__best.lon").alias("__on"))
+    at = (F.col("__at") == F.col("__lat")) & (F.col("__on") == F.col("__lon"))
+    columns = [*kept, *[F.col("__row.loc").getField(c).alias(c) for c in loc_cols], distance_col]
+    if broadcast:
+        return out.join(F.broadcast(points), at, "left").select(*columns)
+    matched = out.where(F.col("__at").isNotNull()).join(points, at, "left").select(*columns)
+    types = {f.name: f.dataType for f in locs.schema.fields}
+    unmatched = [*kept, *[F.lit(None).cast(types[c]).alias(c) for c in loc_cols], distance_col]
+    return matched.unionByName(out.where(F.col("__at").isNull()).select(*unmatched))

@@ -1,31 +1,44 @@
 """Size checks that guard every explicit broadcast.
 
-A side is broadcast only after ``rows_at_most`` proved it small. The probe reads at most
-``limit + 1`` rows, so it stays cheap when the side turns out to be large; above the bound
-the caller takes its shuffle plan instead.
+A side is broadcast only after it was measured small, in rows and in bytes. The measure is one aggregation, so it
+runs on all tasks of the side and returns one row; above the bounds the caller takes its shuffle plan instead.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for broadcasting a dimension (a place table of a few hundred bytes per row).
+# Default bounds for broadcasting a dimension.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
+ROW_BYTES = 32  # what a row takes besides its values, about
+
 
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    bytes: int
 
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
+    def fits(self, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, copies: int = 1) -> bool:
+        return self.bytes * copies <= max_bytes
 
 
-def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Exact row count when it is at most ``limit`` (reads at most limit + 1 rows), else None."""
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
+def measure(df: DataFrame) -> Size:
+    """Rows of ``df``, and their bytes by the length of their JSON text."""
+    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])))
+    r = df.select(text.alias("n")).agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("bytes")).first()
+    return Size(r["rows"], r["bytes"] + ROW_BYTES * r["rows"])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Return (df with a broadcast hint, True) when it has at most ``max_rows`` rows, else (df, False)."""
-    if max_rows > 0 and rows_at_most(df, max_rows):
-        return F.broadcast(df), True
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
+) -> tuple[DataFrame, bool]:
+    """Return (df with a broadcast hint, True) when it is measured within both bounds, else (df, False)."""
+    if max_rows > 0:
+        size = measure(df)
+        if size.rows <= max_rows and size.fits(max_bytes):
+            return F.broadcast(df), True
     return df, False

@@ -192,6 +192,33 @@ def event_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("payload_id", F.to_json(F.struct("features")).alias("value"))
 
 
+ODD_FEED_MS = 1705233600000  # 2024-01-14T12:00:00Z, inside the window of the layers' run
+ODD_FEED_CASES = 10
+
+
+def odd_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event payload per customer that breaks a rule of the feed's shape, by ``c_custkey % 10``: no features (0, 1),
+    no properties (2), no geometry (3), a title of one character (4), no time (5), text cut short (6), an array (7),
+    features of another type (8); 9 is sound."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    ms = F.lit(ODD_FEED_MS) + k
+    case = k % ODD_FEED_CASES
+    props = F.struct(
+        F.lit(3.0).alias("mag"), F.concat(F.lit("customer "), k.cast("string")).alias("place"), F.when(case != 5, ms).alias("time"), ms.alias("updated"),
+        F.when(case == 4, F.lit("t")).otherwise(F.concat(F.lit("Customer "), k.cast("string"))).alias("title"),
+    )
+    point = F.struct(F.array(derived_lon(k, OBS_LON_MULT), derived_lat(k, OBS_LAT_MULT)).alias("coordinates"))
+    feature = F.struct(F.when(case != 2, props).alias("properties"), F.when(case != 3, point).alias("geometry"))
+    sound = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features")))
+    text = (
+        F.when(case == 0, F.lit('{"type":"FeatureCollection","features":[]}')).when(case == 1, F.lit('{"type":"FeatureCollection"}'))
+        .when(case == 6, F.substring(sound, 1, 41)).when(case == 7, F.concat(F.lit("["), k.cast("string"), F.lit("]")))
+        .when(case == 8, F.lit('{"features":"none"}')).otherwise(sound)
+    )
+    return c.select(k.alias("payload_id"), text.alias("value"))
+
+
 def weather_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed weather JSON per reading; ``wind`` absent for signup, ``wind.max`` a scalar
     for view, ``temperature`` absent for error events."""

@@ -19,10 +19,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/geomedallion-work/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def land_payloads(spark: SparkSession, sf_dir: str, landed_dir: str) -> str:
-    """Write the derived payloads as landed JSON Lines folders: events/ weather/ census/ geocode/."""
+def land_payloads(spark: SparkSession, sf_dir: str, landed_dir: str, odd: bool = False) -> str:
+    """Write the derived payloads as landed JSON Lines folders: events/ weather/ census/ geocode/; with ``odd``,
+    event payloads that break the feed's rules land beside the others."""
     d = landed_dir.rstrip("/")
     D.event_feed_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/events")
+    if odd:
+        D.odd_feed_text(spark, sf_dir).select("value").write.mode("append").text(f"{d}/events")
     D.weather_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/weather")
     D.census_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/census")
     D.geocode_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/geocode")

@@ -34,7 +34,7 @@ from geomedallion.operators.location import location_dimension, location_fact
 from geomedallion.operators.merge import merge_upsert
 from geomedallion.operators.nearest import nearest_location
 from geomedallion.plans import intake as IN
-from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, bounded_count
+from geomedallion.operators.sizing import measure
 from geomedallion.session import ensure_checkpoint_dir
 from geomedallion.sinks import tables as K
 from geomedallion.sources.csv import bind_by_name, read_csv
@@ -146,20 +146,19 @@ def gold_tables(
         loc = loc.checkpoint(eager=True)
     else:
         loc = locations
-    # one probe proves the dimension's size; it bounds both matches and the fact's join keys
-    bound = bounded_count(loc, DEFAULT_BROADCAST_MAX_ROWS)
+    # the dimension's size, measured once, decides on both matches; its rows bound the fact's join keys
+    size = measure(loc)
     w = weather.withColumn("weather_id", C.row_hash_id(weather, ["date", "lat", "lon"]))
     q = usgs.withColumn("usgs_id", C.row_hash_id(usgs, ["time", "latitude", "longitude"]))
-    big = DEFAULT_BROADCAST_MAX_ROWS + 1  # no bound proven: take the shuffle plans
     weather_loc = nearest_location(
         w, loc, id_col="weather_id", obs_lat="lat", obs_lon="lon",
-        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique, locs_rows_bound=big if bound is None else bound,
+        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique, locs_size=size,
     )
     usgs_loc = nearest_location(
         q, loc, id_col="usgs_id", obs_lat="latitude", obs_lon="longitude", tie_breakers=LOCATION_TIES,
-        locs_rows_bound=big if bound is None else bound,
+        locs_size=size,
     )
-    fact = location_fact(weather_loc, usgs_loc, location_rows_bound=bound)
+    fact = location_fact(weather_loc, usgs_loc, location_rows_bound=size.rows)
     return {"location_dimension": loc, "attribute_table": fact, "dim_date": date_dimension(fact, "date")}
 
 

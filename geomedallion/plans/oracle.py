@@ -389,6 +389,45 @@ BRONZE_REJECTS = f"""
   FROM ({EVENT_FLAT}) e WHERE place IS NULL OR time IS NULL OR mag IS NULL"""
 
 
+ODD_CASE = f"c_custkey % {D.ODD_FEED_CASES}"
+FEED_SHAPE = f"""
+  SELECT rule, CAST(sum(n) AS BIGINT) AS n_rejected FROM (
+    SELECT unnest(['no_features', 'no_properties', 'no_geometry', 'short_coordinates', 'bad_place', 'bad_title', 'no_time', 'no_updated']) AS rule,
+           unnest([0, 0, 0, count_if(event_type = 'purchase'), count_if(event_type IN ('error', 'signup')), 0, 0, count_if(event_type = 'view')]) AS n
+    FROM events
+    UNION ALL
+    SELECT unnest(['no_features', 'no_properties', 'no_geometry', 'short_coordinates', 'bad_place', 'bad_title', 'no_time', 'no_updated']),
+           unnest([count_if({ODD_CASE} IN (0, 1, 8)), count_if({ODD_CASE} = 2), count_if({ODD_CASE} = 3), count_if({ODD_CASE} = 3),
+                   count_if({ODD_CASE} = 2), count_if({ODD_CASE} IN (2, 4)), count_if({ODD_CASE} IN (2, 5)), count_if({ODD_CASE} = 2)])
+    FROM customer) r GROUP BY rule"""
+
+_USGS_OUTCOME = f"""CASE WHEN place IS NULL OR time IS NULL OR mag IS NULL THEN 'rejected'
+  WHEN time >= TIMESTAMP '{BRONZE_WINDOW[0]}' AND time < TIMESTAMP '{BRONZE_WINDOW[1]}' AND mag >= 2 THEN 'valid' ELSE 'out_of_window' END"""
+BRONZE_OUTCOMES = f"""
+  WITH found AS (
+    SELECT 'usgs' AS entity, {_USGS_OUTCOME} AS outcome FROM ({EVENT_FLAT}) e
+    UNION ALL
+    SELECT 'usgs', CASE WHEN {ODD_CASE} IN (0, 1, 8) THEN 'empty_payload' WHEN {ODD_CASE} IN (6, 7) THEN 'bad_payload'
+                        WHEN {ODD_CASE} IN (2, 5) THEN 'rejected' ELSE 'valid' END FROM customer
+    UNION ALL
+    SELECT 'census', CASE WHEN name IS NULL OR length(name) > 50 THEN 'rejected' ELSE 'valid' END FROM ({CENSUS_ROWS}) c
+    UNION ALL
+    SELECT 'geocode', CASE WHEN name IS NULL OR length(name) > 50 OR length(state) > 50 THEN 'rejected' ELSE 'valid' END
+    FROM ({GEOCODE_RESULTS}) g WHERE result_pos < 5 AND country = 'US'
+    UNION ALL
+    SELECT 'weather', CASE WHEN ts IS NULL THEN 'rejected' ELSE 'valid' END FROM events),
+  every AS (
+    SELECT entity, outcome FROM (SELECT unnest(['usgs', 'census', 'geocode', 'weather']) AS entity) e,
+           (SELECT unnest(['valid', 'rejected', 'out_of_window', 'bad_payload', 'empty_payload']) AS outcome) o),
+  counted AS (
+    SELECT every.entity, every.outcome, count(found.entity) AS n_rows
+    FROM every LEFT JOIN found ON every.entity = found.entity AND every.outcome = found.outcome GROUP BY every.entity, every.outcome)
+  SELECT *, CASE WHEN outcome IN ('bad_payload', 'rejected') THEN n_rows END AS n_kept FROM counted"""
+
+BRONZE_REJECTED_PAYLOADS = f"""
+  SELECT 'usgs' AS entity, CASE WHEN {ODD_CASE} = 7 THEN '[' || c_custkey || ']' ELSE '{{"type":"FeatureCollection","features":[{{' END AS payload
+  FROM customer WHERE {ODD_CASE} IN (6, 7)"""
+
 STREAM_USGS = f"SELECT *, CAST(time AS DATE) AS day FROM ({_usgs_staged(' AND mag >= 2')}) s"
 
 GOLD_FACT_AFTER_RUN = gold_fact_sql(SILVER_WEATHER_AFTER_RUN, SILVER_USGS_AFTER_RUN, f"""

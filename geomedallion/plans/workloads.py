@@ -7,6 +7,7 @@ in SQL, has a DuckDB oracle in ``ORACLE``. Workloads read whole tables; nothing
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -24,6 +25,7 @@ from geomedallion.operators.location import location_dimension, location_fact
 from geomedallion.operators.merge import DuplicateSourceKeyError, merge_upsert
 from geomedallion.operators.nearest import bin_join, nearest_location
 from geomedallion.plans import derived as D
+from geomedallion.plans import intake as IN
 from geomedallion.plans import layers as LY
 from geomedallion.plans import oracle as O
 from geomedallion.plans.landing import land_payloads, work_dir
@@ -96,13 +98,13 @@ def nearest_location_chunked_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                   "event_id", "latitude", "longitude", O.PART_LOCS),
 )
 def nearest_location_subcells_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W2 with the dense-bin search forced on every bin (3x3 sub-cells first, proven or
-    rescanned), same answer as the brute-force oracle."""
+    """W2 with a fine sub-grid forced on every bin (3x3 sub-cells first, proven or searched again),
+    same answer as the brute-force oracle."""
     return nearest_location(
         D.event_observations(spark, sf_dir),
         D.part_locations(spark, sf_dir),
         id_col="event_id", obs_lat="latitude", obs_lon="longitude", tie_breakers=["loc_id"],
-        dense_bin_candidates=0,
+        cell_places=0.3,
     )
 
 
@@ -400,18 +402,11 @@ def flatten_events_q(spark, sf_dir):
     return out.withColumns({"time": F.col("time").cast("timestamp_ntz"), "updated": F.col("updated").cast("timestamp_ntz")})
 
 
-@register("feed_shape_report", f"""
-SELECT 'no_features' AS rule, CAST(0 AS BIGINT) AS n_rejected
-UNION ALL SELECT 'no_properties', CAST(0 AS BIGINT)
-UNION ALL SELECT 'no_geometry', CAST(0 AS BIGINT)
-UNION ALL SELECT 'short_coordinates', CAST(count_if(event_type = 'purchase') AS BIGINT) FROM events
-UNION ALL SELECT 'bad_place', CAST(count_if(event_type IN ('error', 'signup')) AS BIGINT) FROM events
-UNION ALL SELECT 'bad_title', CAST(0 AS BIGINT)
-UNION ALL SELECT 'no_time', CAST(0 AS BIGINT)
-UNION ALL SELECT 'no_updated', CAST(count_if(event_type = 'view') AS BIGINT) FROM events""")
+@register("feed_shape_report", O.FEED_SHAPE)
 def feed_shape_report_q(spark, sf_dir):
-    """Reject counts per feed-shape rule over all landed event payloads."""
-    return LD.event_feed_report(_parsed_feed(spark, sf_dir))
+    """Payloads or features that break each feed-shape rule, over all landed event payloads and odd ones."""
+    text = D.event_feed_text(spark, sf_dir).select("value").union(D.odd_feed_text(spark, sf_dir).select("value"))
+    return IN.shape_report(IN.intake(text, "usgs"))
 
 
 @register("flatten_weather", f"""
@@ -620,20 +615,9 @@ def gold_publish_q(spark, sf_dir):
     return spark.table(f"{db}.location_dimension")
 
 
-@register("replay_equals_fresh", O.dedup_sql(
-    f"SELECT {', '.join(chr(34) + c + chr(34) for c in _EVENT_COLS)} FROM ({O.EVENT_FLAT}) e "
-    "WHERE place IS NOT NULL AND time IS NOT NULL", ["place", "time"],
-    ["updated DESC NULLS LAST"] + O.asc_last([c for c in _EVENT_COLS if c not in ("place", "time", "updated")])))
-def replay_equals_fresh_q(spark, sf_dir):
-    """Quake staging rows rebuilt from the landed CSV instead of the payloads."""
-    staged, _ = LY.stage_usgs(LD.flatten_event_feed(_parsed_feed(spark, sf_dir)))
-    path = K.write_landed_csv(staged, work_dir(spark, "replay"), "usgs", CSV_RUN_TS)
-    return _ntz(read_csv(spark, path, SC.STAGING["usgs"]))
-
-
-def _run_layers(spark, sf_dir, silver: bool):
+def _run_layers(spark, sf_dir, silver: bool, odd: bool = False):
     db, root = _database(spark, "layers")
-    landed = land_payloads(spark, sf_dir, f"{root}/landed")
+    landed = land_payloads(spark, sf_dir, f"{root}/landed", odd)
     m = LY.Medallion(spark, db, f"{root}/warehouse")
     m.create()
     run_ts = _dt.datetime.fromisoformat(O.BRONZE_RUN_TS)
@@ -681,10 +665,10 @@ def run_log_append_q(spark, sf_dir):
     return _ntz(spark.table(m.t("run_log")))
 
 
-@register("export_refuses_existing", "SELECT *, true AS refused FROM nation")
+@register("export_refuses_existing", "SELECT *, true AS refused FROM customer")
 def export_refuses_existing_q(spark, sf_dir):
     """K3: an export to a path that exists fails and leaves what is there."""
-    n = D.table(spark, sf_dir, "nation")
+    n = D.table(spark, sf_dir, "customer")
     path = work_dir(spark, "export")
     K.write_export(n, path)
     try:
@@ -727,6 +711,44 @@ def replay_reaches_silver_q(spark, sf_dir):
     return _ntz(m.read("weather_silver").drop("update_tm"))
 
 
+@register("replay_equals_fresh", O.BRONZE_USGS)
+def replay_equals_fresh_q(spark, sf_dir):
+    """A run's landed CSV replayed into empty tables of another database gives the tables of the run."""
+    first = _run_layers(spark, sf_dir, silver=False)
+    landed = f"{first.root.rsplit('/', 1)[0]}/landed"
+    db, root = _database(spark, "replayed")
+    m = LY.Medallion(spark, db, f"{root}/warehouse")
+    m.create()
+    m.bronze(landed, _dt.datetime.fromisoformat(O.BRONZE_RUN_TS), source="csv")
+    return _ntz(spark.table(m.t("usgs_raw")))
+
+
+@register("bronze_outcomes", O.BRONZE_OUTCOMES)
+def bronze_outcomes_q(spark, sf_dir):
+    """What became of every landed row and payload, by feed, and how many of them a table keeps for inspection."""
+    m = _run_layers(spark, sf_dir, silver=False, odd=True)
+    bad = spark.table(m.t("rejected_payloads")).select("entity", F.lit("bad_payload").alias("outcome"))
+    rejected = [spark.table(m.t(f"{e}_rejected")).select(F.lit(e).alias("entity"), F.lit("rejected").alias("outcome")) for e in LY.ENTITIES]
+    kept = reduce(DataFrame.union, rejected, bad).groupBy("entity", "outcome").agg(F.count("*").alias("n"))
+    counts = spark.table(m.t("feed_outcomes")).drop("reported_tm").join(kept, ["entity", "outcome"], "left")
+    inspected = F.col("outcome").isin("bad_payload", "rejected")
+    return counts.select("entity", "outcome", "n_rows", F.when(inspected, F.coalesce("n", F.lit(0))).alias("n_kept"))
+
+
+@register("bronze_rejected_payloads", O.BRONZE_REJECTED_PAYLOADS)
+def bronze_rejected_payloads_q(spark, sf_dir):
+    """The text of every landed payload that does not parse, as the layer keeps it."""
+    m = _run_layers(spark, sf_dir, silver=False, odd=True)
+    return spark.table(m.t("rejected_payloads")).select("entity", "payload")
+
+
+@register("bronze_feed_report", O.FEED_SHAPE)
+def bronze_feed_report_q(spark, sf_dir):
+    """A9 + X1: the shape report that a run keeps."""
+    m = _run_layers(spark, sf_dir, silver=False, odd=True)
+    return spark.table(m.t("feed_report")).select("rule", "n_rejected")
+
+
 @register("bronze_rejects", O.BRONZE_REJECTS)
 def bronze_rejects_q(spark, sf_dir):
     """A6 + A8: every landed quake is valid, rejected (kept in a table) or outside the feed window."""

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from geomedallion.operators.joins import salted_left_join
+from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, measure
 
 
 def test_salted_left_join_equals_left_join_under_skew(spark):
@@ -14,11 +15,46 @@ def test_salted_left_join_equals_left_join_under_skew(spark):
     assert got.where("k = 9 AND r IS NULL").count() == 20
 
 
-def test_bounded_probes(spark):
-    from geomedallion.operators.sizing import bounded_count, broadcast_if_small, rows_at_most
+def test_unmatched_rows_stay_out_of_the_exchange(spark):
+    left = spark.range(4000).select(F.when(F.col("id") < 1000, F.col("id") % 5).when(F.col("id") < 2000, None).otherwise(F.col("id")).alias("k"), F.col("id").alias("l"))
+    right = spark.range(300).select((F.col("id") % 5).alias("k"), F.col("id").alias("r"))
+    want = sorted(map(tuple, left.join(right, ["k"], "left").collect()), key=str)
+    for bound in (DEFAULT_BROADCAST_MAX_ROWS, 0):  # counts broadcast, and joined by a shuffle
+        got = salted_left_join(left, right, ["k"], rows_per_salt=10, broadcast_max_rows=bound)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = salted_left_join(left, right, ["k"], key_rows_bound=5)
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan()
+        sent = _shuffled_rows(plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 1000 <= max(sent) < 1500, sent  # a thousand left rows have a key of the right side
 
-    df = spark.range(100)
-    assert rows_at_most(df, 100) and not rows_at_most(df, 99)
-    assert bounded_count(df, 1000) == 100 and bounded_count(df, 10) is None
-    assert broadcast_if_small(df, 100)[1] and not broadcast_if_small(df, 99)[1]
-    assert not broadcast_if_small(df, 0)[1]
+
+def _shuffled_rows(plan):
+    """Rows that each exchange of an executed plan wrote."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                out.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            todo.extend(children.apply(i) for i in range(children.size()))
+    return out
+
+
+def test_sizes_are_measured_in_rows_and_bytes(spark):
+    df = spark.range(100).withColumn("wide", F.repeat(F.lit("x"), 1000)).withColumn("none", F.lit(None).cast("string"))
+    size = measure(df)
+    assert size.rows == 100 and 100_000 < size.bytes < 120_000
+    assert broadcast_if_small(df, 100)[1] and not broadcast_if_small(df, 99)[1] and not broadcast_if_small(df, 0)[1]
+    assert not broadcast_if_small(df, 100, max_bytes=50_000)[1] and broadcast_if_small(df.select("id"), 100, max_bytes=50_000)[1]
+    assert measure(df.limit(0)).rows == measure(df.limit(0)).bytes == 0

@@ -119,8 +119,8 @@ def test_dense_bin_subcell_search_is_exact(spark):
     o = spark.createDataFrame(obs, "obs_id long, lat double, lon double")
     l = spark.createDataFrame(locs, "loc_id long, loc_name string, geo_lat double, geo_lon double")
     kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
-    fast = nearest_location(o, l, dense_bin_candidates=0, **kw)
-    full = nearest_location(o, l, dense_bin_candidates=10**9, **kw)
+    fast = nearest_location(o, l, cell_places=0.3, **kw)
+    full = nearest_location(o, l, cell_places=10**9, **kw)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect()))
     assert fast.where("loc_id IS NOT NULL").count() > 1400
 
@@ -137,8 +137,8 @@ def test_dense_bin_search_south_west_and_near_pole(spark):
     o = spark.createDataFrame(obs, "obs_id long, lat double, lon double")
     l = spark.createDataFrame(locs, "loc_id long, loc_name string, geo_lat double, geo_lon double")
     kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
-    fast = nearest_location(o, l, dense_bin_candidates=0, **kw)
-    full = nearest_location(o, l, dense_bin_candidates=10**9, **kw)
+    fast = nearest_location(o, l, cell_places=0.3, **kw)
+    full = nearest_location(o, l, cell_places=10**9, **kw)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect()))
 
 
@@ -148,3 +148,62 @@ def test_both_plans_agree_on_full_ties(spark):
     run = lambda **kw: sorted(map(str, nearest_location(obs, locs, id_col="id", obs_lat="lat", obs_lon="lon", tie_breakers=("geo_lat", "geo_lon", "name_key"), **kw).collect()))
     whole = run()
     assert len(whole) == 3 and run(broadcast_max_rows=0, chunk_size=3) == whole == run(broadcast_max_rows=0, chunk_size=7)
+
+
+def test_full_bins_in_either_plan(spark):
+    from pyspark.sql import functions as F
+
+    obs = spark.range(2000).select(F.col("id").alias("obs_id"), (30.8 + F.rand(3) * 0.7).alias("lat"), (-98.7 + F.rand(4) * 0.7).alias("lon"))
+    locs = spark.range(16000).select(F.col("id").alias("loc_id"), (30.8 + F.rand(1) * 0.7).alias("geo_lat"), (-98.7 + F.rand(2) * 0.7).alias("geo_lon"))
+    kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
+    full = sorted(map(str, nearest_location(obs, locs, cell_places=10**9, **kw).collect()))
+    assert sorted(map(str, nearest_location(obs, locs, **kw).collect())) == full
+    assert sorted(map(str, nearest_location(obs, locs, broadcast_max_rows=0, **kw).collect())) == full
+
+
+def test_longest_list_stays_short_as_a_bin_fills(spark):
+    from pyspark.sql import functions as F
+
+    from geomedallion.operators.nearest import candidate_lists
+
+    longest = {}
+    for n in (4000, 32000):
+        locs = spark.range(n).select(F.col("id").alias("loc_id"), (30.8 + F.rand(1) * 0.7).alias("geo_lat"), (-98.7 + F.rand(2) * 0.7).alias("geo_lon"))
+        lists = candidate_lists(locs, "geo_lat", "geo_lon", ["loc_id"]).lists
+        longest[n] = lists.agg(F.max(F.size("__near")), F.avg(F.size("__near"))).first()
+    assert longest[32000][0] < 100 and abs(longest[32000][1] - longest[4000][1]) < 5
+
+
+def test_places_at_one_point_are_one_place(spark):
+    from pyspark.sql import functions as F
+
+    locs = spark.range(5000).select(F.col("id").alias("loc_id"), F.concat(F.lit("p"), F.col("id")).alias("loc_name"), F.lit(31.0).alias("geo_lat"), F.lit(-98.2).alias("geo_lon"))
+    obs = spark.createDataFrame([(1, 31.1, -98.3)], "obs_id long, lat double, lon double")
+    for kw in ({}, {"broadcast_max_rows": 0}):
+        got = nearest_location(obs, locs, id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_name"], **kw).collect()
+        assert [(r.loc_id, r.loc_name) for r in got] == [(0, "p0")]
+
+
+def test_wide_places_take_the_shuffle_plan_by_their_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from geomedallion.operators.sizing import Size
+
+    o, l = _frames(spark)
+    kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"])
+    wide = l.withColumn("loc_text", F.repeat(F.lit("w"), 200))
+    small = nearest_location(o, wide, **kw)
+    large = nearest_location(o, wide, locs_size=Size(l.count(), 1 << 40), **kw)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
+def test_observations_without_places_enter_no_exchange(spark):
+    from pyspark.sql import functions as F
+    from test_joins import _shuffled_rows
+
+    o = spark.range(3000).select(F.col("id").alias("obs_id"), F.when(F.col("id") < 1000, 31.0 + F.col("id") / 2000).when(F.col("id") < 2000, 60.0).alias("lat"), F.lit(-98.2).alias("lon"))
+    _, l = _frames(spark)
+    got = nearest_location(o, l, id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True, broadcast_max_rows=0)
+    assert got.count() == 3000 and got.where("loc_id is not null").count() >= 700
+    got.collect()
+    assert max(_shuffled_rows(got._jdf.queryExecution().executedPlan())) < 3000

@@ -71,7 +71,7 @@ def test_nearest_matches_brute_force(spark, obs, locs):
     l = spark.createDataFrame([(j, f"p{j}", la, lo) for j, (la, lo) in enumerate(locs)],
                               "loc_id long, loc_name string, geo_lat double, geo_lon double")
     kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"])
-    for plan in ({"dense_bin_candidates": 0}, {"broadcast_max_rows": 0, "chunk_size": 3}):
+    for plan in ({"cell_places": 0.3}, {"broadcast_max_rows": 0, "chunk_size": 3, "cell_places": 0.3}):
         got = {r.obs_id: (r.loc_id, r.dist_miles) for r in nearest_location(o, l, **kw, **plan).collect()}
         assert sorted(got) == list(range(len(obs)))
         for i, (la, lo) in enumerate(obs):
