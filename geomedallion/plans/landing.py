@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from geomedallion.plans import derived as D
 from geomedallion.session import ensure_checkpoint_dir
@@ -19,14 +20,18 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/geomedallion-work/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def land_payloads(spark: SparkSession, sf_dir: str, landed_dir: str, odd: bool = False) -> str:
+def land_payloads(spark: SparkSession, sf_dir: str, landed_dir: str, odd: bool = False, weather_days: tuple[str, str] | None = None) -> str:
     """Write the derived payloads as landed JSON Lines folders: events/ weather/ census/ geocode/; with ``odd``,
-    event payloads that break the feed's rules land beside the others."""
+    event payloads that break the feed's rules land beside the others; ``weather_days`` (from, before) limits weather."""
     d = landed_dir.rstrip("/")
     D.event_feed_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/events")
     if odd:
         D.odd_feed_text(spark, sf_dir).select("value").write.mode("append").text(f"{d}/events")
-    D.weather_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/weather")
+    weather = D.weather_payload_text(spark, sf_dir)
+    if weather_days:
+        date = F.get_json_object("value", "$.date")
+        weather = weather.where((date >= weather_days[0]) & (date < weather_days[1]))
+    weather.select("value").write.mode("overwrite").text(f"{d}/weather")
     D.census_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/census")
     D.geocode_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/geocode")
     return d

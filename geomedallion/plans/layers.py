@@ -34,7 +34,7 @@ from geomedallion.operators.location import location_dimension, location_fact
 from geomedallion.operators.merge import merge_upsert
 from geomedallion.operators.nearest import nearest_location
 from geomedallion.plans import intake as IN
-from geomedallion.operators.sizing import measure
+from geomedallion.operators.sizing import Size, measure
 from geomedallion.session import ensure_checkpoint_dir
 from geomedallion.sinks import tables as K
 from geomedallion.sources.csv import bind_by_name, read_csv
@@ -124,6 +124,19 @@ SILVER_TRANSFORMS = {"usgs": silver_usgs, "census": silver_census, "geocode": si
 
 # --- gold -----------------------------------------------------------------------------------
 
+# id column, its parts, latitude and longitude of the entities that are matched to places
+LOCATED = {"weather": ("weather_id", ["date", "lat", "lon"], "lat", "lon"), "usgs": ("usgs_id", ["time", "latitude", "longitude"], "latitude", "longitude")}
+
+
+def locate(silver: DataFrame, entity: str, places: DataFrame, places_size: Size | None = None, ids_unique: bool = False) -> DataFrame:
+    """Silver rows with their row id (F6/F7) and nearest place."""
+    id_col, parts, lat, lon = LOCATED[entity]
+    rows = silver.withColumn(id_col, C.row_hash_id(silver, parts))
+    return nearest_location(
+        rows, places, id_col=id_col, obs_lat=lat, obs_lon=lon, tie_breakers=LOCATION_TIES, ids_unique=ids_unique, locs_size=places_size
+    )
+
+
 def gold_tables(
     weather: DataFrame,
     usgs: DataFrame,
@@ -148,16 +161,8 @@ def gold_tables(
         loc = locations
     # the dimension's size, measured once, decides on both matches; its rows bound the fact's join keys
     size = measure(loc)
-    w = weather.withColumn("weather_id", C.row_hash_id(weather, ["date", "lat", "lon"]))
-    q = usgs.withColumn("usgs_id", C.row_hash_id(usgs, ["time", "latitude", "longitude"]))
-    weather_loc = nearest_location(
-        w, loc, id_col="weather_id", obs_lat="lat", obs_lon="lon",
-        tie_breakers=LOCATION_TIES, ids_unique=weather_ids_unique, locs_size=size,
-    )
-    usgs_loc = nearest_location(
-        q, loc, id_col="usgs_id", obs_lat="latitude", obs_lon="longitude", tie_breakers=LOCATION_TIES,
-        locs_size=size,
-    )
+    weather_loc = locate(weather, "weather", loc, size, ids_unique=weather_ids_unique)
+    usgs_loc = locate(usgs, "usgs", loc, size)
     fact = location_fact(weather_loc, usgs_loc, location_rows_bound=size.rows)
     return {"location_dimension": loc, "attribute_table": fact, "dim_date": date_dimension(fact, "date")}
 
@@ -220,6 +225,8 @@ class Medallion:
         K.create_table(self.spark, self.t("rejected_payloads"), SC.REJECTED_PAYLOADS, self.root)
         K.create_table(self.spark, self.t("feed_report"), SC.FEED_REPORT, self.root)
         K.create_table(self.spark, self.t("feed_outcomes"), SC.FEED_OUTCOMES, self.root)
+        K.create_table(self.spark, self.t("gold_marks"), SC.GOLD_MARKS, self.root)
+        K.create_table(self.spark, self.t("gold_places"), SC.GOLD_PLACES, self.root)
         for e in ENTITIES:
             rejected = T.StructType(SC.STAGING[e].fields + [T.StructField("rejected_tm", T.TimestampType())])
             K.create_table(self.spark, self.t(f"{e}_rejected"), rejected, self.root)
@@ -395,18 +402,80 @@ class Medallion:
         _side_by_side(*(partial(clean, e) for e in ENTITIES))
 
     # X3
-    def gold(self, snapshot: str) -> None:
-        tb = self.spark.table
+    def _days(self, df: DataFrame, days: DataFrame | None, how: str = "left_semi") -> DataFrame:
+        """Rows of a day-partitioned table in ``days`` (None: all of them); Spark prunes its partitions by the join."""
+        day = SC.PARTITION_COL
+        return df if days is None else df.join(days.select(day).distinct(), day, how).select(*df.columns)
+
+    def _put_days(self, df: DataFrame, name: str, snapshot: str) -> None:
+        """Replace the day partitions of a gold table that ``df`` holds; the table is made on first use."""
+        fields = [f for f in df.schema.fields if f.name != SC.PARTITION_COL] + [T.StructField(SC.PARTITION_COL, T.DateType())]
+        K.create_table(self.spark, self.t(name), T.StructType(fields), self.root, partition_by=SC.PARTITION_COL)
+        K.replace_partitions(df.select(*[f.name for f in fields]), self.t(name), self.root, snapshot, SC.PARTITION_COL)
+
+    def gold(self, snapshot: str, rebuild: bool = False) -> str:
+        """Location dimension, fact and calendar from the silver tables; returns ``full`` or ``delta``.
+
+        The fact pairs every weather day with every quake of its place. After the first run only what changed is
+        paired again: the weather days merged into silver since the last gold run with all quakes, and the
+        other days at the places of quakes that changed (before or after). A changed location dimension can move
+        any match, so all is rebuilt then, as with ``rebuild``. Places whose quakes change are on record before
+        those are replaced; a new dimension and the run's mark are set last: a run cut short is made up for by the next.
+        """
+        tb, day, place = self.spark.table, SC.PARTITION_COL, ["geo_lat", "geo_lon"]
+        touched = tb(self.t("touched_days")).where(F.col("table_name").isin(*[self.t(f"{e}_silver") for e in LOCATED]))
+        with self._commit:
+            mark = touched.agg(F.max(F.unix_micros("run_ts"))).first()[0]
+        last = tb(self.t("gold_marks")).agg(F.max("mark")).first()[0]
         loc = location_dimension(self.read("geocode_silver"), self.read("census_silver"), keys=["name_key", "state"])
-        # materialise the small dimension once; it feeds two nearest matches and the fact
-        K.publish(loc, self.t("location_dimension"), self.root, snapshot)
-        out = gold_tables(
-            self.read("weather_silver"), self.read("usgs_silver"), self.read("geocode_silver"),
-            self.read("census_silver"), locations=tb(self.t("location_dimension")),
-        )
-        K.publish(out["attribute_table"], self.t("attribute_table"), self.root, snapshot)
+        known = self.spark.catalog.tableExists(self.t("location_dimension"))
+        same = known and loc.exceptAll(tb(self.t("location_dimension"))).isEmpty() and tb(self.t("location_dimension")).exceptAll(loc).isEmpty()
+        if not same:  # the small dimension is written once; it feeds both matches and the fact, and is published after it
+            K.publish(loc, self.t("location_dimension_next"), self.root, snapshot)
+        loc = tb(self.t("location_dimension" if same else "location_dimension_next"))
+        size = measure(loc)
+        full = rebuild or not same or last is None
+        if not full and mark is not None and mark <= last:
+            return "delta"  # nothing changed
+
+        def changed(entity: str) -> DataFrame | None:
+            since = (F.col("table_name") == self.t(f"{entity}_silver")) & (F.unix_micros("run_ts") > F.lit(last))
+            return None if full else touched.where(since).select(day)
+
+        def locate_days(entity: str) -> None:
+            rows = self._days(tb(self.t(f"{entity}_silver")), changed(entity))
+            self._put_days(locate(rows, entity, loc, size, ids_unique=entity == "weather"), f"{entity}_located", snapshot)
+
+        def record_places() -> None:
+            if not full:
+                at = self._days(tb(self.t("usgs_located")), changed("usgs")).where(F.col("geo_lat").isNotNull()).select(*place).distinct()
+                K.append_staging(at.withColumn("mark", F.lit(mark)), self.t("gold_places"))
+
+        def locate_quakes() -> None:
+            record_places()  # as they were, and as they are
+            locate_days("usgs")
+            record_places()
+
+        _side_by_side(partial(locate_days, "weather"), locate_quakes)
+        weather, quakes = tb(self.t("weather_located")), tb(self.t("usgs_located")).drop(day)
+        days, kept = changed("weather"), None
+        if not full:
+            places = tb(self.t("gold_places")).where(F.col("mark") > F.lit(last)).select(*place).distinct()
+            others = self._days(weather, days, "left_anti").join(places, place, "left_semi").select(*weather.columns)
+            moved = others.select(day).distinct()
+            fact = tb(self.t("attribute_table"))
+            kept = self._days(fact, moved).join(places, place, "left_anti").select(*fact.columns)
+            weather = self._days(weather, days).unionByName(others)
+        paired = location_fact(weather.withColumn("__day", F.col(day)).drop(day), quakes, location_rows_bound=size.rows, checkpoint_quakes=False)
+        paired = paired.withColumnRenamed("__day", day)
+        self._put_days(paired if kept is None else paired.unionByName(kept), "attribute_table", snapshot)
         # the calendar reads the written fact instead of recomputing it
-        K.publish(date_dimension(tb(self.t("attribute_table")), "date"), self.t("dim_date"), self.root, snapshot)
+        K.publish(date_dimension(self.read("attribute_table"), "date"), self.t("dim_date"), self.root, snapshot)
+        if not same:
+            K.publish(loc, self.t("location_dimension"), self.root, snapshot)
+        if mark is not None:
+            K.append_staging(self.spark.createDataFrame([(mark,)], "mark long"), self.t("gold_marks"))
+        return "full" if full else "delta"
 
     # X4
     def record_run(self, job_id: str, run_ts: _dt.datetime, status: str = "Succeeded") -> None:
@@ -415,6 +484,12 @@ class Medallion:
         row = self.spark.createDataFrame([(job_id, C.as_utc(self._merge_of.pop(run_ts, run_ts)), status)], RUN_LOG_SCHEMA)
         row.write.insertInto(self.t("run_log"))
 
+    def remove_stale(self, before: _dt.datetime) -> dict[str, list[str]]:
+        """K6 retention over all tables of the database: superseded snapshots last changed before ``before``."""
+        names = [t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary]
+        found = {n: K.remove_stale(self.spark, self.t(n), self.root, before) for n in names}
+        return {n: stale for n, stale in found.items() if stale}
+
     def run(self, landed_dir: str, run_ts: _dt.datetime, job_id: str | None = None, source: str = "landed") -> None:
         """One full run: bronze, silver, gold, then the run-log entry that moves the watermark."""
         self.bronze(landed_dir, run_ts, source)

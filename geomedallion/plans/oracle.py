@@ -325,12 +325,18 @@ FROM ({w}) w LEFT JOIN ({q}) q ON w.geo_lat = q.geo_lat AND w.geo_lon = q.geo_lo
 BRONZE_RUN_TS = "2024-01-15 06:00:00"
 BRONZE_WINDOW = ("2024-01-14 00:00:00", "2024-01-15 00:00:00")
 
-USGS_RAW_AFTER_BRONZE = dedup_sql(
-    f"""SELECT {', '.join(chr(34) + c + chr(34) for c in _USGS)} FROM ({EVENT_FLAT}) e
-        WHERE place IS NOT NULL AND time IS NOT NULL AND time >= TIMESTAMP '{BRONZE_WINDOW[0]}'
-          AND time < TIMESTAMP '{BRONZE_WINDOW[1]}' AND mag >= 2""",
-    ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
-BRONZE_USGS = f"SELECT *, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm, CAST(time AS DATE) AS day FROM ({USGS_RAW_AFTER_BRONZE}) b"
+
+
+def _usgs_raw(start: str, end: str) -> str:
+    staged = dedup_sql(
+        f"""SELECT {', '.join(chr(34) + c + chr(34) for c in _USGS)} FROM ({EVENT_FLAT}) e
+        WHERE place IS NOT NULL AND time IS NOT NULL AND time >= TIMESTAMP '{start}'
+          AND time < TIMESTAMP '{end}' AND mag >= 2""",
+        ["place", "time"], ["updated DESC NULLS LAST"] + asc_last(_USGS_REST))
+    return f"SELECT *, TIMESTAMP '{BRONZE_RUN_TS}' AS update_tm, CAST(time AS DATE) AS day FROM ({staged}) b"
+
+
+BRONZE_USGS = _usgs_raw(*BRONZE_WINDOW)
 
 _WEATHER_STAGED = dedup_sql(f"""
   SELECT {lat_expr('event_id', D.OBS_LAT_MULT)} AS lat, {lon_expr('event_id', D.OBS_LON_MULT)} AS lon, 'UTC' AS tz,
@@ -367,12 +373,18 @@ BRONZE_GEOCODE = f"""SELECT *, {_RUN_TM} FROM ({dedup_sql(
         WHERE result_pos < 5 AND country = 'US' AND name IS NOT NULL AND length(name) <= 50 AND length(state) <= 50""",
     ["name", "lat", "lon"], asc_last(["country", "state"]))}) s"""
 
-SILVER_USGS_AFTER_RUN = dedup_sql(f"""
+
+
+def _silver_usgs(raw: str) -> str:
+    return dedup_sql(f"""
   SELECT mag, place, coalesce(time, TIMESTAMP '1970-01-01 00:00:00') AS time,
          coalesce(updated, TIMESTAMP '1970-01-01 00:00:00') AS updated, tz, felt, cdi, mmi, alert, status, tsunami, sig,
          net, code, nst, dmin, rms, gap, "magType", type, title, {round2('latitude')} AS latitude,
          {round2('longitude')} AS longitude, update_tm
-  FROM ({BRONZE_USGS}) s""", ["place", "time"], ["update_tm DESC NULLS LAST"] + asc_last([c for c in _USGS if c not in ("place", "time")]))
+  FROM ({raw}) s""", ["place", "time"], ["update_tm DESC NULLS LAST"] + asc_last([c for c in _USGS if c not in ("place", "time")]))
+
+
+SILVER_USGS_AFTER_RUN = _silver_usgs(BRONZE_USGS)
 SILVER_CENSUS_AFTER_RUN = dedup_sql(f"""
   SELECT name, replace(lower({county_sql(area_sql('name'))}), ' ', '') AS name_key, {state_sql('name')} AS state_name, pop, update_tm
   FROM ({BRONZE_CENSUS}) s""", ["name"], ["update_tm DESC NULLS LAST"] + asc_last(["pop", "state_name", "name_key"]))
@@ -430,7 +442,13 @@ BRONZE_REJECTED_PAYLOADS = f"""
 
 STREAM_USGS = f"SELECT *, CAST(time AS DATE) AS day FROM ({_usgs_staged(' AND mag >= 2')}) s"
 
-GOLD_FACT_AFTER_RUN = gold_fact_sql(SILVER_WEATHER_AFTER_RUN, SILVER_USGS_AFTER_RUN, f"""
+_PLACES_AFTER_RUN = f"""
   SELECT g.name_key, g.lat AS geo_lat, g.lon AS geo_lon, g.country, g.state, CAST(c.pop AS BIGINT) AS pop,
          coalesce(g.name, c.name) AS area_name
-  FROM ({SILVER_GEOCODE_AFTER_RUN}) g LEFT JOIN ({SILVER_CENSUS_AFTER_RUN}) c ON g.name_key = c.name_key AND g.state = c.state_name""")
+  FROM ({SILVER_GEOCODE_AFTER_RUN}) g LEFT JOIN ({SILVER_CENSUS_AFTER_RUN}) c ON g.name_key = c.name_key AND g.state = c.state_name"""
+GOLD_FACT_AFTER_RUN = gold_fact_sql(SILVER_WEATHER_AFTER_RUN, SILVER_USGS_AFTER_RUN, _PLACES_AFTER_RUN)
+
+# a second run a day later, which lands the weather from SECOND_WEATHER_DAY on and quakes of the next window
+SECOND_RUN_TS, SECOND_WEATHER_DAY = "2024-01-16 06:00:00", "2024-01-24"
+_SECOND_USGS = _silver_usgs(_usgs_raw(BRONZE_WINDOW[0], "2024-01-16 00:00:00"))
+GOLD_FACT_AFTER_SECOND_RUN = f"""SELECT *, 'delta' AS mode FROM ({gold_fact_sql(SILVER_WEATHER_AFTER_RUN, _SECOND_USGS, _PLACES_AFTER_RUN)}) f"""

@@ -651,7 +651,23 @@ def gold_layer_q(spark, sf_dir):
     run_ts = _dt.datetime.fromisoformat(O.BRONZE_RUN_TS)
     m.gold("first")
     m.record_run("first", run_ts)
-    return _ntz(spark.table(m.t("attribute_table")))
+    return _ntz(m.read("attribute_table"))
+
+
+@register("gold_second_run", O.GOLD_FACT_AFTER_SECOND_RUN)
+def gold_second_run_q(spark, sf_dir):
+    """The fact after a second run, which pairs the new weather days and the places of new quakes only."""
+    db, root = _database(spark, "layers")
+    m = LY.Medallion(spark, db, f"{root}/warehouse")
+    m.create()
+    runs = ((O.BRONZE_RUN_TS, ("0000", O.SECOND_WEATHER_DAY)), (O.SECOND_RUN_TS, (O.SECOND_WEATHER_DAY, "9999")))
+    for n, (at, days) in enumerate(runs):
+        run_ts = _dt.datetime.fromisoformat(at)
+        m.bronze(land_payloads(spark, sf_dir, f"{root}/landed{n}", weather_days=days), run_ts)
+        m.silver(run_ts)
+        mode = m.gold(f"run{n}")
+        m.record_run(f"run{n}", run_ts)
+    return _ntz(m.read("attribute_table")).withColumn("mode", F.lit(mode))
 
 
 @register("run_log_append", "SELECT 'orders' AS job_id, max(o_orderdate) AS last_updated, 'Succeeded' AS status FROM orders")

@@ -94,6 +94,8 @@ PARTITION_SOURCE = {"usgs": "time", "weather": "date"}
 REJECTED_PAYLOADS = struct(("entity", S), ("payload", S), ("rejected_tm", TS))
 FEED_OUTCOMES = struct(("entity", S), ("outcome", S), ("n_rows", L), ("reported_tm", TS))
 FEED_REPORT = struct(("rule", S), ("n_rejected", L), ("reported_tm", TS))
+GOLD_MARKS = struct(("mark", L))  # newest silver merge (microseconds) that each gold run has seen
+GOLD_PLACES = struct(("geo_lat", D), ("geo_lon", D), ("mark", L))  # places whose quakes changed
 TOUCHED_DAYS = struct(("table_name", S), ("day", DT), ("run_ts", TS), ("merge_id", S))
 
 # --- silver tables ------------------------------------------------------------------------

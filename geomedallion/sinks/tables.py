@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geomedallion.sources.csv import bind_strictly
 
 __all__ = [
     "landed_csv_path", "write_landed_csv", "write_export", "create_table",
-    "append_staging", "load_staging", "truncate_staging", "replace_table", "replace_partitions", "remove_folder", "publish", "table_location",
+    "append_staging", "load_staging", "truncate_staging", "replace_table", "replace_partitions", "remove_folder", "remove_stale", "publish", "table_location",
 ]
 
 
@@ -127,6 +129,23 @@ def replace_partitions(df: DataFrame, table: str, root: str, snapshot: str, part
     spark.catalog.refreshTable(table)
 
 
+def remove_stale(spark: SparkSession, table: str, root: str, before: _dt.datetime) -> list[str]:
+    """K6 retention: delete the snapshot folders of ``table`` that were last changed before ``before`` and that neither
+    the table nor any of its partitions reads. Readers planned on a deleted snapshot fail, and a snapshot being
+    written is in no table yet, so ``before`` must lie further back than any reader or write takes."""
+    live = {r["data_type"].rstrip("/").rsplit("/", 1)[-1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location"}
+    named = F.regexp_extract("_metadata.file_path", r"/(snapshot=[^/]+)/", 1).alias("snapshot")
+    live |= {r["snapshot"] for r in spark.table(table).select(named).distinct().collect()}  # folders in use, not files
+    folder, files = _folder(spark, table_location(root, table, "").rpartition("/")[0])
+    if not files.exists(folder):
+        return []
+    limit = int(before.replace(tzinfo=before.tzinfo or _dt.timezone.utc).timestamp() * 1000)
+    stale = [s.getPath() for s in files.listStatus(folder) if s.isDirectory() and s.getPath().getName() not in live and s.getModificationTime() < limit]
+    for path in stale:
+        files.delete(path, True)
+    return sorted(path.getName() for path in stale)
+
+
 def publish(df: DataFrame, table: str, root: str, snapshot: str) -> None:
     """K6: publish a gold table to the catalog (created on first use, then snapshot-replaced)."""
     spark = df.sparkSession

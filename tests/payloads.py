@@ -73,13 +73,16 @@ GEOCODE = [
 ]
 
 
+def write_lines(root, sub, items):
+    os.makedirs(os.path.join(root, sub), exist_ok=True)
+    with open(os.path.join(root, sub, "part-0.json"), "w") as fh:
+        for it in items:
+            fh.write(json.dumps(it) + "\n")
+
+
 def write(root, skip=()):
     """Write the payloads as JSON Lines folders under ``root`` (except those in ``skip``); returns root."""
     for sub, items in (("events", EVENT_FEEDS), ("weather", WEATHER), ("census", [CENSUS]), ("geocode", GEOCODE)):
-        if sub in skip:
-            continue
-        os.makedirs(os.path.join(root, sub), exist_ok=True)
-        with open(os.path.join(root, sub, "part-0.json"), "w") as fh:
-            for it in items:
-                fh.write(json.dumps(it) + "\n")
+        if sub not in skip:
+            write_lines(root, sub, items)
     return root

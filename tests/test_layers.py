@@ -207,3 +207,112 @@ def test_unparsable_payloads_and_the_feed_report_are_kept(spark, tmp_path):
     assert kept == [("census", '[["NAME",'), ("usgs", '{"type": ')]
     report = {r.rule: r.n_rejected for r in spark.table(m.t("feed_report")).collect()}
     assert report["no_features"] >= 1 and set(report) >= {"no_geometry", "bad_place", "no_time"}
+
+
+def _second_landing(root):
+    """A day later: weather of a new day at known places, a quake at a place that had none, one that moved, a correction."""
+    day = 86_400_000
+    P.write(root, skip=("events", "weather"))
+    weather = [dict(w, date="2024-03-02") for w in P.WEATHER[:3]]
+    events = {"type": "FeatureCollection", "features": [
+        P.feature(3.3, "New Hill", P.MS + day, [-120.51, 35.21]), P.feature(3.4, "Other Hill", P.MS + day + 1, [-119.5, 36.5]),
+        P.feature(2.9, "Nowhere", P.MS + day + 2, [-100.0, 40.0]),
+    ]}
+    P.write_lines(root, "events", [events])
+    P.write_lines(root, "weather", weather)
+    return root
+
+
+def test_second_gold_run_equals_a_rebuild(spark, tmp_path):
+    m = Medallion(spark, "gm_test_gold2", str(tmp_path / "warehouse"))
+    m.create()
+    names = ["attribute_table", "location_dimension", "dim_date"]
+
+    def run(landed, at, rebuild=False):
+        m.bronze(landed, at)
+        m.silver(at)
+        mode = m.gold(at.strftime("%d%H%M"), rebuild)
+        m.record_run(str(at), at)
+        return mode
+
+    assert run(P.write(str(tmp_path / "one")), RUN) == "full"
+    first = spark.table(m.t("attribute_table")).count()
+    assert run(_second_landing(str(tmp_path / "two")), RUN + dt.timedelta(days=1)) == "delta"
+    assert m.gold("again") == "delta"  # nothing changed
+    second = _snapshot(spark, m, names)
+    assert len(second["attribute_table"]) > first + 3  # new days, and old days with the new quakes
+    assert m.gold("rebuilt", rebuild=True) == "full" and _snapshot(spark, m, names) == second
+    # the same quake again with other coordinates: its old and its new place are paired anew, on all days
+    moved = {"type": "FeatureCollection", "features": [P.feature(3.3, "New Hill", P.MS + 86_400_000, [-118.02, 34.05])]}
+    P.write_lines(str(tmp_path / "three"), "events", [moved])
+    assert run(str(tmp_path / "three"), RUN + dt.timedelta(days=1, hours=2)) == "delta"
+    third = _snapshot(spark, m, names)
+    assert third != second and m.gold("rebuilt2", rebuild=True) == "full" and _snapshot(spark, m, names) == third
+    # a place more: any match can change
+    P.write_lines(str(tmp_path / "four"), "geocode", [[P.geo("Tiny Place", 36.5, -119.49)]])
+    assert run(str(tmp_path / "four"), RUN + dt.timedelta(days=1, hours=3)) == "full"
+
+
+def test_gold_run_cut_short_is_made_up_for(spark, tmp_path, monkeypatch):
+    m = Medallion(spark, "gm_test_gold3", str(tmp_path / "warehouse"))
+    m.create()
+    m.run(P.write(str(tmp_path / "one")), RUN)
+    later = RUN + dt.timedelta(days=1)
+    m.bronze(_second_landing(str(tmp_path / "two")), later)
+    m.silver(later)
+    put = Medallion._put_days
+
+    def fail(self, df, name, snapshot):
+        if name == "attribute_table":
+            raise OSError("driver lost")
+        put(self, df, name, snapshot)
+
+    monkeypatch.setattr(Medallion, "_put_days", fail)
+    with pytest.raises(OSError):
+        m.gold("cut")
+    monkeypatch.undo()
+    assert m.gold("next") == "delta"
+    after = _snapshot(spark, m, ["attribute_table"])
+    m.gold("rebuilt", rebuild=True)
+    assert _snapshot(spark, m, ["attribute_table"]) == after
+
+
+def test_merge_of_a_thousand_days(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from geomedallion import schemas as SC
+    from geomedallion.sinks import tables as K
+    from geomedallion.sources.csv import bind_by_name
+
+    m = Medallion(spark, "gm_test_days", str(tmp_path / "warehouse"))
+    m.create()
+    staging, raw = m.t("weather_insert"), m.t("weather_raw")
+    days = spark.range(1100).select(F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), F.expr("timestamp '2020-01-01' + make_interval(0, 0, 0, int(id))").alias("date"), F.col("id").cast("double").alias("wind"))
+    rows = bind_by_name(days, SC.STAGING["weather"])
+    K.load_staging(rows.where("wind < 1000"), staging)
+    m.merge_into("weather", raw, staging, ["lat", "lon", "date"], RUN, "d1")
+    K.load_staging(rows.where("wind >= 100").withColumn("wind", F.lit(-1.0)), staging)
+    m.merge_into("weather", raw, staging, ["lat", "lon", "date"], RUN + dt.timedelta(days=1), "d2")
+    got = spark.table(raw)
+    assert got.count() == got.select("date").distinct().count() == 1100
+    assert got.where("wind < 0").count() == 1000 and got.where("day is null").count() == 0
+
+
+def test_retention_keeps_what_tables_and_recent_readers_read(spark, medallion, tmp_path):
+    landed = P.write(str(tmp_path / "landed"))
+    m = Medallion(spark, "gm_test_retention", str(tmp_path / "warehouse"))
+    m.create()
+    m.run(landed, RUN, job_id="run-1")
+    old = spark.read.parquet(spark.table(m.t("weather_silver")).inputFiles()[0].rsplit("/day=", 1)[0])
+    rows = old.count()
+    m.run(landed, RUN + dt.timedelta(minutes=1), job_id="run-2")
+    names = [t.name for t in spark.catalog.listTables(m.database)]
+    before = _snapshot(spark, m, [n for n in names if not n.endswith("_insert")])
+    assert m.remove_stale(dt.datetime.now(dt.timezone.utc) - dt.timedelta(hours=1)) == {}
+    assert old.count() == rows  # a reader of the superseded snapshot
+    gone = m.remove_stale(dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
+    assert "weather_silver" in gone and "census_raw" in gone and "run_log" not in gone
+    assert _snapshot(spark, m, list(before)) == before  # a new reader
+    with pytest.raises(Exception):
+        old.count()
+    assert m.remove_stale(dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5)) == {}
