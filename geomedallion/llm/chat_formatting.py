@@ -5,6 +5,10 @@ turn (if its first turn is one), then repeats a limited number of tokens of hist
 turns. The texts of assistants among the new turns are under the loss mask; the repeated system turn
 and history never are, so each assistant text is a target exactly once.
 
+Tokens are those of the byte-level BPE that the caller names, counted on the formatted turn with its marks and
+escapes (``native_tokens``: exact, but for very long pre-tokens, which count more). Where turns meet, the pre-tokens at
+the seam can join; ``SEAM`` tokens a turn cover that, so ``n_tokens`` is never under the tokens of a window's text.
+
 Method: prefix sums of turn tokens give each turn its place on the conversation's token line. The
 line is cut into stretches of ``STRETCH`` window capacities; inside a stretch the turns are taken
 greedily, a window ending at the last turn whose prefix sum still fits. A turn longer than a window
@@ -21,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geomedallion.llm.common import materialise
+from geomedallion.llm.common import materialise, steps
+from geomedallion.llm.native_tokens import token_counts
 
 # The marks of the template, and the control strings that texts must not contain as such.
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -32,12 +37,7 @@ HISTORY = 192
 STRETCH = 16
 BLOCK = 256
 MIN_NEW = 64
-TOKEN = r"[A-Za-z0-9]{1,4}|[^\sA-Za-z0-9]"  # four ASCII letters or digits, or one other character
-
-
-def n_tokens(text: Column) -> Column:
-    """Token count that only needs built-in functions; marks around a turn count four."""
-    return (F.regexp_count(text, F.lit(TOKEN)) + 4).cast("long")
+SEAM = 2  # "|>" and "<|" are two tokens at least, joined at a seam of two turns four at most
 
 
 def escape(text: Column) -> Column:
@@ -92,11 +92,12 @@ def _rendered(role: Column, text: Column) -> Column:
 
 
 def format_windows(
-    conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+    conversations: DataFrame, ranks: bytes, pattern: str, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
     budget: int = BUDGET, history: int = HISTORY, target_role: str = "assistant",
 ) -> DataFrame:
-    """One row per window: ``conv_id, window, start_token, n_context, n_turns, n_tokens, text, loss_spans``.
+    """One row per window: ``conv_id, stretch, window, start_token, n_context, n_turns, n_tokens, text, loss_spans``.
 
+    ``ranks`` and ``pattern`` are the byte-level BPE whose tokens the budgets count.
     ``window`` counts from 0 within the conversation's stretch ``stretch``; (stretch, window) is the
     window's order. ``n_context`` is how many turns at its start are repeated. ``loss_spans`` has the
     start and end (code points in ``text``) of each target text. Turns are ordered by turn, role and
@@ -105,11 +106,21 @@ def format_windows(
     turn, or if the system turn leaves less than ``MIN_NEW`` tokens for new ones.
     Other columns are not read. An empty table gives no rows.
     """
+    with steps() as keep:
+        return keep(_windows(conversations, ranks, pattern, conv, turn, role, text, budget, history, target_role))
+
+
+def _windows(
+    conversations: DataFrame, ranks: bytes, pattern: str, conv: str, turn: str, role: str, text: str, budget: int, history: int, target_role: str
+) -> DataFrame:
     source = conversations.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
-    turns = source.withColumn("tokens", n_tokens(F.col("text"))).withColumn("block", F.floor(F.col("turn") / BLOCK))
+    source = materialise(source.withColumn("row", F.monotonically_increasing_id()))
+    counts = token_counts(source, "row", _rendered(F.col("role"), F.col("text")), ranks, pattern)
+    turns = source.join(counts, "row").drop("row").withColumn("tokens", F.col("tokens") + SEAM)
+    turns = materialise(turns.withColumn("block", F.floor(F.col("turn") / BLOCK)))
     placed = _prefix_sums(turns).alias("t").join(
         _system_turns(turns).alias("s"), F.col("t.conv").eqNullSafe(F.col("s.conv")), "left"
     ).select("t.conv", "turn", "role", "text", "tokens", "before", "sys_text", F.coalesce("sys_tokens", F.lit(0)).alias("sys_tokens"))
@@ -167,7 +178,9 @@ def format_windows(
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """The conversations that the windows hold, from their texts alone, without what is repeated.
+    """The conversations that the windows hold, without what is repeated: the turns and targets are read from the
+    windows' texts, with ``n_context``, ``n_turns`` and ``loss_spans`` to tell what is new and what is a target.
+    A conversation comes back as one row, so it must fit in one; the windows themselves are bounded.
 
     One row per conversation: ``conv_id, n_turns, turns_text`` (role, line feed, text, line feed per
     turn), ``loss_text`` (unescaped text under the loss mask) and ``formatted_chars``.

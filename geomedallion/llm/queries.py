@@ -40,7 +40,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
-    return read_back(format_windows(turns)).select(
+    return read_back(format_windows(turns, *tokenizer("byte_bpe_50k.tiktoken"))).select(
         "conv_id", F.col("n_turns").cast("long").alias("n_turns"), F.sha2("turns_text", 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.col("formatted_chars").cast("long").alias("formatted_chars"),
