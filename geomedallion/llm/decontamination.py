@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geomedallion.llm.common import fresh_name, in_arrow
+from geomedallion.llm.common import fresh_name, in_arrow, materialise
 
 ERROR_RATE = 0.06
 MIN_ITEM_CHARS = 20  # shorter items (normalised) match unchanged and as whole words
@@ -146,34 +146,38 @@ class ItemMatcher:
 
 
 def _original_span(text: str, start: int, end: int) -> tuple[int, int]:
-    """The span of ``text`` that a span of its normal form stands for (whole words)."""
-    words = list(re.finditer(WORD, text))
+    """The span of ``text`` that a span of its normal form stands for (whole words of it)."""
+    lower = text.lower()
+    words = list(re.finditer(WORD, lower))
     at, places = 0, []
     for w in words:
         places.append(at)
-        at += len(w.group().lower()) + 1
-    first = bisect.bisect_right(places, start) - 1
-    last = bisect.bisect_right(places, max(end - 1, start)) - 1
-    return words[first].start(), words[last].end()
-
-
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int = BLOCK_CHARS) -> list[dict[str, list]]:
-    """Blocks of {normalised text: item ids}; each is collected under its own size bound."""
+        at += w.end() - w.start() + 1
+    first = words[bisect.bisect_right(places, start) - 1].start()
+    last = words[bisect.bisect_right(places, max(end - 1, start)) - 1].end()
+    if len(lower) == len(text):
+        return first, last
+    source = [i for i, c in enumerate(text) for _ in c.lower()]  # a capital can become two characters
+    return source[first], source[last - 1] + 1
+
+
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[dict[str, list], bool]]:
+    """Blocks of {normalised text: item ids}, and whether there are several; the driver collects one at a time, of
+    about ``block_chars`` characters."""
     items = benchmark.filter(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{text}`").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = int(total // block_chars) + 1
-    blocks = []
     for b in range(n):
         block: dict[str, list] = {}
         for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect():  # about block_chars characters
             key = normalise(r["text"])
             if key:
                 block.setdefault(key, []).append(r["item"])
-        blocks.append(block)
-    return [b for b in blocks if b]
+        if block:
+            yield block, n > 1
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, item_id, edits, start, end`` for every document and item it holds a passage of.
 
     The passage is the best one (fewest edits, then the first); its span is in code points of the
@@ -186,7 +190,8 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
     ])
     docs = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     out = documents.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(benchmark, item_id, item_text):
+    item_type = pa.int64() if isinstance(schema["item_id"].dataType, T.LongType) else pa.int32() if isinstance(schema["item_id"].dataType, T.IntegerType) else pa.string()
+    for block, several in item_blocks(benchmark, item_id, item_text, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], block: dict = block) -> Iterator[pa.RecordBatch]:
             matcher, ids = ItemMatcher(list(block)), list(block.values())
@@ -201,15 +206,15 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
                 columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, item_type), pa.array(edits, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "edits", "start", "end"])
 
-        item_type = pa.int64() if isinstance(schema["item_id"].dataType, T.LongType) else pa.int32() if isinstance(schema["item_id"].dataType, T.IntegerType) else pa.string()
-        out = out.union(docs.transform(in_arrow, run, schema))
+        found = docs.transform(in_arrow, run, schema)
+        out = out.union(materialise(found) if several else found)  # written: the plan then holds no block
     return out
 
 
-def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``documents`` without those that hold a passage of an item; rows keep all their columns."""
     flag = fresh_name(documents.columns, "text_to_match")
-    for block in item_blocks(benchmark, item_id, item_text):
+    for block, several in item_blocks(benchmark, item_id, item_text, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], block: dict = block) -> Iterator[pa.RecordBatch]:
             matcher = ItemMatcher(list(block))
@@ -218,5 +223,6 @@ def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", i
                 kept = batch.filter(pa.array(clean, pa.bool_()))
                 yield kept.select(range(batch.num_columns - 1))
 
-        documents = documents.withColumn(flag, F.col(f"`{text}`")).transform(in_arrow, run, documents.schema)
+        clean = documents.withColumn(flag, F.col(f"`{text}`")).transform(in_arrow, run, documents.schema)
+        documents = materialise(clean) if several else clean
     return documents

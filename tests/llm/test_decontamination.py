@@ -79,3 +79,21 @@ def test_short_items_match_exactly_and_as_whole_words(spark):
     assert [g[:3] for g in got] == [(1, 1, 0), (3, 2, 0), (4, 2, 0), (6, 3, 0), (7, 1, 0)]
     assert rows[0][1][got[0][3] : got[0][4]] == "WHO  wrote it" and rows[6][1][got[4][3] :] == "who wrote it"
     assert sorted(r.doc_id for r in drop_leaks(docs, bench).collect()) == [2, 5, 8]
+
+
+def test_spans_where_lower_case_is_longer(spark):
+    before = "İ İstanbul " * 10
+    docs = spark.createDataFrame([(1, before + "The quick brown fox jumps over the lazy dog every day. İ")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "the quick brown fox jumps over the lazy dog every day")], "item_id long, text string")
+    r = find_leaks(docs, items).first()
+    assert docs.first().text[r.start : r.end] == "The quick brown fox jumps over the lazy dog every day"
+
+
+def test_a_large_benchmark_goes_in_blocks(spark):
+    items = [(i, f"item number {i} has the words {i * 7919} and {i * 104729} in it") for i in range(40)] + [(40, items_text := "item number 3 has the words 23757 and 314187 in it")]
+    docs = [(i, f"before {items[i][1]} after" if i < 20 else f"clean text {i}") for i in range(50)] + [(3, "repeated " + items_text)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    whole, parts = find_leaks(d, b), find_leaks(d, b, block_chars=200)
+    assert rows(parts) == rows(whole) and len(rows(whole)) >= 22
+    assert rows(drop_leaks(d, b, block_chars=200)) == rows(drop_leaks(d, b)) and drop_leaks(d, b).count() == 30
