@@ -84,9 +84,14 @@ ARROW_ROWS = 512
 def in_arrow(df: DataFrame, run, schema, rows: int = ARROW_ROWS) -> DataFrame:
     """``df.mapInArrow(run, schema)``, where ``run`` gets at most ``rows`` rows at a time.
 
-    Whole texts are long rows; what is made from the default of 10,000 of them at once would set the size of
-    Python workers. Batches are views of what Spark sent, so nothing is copied and no setting of the session changes.
+    Whole texts are long rows; 10,000 of them in one batch, Spark's default, set the size of the JVM's buffers and of
+    Python workers. Spark reads the setting when a job runs, not when its plan is made, so it is lowered for the
+    session to ``ARROW_ROWS`` and stays so (a smaller one is kept); callers who need the default set it again after
+    their results are written. Batches are split further without a copy.
     """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return run(batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))

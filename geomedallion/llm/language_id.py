@@ -8,15 +8,18 @@ the language with the least cost per symbol wins.
 Symbols are lower-case letters, with every run of other characters as one blank. The whole text is
 parsed, in segments of ``SEGMENT`` symbols which numpy advances side by side through all automata.
 
+Each language has an alphabet of its own, its ``MAX_LETTERS`` most frequent letters; what is in none of a
+language's sample is unseen to it, whatever other languages hold.
+
 Scale: one pass over the whole texts without a shuffle. The model has ``FIT_SYMBOLS`` symbols per
-language (fewer beyond ``MAX_SYMBOLS`` in all), so its size does not depend on the corpus.
+language (fewer beyond ``MAX_SYMBOLS`` in all), so its size does not depend on the corpus. The automata are built once,
+on the driver, from the sample, and broadcast as one table of two states a symbol at most.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from geomedallion.llm.common import in_arrow
 DOCS_PER_LANG = 400
 FIT_SYMBOLS = 40_000
 MAX_SYMBOLS = 400_000
-MAX_LETTERS = 120  # the most frequent letters of the sample; all others count as unseen
+MAX_LETTERS = 120  # of each language, by frequency in its sample
 SEGMENT = 256
 ROWS_AT_ONCE = 16_384  # segments advanced together, which bounds memory
 BLANK, FIRST = 0, 1
@@ -38,7 +41,7 @@ UNKNOWN = "und"
 
 def letter_table(letters: str) -> np.ndarray:
     """Code of every code point: 0 for what is no letter, 1.. for ``letters``, the last for others."""
-    table = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000).astype(np.uint8)
+    table = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000).astype(np.int32)
     table *= len(letters) + 1
     for i, c in enumerate(letters):
         table[ord(c)] = FIRST + i
@@ -56,10 +59,10 @@ def encode(text: str, table: np.ndarray) -> np.ndarray:
     return codes[int(len(codes) > 0 and codes[0] == BLANK) : len(codes) - int(len(codes) > 1 and codes[-1] == BLANK)]
 
 
-def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
+def suffix_automaton(symbols: np.ndarray) -> list[dict[int, int]]:
     """Transitions of the automaton of all substrings: row 0 is dead, row 1 the root."""
     size = 2 * len(symbols) + 2
-    to = [None, {}] + [None] * size
+    to = [{}, {}] + [None] * size
     link, length = [0] * (size + 2), [0] * (size + 2)
     last, count = 1, 2
     for c in symbols.tolist():
@@ -85,37 +88,53 @@ def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((count, width), np.int32)
-    for state in range(1, count):
-        for c, x in to[state].items():
-            table[state, c] = x
-    return table
+    return to[:count]
 
 
-@dataclass
 class LanguageModel:
-    langs: list[str]
-    letters: str
-    samples: list[np.ndarray]
+    """The automata of all languages in one table, and the alphabets.
 
-    def parser(self) -> "Parser":
-        return Parser(self)
+    ``letters`` are those of any language, the symbols of a text; ``local`` has the code of each symbol in each
+    language: 0 for a blank, the last for a letter that the language does not have.
+    """
+
+    def __init__(self, langs: list[str], alphabets: list[str], samples: list[np.ndarray], letters: str | None = None):
+        self.langs = langs
+        self.letters = "".join(sorted(set("".join(alphabets)))) if letters is None else letters
+        place = {c: i for i, c in enumerate(self.letters)}
+        width = max(map(len, alphabets), default=0) + 2
+        self.local = np.full((len(langs), len(self.letters) + 2), width - 1, np.int32)
+        self.local[:, BLANK] = BLANK
+        for k, alphabet in enumerate(alphabets):
+            for i, c in enumerate(alphabet):
+                self.local[k, FIRST + place[c]] = FIRST + i
+        rows: list[dict[int, int]] = []
+        self.root = np.zeros(len(langs), np.int32)
+        starts, cells = [], []
+        for k, sample in enumerate(samples):  # one after the other: each is far larger as dictionaries than as a table
+            automaton = suffix_automaton(self.local[k][sample])
+            base = sum(starts)
+            self.root[k] = base + 1
+            table = np.zeros((len(automaton), width), np.int32)
+            for state, edges in enumerate(automaton):
+                for c, x in edges.items():
+                    table[state, c] = x + base
+            starts.append(len(automaton))
+            cells.append(table)
+        self.to = np.concatenate(cells) if cells else np.zeros((0, width), np.int32)
+        self.to[:, width - 1] = 0
+        self.price = np.log2([len(s) + 1 for s in samples]) if samples else np.zeros(0)
 
 
 class Parser:
     """Phrase counts of many segments against all languages; one per task."""
 
     def __init__(self, model: LanguageModel):
-        self.table = letter_table(model.letters)
-        width = len(model.letters) + 2
-        tables = [suffix_automaton(s, width) for s in model.samples]
-        base = np.cumsum([0] + [len(t) for t in tables])
-        self.root = (base[:-1] + 1).astype(np.int32)
-        self.to = np.concatenate([np.where(t > 0, t + b, 0) for t, b in zip(tables, base)]).astype(np.int32)
-        first = self.to[self.root]  # (language, symbol)
+        self.table, self.local = letter_table(model.letters), model.local
+        self.root, self.to, self.price = model.root, model.to, model.price
+        first = self.to[self.root[:, None], self.local]  # (language, symbol)
         self.unseen = first == 0
         self.restart = np.where(self.unseen, self.root[:, None], first).astype(np.int32)
-        self.price = np.log2([len(s) + 1 for s in model.samples])
 
     def phrases(self, segments: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """(language, segment) phrase counts; rows of ``segments`` from the longest to the shortest."""
@@ -129,7 +148,7 @@ class Parser:
             if not k:
                 break
             s, now = segments[:k, t], state[:, :k]
-            after = self.to[now, s]
+            after = self.to[now, self.local[:, s]]
             ended = after == 0
             count[:, :k] += ended & (now != root)
             count[:, :k] += self.unseen[:, s]
@@ -148,7 +167,7 @@ class Parser:
                 lengths = np.array([len(w) for w in waiting])
                 order = np.argsort(-lengths, kind="stable")
                 lengths = lengths[order]
-                block = np.zeros((len(waiting), lengths[0]), np.uint8)
+                block = np.zeros((len(waiting), lengths[0]), np.int32)
                 for i, j in enumerate(order):
                     block[i, : lengths[i]] = waiting[j]
                 np.add.at(out, np.array(owner)[order], self.phrases(block, lengths).T * self.price)
@@ -171,7 +190,7 @@ class Parser:
 def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id") -> LanguageModel:
     """Learn from a sample of at most ``DOCS_PER_LANG`` different texts per language, by a hash of the id.
 
-    Rows without language or text are left out. The sample of a language is cut at its share of
+    Rows without language or text are left out; repeated rows weigh once; ties of frequent letters go by code point. The sample of a language is cut at its share of
     symbols, in equal parts per document first, so that many documents are represented.
     """
     known = rows.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -184,21 +203,24 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
     by_lang: dict[str, list[str]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["text"])):
         by_lang.setdefault(r["lang"], []).append(r["text"])
-    seen = Counter(c for ts in by_lang.values() for t in ts for c in t.lower() if c.isalpha())
-    letters = "".join(sorted(c for c, _ in seen.most_common(MAX_LETTERS)))
-    table = letter_table(letters)
     share = min(FIT_SYMBOLS, MAX_SYMBOLS // max(len(by_lang), 1))
-    langs, samples = [], []
-    for name, ts in sorted(by_lang.items(), key=lambda x: (-size[x[0]], x[0])):
+    order_of = sorted(by_lang.items(), key=lambda x: (-size[x[0]], x[0]))
+    alphabets = []
+    for _, ts in order_of:
+        seen = Counter(c for t in ts for c in t.lower() if c.isalpha())
+        alphabets.append("".join(sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS])))
+    letters = "".join(sorted(set("".join(alphabets))))
+    table, blank = letter_table(letters), np.zeros(1, np.int32)
+    langs, own, samples = [], [], []
+    for (name, ts), alphabet in zip(order_of, alphabets):
         codes = [c for c in (encode(t, table) for t in ts) if (c != BLANK).any()]
         if codes:
             each = max(share // len(codes), 64)
             while sum(min(len(c), each) for c in codes) < share and each < max(len(c) for c in codes):
                 each *= 2
-            blank = np.zeros(1, np.uint8)
-            langs.append(name)
+            langs.append(name), own.append(alphabet)
             samples.append(np.concatenate([x for c in codes for x in (c[:each], blank)])[:share])
-    return LanguageModel(langs, letters, samples)
+    return LanguageModel(langs, own, samples, letters)
 
 
 def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,8 +233,11 @@ def predict(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id",
     """
     schema = T.StructType([T.StructField("doc_id", documents.schema[doc_id].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = model.parser() if model.langs else None
+        model = shared.value
+        parser = Parser(model) if model.langs else None
         for batch in batches:
             lang, score = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
             if parser and batch.num_rows:
