@@ -95,6 +95,30 @@ class OrdinalModel:
         return np.diff(edges, axis=1)
 
 
+def loss_and_gradient(params: np.ndarray, index: np.ndarray, value: np.ndarray, owner: np.ndarray, y: np.ndarray, k: int) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with the ridge term, and its gradient.
+
+    ``params``: ``DIMS`` weights, the first of the ``k`` thresholds, the logarithms of the steps to the others. Row
+    ``owner`` has ``value`` at ``index`` and the grade number ``y``.
+    """
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    w, steps = params[:DIMS], np.exp(params[DIMS + 1 :])
+    theta = params[DIMS] + np.concatenate([[0.0], np.cumsum(steps)])
+    score = np.bincount(owner, value * w[index], len(y))
+    edge = sigmoid(np.concatenate([theta, [np.inf]])[y] - score)
+    under = np.where(y > 0, sigmoid(theta[np.maximum(y - 1, 0)] - score), 0.0)
+    p = np.maximum(edge - under, 1e-9)
+    up, down = edge * (1 - edge) / p, under * (1 - under) / p  # by the upper and the lower threshold
+    g_score = (up - down) / len(y)
+    grad = np.zeros_like(params)
+    grad[:DIMS] = np.bincount(index, value * g_score[owner], DIMS) + RIDGE * w
+    g_theta = (np.bincount(y, down, k + 1)[1:] - np.bincount(y, up, k + 1)[:k]) / len(y)
+    grad[DIMS] = g_theta.sum()
+    if k > 1:
+        grad[DIMS + 1 :] = np.cumsum(g_theta[::-1])[::-1][1:] * steps
+    return float(-np.log(p).mean() + RIDGE / 2 * (w @ w)), grad
+
+
 def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, grades: list[int]) -> OrdinalModel:
     """Maximum likelihood by Adam on all rows; thresholds are a first one and positive steps."""
     y = np.searchsorted(grades, grade)
@@ -105,22 +129,8 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, gr
     first = np.log(np.clip(share, 1e-3, 1 - 1e-3) / (1 - np.clip(share, 1e-3, 1 - 1e-3)))
     params = np.concatenate([np.zeros(DIMS), first[:1], np.log(np.maximum(np.diff(first), 1e-2))])
     m, v = np.zeros_like(params), np.zeros_like(params)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
     for step in range(1, STEPS + 1):
-        w, steps = params[:DIMS], np.exp(params[DIMS + 1 :])
-        theta = params[DIMS] + np.concatenate([[0.0], np.cumsum(steps)])
-        score = np.bincount(owner, value * w[index], len(rows))
-        edge = sigmoid(np.concatenate([theta, [np.inf]])[y] - score)
-        under = np.where(y > 0, sigmoid(theta[np.maximum(y - 1, 0)] - score), 0.0)
-        p = np.maximum(edge - under, 1e-9)
-        up, down = edge * (1 - edge) / p, under * (1 - under) / p  # by the upper and the lower threshold
-        g_score = (up - down) / len(rows)
-        grad = np.zeros_like(params)
-        grad[:DIMS] = np.bincount(index, value * g_score[owner], DIMS) + RIDGE * w
-        g_theta = (np.bincount(y, down, k + 1)[1:] - np.bincount(y, up, k + 1)[:k]) / len(rows)
-        grad[DIMS] = g_theta.sum()
-        if k > 1:
-            grad[DIMS + 1 :] = np.cumsum(g_theta[::-1])[::-1][1:] * steps
+        _, grad = loss_and_gradient(params, index, value, owner, y, k)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         params = params - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     theta = params[DIMS] + np.concatenate([[0.0], np.cumsum(np.exp(params[DIMS + 1 :]))])

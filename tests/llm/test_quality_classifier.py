@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from geomedallion.llm.quality_classifier import OrdinalModel, fit, fit_ordinal, score_documents, shape
+from geomedallion.llm.quality_classifier import DIMS, OrdinalModel, fit, fit_ordinal, loss_and_gradient, score_documents, shape
 
 
 def test_shapes():
@@ -53,3 +53,19 @@ def test_constant_models(spark):
     one = spark.createDataFrame([(1, 3)], "doc_id long, grade int")
     assert score_documents(d, fit(d, one)).first().expected_grade == 3
     assert OrdinalModel([0, 1], np.array([0.0])).probabilities(np.array([0.0])).tolist() == [[0.5, 0.5]]
+
+
+def test_gradient_against_finite_differences():
+    rng = np.random.default_rng(5)
+    n, k = 60, 3
+    owner = np.repeat(np.arange(n), 4)
+    index, value, y = rng.integers(0, 12, 4 * n), rng.standard_normal(4 * n), rng.integers(0, k + 1, n)
+    params = np.concatenate([np.zeros(DIMS), [-1.0], rng.standard_normal(k - 1) * 0.3])
+    params[:12] = rng.standard_normal(12) * 0.5
+    _, grad = loss_and_gradient(params, index, value, owner, y, k)
+    for i in [*range(12), 500, DIMS, DIMS + 1, DIMS + 2]:
+        up, down = params.copy(), params.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        slope = (loss_and_gradient(up, index, value, owner, y, k)[0] - loss_and_gradient(down, index, value, owner, y, k)[0]) / 2e-5
+        assert abs(slope - grad[i]) < 1e-6, i
