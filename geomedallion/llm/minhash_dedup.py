@@ -40,7 +40,7 @@ BITS = 2
 FIELDS = 64 // BITS
 LONGS = -(-BANDS * ROWS // FIELDS)
 MAX_TURNS = 2
-SPREAD = 16
+PART_ROWS = 128  # members of a pivot in one part of the last join, about
 MARGIN = 0.2  # candidates estimated below the threshold by more than this are dropped
 CHUNK = 1_024  # shingles hashed at once, which bounds memory
 SEED = 77
@@ -218,7 +218,8 @@ def _links_by_difference(mixed: tuple[DataFrame, DataFrame], links: DataFrame |
     difference from it: ``a = |p - x|``, ``b = |x - p|`` and the differing shingles. Two members whose
     differences share ``s`` shingles have ``|p| - a - a' + s`` shingles in common and ``|p| + b + b' - s`` in
     their union, so short arrays decide exactly; no candidate pairs are written. The join compares members
-    outside a pivot's largest component with its members, spread over ``SPREAD`` parts.
+    outside a pivot's largest component with its members. A pivot's members are dealt into parts by their number from
+    the start, and its set goes to each part once.
     """
     members, buckets = mixed
     if links is None:
@@ -228,18 +229,21 @@ def _links_by_difference(mixed: tuple[DataFrame, DataFrame], links: DataFrame |
     held = members.join(buckets.select("key"), "key").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
     # of two members one was the pivot already
     pivots = held.groupBy("key").agg(F.max_by("node", "degree").alias("pivot"), F.count("*").alias("n")).filter(F.col("n") > 2)
-    around = held.join(pivots.select("key", "pivot"), "key").select("pivot", "node", "component").distinct()
-    both = around.join(sets.toDF("node", "own"), "node").join(sets.toDF("pivot", "other"), "pivot")
+    parts = pivots.groupBy("pivot").agg(F.ceil(F.sum("n") / F.lit(PART_ROWS)).cast("int").alias("parts"))
+    pivots = broadcast_if_small(materialise(pivots.join(parts, "pivot").select("key", "pivot", "parts")))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    around = held.join(pivots, "key").select("pivot", "parts", part, "node", "component").distinct()
+    pivot_sets = parts.join(sets.toDF("pivot", "other"), "pivot").select("pivot", "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    both = around.join(sets.toDF("node", "own"), "node").join(pivot_sets, ["pivot", "part"])
     gone, new = F.array_except("other", "own"), F.array_except("own", "other")
     described = materialise(
-        both.select("pivot", "node", "component", F.size(gone).alias("a"), F.size(new).alias("b"), F.size("other").alias("p"), F.concat(gone, new).alias("diff"))
+        both.select("pivot", "part", "parts", "node", "component", F.size(gone).alias("a"), F.size(new).alias("b"), F.size("other").alias("p"), F.concat(gone, new).alias("diff"))
     )
     counted = described.groupBy("pivot", "component").agg(F.count("*").alias("n"))
     main = counted.groupBy("pivot").agg(F.max_by("component", "n").alias("main"))
-    part = F.pmod(F.xxhash64("node"), F.lit(SPREAD)).cast("int")
-    y = described.join(main, "pivot").withColumn("in_main", F.col("component") == F.col("main")).drop("main").withColumn("part", part)
-    x = described.join(main, "pivot").filter(F.col("component") != F.col("main")).drop("main", "p")
-    x = x.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).toDF("pivot", "x", "c_x", "a_x", "b_x", "d_x", "part")
+    y = described.join(main, "pivot").withColumn("in_main", F.col("component") == F.col("main")).drop("main", "parts")
+    x = described.join(main, "pivot").filter(F.col("component") != F.col("main"))
+    x = x.select("pivot", "node", "component", "a", "b", "diff", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).toDF("pivot", "x", "c_x", "a_x", "b_x", "d_x", "part")
     once = F.col("in_main") | (F.col("x") < F.col("node"))
     most = F.least(F.size("d_x"), F.size("diff"))  # bounds what the differences can share, before they are compared
     shared = F.size(F.array_intersect("d_x", "diff"))

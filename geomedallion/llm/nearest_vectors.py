@@ -9,7 +9,8 @@ would have shown up with that probability. Every reported distance is exact.
 Distribution: the upper levels of the tree, fitted on a bounded sample, cut the projected space into
 cells; a cell with more than ``CELL_ROWS`` vectors is split at random into parts, and each (cell, part)
 is a group with its own lower tree. Queries first search their own cell, which bounds ``d_k``, and then
-go to the cells that the stopping test cannot exclude. Queries too many for one group go in blocks.
+go to the cells that the stopping test cannot exclude. Queries too many for one group go in blocks: a cell has as
+many as the queries really sent there ask for, and its vectors are copied for those blocks alone.
 
 Of equal vectors only the ``k + 1`` smallest ids can ever be among a query's k nearest, so the rest is
 not indexed; Spark applies that limit before the shuffle, so a vector that a third of all rows share is
@@ -34,8 +35,8 @@ DIMS = 8  # even, for the closed form of the chi-square distribution
 CONFIDENCE = 0.99
 CELL_ROWS = 16_384
 QUERY_BLOCK = 2_048
-SAMPLE = 16_384
-MAX_CELLS = 1_024
+SAMPLE = 65_536  # vectors that the upper tree is fitted on, 16 for each of MAX_CELLS cells
+MAX_CELLS = 4_096
 LEAF = 48
 SEED = 20_240_229
 
@@ -163,7 +164,7 @@ def nearest_neighbours(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = int(sizes["n"])
     base = materialise(base.filter(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v")))
-    total, n_queries = base.count(), base.filter(is_query).count()
+    total = base.count()
     matrix = projection(dim, dims)
 
     depth = max(0, math.ceil(math.log2(max(min(total / cell_rows, MAX_CELLS), 1))))
@@ -190,25 +191,23 @@ def nearest_neighbours(
     bounds = [f(F.col("p")[i]).alias(f"{name}{i}") for i in range(dims) for name, f in (("low", F.min), ("high", F.max))]
     cells = {r["cell"]: r for r in index.groupBy("cell").agg(F.count("*").alias("n"), *bounds).collect()}  # <= MAX_CELLS rows
     parts = {c: -(-r["n"] // cell_rows) for c, r in cells.items()}
-    blocks = max(1, -(-n_queries // query_block))
     names = sorted(cells)
     low = np.array([[cells[c][f"low{i}"] for i in range(dims)] for c in names])
     high = np.array([[cells[c][f"high{i}"] for i in range(dims)] for c in names])
     stop = chi2_quantile(confidence, dims)
 
-    n_parts = F.create_map(*[F.lit(x) for c, n in parts.items() for x in (c, n)])
-    part = F.pmod(F.xxhash64("vec_id"), n_parts[F.col("cell")].cast("long")).cast("int")
-    stored = index.withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    n_parts = F.broadcast(vectors.sparkSession.createDataFrame(list(parts.items()) or [(0, 1)], "cell int, n_parts int"))  # <= MAX_CELLS rows
+    stored = index.join(n_parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("n_parts")).cast("int")).drop("n_parts")
     key = ["cell", "part", "block"]
 
     def search(asked: DataFrame) -> DataFrame:
         """``asked``: queries with the cell to search and the ``bound`` known so far."""
-        sent = (
-            asked.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts[F.col("cell")] - 1)))
-            .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-        )
-        wanted = sent.select(*key).distinct()
-        held = stored.join(wanted, key, "left_semi")
+        asked = materialise(asked)
+        blocks = asked.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(query_block)).cast("int").alias("blocks"))  # <= MAX_CELLS rows
+        sent = asked.join(F.broadcast(blocks), "cell").join(n_parts, "cell").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+        sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))).drop("blocks", "n_parts")
+        wanted = blocks.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        held = stored.join(F.broadcast(wanted), "cell")  # a vector is copied for the blocks of its cell alone
         run = lambda q, r: search_group(q, r, k, stop)
         return sent.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(run, "query_id long, vec_id long, score double")
 
