@@ -71,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):  # "local-cluster" has executors of its own
             raise RuntimeError("spark.checkpoint.dir must name a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="geomedallion-ckpt-")
     sc.setCheckpointDir(configured)
