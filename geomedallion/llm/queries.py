@@ -27,6 +27,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("hits").cast("long").alias("n_hits"),
+        F.size(F.filter("hits", lambda h: h["mention"])).cast("long").alias("n_mentions"),
+        F.size(F.filter("hits", lambda h: h["edits"] > 0)).cast("long").alias("n_misspelled"),
     )
 
 

@@ -6,10 +6,10 @@ trie; the Levenshtein automaton of every term, intersected with the trie, is run
 whose deterministic states are made when a text first needs them. It reads each distinct word once
 and gives the closest term within that term's edit budget (stems allow no edits).
 
-Every hit has a context window of ``CONTEXT`` words on either side. Quotation marks around the hit or
-words that mention rather than use an expression make it a mention. Sums of the weights of uses,
-misspelled uses and mentions are the inputs of a logistic regression, so the labels decide what a
-mention counts.
+Every hit has a context window of ``CONTEXT`` words on either side. Quotation marks around the hit, or a cue in
+the window, make it a mention. Cues are learned: words that stand near hits in clean rows of the sample and hardly
+in toxic ones. Sums of the weights of uses, misspelled uses and mentions are the inputs of a logistic regression, so
+the labels also decide what a mention counts.
 
 Scale: scoring is one pass over the whole texts, without a shuffle; the model (a few hundred terms)
 travels with the tasks. Learning reads at most ``FIT_DOCS`` documents.
@@ -40,11 +40,12 @@ CONTEXT = 6
 MEMO_WORDS = 200_000
 WORD = r"[^\W_]+"
 
-# Words that mention an expression instead of using it, and quotation marks.
-MENTION_WORDS = frozenset(
-    "said says quote quoted quoting quotes word words term terms called calling phrase insult insults slur means meaning definition "
-    "citation cité dit mot terme appelé zitat zitiert sagte wort begriff genannt cita citado dijo palabra término llamado".split()
-)
+MAX_CUES = 200
+MIN_CUE_DOCS = 4  # clean documents of the sample with the cue near a hit, at least
+MIN_CUE_SHARE = 0.05  # and this share of the clean documents that have hits
+MIN_CUE_WEIGHT = 2.0
+
+# Quotation marks.
 OPEN_CLOSE = {'"': '"', "“": "”", "„": "“", "«": "»", "‹": "›", "‘": "’"}
 
 HITS = "array<struct<start:bigint,end:bigint,term:string,edits:int,mention:boolean>>"
@@ -160,13 +161,15 @@ def _quoted(text: str, spans: list[tuple[int, int]]) -> list[bool]:
 class Scanner:
     """Finds the hits of whole texts; one per task."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], cues: list[str] | None = None):
         self.automaton = LexiconAutomaton(terms)
+        self.cues = frozenset(cues or ())
         self.pattern = re.compile(WORD)
         self.memo: dict[str, tuple[int, int] | None] = {}
 
-    def hits(self, text: str) -> tuple[int, list[tuple[int, int, int, int, bool]]]:
-        """Number of words; (start, end, term, edits, mention) of each hit."""
+    def hits(self, text: str, near_words: set[str] | None = None) -> tuple[int, list[tuple[int, int, int, int, bool]]]:
+        """Number of words; (start, end, term, edits, mention) of each hit. ``near_words`` gets the words of all windows
+        outside quotation marks."""
         words = self.pattern.findall(text.lower())
         found, memo = {}, self.memo
         if len(memo) > MEMO_WORDS:
@@ -186,18 +189,21 @@ class Scanner:
         for i, q in zip(at, quoted):
             near = tokens[max(0, i - CONTEXT) : i] + tokens[i + 1 : i + 1 + CONTEXT]
             edits, term = found[tokens[i][2]]
-            out.append((tokens[i][0], tokens[i][1], term, edits, q or any(t[2] in MENTION_WORDS for t in near)))
+            out.append((tokens[i][0], tokens[i][1], term, edits, q or any(t[2] in self.cues for t in near)))
+            if near_words is not None and not q:
+                near_words.update(t[2] for t in near if t[2] not in found)
         return len(words), out
 
 
 @dataclass
 class ToxicityModel:
-    """Terms with their weights (exact and misspelled), and the regression over the hit sums."""
+    """Terms with their weights (exact and misspelled), the cues of a mention, and the regression over the hit sums."""
 
     terms: list[str] = field(default_factory=list)
     weight: list[float] = field(default_factory=list)
     fuzzy: list[float] = field(default_factory=list)
     beta: list[float] = field(default_factory=lambda: [-6.0] + [0.0] * 5)
+    cues: list[str] = field(default_factory=list)
 
     def features(self, n_words: int, hits: dict[tuple[int, bool, bool], int]) -> list[float]:
         """``hits``: how often each (term, misspelled, mention) occurs."""
@@ -298,6 +304,29 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
     return beta
 
 
+def mention_cues(rows: DataFrame, terms: list[str]) -> list[str]:
+    """Words near hits that tell clean rows (``text, y``) from toxic ones, the most frequent first, at most ``MAX_CUES``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(terms)
+        for batch in batches:
+            labels, near = [], []
+            for y, text in zip(batch.column("y").to_pylist(), batch.column("text")):
+                words: set[str] = set()
+                if scanner.hits(text.as_py(), words)[1]:
+                    labels.append(y), near.append(sorted(words))
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(near, pa.list_(pa.string()))], names=["y", "near"])
+
+    hit = materialise(rows.transform(in_arrow, scan, "y int, near array<string>"))
+    total = {r["y"]: r["n"] for r in hit.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = total.get(1, 0), total.get(0, 0)
+    weight = F.log((F.col("n") + 0.5) / (n_clean + 1)) - F.log((F.col("p") + 0.5) / (n_toxic + 1))
+    counts = hit.select("y", F.explode("near").alias("word")).groupBy("word").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
+    least = max(MIN_CUE_DOCS, MIN_CUE_SHARE * n_clean)
+    cues = counts.filter((F.col("n") >= least) & (weight >= MIN_CUE_WEIGHT)).orderBy(F.desc("n"), "word").limit(MAX_CUES)
+    return [r["word"] for r in cues.collect()]
+
+
 def fit(documents: DataFrame, labels: DataFrame, n: int = FIT_DOCS) -> ToxicityModel:
     """Learn terms, weights and regression. Without toxic or without clean rows: a constant model."""
     with steps():
@@ -311,8 +340,10 @@ def _fit(rows: DataFrame) -> ToxicityModel:
         return ToxicityModel(beta=[6.0 if n_toxic else -6.0] + [0.0] * 5)
     terms, weight = choose_terms(_candidates(rows, n_toxic, n_clean), n_toxic, n_clean)
 
+    cues = mention_cues(rows, terms)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(terms)
+        scanner = Scanner(terms, cues)
         for batch in batches:
             n_words, summaries = [], []
             for text in batch.column("text"):
@@ -333,7 +364,7 @@ def _fit(rows: DataFrame) -> ToxicityModel:
     for term in range(len(terms)):
         if term not in near:  # no clean text comes near the term
             fuzzy[term] = 0.7 * weight[term]
-    model = ToxicityModel(terms, weight, fuzzy)
+    model = ToxicityModel(terms, weight, fuzzy, cues=cues)
     x = np.array([model.features(r["n_words"], {(h["term"], h["misspelled"], h["mention"]): h["n"] for h in r["hits"]}) for r in sample])
     model.beta = [float(b) for b in fit_logistic(x, np.array([r["y"] for r in sample], float))]
     for j in range(1, 6):  # a hit never speaks for a clean text
@@ -351,7 +382,7 @@ def score_documents(documents: DataFrame, model: ToxicityModel, doc_id: str = "d
     schema = T.StructType([T.StructField("doc_id", documents.schema[doc_id].dataType), T.StructField("score", T.DoubleType()), T.StructField("hits", T.DataType.fromDDL(HITS))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model.terms)
+        scanner = Scanner(model.terms, model.cues)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("term", pa.string()), ("edits", pa.int32()), ("mention", pa.bool_())]))
         for batch in batches:
             x, spans = [], []
@@ -370,7 +401,7 @@ def drop_toxic(documents: DataFrame, model: ToxicityModel, text: str = "text", r
     body = fresh_name(documents.columns, "text_to_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model.terms)
+        scanner = Scanner(model.terms, model.cues)
         for batch in batches:
             x = []
             for text in batch.column(batch.num_columns - 1):

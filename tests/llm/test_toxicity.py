@@ -88,3 +88,41 @@ def test_learning_without_labels_gives_a_constant(spark):
     assert score_documents(d, fit(d, none)).first().score < 0.5
     ones = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     assert score_documents(d, fit(d, ones)).first().score > 0.5
+
+
+def test_learned_cues_tell_mentions_and_misspelled_uses_apart(spark):
+    """Clean documents mention the terms after words of an invented language; toxic ones use them, also misspelled."""
+    rng = random.Random(8)
+    syllables = ["lo", "mi", "ra", "tu", "pe", "sen", "gor", "bal", "nek", "hul"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    slurs, cues = ["blastedly", "rottenish"], ["vrakti", "ozumel"]
+
+    def misspelled(w):
+        k = rng.randrange(1, len(w) - 1)
+        return w[:k] + rng.choice(["x", ""]) + w[k + 1 :]
+
+    docs, labels, kind = [], [], {}
+    for i in range(2400):
+        words, k = [word() for _ in range(40)], i % 30
+        at = rng.randrange(2, 38)
+        if k < 6:
+            words[at], kind[i] = rng.choice(slurs), "use"
+        elif k < 9:
+            words[at], kind[i] = misspelled(rng.choice(slurs)), "misspelled"
+        elif k == 9:
+            words[at], words[at - 1 - rng.randrange(2)], kind[i] = rng.choice(slurs), rng.choice(cues), "mention"
+        elif k == 10 and i % 60 == 10:
+            words[at], kind[i] = f'"{rng.choice(slurs)}"', "quoted"
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(k < 9)))
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit(d, lab.filter("doc_id < 1600"))
+    assert set(model.cues) == set(cues)
+    got = {r.doc_id: (r.score >= 0.5, r.hits) for r in score_documents(d, model).collect()}
+    for i in range(1600, 2400):
+        toxic, hits = got[i]
+        if kind.get(i) in ("mention", "quoted"):
+            assert any(h.mention and docs[i][1][h.start : h.end] in slurs for h in hits)
+    assert any(h.edits > 0 for i in range(1600, 2400) if kind.get(i) == "misspelled" for h in got[i][1])
+    right = {k: [got[i][0] == (k in ("use", "misspelled")) for i in range(1600, 2400) if kind.get(i) == k] for k in ("use", "misspelled", "mention", "quoted", None)}
+    assert all(sum(r) >= 0.95 * len(r) for r in right.values()), {k: sum(r) / len(r) for k, r in right.items()}
