@@ -51,31 +51,30 @@ def merged_counts(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """``word, n``: tokens of the distinct binaries ``word``, of ``LONGEST`` bytes at most and not in the vocabulary."""
     single = F.transform(F.sequence(F.lit(1), F.octet_length("word")), lambda i: F.substring(F.col("word"), i, F.lit(1)))
     now, done = materialise(words.select("word", single.alias("parts"))), []
+    neighbours = F.arrays_zip(F.slice("parts", 1, F.size("parts") - 1).alias("a"), F.slice(F.col("parts"), F.lit(2), F.size("parts") - 1).alias("b"))
     while not now.isEmpty():
-        pairs = now.select("word", "parts", F.explode(F.arrays_zip(F.slice("parts", 1, F.size("parts") - 1).alias("a"), F.slice(F.col("parts"), F.lit(2), F.size("parts") - 1).alias("b"))).alias("p"))
-        known = pairs.withColumn("token", F.concat("p.a", "p.b")).join(F.broadcast(vocab), "token")
-        least = known.groupBy("word").agg(F.min(F.struct("rank", "token")).alias("m"))
-        after = materialise(
-            now.join(least, "word", "left").select("word", F.when(F.col("m").isNull(), F.col("parts")).otherwise(_merge_all(F.col("parts"), F.col("m.token"))).alias("parts"), F.col("m").isNull().alias("done"))
-        )
+        pairs = now.select("word", "parts", F.explode_outer(neighbours).alias("p")).withColumn("token", F.concat("p.a", "p.b"))
+        known = pairs.join(F.broadcast(vocab), "token", "left")
+        least = known.groupBy("word").agg(F.first("parts").alias("parts"), F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "token"))).alias("m"))
+        after = materialise(least.select("word", F.when(F.col("m").isNull(), F.col("parts")).otherwise(_merge_all(F.col("parts"), F.col("m.token"))).alias("parts"), F.col("m").isNull().alias("done")))
         release(now)
-        done.append(after.filter("done").select("word", F.size("parts").cast("long").alias("n")))
-        now = materialise(after.filter(~F.col("done") & (F.size("parts") > 1)).drop("done"))
-        done.append(after.filter(~F.col("done") & (F.size("parts") == 1)).select("word", F.lit(1).cast("long").alias("n")))
+        done.append(after)
+        now = materialise(after.filter(~F.col("done")).select("word", "parts"))
     out = words.select("word", F.lit(0).cast("long").alias("n")).limit(0)
     for part in done:
-        out = out.unionByName(part)
+        out = out.unionByName(part.filter("done").select("word", F.size("parts").cast("long").alias("n")))
     return materialise(out)
 
 
 def token_counts(rows: DataFrame, key: str, text: Column, ranks: bytes, pattern: str) -> DataFrame:
     """``key, tokens`` of every row of ``rows`` (``key`` unique): the tokens of ``text``, 0 where it is null or empty."""
     vocab = vocabulary(rows.sparkSession, ranks)
-    words = rows.select(key, F.explode(pre_tokens(text, pattern)).alias("word")).groupBy(key, "word").agg(F.count("*").alias("times"))
-    marked = words.join(F.broadcast(vocab.select(F.col("token").alias("word"), F.lit(1).cast("long").alias("known"))), "word", "left")
-    marked = materialise(marked.withColumn("known", F.when(F.col("known").isNull() & (F.octet_length("word") > LONGEST), F.octet_length("word").cast("long")).otherwise(F.col("known"))))
-    counts = merged_counts(marked.filter(F.col("known").isNull()).select("word").distinct(), vocab)
-    found = marked.filter(F.col("known").isNotNull()).select(key, (F.col("times") * F.col("known")).alias("n"))
-    merged = marked.filter(F.col("known").isNull()).join(counts, "word").select(key, (F.col("times") * F.col("n")).alias("n"))
-    sums = found.unionByName(merged).groupBy(key).agg(F.sum("n").alias("tokens"))
+    words = rows.select(key, F.explode(pre_tokens(text, pattern)).alias("token")).groupBy(key, "token").agg(F.count("*").alias("times"))
+    marked = words.join(F.broadcast(vocab), "token", "left")
+    known = F.when(F.col("rank").isNotNull(), F.lit(1)).when(F.octet_length("token") > LONGEST, F.octet_length("token"))
+    marked = materialise(marked.select(key, F.col("token").alias("word"), "times", known.cast("long").alias("n")))
+    others = marked.filter(F.col("n").isNull()).drop("n")
+    merged = others.join(merged_counts(others.select("word").distinct(), vocab), "word")
+    found = marked.filter(F.col("n").isNotNull()).unionByName(merged)
+    sums = found.groupBy(key).agg(F.sum(F.col("times") * F.col("n")).alias("tokens"))
     return rows.select(key).join(sums, key, "left").select(key, F.coalesce("tokens", F.lit(0)).alias("tokens"))
