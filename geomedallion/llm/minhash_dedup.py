@@ -240,7 +240,8 @@ def _links_by_difference(mixed: tuple[DataFrame, DataFrame], links: DataFrame |
         both.select("pivot", "part", "parts", "node", "component", F.size(gone).alias("a"), F.size(new).alias("b"), F.size("other").alias("p"), F.concat(gone, new).alias("diff"))
     )
     counted = described.groupBy("pivot", "component").agg(F.count("*").alias("n"))
-    main = counted.groupBy("pivot").agg(F.max_by("component", "n").alias("main"))
+    # a row for each pivot; beyond the bound, Spark splits the hot side of the joins on it
+    main = broadcast_if_small(materialise(counted.groupBy("pivot").agg(F.max_by("component", "n").alias("main"))))
     y = described.join(main, "pivot").withColumn("in_main", F.col("component") == F.col("main")).drop("main", "parts")
     x = described.join(main, "pivot").filter(F.col("component") != F.col("main"))
     x = x.select("pivot", "node", "component", "a", "b", "diff", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).toDF("pivot", "x", "c_x", "a_x", "b_x", "d_x", "part")
