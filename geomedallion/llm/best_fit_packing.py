@@ -38,7 +38,7 @@ from geomedallion.llm.common import in_arrow, materialise, steps
 CAPACITY = 1024
 END_ID = 2
 SCHEMES = ((160, 100), (341, 100), (512, 64))  # (lengths above are large, groups of large lengths)
-RANK_ROWS = 1000  # pieces of a part, about: parts spread evenly over tasks
+RANK_ROWS = 250  # pieces of a part, about: parts spread evenly over tasks
 PRICING_STEPS = 1500  # column generation ends there or within the gap; both leave a feasible programme
 PRICING_GAP = 2e-4
 
