@@ -35,6 +35,8 @@ TALLY = 500_000  # distinct pairs that a task counts before it hands them on
 TALLY_ROW = 20_000  # pairs in one row of a tally
 HOT_PAIRS = 500_000  # 17 bytes each
 PROBE = 8  # ends compared at first
+SHORT = 6  # ends compared one by one before that
+ONES = [b"\1" * k for k in range(64)]
 SHIFT = 32  # a pair is one long: the first id, then the second in so many bits
 
 
@@ -61,8 +63,12 @@ def align_ends(a: list[int], b: list[int]) -> tuple[bytearray, bytearray, list[i
     while i < len(a):
         j = i + shift
         if a[i] == b[j]:
-            run = one_to_one(a, b, i, j)
-            ends_a[i : i + run] = ends_b[j : j + run] = b"\1" * run
+            run, least = 1, min(len(a) - i, len(b) - j, SHORT)
+            while run < least and a[i + run] == b[j + run]:
+                run += 1
+            if run == SHORT:  # a long stretch
+                run += one_to_one(a, b, i + run, j + run)
+            ends_a[i : i + run] = ends_b[j : j + run] = ONES[run] if run < len(ONES) else b"\1" * run
             i += run
             continue
         while True:  # an irregular group
