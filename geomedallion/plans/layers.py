@@ -467,7 +467,7 @@ class Medallion:
             fact = tb(self.t("attribute_table"))
             kept = self._days(fact, moved).join(places, place, "left_anti").select(*fact.columns)
             weather = self._days(weather, days).unionByName(others)
-        paired = location_fact(weather.withColumn("__day", F.col(day)).drop(day), quakes, location_rows_bound=size.rows, checkpoint_quakes=False)
+        paired = location_fact(weather.withColumn("__day", F.col(day)).drop(day), quakes, location_rows_bound=size.rows, checkpoint_quakes=False, checkpoint_weather=False)
         paired = paired.withColumnRenamed("__day", day)
         self._put_days(paired if kept is None else paired.unionByName(kept), "attribute_table", snapshot)
         # the calendar reads the written fact instead of recomputing it
