@@ -219,10 +219,14 @@ def odd_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(k.alias("payload_id"), text.alias("value"))
 
 
-def weather_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_payload_text(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
     """One landed weather JSON per reading; ``wind`` absent for signup, ``wind.max`` a scalar
-    for view, ``temperature`` absent for error events."""
+    for view, ``temperature`` absent for error events. ``days`` (from, before): the readings of these days,
+    told by the table's own time, so that no text is built or read to find them."""
     e = table(spark, sf_dir, "events")
+    if days:
+        date, no_text = F.date_format("ts", "yyyy-MM-dd"), (F.col("event_type") == "view") & F.col("value").isNull()
+        e = e.where((date >= days[0]) & (date < days[1]) & ~F.coalesce(no_text, F.lit(False)))
     k, et, v = F.col("event_id"), F.col("event_type"), F.col("value")
     base = F.to_json(F.struct(
         derived_lat(k, OBS_LAT_MULT).alias("lat"), derived_lon(k, OBS_LON_MULT).alias("lon"), F.lit("UTC").alias("tz"),

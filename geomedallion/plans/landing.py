@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from geomedallion.plans import derived as D
 from geomedallion.session import ensure_checkpoint_dir
@@ -27,10 +26,7 @@ def land_payloads(spark: SparkSession, sf_dir: str, landed_dir: str, odd: bool =
     D.event_feed_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/events")
     if odd:
         D.odd_feed_text(spark, sf_dir).select("value").write.mode("append").text(f"{d}/events")
-    weather = D.weather_payload_text(spark, sf_dir)
-    if weather_days:
-        date = F.get_json_object("value", "$.date")
-        weather = weather.where((date >= weather_days[0]) & (date < weather_days[1]))
+    weather = D.weather_payload_text(spark, sf_dir, weather_days)
     weather.select("value").write.mode("overwrite").text(f"{d}/weather")
     D.census_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/census")
     D.geocode_payload_text(spark, sf_dir).select("value").write.mode("overwrite").text(f"{d}/geocode")
