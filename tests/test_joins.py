@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from geomedallion.operators.joins import salted_left_join
+from geomedallion.operators.joins import ROWS_PER_LIST, _lists, salted_left_join
 from geomedallion.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, measure
 
 
@@ -58,3 +58,41 @@ def test_sizes_are_measured_in_rows_and_bytes(spark):
     assert broadcast_if_small(df, 100)[1] and not broadcast_if_small(df, 99)[1] and not broadcast_if_small(df, 0)[1]
     assert not broadcast_if_small(df, 100, max_bytes=50_000)[1] and broadcast_if_small(df.select("id"), 100, max_bytes=50_000)[1]
     assert measure(df.limit(0)).rows == measure(df.limit(0)).bytes == 0
+
+
+def _joined_rows(plan):
+    """Rows that each join of an executed plan made."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if name.endswith("JoinExec"):
+                out.append(node.metrics().apply("numOutputRows").value())
+            children = node.children()
+            todo.extend(children.apply(i) for i in range(children.size()))
+    return out
+
+
+def test_pairs_are_made_from_lists_of_right_rows(spark):
+    left = spark.range(40).select((F.col("id") % 2).alias("k"), F.col("id").alias("l"))
+    right = spark.range(6000).select((F.col("id") % 2).alias("k"), (F.col("id") * 0).alias("r.same"), F.lit(None).alias("none"))  # equal rows share a salt
+    got = salted_left_join(left, right, ["k"])
+    assert len(got.collect()) == 40 * 3000
+    assert max(_joined_rows(got._jdf.queryExecution().executedPlan())) <= 6000  # the join itself made every pair
+    assert got.columns == ["k", "l", "r.same", "none"]
+    lists = _lists(right.withColumn("__salt", F.lit(0)), ["k"], ["r.same", "none"])
+    sizes = [r[0] for r in lists.select(F.size("__rows")).collect()]
+    assert max(sizes) <= ROWS_PER_LIST and sum(sizes) == 6000
+
+
+def test_pairs_of_signed_zeros_and_nan(spark):
+    left = spark.createDataFrame([(0.0, 1), (-0.0, 2), (float("nan"), 3), (None, 4), (5.0, 5)], "k double, l int")
+    right = spark.createDataFrame([(-0.0, 1), (0.0, 2), (float("nan"), 3), (None, 4)], "k double, r int")
+    for salt in (1, 100):
+        got = salted_left_join(left, right, ["k"], rows_per_salt=salt)
+        assert sorted(((r["l"], r["r"]) for r in got.collect()), key=str) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 3), (4, None), (5, None)]
