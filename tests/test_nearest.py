@@ -207,3 +207,40 @@ def test_observations_without_places_enter_no_exchange(spark):
     assert got.count() == 3000 and got.where("loc_id is not null").count() >= 700
     got.collect()
     assert max(_shuffled_rows(got._jdf.queryExecution().executedPlan())) < 3000
+
+
+def test_places_far_from_the_nearest_are_not_measured(spark):
+    from pyspark.sql import functions as F
+
+    from geomedallion.operators.nearest import _COSINE_MARGIN
+
+    o = spark.createDataFrame([(1, 31.1, -98.3)], "obs_id long, lat double, lon double")
+    l = spark.range(30).select(F.col("id").alias("loc_id"), (31.0 + F.col("id") / 100).alias("geo_lat"), F.lit(-98.2).alias("geo_lon"))
+    got = nearest_location(o, l, id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_max(transform" not in plan  # the bound is not worked out again for every place
+    assert plan.count("filter(__near") == 1 and plan.count("filter(__all") == 1
+    assert [r.loc_id for r in got.collect()] == [10]
+    assert 4 * 10 ** -4 / (2 * 3958.76) < _COSINE_MARGIN < 2e-7
+
+
+def test_ties_and_odd_coordinates_are_ranked_as_before(spark):
+    import math
+    from pyspark.sql import functions as F
+
+    nan = float("nan")
+    # equal when rounded, though not equal: the tie breaker decides; a coordinate that is no number is at the far end
+    obs = [(1, 0.1, 0.1), (2, nan, 0.1), (3, 0.1, nan), (5, 0.3, 0.3), (6, None, 0.1), (7, 95.0, 10.0), (8, 0.0, nan)]
+    locs = [(9, 0.2, 0.1), (3, 0.2 + 1e-9, 0.1), (5, 0.1, 0.2), (1, nan, 0.1), (2, 0.1, nan), (0, nan, nan), (7, 0.5, 0.5), (11, 95.1, 10.1), (12, 95.0, 10.3)]
+    o = spark.createDataFrame(obs, "obs_id long, lat double, lon double")
+    l = spark.createDataFrame(locs, "loc_id long, geo_lat double, geo_lon double")
+    pairs = bin_join(o, l, left_lat="lat", left_lon="lon", right_lat="geo_lat", right_lon="geo_lon").where("loc_id is not null")
+    miles = F.when(F.isnan("dist_miles"), F.lit(12436.0)).otherwise(F.col("dist_miles"))
+    want = {}
+    for r in pairs.withColumn("m", miles).collect():
+        want[r.obs_id] = min(want.get(r.obs_id, (math.inf, 0)), (r.m, r.loc_id))
+    kw = dict(id_col="obs_id", obs_lat="lat", obs_lon="lon", tie_breakers=["loc_id"], ids_unique=True)
+    for more in ({}, {"broadcast_max_rows": 0}, {"cell_places": 0.3}):
+        got = {r.obs_id: r.loc_id for r in nearest_location(o, l, **kw, **more).collect() if r.loc_id is not None}
+        assert got == {k: v[1] for k, v in want.items()}, more
+    assert want[1][1] == 3
