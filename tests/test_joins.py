@@ -85,7 +85,7 @@ def test_pairs_are_made_from_lists_of_right_rows(spark):
     assert len(got.collect()) == 40 * 3000
     assert max(_joined_rows(got._jdf.queryExecution().executedPlan())) <= 6000  # the join itself made every pair
     assert got.columns == ["k", "l", "r.same", "none"]
-    lists = _lists(right.withColumn("__salt", F.lit(0)), ["k"], ["r.same", "none"])
+    lists = _lists(right.withColumn("__salt", F.lit(0)).withColumn("__hash", F.xxhash64("k")), ["k"], ["r.same", "none"])
     sizes = [r[0] for r in lists.select(F.size("__rows")).collect()]
     assert max(sizes) <= ROWS_PER_LIST and sum(sizes) == 6000
 
